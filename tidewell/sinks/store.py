@@ -1,0 +1,130 @@
+"""A versioned table layout on plain parquet.
+
+::
+
+    <root>/data/v=<n>/bucket=<b>/...   rows written by commit n
+    <root>/manifest/v=<n>/             (bucket, data_version): where each bucket lives
+    <root>/history/v=<n>/              one row describing commit n
+
+A commit rewrites only the buckets its keys fall in.  The history row is written
+last, so a commit that failed before it is never read, and its leftovers are
+replaced by the next attempt.  One writer per table is assumed; a version that
+is already in the history is refused.
+
+Manifest and history are metadata: their size follows the number of buckets and
+commits, not the data.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+from datetime import datetime, timezone
+from typing import Any
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+HISTORY_SCHEMA = (
+    "version bigint, operation string, batch_id string, query_id string, committed_at timestamp"
+)
+_BUCKET = "bucket"
+
+
+class VersionedStore:
+    """Table kept as versions of hash buckets over its key columns."""
+
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], buckets: int = 8):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.keys = list(keys)
+        self.buckets = buckets
+
+    def _bucket(self):
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def history(self) -> DataFrame:
+        """One row per commit."""
+        schema = T.StructType.fromDDL(HISTORY_SCHEMA)
+        try:
+            return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{self.root}/history")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)
+
+    def latest_version(self) -> int:
+        """Number of the last commit, 0 for none."""
+        return self.history().agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+
+    def previous_version(self, operation: str = "MERGE") -> int | None:
+        """The second newest commit of an operation; None when there is none."""
+        rows = self.history().where(F.col("operation") == operation).orderBy(F.desc("version")).select("version").take(2)
+        return rows[1]["version"] if len(rows) == 2 else None
+
+    def has_batch(self, query_id: str, batch_id: str) -> bool:
+        """Was this micro-batch committed before?"""
+        done = self.history().where((F.col("query_id") == query_id) & (F.col("batch_id") == batch_id))
+        return not done.isEmpty()
+
+    def _manifest(self, version: int) -> list[tuple[int, int]]:
+        rows = self.spark.read.parquet(f"{self.root}/manifest/v={version}").select(_BUCKET, "data_version").collect()
+        return [(row[_BUCKET], row["data_version"]) for row in rows]
+
+    def _read_buckets(self, places: list[tuple[int, int]]) -> DataFrame | None:
+        paths = [f"{self.root}/data/v={version}/{_BUCKET}={bucket}" for bucket, version in sorted(places)]
+        return self.spark.read.parquet(*paths) if paths else None
+
+    def read(self, version: int | None = None) -> DataFrame | None:
+        """Rows as of a version (default the last); None before the first commit."""
+        version = self.latest_version() if version is None else version
+        return self._read_buckets(self._manifest(version)) if version else None
+
+    def read_or_empty(self, schema: T.StructType, version: int | None = None) -> DataFrame:
+        """As :meth:`read`, with an empty frame before the first commit."""
+        rows = self.read(version)
+        return self.spark.createDataFrame([], schema) if rows is None else rows
+
+    def _commit(self, version: int, rows: DataFrame, kept: list[tuple[int, int]],
+                operation: str, batch_id: str, query_id: str) -> int:
+        data = f"{self.root}/data/v={version}"
+        placed = rows.withColumn(_BUCKET, self._bucket())
+        # Rebalancing gathers each bucket and lets AQE split one that is too large.
+        placed.hint("rebalance", F.col(_BUCKET)).write.mode("overwrite").partitionBy(_BUCKET).parquet(data)
+        try:
+            written = [row[0] for row in self.spark.read.parquet(data).select(_BUCKET).distinct().collect()]
+        except AnalysisException:
+            written = []  # nothing but a success marker: every replaced bucket is empty now
+        manifest = kept + [(bucket, version) for bucket in written]
+        (self.spark.createDataFrame(manifest, f"{_BUCKET} int, data_version bigint").coalesce(1)
+         .write.mode("overwrite").parquet(f"{self.root}/manifest/v={version}"))
+        entry = (version, operation, batch_id, query_id, datetime.now(timezone.utc))
+        (self.spark.createDataFrame([entry], HISTORY_SCHEMA).coalesce(1)
+         .write.mode("errorifexists").parquet(f"{self.root}/history/v={version}"))
+        return version
+
+    def overwrite(self, rows: DataFrame, operation: str = "WRITE", batch_id: str = "", query_id: str = "") -> int:
+        """Replace the whole table."""
+        return self._commit(self.latest_version() + 1, rows, [], operation, batch_id, query_id)
+
+    def merge(self, changes: DataFrame, combine: Callable[[DataFrame | None, DataFrame], DataFrame],
+              operation: str = "MERGE", batch_id: str = "", query_id: str = "") -> int:
+        """Replace the buckets that ``changes`` touch.
+
+        ``combine(stored, changes)`` returns their new rows; ``stored`` holds all
+        present rows of the touched buckets, or is None when there are none.
+        """
+        current = self.latest_version()
+        places = self._manifest(current) if current else []
+        touched = {row[0] for row in changes.select(self._bucket().alias(_BUCKET)).distinct().collect()}
+        if not touched:
+            return current
+        stored = self._read_buckets([place for place in places if place[0] in touched])
+        kept = [place for place in places if place[0] not in touched]
+        return self._commit(current + 1, combine(stored, changes), kept, operation, batch_id, query_id)
+
+    def watermark_at(self, version: int | None, column: str) -> Any:
+        """Greatest value of a column as of a version; None for no version."""
+        rows = self.read(version) if version else None
+        return None if rows is None else rows.agg(F.max(column)).first()[0]
