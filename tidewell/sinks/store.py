@@ -3,16 +3,15 @@
 ::
 
     <root>/data/v=<n>/bucket=<b>/...   rows written by commit n
-    <root>/manifest/v=<n>/             (bucket, data_version): where each bucket lives
-    <root>/history/v=<n>/              one row describing commit n
+    <root>/log/v=<n>/                  where each bucket lives as of commit n
 
-A commit rewrites only the buckets its keys fall in.  The history row is written
-last, so a commit that failed before it is never read, and its leftovers are
-replaced by the next attempt.  One writer per table is assumed; a version that
-is already in the history is refused.
+A commit rewrites only the buckets its keys fall in.  Its log rows are written
+last and in one file, so a commit that failed before them is never read, and its
+leftovers are replaced by the next attempt.  One writer per table is assumed; a
+version that is already logged is refused.
 
-Manifest and history are metadata: their size follows the number of buckets and
-commits, not the data.
+The log is metadata: its size follows the number of buckets and commits, not the
+data.
 """
 
 from __future__ import annotations
@@ -26,8 +25,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-HISTORY_SCHEMA = (
-    "version bigint, operation string, batch_id string, query_id string, committed_at timestamp"
+COMMIT_COLUMNS = ("version", "operation", "batch_id", "query_id", "committed_at")
+LOG_SCHEMA = (
+    "version bigint, operation string, batch_id string, query_id string, committed_at timestamp, "
+    "bucket int, data_version bigint"
 )
 _BUCKET = "bucket"
 
@@ -44,19 +45,22 @@ class VersionedStore:
     def _bucket(self):
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
-    def history(self) -> DataFrame:
-        """One row per commit."""
-        schema = T.StructType.fromDDL(HISTORY_SCHEMA)
+    def _log(self) -> DataFrame:
+        schema = T.StructType.fromDDL(LOG_SCHEMA)
         try:
-            return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{self.root}/history")
+            return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{self.root}/log")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], schema)
 
+    def history(self) -> DataFrame:
+        """One row per commit."""
+        return self._log().select(*COMMIT_COLUMNS).distinct()
+
     def latest_version(self) -> int:
         """Number of the last commit, 0 for none."""
-        return self.history().agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+        return self._log().agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
 
     def previous_version(self, operation: str = "MERGE") -> int | None:
         """The second newest commit of an operation; None when there is none."""
@@ -65,12 +69,12 @@ class VersionedStore:
 
     def has_batch(self, query_id: str, batch_id: str) -> bool:
         """Was this micro-batch committed before?"""
-        done = self.history().where((F.col("query_id") == query_id) & (F.col("batch_id") == batch_id))
+        done = self._log().where((F.col("query_id") == query_id) & (F.col("batch_id") == batch_id))
         return not done.isEmpty()
 
     def _manifest(self, version: int) -> list[tuple[int, int]]:
-        rows = self.spark.read.parquet(f"{self.root}/manifest/v={version}").select(_BUCKET, "data_version").collect()
-        return [(row[_BUCKET], row["data_version"]) for row in rows]
+        rows = self.spark.read.parquet(f"{self.root}/log/v={version}").where(F.col(_BUCKET).isNotNull())
+        return [(row[_BUCKET], row["data_version"]) for row in rows.collect()]
 
     def _read_buckets(self, places: list[tuple[int, int]]) -> DataFrame | None:
         paths = [f"{self.root}/data/v={version}/{_BUCKET}={bucket}" for bucket, version in sorted(places)]
@@ -96,12 +100,11 @@ class VersionedStore:
             written = [row[0] for row in self.spark.read.parquet(data).select(_BUCKET).distinct().collect()]
         except AnalysisException:
             written = []  # nothing but a success marker: every replaced bucket is empty now
-        manifest = kept + [(bucket, version) for bucket in written]
-        (self.spark.createDataFrame(manifest, f"{_BUCKET} int, data_version bigint").coalesce(1)
-         .write.mode("overwrite").parquet(f"{self.root}/manifest/v={version}"))
-        entry = (version, operation, batch_id, query_id, datetime.now(timezone.utc))
-        (self.spark.createDataFrame([entry], HISTORY_SCHEMA).coalesce(1)
-         .write.mode("errorifexists").parquet(f"{self.root}/history/v={version}"))
+        commit = (version, operation, batch_id, query_id, datetime.now(timezone.utc))
+        places = kept + [(bucket, version) for bucket in written]
+        log = [(*commit, *place) for place in places or [(None, None)]]
+        self.spark.createDataFrame(log, LOG_SCHEMA).coalesce(1).write.mode("errorifexists").parquet(
+            f"{self.root}/log/v={version}")
         return version
 
     def overwrite(self, rows: DataFrame, operation: str = "WRITE", batch_id: str = "", query_id: str = "") -> int:
