@@ -34,8 +34,9 @@ def test_neighbour_matches_a_plain_window(skewed, forward, min_rows):
 
 
 def test_hot_key_is_divided(skewed):
-    ranked = skewed.withColumn("__rank", F.struct("at", "v"))
-    pieces = skew._with_pieces(ranked, ["k"], "__rank", False, 0.1, 1, 16).groupBy("k", "__piece").count().collect()
+    ranked = skew._ranked(skewed, ["at"], "v")
+    split = skew._with_pieces(ranked, ranked.select("k", "__rank"), ["k"], True, 0.1, 1, 16)
+    pieces = split.groupBy("k", "__piece").count().collect()
     hot = [row["count"] for row in pieces if row["k"] == "hot"]
     assert len(hot) > 8 and max(hot) < sum(hot) / 2
     assert {row["__piece"] for row in pieces if row["k"] not in ("hot",)} == {0}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions.hashing import KEY_HASH, ROW_HASH
@@ -20,6 +20,15 @@ def initial_changes(source: DataFrame, op: str = OP) -> DataFrame:
     return source.withColumn(op, F.lit(INSERT))
 
 
+def _row_marks(row_hash: str) -> list[Column]:
+    """A row hash as two independent 64-bit numbers.
+
+    Together they are as telling as the hash itself, and unlike text their least
+    and greatest values are kept in place by a hash aggregate, without a sort.
+    """
+    return [F.xxhash64(row_hash), F.xxhash64(F.lit("second"), row_hash)]
+
+
 def classify_changes(source: DataFrame, target: DataFrame, keyed: bool = True, incremental: bool = False,
                      key_hash: str = KEY_HASH, row_hash: str = ROW_HASH, op: str = OP,
                      count_matches: bool = False) -> DataFrame:
@@ -33,38 +42,41 @@ def classify_changes(source: DataFrame, target: DataFrame, keyed: bool = True, i
     ================  ======================  ==================
 
     A source row is an update when some target row with its key has another row
-    hash.  The target is reduced to one row per key (least and greatest row hash)
+    hash.  The target is reduced to one row per key (least and greatest row mark)
     before the join, so duplicate keys never multiply rows: each source row gives
     at most one change.  ``count_matches`` adds the number of differing target
     rows, which is how many pairs a plain join on the key would have produced.
     """
-    per_key = apart(target, [key_hash])
     if keyed:
-        versions = drop_apart(per_key.agg(F.min(row_hash).alias("__low"), F.max(row_hash).alias("__high")))
+        marks = _row_marks(row_hash)
+        ends = [end(mark).alias(f"__{name}{i}") for i, mark in enumerate(marks)
+                for name, end in (("low", F.min), ("high", F.max))]
+        if count_matches:
+            ends.append(F.count(F.lit(1)).alias("__total"))
+        versions = drop_apart(apart(target, [key_hash]).agg(*ends))
+        joined = source.join(versions, key_hash, "left")
+        differs = F.lit(False)
+        for i, mark in enumerate(marks):
+            differs = differs | (F.col(f"__low{i}") != mark) | (F.col(f"__high{i}") != mark)
+        label = F.when(F.col("__low0").isNull(), INSERT).when(differs, UPDATE)
+        changes = joined.withColumn(op, label).where(F.col(op).isNotNull())
+        if count_matches:
+            changes = _with_matches(changes, target, key_hash, row_hash, op)
     else:
-        versions = drop_apart(per_key.agg(F.lit(True).alias("__low"), F.lit(True).alias("__high")))
-    joined = source.join(versions, key_hash, "left")
-    label = F.when(F.col("__low").isNull(), INSERT)
-    if keyed:
-        label = label.when((F.col("__low") != F.col(row_hash)) | (F.col("__high") != F.col(row_hash)), UPDATE)
-    changes = joined.withColumn(op, label).where(F.col(op).isNotNull()).select(*source.columns, op)
-    if count_matches:
-        changes = _with_matches(changes, target, key_hash, row_hash, op)
+        changes = source.join(distinct_apart(target, [key_hash]), key_hash, "left_anti")
+        changes = changes.withColumns({op: F.lit(INSERT), MATCHES: F.lit(0).cast("bigint")})
+    columns = [*source.columns, op] + ([MATCHES] if count_matches else [])
+    changes = changes.select(*columns)
     if incremental:
         return changes
-    gone = target.join(distinct_apart(source, [key_hash]), key_hash, "left_anti").select(*source.columns)
-    gone = gone.withColumn(op, F.lit(DELETE))
-    if count_matches:
-        gone = gone.withColumn(MATCHES, F.lit(0).cast("bigint"))
-    return changes.unionByName(gone)
+    gone = target.join(distinct_apart(source, [key_hash]), key_hash, "left_anti")
+    gone = gone.withColumns({op: F.lit(DELETE), MATCHES: F.lit(0).cast("bigint")})
+    return changes.unionByName(gone.select(*columns))
 
 
 def _with_matches(changes: DataFrame, target: DataFrame, key_hash: str, row_hash: str, op: str) -> DataFrame:
-    total = drop_apart(apart(target, [key_hash]).agg(F.count(F.lit(1)).alias("__total")))
+    """Differing target rows: all rows of the key less those with the same row hash."""
     same = drop_apart(apart(target, [key_hash, row_hash]).agg(F.count(F.lit(1)).alias("__same")))
-    differing = F.coalesce("__total", F.lit(0)) - F.coalesce("__same", F.lit(0))
-    return (
-        changes.join(total, key_hash, "left").join(same, [key_hash, row_hash], "left")
-        .withColumn(MATCHES, F.when(F.col(op) == UPDATE, differing).otherwise(F.lit(0)).cast("bigint"))
-        .select(*changes.columns, MATCHES)
-    )
+    differing = F.col("__total") - F.coalesce("__same", F.lit(0))
+    return changes.join(same, [key_hash, row_hash], "left").withColumn(
+        MATCHES, F.when(F.col(op) == UPDATE, differing).otherwise(F.lit(0)).cast("bigint"))

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewell.operators.cdc import DELETE
 from tidewell.operators.skew import HOT_ROWS, next_in_order
@@ -23,8 +24,13 @@ START, END = "start_at", "end_at"
 
 
 def _tie(df: DataFrame) -> Column:
-    # Text keeps the hash independent of the column types a table was read with.
-    return F.xxhash64(*[F.col(f"`{name}`").cast("string") for name in df.columns])
+    """Hash of a row's content; null flags tell rows apart that differ in where a null is."""
+    parts = []
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
+        flat = isinstance(field.dataType, T.AtomicType)
+        parts += [column if flat else column.cast("string"), column.isNull()]
+    return F.xxhash64(*parts)
 
 
 def _first_per(df: DataFrame, groups: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -50,8 +56,10 @@ def version_state(log: DataFrame, keys: Sequence[str], sequence: Sequence[str],
     ranked = bare.withColumn("__tie", _tie(bare))
     single = _first_per(ranked, [*keys, *sequence], [F.desc("__tie")]).drop("__tie")
     position = F.col(sequence[0]) if len(sequence) == 1 else F.struct(*sequence)
+    # The log holds the same positions per key, and reading it again needs no shuffle.
+    positions = bare.select(*keys, position.alias("__at"))
     placed = single.withColumn("__at", position)
-    return next_in_order(placed, keys, ["__at"], "__at", end, min_rows=hot_rows).drop("__at")
+    return next_in_order(placed, keys, [], "__at", end, population=positions, min_rows=hot_rows).drop("__at")
 
 
 def visible_latest(state: DataFrame, op: str | None = None, exclude: Sequence[str] = ()) -> DataFrame:

@@ -12,6 +12,8 @@ Two patterns cover the library:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
@@ -20,6 +22,7 @@ _CHECKSUM = "__apart"
 _PIECE = "__piece"
 _RANK = "__rank"
 _CUTS = "__cuts"
+_BORDER = "__border"
 _ROWS = "__rows"
 
 #: A key is hot when it holds more than this share of all rows, so there are
@@ -63,68 +66,81 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, min_r
     return counts.where(F.col(_ROWS) >= floor).select(*keys)
 
 
-def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
-    return condition
+def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str = "") -> Column:
+    return reduce(and_, [left[key].eqNullSafe(right[prefix + key]) for key in keys])
 
 
-def _with_pieces(df: DataFrame, keys: Sequence[str], rank: str, upper_closed: bool,
-                 share: float, min_rows: int, pieces: int) -> DataFrame:
-    """Add the piece number of each row and its key's cut points.
+def _cut_points(population: DataFrame, keys: Sequence[str], share: float, min_rows: int, pieces: int) -> DataFrame:
+    """Per hot key a sorted array of rank values taken from its own rows.
 
-    The cuts of a hot key are rank values of its own rows, picked by the smallest
-    hash in each of ``pieces`` slots: bounded in number, and the same on every
-    attempt of a task.  Keys that are not hot have no cuts and a single piece.
+    One value is kept for each of ``pieces`` hash slots, so the arrays are bounded
+    and every attempt of a task sees the same ones.
     """
-    hot = hot_keys(df, keys, share, min_rows)
-    narrow = df.select(*keys, rank)
-    hot_rows = narrow.join(F.broadcast(hot), _null_safe(narrow, hot, keys), "left_semi")
+    hot = hot_keys(population, keys, share, min_rows)
+    hot_rows = population.join(F.broadcast(hot), _null_safe(population, hot, keys), "left_semi")
     sampled = (
-        hot_rows
-        .select(*keys, rank, F.xxhash64(rank).alias("__h"))
-        .groupBy(*keys, F.pmod("__h", F.lit(pieces)).alias("__slot"))
-        .agg(F.min_by(rank, "__h").alias("__cut"))
+        hot_rows.withColumn("__hash", F.xxhash64(_RANK))
+        .groupBy(*keys, F.pmod("__hash", F.lit(pieces)).alias("__slot"))
+        .agg(F.min_by(_RANK, "__hash").alias("__cut"))
     )
     cuts = sampled.groupBy(*keys).agg(F.array_sort(F.collect_set("__cut")).alias(_CUTS))
-    renamed = cuts.select(*[F.col(key).alias(f"__cut_{i}") for i, key in enumerate(keys)], _CUTS)
-    condition = F.lit(True)
-    for i, key in enumerate(keys):
-        condition = condition & df[key].eqNullSafe(renamed[f"__cut_{i}"])
-    joined = df.join(F.broadcast(renamed), condition, "left").drop(*[f"__cut_{i}" for i in range(len(keys))])
+    return cuts.withColumnsRenamed({key: f"__of_{key}" for key in keys})
+
+
+def _with_pieces(df: DataFrame, population: DataFrame, keys: Sequence[str], forward: bool,
+                 share: float, min_rows: int, pieces: int) -> DataFrame:
+    """Add each row's piece number and the value just across the piece's border.
+
+    Looking forward a piece starts at its cut, looking back it ends there; either
+    way the row across the border is the next cut itself, which carries the value.
+    Keys that are not hot have no cuts and one piece.
+    """
+    cuts = _cut_points(population, keys, share, min_rows, pieces)
+    joined = df.join(F.broadcast(cuts), _null_safe(df, cuts, keys, "__of_"), "left")
 
     def passed(cut: Column) -> Column:
-        return cut < F.col(rank) if upper_closed else cut <= F.col(rank)
+        return cut <= F.col(_RANK) if forward else cut < F.col(_RANK)
 
-    return joined.withColumn(_PIECE, F.coalesce(F.size(F.filter(_CUTS, passed)), F.lit(0)))
+    piece = F.coalesce(F.size(F.filter(_CUTS, passed)), F.lit(0))
+    placed = joined.withColumn(_PIECE, piece)
+    # Only the one value travels with the row, not the array of cuts.
+    border = F.get(_CUTS, F.col(_PIECE) if forward else F.col(_PIECE) - 1)
+    return placed.withColumn(_BORDER, border["__value"]).drop(_CUTS, *[f"__of_{key}" for key in keys])
 
 
-def _neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, forward: bool,
-               share: float, min_rows: int, pieces: int) -> DataFrame:
+def _ranked(df: DataFrame, order: Sequence[str], value: str) -> DataFrame:
     # The value closes the rank, so rows that tie on it share the value too.
-    ranked = df.withColumn(_RANK, F.struct(*[F.col(name) for name in order], F.col(value).alias("__value")))
-    # Looking forward a piece starts at its cut; looking back it ends at its cut.
-    # Either way the neighbour across the border is the cut row itself.
-    split = _with_pieces(ranked, keys, _RANK, not forward, share, min_rows, pieces)
+    return df.withColumn(_RANK, F.struct(*[F.col(name) for name in order], F.col(value).alias("__value")))
+
+
+def _neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, forward: bool,
+               population: DataFrame | None, share: float, min_rows: int, pieces: int) -> DataFrame:
+    ranked = _ranked(df, order, value)
+    ranks = _ranked(df if population is None else population, order, value).select(*keys, _RANK)
+    split = _with_pieces(ranked, ranks, keys, forward, share, min_rows, pieces)
     window = Window.partitionBy(*keys, _PIECE).orderBy(_RANK)
     boxed = F.struct(F.col(value).alias("__value"))
     inside = F.lead(boxed).over(window) if forward else F.lag(boxed).over(window)
-    border = F.get(_CUTS, F.col(_PIECE) if forward else F.col(_PIECE) - 1)["__value"]
     return (
         split.withColumn("__inside", inside)
-        .withColumn(out, F.when(F.col("__inside").isNotNull(), F.col("__inside")["__value"]).otherwise(border))
-        .drop(_RANK, _CUTS, _PIECE, "__inside")
+        .withColumn(out, F.when(F.col("__inside").isNotNull(), F.col("__inside")["__value"]).otherwise(F.col(_BORDER)))
+        .drop(_RANK, _BORDER, _PIECE, "__inside")
     )
 
 
 def next_in_order(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
-                  share: float = HOT_SHARE, min_rows: int = HOT_ROWS, pieces: int = PIECES) -> DataFrame:
-    """``LEAD(value) OVER (PARTITION BY keys ORDER BY order, value)`` as column ``out``."""
-    return _neighbour(df, keys, order, value, out, True, share, min_rows, pieces)
+                  population: DataFrame | None = None, share: float = HOT_SHARE, min_rows: int = HOT_ROWS,
+                  pieces: int = PIECES) -> DataFrame:
+    """``LEAD(value) OVER (PARTITION BY keys ORDER BY order, value)`` as column ``out``.
+
+    ``population`` is a frame with the same keys, order and values that is cheaper
+    to scan than ``df``, such as its input before duplicates were merged.
+    """
+    return _neighbour(df, keys, order, value, out, True, population, share, min_rows, pieces)
 
 
 def previous_in_order(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
-                      share: float = HOT_SHARE, min_rows: int = HOT_ROWS, pieces: int = PIECES) -> DataFrame:
+                      population: DataFrame | None = None, share: float = HOT_SHARE, min_rows: int = HOT_ROWS,
+                      pieces: int = PIECES) -> DataFrame:
     """``LAG(value) OVER (PARTITION BY keys ORDER BY order, value)`` as column ``out``."""
-    return _neighbour(df, keys, order, value, out, False, share, min_rows, pieces)
+    return _neighbour(df, keys, order, value, out, False, population, share, min_rows, pieces)

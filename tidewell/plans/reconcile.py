@@ -174,8 +174,9 @@ def check_durations(log: DataFrame, run: str = "run_id", started: str = "created
     """
     rows = log.groupBy(*log.columns).agg(F.count(F.lit(1)).alias("copies"))
     rest = [name for name in log.columns if name not in (run, started)]
-    ordered = rows.withColumn("__started", F.col(started))
-    timed = next_in_order(ordered, [run], [started, *rest], "__started", "ended_at").drop("__started")
+    mark = {"__started": F.col(started)}
+    timed = next_in_order(rows.withColumns(mark), [run], [started, *rest], "__started", "ended_at",
+                          population=log.withColumns(mark)).drop("__started")
     seconds = F.unix_timestamp(F.col("ended_at")) - F.unix_timestamp(F.col(started))
     return timed.withColumn("seconds", seconds).withColumn("minutes", F.round(F.col("seconds") / 60, 2))
 

@@ -180,9 +180,9 @@ def idle_and_peak(changes: DataFrame) -> DataFrame:
     The time up to a change counts for the worker number that change reports.
     Exact copies of a change add no time and are merged first.
     """
-    moments = changes.select("cluster_id", "change_time", "worker_count", "max_workers").distinct()
-    moments = moments.withColumn("__at", F.col("change_time"))
-    gaps = previous_in_order(moments, ["cluster_id"], ["change_time", "worker_count", "max_workers"], "__at", "__last")
+    order = ["change_time", "worker_count", "max_workers"]
+    moments = changes.select("cluster_id", *order, F.col("change_time").alias("__at"))
+    gaps = previous_in_order(moments.distinct(), ["cluster_id"], order, "__at", "__last", population=moments)
     seconds = F.unix_timestamp("change_time") - F.unix_timestamp("__last")
     return gaps.groupBy("cluster_id").agg(
         F.sum(F.when(F.col("worker_count") == 0, seconds).otherwise(0)).alias("idle_time_seconds"),

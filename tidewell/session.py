@@ -14,6 +14,8 @@ ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Join by hash instead of sorting both sides where every build partition is this small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
 
