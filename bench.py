@@ -11,7 +11,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 from checks.queries import REGISTRY
@@ -35,7 +34,6 @@ def main() -> None:
         "spark.driver.memory": "8g",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
     })
     spark.sparkContext.setLogLevel("ERROR")
     names = sys.argv[1:] or HEADLINE

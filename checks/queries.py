@@ -284,6 +284,12 @@ def scd2(spark, sf_dir):
     return scd.scd2(frames.change_events(spark, sf_dir), ["user_id"], ["ts"], "change_op", ["change_op"])
 
 
+@query
+def scd_sequence_ties(spark, sf_dir):
+    """Orders as changes of their customers: several may fall on one day."""
+    return scd.sequence_ties(table(spark, sf_dir, "orders"), ["o_custkey"], ["o_orderdate"])
+
+
 @query
 def merge_upsert_(spark, sf_dir):
     target = table(spark, sf_dir, "customer").select(

@@ -309,6 +309,9 @@ SQL: dict[str, str] = {
     "scd1_no_op": "SELECT user_id, ts, event_type, value FROM events "
                   "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1",
     "scd2": VERSIONS,
+    "scd_sequence_ties": """
+        SELECT count(*) AS tied_positions, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS surplus_changes
+        FROM (SELECT count(*) AS n FROM orders GROUP BY o_custkey, o_orderdate) WHERE n > 1""",
     "merge_upsert": """
         WITH u AS (SELECT o_custkey * 2 AS table_id, max(o_orderpriority) AS pk, min(o_orderpriority) AS uc,
                           count(*) AS n FROM orders GROUP BY 1)

@@ -68,6 +68,12 @@ def test_recommendation(spark):
     assert keys.recommend_key(binary)["primary_key"] == "id"
 
 
+def test_sampled_proposals_are_checked_on_all_rows(spark):
+    df = spark.range(0, 100, 1, 1).selectExpr("id", "id % 50 AS half", "1 AS one")
+    found = keys.recommend_key(df, row_limit=20)
+    assert found["unique_columns"] == "id; half" and found["primary_key"] == "id"
+
+
 def test_lineitem_has_no_small_key(spark):
     assert keys.find_unique_sets(spark.read.parquet(f"{SF}/lineitem.parquet").select(
         "l_orderkey", "l_linenumber", "l_returnflag"), 3) == []

@@ -62,6 +62,13 @@ def version_state(log: DataFrame, keys: Sequence[str], sequence: Sequence[str],
     return next_in_order(placed, keys, [], "__at", end, population=positions, min_rows=hot_rows).drop("__at")
 
 
+def sequence_ties(log: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> DataFrame:
+    """One row: ``tied_positions, surplus_changes``, where a key repeats a sequence value."""
+    repeated = log.groupBy(*keys, *sequence).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    return repeated.agg(F.count(F.lit(1)).alias("tied_positions"),
+                        F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("surplus_changes"))
+
+
 def visible_latest(state: DataFrame, op: str | None = None, exclude: Sequence[str] = ()) -> DataFrame:
     """Current rows of a latest state: no tombstones, no excluded columns."""
     if op is not None and op in state.columns:

@@ -207,22 +207,29 @@ def rank_keys(unique: DataFrame, dependencies: DataFrame) -> DataFrame:
     return counted.select("columns", "uses", (F.col("uses") == top).alias("best"))
 
 
-def recommend_key(df: DataFrame, max_size: int = 3, dependency_size: int = 2) -> dict[str, str]:
+def recommend_key(df: DataFrame, max_size: int = 3, dependency_size: int = 2,
+                  row_limit: int | None = None) -> dict[str, str]:
     """``unique_columns, primary_key, message`` for a table.
 
     A single unique set is the key.  Among several, the ones most used as a
     dependency's left side are proposed; more than one proposal needs a person.
+    ``row_limit`` searches a sample of that many rows; what it proposes is still
+    checked on the whole table.
     """
     if df.limit(1).isEmpty():
         return {"unique_columns": "", "primary_key": "", "message": EMPTY_TABLE}
-    unique = find_unique_sets(df, max_size)
+    searched = df if row_limit is None else df.limit(row_limit)
+    unique = find_unique_sets(searched, max_size)
     chosen = unique
     if len(unique) > 1:
         spark = df.sparkSession
-        dependencies = dependencies_frame(spark, find_dependencies(df, dependency_size))
+        dependencies = dependencies_frame(spark, find_dependencies(searched, dependency_size))
         best = {row["columns"] for row in
                 rank_keys(unique_sets_frame(spark, unique), dependencies).where("best").collect()}
         chosen = [group for group in unique if ",".join(group) in best]
+    if row_limit is not None and chosen:
+        valid = {row["columns"] for row in key_checks(df, chosen).where("is_key").collect()}
+        chosen = [group for group in chosen if ",".join(group) in valid]
     message = NO_KEY if not chosen else ONE_KEY if len(chosen) == 1 else MANY_KEYS
     return {"unique_columns": "; ".join(",".join(group) for group in unique),
             "primary_key": "; ".join(",".join(group) for group in chosen), "message": message}

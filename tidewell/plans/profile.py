@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.plans.keys import recommend_key
+from tidewell.plans.parallel import CONCURRENCY, map_tables
 
 # Stems of the names a watermark column may have.
 WATERMARK_STEMS = (
@@ -118,7 +119,7 @@ def column_stats(df: DataFrame, by: Column | str | None = None, columns: Sequenc
 
 def profile_tables(spark: SparkSession, tables: Mapping[str, Callable[[], DataFrame]], catalog: str, schema: str,
                    what: str = "keys", declared: DataFrame | None = None, now: datetime | None = None,
-                   key_size: int = 3) -> DataFrame:
+                   key_size: int = 3, row_limit: int | None = None, concurrency: int = CONCURRENCY) -> DataFrame:
     """One report row per table; empty and unreadable tables give none.
 
     ``what`` is ``keys`` or ``watermark``.  Declared keys, where known, are used
@@ -130,22 +131,24 @@ def profile_tables(spark: SparkSession, tables: Mapping[str, Callable[[], DataFr
     if declared is not None:
         for row in declared.orderBy("table_name", "ordinal_position").collect():
             known.setdefault(row["table_name"], []).append(row["column_name"])
-    rows = []
-    for name, read in tables.items():
+
+    def report(item: tuple[str, Callable[[], DataFrame]]) -> tuple | None:
+        name, read = item
         try:
             df = read()
             count = df.count()
             if count == 0:
-                continue
+                return None
             if what == "watermark":
                 column, message = find_watermark_column(df, now)
-                rows.append((catalog, schema, name, None, None, None, column, message, count))
-            elif name.upper() in known:
-                rows.append((catalog, schema, name, ",".join(known[name.upper()]), None, None, None, None, count))
-            else:
-                found = recommend_key(df, key_size)
-                rows.append((catalog, schema, name, found["primary_key"], found["unique_columns"], found["message"],
-                             None, None, count))
+                return catalog, schema, name, None, None, None, column, message, count
+            if name.upper() in known:
+                return catalog, schema, name, ",".join(known[name.upper()]), None, None, None, None, count
+            found = recommend_key(df, key_size, row_limit=row_limit)
+            return (catalog, schema, name, found["primary_key"], found["unique_columns"], found["message"],
+                    None, None, count)
         except (PySparkException, OSError):
-            continue
+            return None
+
+    rows = [row for row in map_tables(spark, report, tables.items(), concurrency) if row is not None]
     return spark.createDataFrame(rows, PROFILE_SCHEMA)

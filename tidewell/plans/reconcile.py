@@ -4,12 +4,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from typing import Any
 
-from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +16,7 @@ from tidewell.functions.hashing import KEY_HASH, ROW_HASH
 from tidewell.operators.sets import LEFT_ROWS, RIGHT_ROWS, difference, side_counts
 from tidewell.operators.skew import apart, drop_apart, next_in_order
 from tidewell.operators.transforms import as_text
+from tidewell.plans.parallel import CONCURRENCY, map_tables
 from tidewell.sources.tables import current_rows
 
 HASHES = (KEY_HASH, ROW_HASH)
@@ -152,17 +151,9 @@ def _run_check(check: TableCheck, source_side: bool) -> tuple:
 
 
 def run_qc(spark: SparkSession, checks: Iterable[TableCheck], run_id: str, created_at: datetime,
-           source_side: bool = True, concurrency: int = 10) -> DataFrame:
-    """Check every pair and return one result row each, failures included.
-
-    Each pair is an independent Spark job that brings back a single row;
-    ``concurrency`` of them are submitted at a time.
-    """
-    def job(check: TableCheck) -> tuple:
-        return inheritable_thread_target(spark)(_run_check)(check, source_side)
-
-    with ThreadPoolExecutor(max_workers=concurrency) as pool:
-        rows = list(pool.map(job, checks))
+           source_side: bool = True, concurrency: int = CONCURRENCY) -> DataFrame:
+    """Check every pair and return one result row each, failures included."""
+    rows = map_tables(spark, lambda check: _run_check(check, source_side), checks, concurrency)
     return spark.createDataFrame([(run_id, *row, created_at) for row in rows], RESULT_SCHEMA)
 
 
