@@ -73,7 +73,8 @@ def test_change_log_first_and_next_load(spark, path):
     first.write.parquet(path("raw"))
     raw = spark.read.parquet(path("raw"))
     assert {r["change_op"] for r in raw.collect()} == {"INSERT"}
-    second = change_log(frame(spark, SOURCE), raw, SPECS, ["id"], batch_id="b2", deduplicate=True, dedup_key=[""])
+    second = change_log(frame(spark, SOURCE), raw, SPECS, ["id"], batch_id="b2", deduplicate=True, dedup_key=[""],
+                        staged=True)
     assert {(r["change_op"], r["id"]) for r in second.collect()} == {
         ("UPDATE", 2), ("INSERT", 3), ("INSERT", None), ("DELETE", 4)}
     assert second.columns[-5:] == ["row_key_hash", "row_hash", "change_op", "batch_id", "loaded_at"]

@@ -35,6 +35,21 @@ def test_transform_map_order_and_casts(spark):
     assert transform_map(df, specs, cast_derived=True).dtypes[1] == ("twice", "string")
 
 
+def test_transform_map_swaps_and_shadows(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "a int, b int, c int")
+    specs = [ColumnSpec("b", "a"), ColumnSpec("a", "b"), ColumnSpec("sum", derived="a * 10 + b"),
+             ColumnSpec("c", derived="c + 1"), ColumnSpec("old_c", "c"), ColumnSpec("after", derived="c + sum")]
+    assert tuple(transform_map(df, specs).first()) == (1, 2, 21, 4, 3, 25)
+    with pytest.raises(ValueError, match="no source column"):
+        transform_map(df, [ColumnSpec("x", "nope")])
+
+
+def test_transform_map_is_one_projection(spark):
+    df = spark.range(1).selectExpr(*[f"id AS c{i}" for i in range(60)])
+    out = transform_map(df, [ColumnSpec(f"d{i}", f"c{i}", "string") for i in range(60)])
+    assert out._jdf.queryExecution().analyzed().toString().count("Project") == 2
+
+
 def test_transform_map_failing_cast(spark):
     df = spark.createDataFrame([("oops",)], "a string")
     specs = [ColumnSpec("a", "a", "int")]

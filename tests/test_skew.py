@@ -23,10 +23,10 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("forward", [True, False])
-@pytest.mark.parametrize("min_rows", [1, 500_000])
-def test_neighbour_matches_a_plain_window(skewed, forward, min_rows):
+@pytest.mark.parametrize(("budget", "min_rows"), [(10, 1), (100, 1), (4000, 1), (16_384, 500_000)])
+def test_neighbour_matches_a_plain_window(skewed, forward, budget, min_rows):
     tool = skew.next_in_order if forward else skew.previous_in_order
-    actual = tool(skewed, ["k"], ["at"], "v", "other", share=0.01, min_rows=min_rows, pieces=16)
+    actual = tool(skewed, ["k"], ["at"], "v", "other", budget=budget, min_rows=min_rows)
     window = Window.partitionBy("k").orderBy("at", "v")
     plain = skewed.withColumn("other", (F.lead("v") if forward else F.lag("v")).over(window))
     assert actual.columns == plain.columns
@@ -35,17 +35,19 @@ def test_neighbour_matches_a_plain_window(skewed, forward, min_rows):
 
 def test_hot_key_is_divided(skewed):
     ranked = skew._ranked(skewed, ["at"], "v")
-    split = skew._with_pieces(ranked, ranked.select("k", "__rank"), ["k"], True, 0.1, 1, 16)
+    split = skew._with_pieces(ranked, ranked.select("k", "__rank"), ["k"], True, 40, 1)
     pieces = split.groupBy("k", "__piece").count().collect()
     hot = [row["count"] for row in pieces if row["k"] == "hot"]
-    assert len(hot) > 8 and max(hot) < sum(hot) / 2
-    assert {row["__piece"] for row in pieces if row["k"] not in ("hot",)} == {0}
+    assert len(hot) > 10 and max(hot) < sum(hot) / 4
+    cold = {row["__piece"] for row in pieces if row["k"] not in ("hot", None)}
+    assert cold == {0}
 
 
 def test_hot_keys_are_few(skewed):
-    assert [r["k"] for r in skew.hot_keys(skewed, ["k"], 0.1, 1).collect()] == ["hot"]
-    assert skew.hot_keys(skewed, ["k"], 0.1, 100_000).isEmpty()
-    assert skew.hot_keys(skewed.where("false"), ["k"], 0.1, 1).isEmpty()
+    found = {r["k"]: r["__pieces"] for r in skew.hot_keys(skewed, ["k"], 10, 1).collect()}
+    assert set(found) == {"hot"} and found["hot"] in (4, 5)
+    assert skew.hot_keys(skewed, ["k"], 10, 100_000).isEmpty()
+    assert skew.hot_keys(skewed.where("false"), ["k"], 10, 1).isEmpty()
 
 
 def test_neighbour_of_null_values(spark):
@@ -56,7 +58,7 @@ def test_neighbour_of_null_values(spark):
 
 def test_version_history_of_a_hot_key(spark, skewed):
     log = skewed.groupBy("k", "at").agg(F.max("v").alias("v"))
-    split = scd2(log, ["k"], ["at"], hot_rows=1)
+    split = scd2(log, ["k"], ["at"], piece_rows=1)
     plain = scd2(log, ["k"], ["at"])
     assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
 

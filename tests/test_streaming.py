@@ -5,6 +5,7 @@ from collections import Counter
 
 import pytest
 
+from tidewell.functions.types import declared_schema
 from tidewell.operators.scd import scd1, scd2
 from tidewell.operators.sets import dedup_stream
 from tidewell.operators.transforms import ColumnSpec
@@ -90,6 +91,17 @@ def test_ingest_is_exactly_once_per_checkpoint(spark, path):
     assert run() == 240
 
 
+def test_csv_stream_with_declared_schema(spark, path):
+    spark.sql("SELECT 1 AS id, 'a,b' AS name, '2024-01-01 00:00:00' AS at").write.option("header", "true").csv(path("in"))
+    schema = declared_schema([("id", "int"), ("name", "varchar(9)"), ("at", "timestamp")])
+    options = {"cloudFiles.format": "csv", "header": "true"}
+    stream = file_stream(spark, path("in"), options, schema)
+    ingest_stream(stream, [ColumnSpec("id", "id", "bigint"), ColumnSpec("who", derived="upper(name)")], path("out"), "b",
+                  trigger="once", options={"checkpointLocation": path("cp")})
+    row = spark.read.parquet(path("out")).first()
+    assert (row["id"], row["who"], row["batch_id"]) == (1, "A,B", "b") and row["loaded_at"] is not None
+
+
 def test_stream_to_table_and_arguments(spark, path):
     df = spark.createDataFrame(make_log(6), SCHEMA)
     df.write.parquet(path("in"))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.operators.cdc import DELETE
-from tidewell.operators.skew import HOT_ROWS, next_in_order
+from tidewell.operators.skew import PIECE_ROWS, next_in_order
 
 START, END = "start_at", "end_at"
 
@@ -47,7 +47,7 @@ def latest_state(log: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -
 
 
 def version_state(log: DataFrame, keys: Sequence[str], sequence: Sequence[str], end: str = END,
-                  hot_rows: int = HOT_ROWS) -> DataFrame:
+                  piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Every change of every key with the sequence of the next one, deletes included.
 
     With several sequence columns the end is a struct of them.
@@ -59,7 +59,7 @@ def version_state(log: DataFrame, keys: Sequence[str], sequence: Sequence[str],
     # The log holds the same positions per key, and reading it again needs no shuffle.
     positions = bare.select(*keys, position.alias("__at"))
     placed = single.withColumn("__at", position)
-    return next_in_order(placed, keys, [], "__at", end, population=positions, min_rows=hot_rows).drop("__at")
+    return next_in_order(placed, keys, [], "__at", end, population=positions, min_rows=piece_rows).drop("__at")
 
 
 def sequence_ties(log: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> DataFrame:
@@ -95,6 +95,6 @@ def scd1(log: DataFrame, keys: Sequence[str], sequence: Sequence[str], op: str |
 
 
 def scd2(log: DataFrame, keys: Sequence[str], sequence: Sequence[str], op: str | None = None,
-         exclude: Sequence[str] = (), start: str = START, end: str = END, hot_rows: int = HOT_ROWS) -> DataFrame:
+         exclude: Sequence[str] = (), start: str = START, end: str = END, piece_rows: int = PIECE_ROWS) -> DataFrame:
     """One row per version with ``[start, end)``; the current one has no end."""
-    return visible_versions(version_state(log, keys, sequence, end, hot_rows), sequence, op, exclude, start)
+    return visible_versions(version_state(log, keys, sequence, end, piece_rows), sequence, op, exclude, start)

@@ -20,18 +20,22 @@ from pyspark.sql import functions as F
 
 _CHECKSUM = "__apart"
 _PIECE = "__piece"
+_PIECES = "__pieces"
 _RANK = "__rank"
 _CUTS = "__cuts"
+_HEADS = "__heads"
+_CHUNK = "__chunk"
 _BORDER = "__border"
 _ROWS = "__rows"
 
-#: A key is hot when it holds more than this share of all rows, so there are
-#: never more than ``1 / HOT_SHARE`` hot keys and their list may be broadcast.
-HOT_SHARE = 1 / 1024
-#: Below this many rows a single task orders a key without trouble.
-HOT_ROWS = 500_000
-#: Sampled cut points per hot key.
-PIECES = 128
+#: A table is thought of as this many equal pieces; a key larger than one piece is
+#: hot and is divided.  There are at most this many hot keys and twice as many cut
+#: points, whatever the size of the table, so their list may be broadcast.
+PIECE_BUDGET = 16_384
+#: A piece has at least this many rows: one task orders them without trouble.
+PIECE_ROWS = 500_000
+#: Sampled ranks per cut point; more make the pieces more even.
+OVERSAMPLE = 8
 
 
 def apart(df: DataFrame, keys: Sequence[str]) -> GroupedData:
@@ -56,56 +60,67 @@ def distinct_apart(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return drop_apart(df.select(*keys, F.xxhash64(*keys).alias(_CHECKSUM)).distinct())
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, min_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys holding more than ``share`` of all rows and at least ``min_rows``.
+def hot_keys(df: DataFrame, keys: Sequence[str], budget: int = PIECE_BUDGET,
+             min_rows: int = PIECE_ROWS) -> DataFrame:
+    """Keys with more rows than one piece, and the number of pieces each is worth.
 
-    At most ``1 / share`` rows whatever the size of ``df``.
+    At most ``budget`` rows whatever the size of ``df``.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS))
-    floor = counts.agg(F.greatest(F.coalesce(F.sum(_ROWS), F.lit(0)) * F.lit(share), F.lit(float(min_rows)))).scalar()
-    return counts.where(F.col(_ROWS) >= floor).select(*keys)
+    size = F.greatest(F.coalesce(F.sum(_ROWS), F.lit(0)) / F.lit(budget), F.lit(float(min_rows)))
+    pieces = F.col(_ROWS) / counts.agg(size).scalar()
+    return counts.where(pieces > 1).select(*keys, F.ceil(pieces).cast("int").alias(_PIECES))
 
 
 def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str = "") -> Column:
     return reduce(and_, [left[key].eqNullSafe(right[prefix + key]) for key in keys])
 
 
-def _cut_points(population: DataFrame, keys: Sequence[str], share: float, min_rows: int, pieces: int) -> DataFrame:
+def _cut_points(population: DataFrame, keys: Sequence[str], budget: int, min_rows: int) -> DataFrame:
     """Per hot key a sorted array of rank values taken from its own rows.
 
-    One value is kept for each of ``pieces`` hash slots, so the arrays are bounded
-    and every attempt of a task sees the same ones.
+    The row with the least hash in each of a fixed number of slots is sampled, the
+    same one on every attempt of a task; every few of the sorted samples one is a
+    cut.  ``__heads`` holds every ``__chunk``-th cut, for a search in two steps.
     """
-    hot = hot_keys(population, keys, share, min_rows)
-    hot_rows = population.join(F.broadcast(hot), _null_safe(population, hot, keys), "left_semi")
+    hot = hot_keys(population, keys, budget, min_rows).withColumnsRenamed({key: f"__of_{key}" for key in keys})
+    hot_rows = population.join(F.broadcast(hot), _null_safe(population, hot, keys, "__of_"))
     sampled = (
         hot_rows.withColumn("__hash", F.xxhash64(_RANK))
-        .groupBy(*keys, F.pmod("__hash", F.lit(pieces)).alias("__slot"))
-        .agg(F.min_by(_RANK, "__hash").alias("__cut"))
+        .groupBy(*keys, F.pmod("__hash", F.col(_PIECES) * OVERSAMPLE).alias("__slot"))
+        .agg(F.min_by(_RANK, "__hash").alias("__sample"))
     )
-    cuts = sampled.groupBy(*keys).agg(F.array_sort(F.collect_set("__cut")).alias(_CUTS))
-    return cuts.withColumnsRenamed({key: f"__of_{key}" for key in keys})
+    sorted_samples = sampled.groupBy(*keys).agg(F.array_sort(F.collect_set("__sample")).alias("__samples"))
+    cuts = sorted_samples.select(
+        *[F.col(key).alias(f"__of_{key}") for key in keys],
+        F.filter("__samples", lambda sample, i: i % OVERSAMPLE == OVERSAMPLE - 1).alias(_CUTS))
+    cuts = cuts.withColumn(_CHUNK, F.greatest(F.ceil(F.sqrt(F.size(_CUTS))), F.lit(1)).cast("int"))
+    return cuts.withColumn(_HEADS, F.filter(_CUTS, lambda cut, i: i % F.col(_CHUNK) == 0))
 
 
 def _with_pieces(df: DataFrame, population: DataFrame, keys: Sequence[str], forward: bool,
-                 share: float, min_rows: int, pieces: int) -> DataFrame:
+                 budget: int, min_rows: int) -> DataFrame:
     """Add each row's piece number and the value just across the piece's border.
 
     Looking forward a piece starts at its cut, looking back it ends there; either
     way the row across the border is the next cut itself, which carries the value.
     Keys that are not hot have no cuts and one piece.
     """
-    cuts = _cut_points(population, keys, share, min_rows, pieces)
+    cuts = _cut_points(population, keys, budget, min_rows)
     joined = df.join(F.broadcast(cuts), _null_safe(df, cuts, keys, "__of_"), "left")
 
-    def passed(cut: Column) -> Column:
-        return cut <= F.col(_RANK) if forward else cut < F.col(_RANK)
+    def passed(array: Column) -> Column:
+        return F.size(F.filter(array, lambda cut: cut <= F.col(_RANK) if forward else cut < F.col(_RANK)))
 
-    piece = F.coalesce(F.size(F.filter(_CUTS, passed)), F.lit(0))
-    placed = joined.withColumn(_PIECE, piece)
+    # The chunk that holds the border first, then the place in it.
+    chunk = passed(F.col(_HEADS)) - 1
+    inside = passed(F.slice(_CUTS, F.col("__at_chunk") * F.col(_CHUNK) + 1, F.col(_CHUNK)))
+    piece = F.when(F.col("__at_chunk") >= 0, F.col("__at_chunk") * F.col(_CHUNK) + inside).otherwise(0)
+    placed = joined.withColumn("__at_chunk", chunk).withColumn(_PIECE, piece)
     # Only the one value travels with the row, not the array of cuts.
     border = F.get(_CUTS, F.col(_PIECE) if forward else F.col(_PIECE) - 1)
-    return placed.withColumn(_BORDER, border["__value"]).drop(_CUTS, *[f"__of_{key}" for key in keys])
+    return placed.withColumn(_BORDER, border["__value"]).drop(
+        _CUTS, _HEADS, _CHUNK, "__at_chunk", *[f"__of_{key}" for key in keys])
 
 
 def _ranked(df: DataFrame, order: Sequence[str], value: str) -> DataFrame:
@@ -114,10 +129,10 @@ def _ranked(df: DataFrame, order: Sequence[str], value: str) -> DataFrame:
 
 
 def _neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, forward: bool,
-               population: DataFrame | None, share: float, min_rows: int, pieces: int) -> DataFrame:
+               population: DataFrame | None, budget: int, min_rows: int) -> DataFrame:
     ranked = _ranked(df, order, value)
     ranks = _ranked(df if population is None else population, order, value).select(*keys, _RANK)
-    split = _with_pieces(ranked, ranks, keys, forward, share, min_rows, pieces)
+    split = _with_pieces(ranked, ranks, keys, forward, budget, min_rows)
     window = Window.partitionBy(*keys, _PIECE).orderBy(_RANK)
     boxed = F.struct(F.col(value).alias("__value"))
     inside = F.lead(boxed).over(window) if forward else F.lag(boxed).over(window)
@@ -129,18 +144,18 @@ def _neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
 
 
 def next_in_order(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
-                  population: DataFrame | None = None, share: float = HOT_SHARE, min_rows: int = HOT_ROWS,
-                  pieces: int = PIECES) -> DataFrame:
+                  population: DataFrame | None = None, budget: int = PIECE_BUDGET,
+                  min_rows: int = PIECE_ROWS) -> DataFrame:
     """``LEAD(value) OVER (PARTITION BY keys ORDER BY order, value)`` as column ``out``.
 
     ``population`` is a frame with the same keys, order and values that is cheaper
     to scan than ``df``, such as its input before duplicates were merged.
     """
-    return _neighbour(df, keys, order, value, out, True, population, share, min_rows, pieces)
+    return _neighbour(df, keys, order, value, out, True, population, budget, min_rows)
 
 
 def previous_in_order(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
-                      population: DataFrame | None = None, share: float = HOT_SHARE, min_rows: int = HOT_ROWS,
-                      pieces: int = PIECES) -> DataFrame:
+                      population: DataFrame | None = None, budget: int = PIECE_BUDGET,
+                      min_rows: int = PIECE_ROWS) -> DataFrame:
     """``LAG(value) OVER (PARTITION BY keys ORDER BY order, value)`` as column ``out``."""
-    return _neighbour(df, keys, order, value, out, False, population, share, min_rows, pieces)
+    return _neighbour(df, keys, order, value, out, False, population, budget, min_rows)

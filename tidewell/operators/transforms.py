@@ -42,24 +42,47 @@ def transform_map(df: DataFrame, specs: Sequence[ColumnSpec], on_error: str = "f
     """Apply the specs in order and keep exactly their columns, in their order.
 
     A derived column is its SQL expression, uncast unless ``cast_derived``; any
-    other is renamed from its source and cast to its type.  Later specs see the
-    results of earlier ones.  ``on_error="null"`` turns a failing cast into null.
+    other is its source column under the new name, cast to its type.  Expressions
+    see the results of earlier specs.  ``on_error="null"`` turns a failing cast
+    into null.  Specs between two expressions share one projection.
     """
     if on_error not in ("fail", "null"):
         raise ValueError(f"on_error must be 'fail' or 'null', not {on_error!r}")
+    types = {field.name: field.dataType for field in df.schema.fields}
+    source_at = {name: name for name in df.columns}  # where each source column is now
+    results: dict[str, Column] = {}
+    settled = True
+
+    def settle() -> None:
+        nonlocal df, results, settled
+        columns = [column.alias(name) for name, column in results.items()]
+        for name, at in source_at.items():
+            place = f"__source_{name}" if at in results else at
+            columns.append(F.col(f"`{at}`").alias(place))
+            source_at[name] = place
+        df = df.select(*columns)
+        results = {name: F.col(f"`{name}`") for name in results}
+        settled = True
+
     for spec in specs:
         if spec.is_derived:
-            df = df.withColumn(spec.name, _derivation(spec, cast_derived))
-            continue
-        if spec.source and spec.source != spec.name and spec.source in df.columns:
-            df = df.withColumnRenamed(spec.source, spec.name)
-        if spec.type and spec.name in df.columns:
-            target = spark_type(spec.type)
-            if df.schema[spec.name].dataType != target:
-                column = F.col(f"`{spec.name}`")
-                cast = column.cast(target) if on_error == "fail" else column.try_cast(target)
-                df = df.withColumn(spec.name, cast)
-    return df.select(*[F.col(f"`{spec.name}`") for spec in specs])
+            if not settled:
+                settle()
+            column = _derivation(spec, cast_derived)
+        else:
+            source = spec.source if spec.source in source_at else spec.name
+            if source in source_at and (source == spec.source or source not in results):
+                column, known = F.col(f"`{source_at[source]}`"), types[source]
+            elif spec.name in results:
+                column, known = results[spec.name], None
+            else:
+                raise ValueError(f"Column {spec.name!r}: no source column {spec.source or spec.name!r}")
+            target = spark_type(spec.type) if spec.type else None
+            if target is not None and known != target:
+                column = column.cast(target) if on_error == "fail" else column.try_cast(target)
+        results[spec.name] = column
+        settled = False
+    return df.select(*[results[spec.name].alias(spec.name) for spec in specs])
 
 
 def derive_columns(df: DataFrame, specs: Sequence[ColumnSpec], cast_derived: bool = False) -> DataFrame:

@@ -125,9 +125,8 @@ def find_unique_sets(df: DataFrame, max_size: int = 3) -> list[Columns]:
         if size == 1:
             single = {group[0]: count for group, count in estimates.items()}
         likely = [group for group in candidates if estimates[group] >= total * (1 - TOLERANCE)]
-        for batch in _batches(likely, 20):
-            verdicts = {row["columns"]: row["is_key"] for row in key_checks(df, batch).collect()}
-            unique.extend(group for group in batch if verdicts[",".join(group)])
+        confirmed = _unique_among(df, likely)
+        unique.extend(group for group in likely if group in confirmed)
     return unique
 
 
@@ -140,23 +139,45 @@ def _can_be_unique(group: Columns, single: dict[str, int], total: int) -> bool:
     return product >= total
 
 
+def _marks(column: Column, data_type: T.DataType) -> list[Column]:
+    """Values whose least and greatest tell whether a group holds one value only.
+
+    Two 64-bit hashes stand for text and nested values: a hash aggregate can keep
+    them in place, where text would need a sort.
+    """
+    if isinstance(data_type, (T.NumericType, T.BooleanType, T.DatetimeType)):
+        return [column]
+    return [F.when(column.isNotNull(), F.xxhash64(column)),
+            F.when(column.isNotNull(), F.xxhash64(F.lit("second"), column))]
+
+
 def _dependency_check(df: DataFrame, left: Columns, rights: Sequence[str]) -> DataFrame:
     """One row per right side: does it take one value (or only nulls) in every group?"""
-    measures = [F.count(F.lit(1)).alias("__n")]
+    measures, tests = [F.count(F.lit(1)).alias("__n")], []
     for i, name in enumerate(rights):
-        measures += [F.count(f"`{name}`").alias(f"__c{i}"), F.min(f"`{name}`").alias(f"__a{i}"),
-                     F.max(f"`{name}`").alias(f"__b{i}")]
+        column = F.col(f"`{name}`")
+        measures.append(F.count(column).alias(f"__c{i}"))
+        same = F.lit(True)
+        for j, mark in enumerate(_marks(column, df.schema[name].dataType)):
+            measures += [F.min(mark).alias(f"__a{i}_{j}"), F.max(mark).alias(f"__b{i}_{j}")]
+            same = same & (F.col(f"__a{i}_{j}") == F.col(f"__b{i}_{j}"))
+        tests.append((F.col(f"__c{i}") == 0) | ((F.col(f"__c{i}") == F.col("__n")) & same))
     groups = df.groupBy(*[f"`{name}`" for name in left]).agg(*measures) if left else df.agg(*measures)
-    single = [
-        ((F.col(f"__c{i}") == 0) | ((F.col(f"__c{i}") == F.col("__n")) & (F.col(f"__a{i}") == F.col(f"__b{i}"))))
-        for i in range(len(rights))
-    ]
-    held = groups.agg(*[F.bool_and(test).alias(f"h{i}") for i, test in enumerate(single)])
+    held = groups.agg(*[F.bool_and(test).alias(f"h{i}") for i, test in enumerate(tests)])
     entries = F.array(*[F.struct(F.lit(name).alias("rhs"), F.col(f"h{i}").alias("holds"))
                         for i, name in enumerate(rights)])
     return held.select(F.lit(",".join(left)).alias("lhs"), F.inline(entries))
 
 
+def _unique_among(df: DataFrame, candidates: list[Columns]) -> set[Columns]:
+    """The candidates that are unique and free of nulls, checked exactly."""
+    found: set[Columns] = set()
+    for batch in _batches(candidates, 20):
+        verdicts = {row["columns"]: row["is_key"] for row in key_checks(df, batch).collect()}
+        found.update(group for group in batch if verdicts[",".join(group)])
+    return found
+
+
 def find_dependencies(df: DataFrame, max_size: int = 2) -> list[tuple[Columns, str]]:
     """Minimal functional dependencies ``(left columns, right column)``.
 
@@ -164,25 +185,33 @@ def find_dependencies(df: DataFrame, max_size: int = 2) -> list[tuple[Columns, s
     """
     df = _comparable(df)
     names = df.columns
-    singles = _distinct_estimates(df, [(name,) for name in names])
+    total = df.count()
     found: dict[str, list[Columns]] = {name: [] for name in names}
-    estimates = dict(singles)
+    estimates: dict[Columns, int] = {(): 1}
+
+    def joined(left: Columns, right: str) -> Columns:
+        return tuple(name for name in names if name == right or name in left)
+
     for size in range(0, max_size + 1):
-        lefts = list(combinations(names, size))
         open_sides = {
             left: [name for name in names
                    if name not in left and not any(set(known) <= set(left) for known in found[name])]
-            for left in lefts
+            for left in combinations(names, size)
         }
-        wanted = {tuple(n for n in names if n in (*left, right)) for left, rights in open_sides.items()
-                  for right in rights} | {left for left in lefts if left}
-        missing = sorted(wanted - estimates.keys())
-        estimates.update(_distinct_estimates(df, missing))
+        open_sides = {left: rights for left, rights in open_sides.items() if rights}
+        wanted = set(open_sides) | {joined(left, right) for left, rights in open_sides.items() for right in rights}
+        estimates.update(_distinct_estimates(df, sorted(wanted - estimates.keys())))
+        # Everything depends on a unique set, and uniqueness is cheaper to check.
+        unique = _unique_among(df, [left for left in open_sides
+                                    if left and estimates[left] >= total * (1 - TOLERANCE)])
         tests = []
         for left, rights in open_sides.items():
-            base = estimates[left] if left else 1
+            if left in unique:
+                for right in rights:
+                    found[right].append(left)
+                continue
             likely = [right for right in rights
-                      if estimates[tuple(n for n in names if n in (*left, right))] <= base * (1 + 1.5 * TOLERANCE)]
+                      if estimates[joined(left, right)] <= estimates[left] * (1 + 1.5 * TOLERANCE)]
             if likely:
                 tests.append(_dependency_check(df, left, likely))
         for batch in _batches(tests, 20):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Mapping, Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -83,7 +83,7 @@ def find_watermark_column(df: DataFrame, now: datetime | None = None) -> tuple[s
     tied = [row["column_name"] for row in valid if row["mean_epoch"] == best]
     if len(tied) == 1:
         return tied[0], ""
-    mean = datetime.fromtimestamp(best).isoformat(sep=" ")
+    mean = datetime.fromtimestamp(best, timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
     return NONE_FOUND, SAME_MEAN.format(", ".join(tied), mean)
 
 

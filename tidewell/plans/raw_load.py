@@ -11,7 +11,7 @@ from tidewell.functions.hashing import add_row_hashes
 from tidewell.operators.cdc import classify_changes, initial_changes
 from tidewell.operators.sets import dedup
 from tidewell.operators.transforms import ColumnSpec, lineage_columns, transform_map
-from tidewell.sources.tables import current_rows
+from tidewell.sources.tables import current_rows, stage
 
 
 def hashed_source(source: DataFrame, specs: Sequence[ColumnSpec], keys: Sequence[str] = (),
@@ -23,14 +23,15 @@ def hashed_source(source: DataFrame, specs: Sequence[ColumnSpec], keys: Sequence
 def change_log(source: DataFrame, target: DataFrame | None, specs: Sequence[ColumnSpec], keys: Sequence[str] = (),
                incremental: bool = False, batch_id: str = "", loaded_at: datetime | None = None,
                dedup_key: Sequence[str] | None = None, dedup_exclude: Sequence[str] | None = None,
-               deduplicate: bool = False, strict: bool = False) -> DataFrame:
+               deduplicate: bool = False, strict: bool = False, staged: bool = False) -> DataFrame:
     """Change rows with hashes, operation and lineage, ready to append.
 
     ``target`` is the table the log feeds, with its hash columns; None on the
-    first load.  ``source`` is read more than once: stage it when it is a query
-    against a live database.
+    first load.  The comparison reads the source twice.  ``staged`` first writes
+    the hashed rows to the shared scratch folder: for a query against a live
+    database, or where hashing twice costs more than the copy.
     """
-    hashed = hashed_source(source, specs, keys, strict)
+    hashed = stage(hashed_source(source, specs, keys, strict), enabled=staged)
     if target is None:
         changes = initial_changes(hashed)
     else:

@@ -95,7 +95,9 @@ class VersionedStore:
         data = f"{self.root}/data/v={version}"
         placed = rows.withColumn(_BUCKET, self._bucket())
         # Rebalancing gathers each bucket and lets AQE split one that is too large.
-        placed.hint("rebalance", F.col(_BUCKET)).write.mode("overwrite").partitionBy(_BUCKET).parquet(data)
+        # Static mode clears what a failed attempt at this version left behind.
+        (placed.hint("rebalance", F.col(_BUCKET)).write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy(_BUCKET).parquet(data))
         try:
             written = [row[0] for row in self.spark.read.parquet(data).select(_BUCKET).distinct().collect()]
         except AnalysisException:
