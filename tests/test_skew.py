@@ -8,10 +8,12 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidewell.functions.hashing import add_row_hashes
 from tidewell.operators import skew
 from tidewell.operators.cdc import classify_changes
-from tidewell.operators.scd import scd2
-from tidewell.functions.hashing import add_row_hashes
+from tidewell.operators.scd import scd1, scd2
+from tidewell.operators.sets import dedup
+from tidewell.plans.reconcile import mismatch_rows
 
 
 @pytest.fixture
@@ -63,28 +65,58 @@ def test_version_history_of_a_hot_key(spark, skewed):
     assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
 
 
-def test_aqe_splits_the_many_side(spark):
-    """One key holds most source rows; the join on it must not be one task."""
+@pytest.fixture
+def small_partitions(spark):
+    """Sizes at which AQE treats the test data as it treats large data."""
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
     before = {key: spark.conf.get(key, None) for key in conf}
-    try:
-        for key, value in conf.items():
-            spark.conf.set(key, value)
-        rows = spark.range(0, 60_000, 1, 8)
-        key = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id"))
-        source = add_row_hashes(rows.select(key.alias("k"), F.col("id").alias("v")), ["k"])
-        target = add_row_hashes(rows.select(key.alias("k"), (F.col("id") + 1).alias("v")), ["k"])
-        changes = classify_changes(source, target)
-        written = changes.groupBy("change_op").count().collect()
-        assert {r["change_op"]: r["count"] for r in written} == {"UPDATE": 60_000}
-        plan = classify_changes(source, target)
-        plan.collect()
-        text = plan._jdf.queryExecution().executedPlan().toString()
-        assert "skew=true" in text, text
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def executed(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def hot_rows(spark, key, shift=0):
+    """Rows of which a third share one key."""
+    rows = spark.range(0, 60_000, 1, 8)
+    shared = F.when(F.col("id") % 3 == 0, key).otherwise(F.col("id"))
+    return add_row_hashes(rows.select(shared.alias("k"), (F.col("id") + shift).alias("v")), ["k"])
+
+
+def test_update_join_splits_a_hot_key(spark, small_partitions):
+    changes = classify_changes(hot_rows(spark, -1), hot_rows(spark, -1, shift=1), incremental=True)
+    assert {r["change_op"]: r["count"] for r in changes.groupBy("change_op").count().collect()} == {"UPDATE": 60_000}
+    assert "skew=true" in executed(changes)
+
+
+def test_delete_join_splits_a_hot_key(spark, small_partitions):
+    changes = classify_changes(hot_rows(spark, -1), hot_rows(spark, -2))
+    counts = {r["change_op"]: r["count"] for r in changes.groupBy("change_op").count().collect()}
+    assert counts == {"INSERT": 20_000, "DELETE": 20_000}
+    assert executed(changes).count("skew=true") >= 2
+
+
+def test_mismatch_join_splits_copies(spark, small_partitions):
+    # Copies compress well, so few other rows are kept for the copies to stand out.
+    rows = hot_rows(spark, -1).where("k < 3000")
+    copies = rows.withColumn("row_hash", F.when(F.col("k") == -1, "same").otherwise(F.col("row_hash")))
+    found = mismatch_rows(copies, hot_rows(spark, -2).where("k between 0 and 2999"))
+    assert found.count() == 20_000
+    assert "skew=true" in executed(found)
+
+
+def test_only_candidates_leave_the_map_side(skewed):
+    for df in (scd1(skewed, ["k"], ["at"]), dedup(skewed, ["k"], order=["at"])):
+        plan = executed(df)
+        shuffle = plan.index("Exchange hashpartitioning")
+        assert "WindowGroupLimit" in plan[shuffle:] and "Partial" in plan[shuffle:]

@@ -75,7 +75,6 @@ def select_files(spark: SparkSession, path: str | Sequence[str], policy: str = "
     """
     if policy in ("single", "list"):
         paths = [path] if isinstance(path, str) else list(path)
-        # A discovered path carries its scheme, so compare by the end of it.
         chosen = list_files(spark, paths[0], recursive=False)
         for other in paths[1:]:
             chosen = chosen.unionByName(list_files(spark, other, recursive=False))
