@@ -199,19 +199,22 @@ def find_dependencies(df: DataFrame, max_size: int = 2) -> list[tuple[Columns, s
             for left in combinations(names, size)
         }
         open_sides = {left: rights for left, rights in open_sides.items() if rights}
-        wanted = set(open_sides) | {joined(left, right) for left, rights in open_sides.items() for right in rights}
-        estimates.update(_distinct_estimates(df, sorted(wanted - estimates.keys())))
-        # Everything depends on a unique set, and uniqueness is cheaper to check.
-        unique = _unique_among(df, [left for left in open_sides
-                                    if left and estimates[left] >= total * (1 - TOLERANCE)])
+        estimates.update(_distinct_estimates(df, sorted(open_sides.keys() - estimates.keys())))
+        # Everything depends on a unique set, and uniqueness is cheaper to check.  A nearly
+        # unique set cannot grow enough by another column for a sketch to tell.
+        near = [left for left in open_sides if left and estimates[left] >= total * (1 - TOLERANCE)]
+        unique = _unique_among(df, near)
+        wider = {joined(left, right) for left, rights in open_sides.items() if left not in near for right in rights}
+        estimates.update(_distinct_estimates(df, sorted(wider - estimates.keys())))
         tests = []
         for left, rights in open_sides.items():
             if left in unique:
                 for right in rights:
                     found[right].append(left)
                 continue
-            likely = [right for right in rights
-                      if estimates[joined(left, right)] <= estimates[left] * (1 + 1.5 * TOLERANCE)]
+            likely = rights if left in near else [
+                right for right in rights
+                if estimates[joined(left, right)] <= estimates[left] * (1 + 1.5 * TOLERANCE)]
             if likely:
                 tests.append(_dependency_check(df, left, likely))
         for batch in _batches(tests, 20):
