@@ -14,13 +14,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.session import scratch_path
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,36 +57,81 @@ def strings(array: pa.Array) -> pa.Array:
 
 
 @dataclass
-class Tokens:
-    """Words of several texts: text ``i`` has ``codes[offsets[i]:offsets[i + 1]]``."""
+class Words:
+    """Words of several texts: text ``i`` has ``hashes[offsets[i]:offsets[i + 1]]``.
+
+    ``starts`` and ``ends`` are byte places of each word in ``data``, the texts' bytes
+    joined, where text ``i`` is ``data[bounds[i]:bounds[i + 1]]``.
+    """
 
-    codes: np.ndarray
-    offsets: np.ndarray
-    words: pa.Array
     hashes: np.ndarray
+    offsets: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    data: np.ndarray
+    bounds: np.ndarray
 
     @property
     def counts(self) -> np.ndarray:
         return np.diff(self.offsets)
 
-
-def tokenize(texts: pa.Array, lower: bool = True) -> Tokens:
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
-    offsets = np.asarray(lists.offsets, dtype=np.int64)
-    flat = lists.flatten()
-    offsets = offsets - offsets[0]
-    filled = pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0
-    if not filled.all():
-        offsets = np.concatenate([[0], np.cumsum(filled)])[offsets]
-        flat = flat.filter(pa.array(filled))
-    encoded = flat.dictionary_encode()
-    words = encoded.dictionary
-    return Tokens(encoded.indices.to_numpy().astype(np.int64), offsets, words, hash_words(words))
-
-
-def hash_words(words: pa.Array) -> np.ndarray:
-    digest = xxhash.xxh3_64_intdigest
-    return np.fromiter((digest(w) for w in words.to_pylist()), np.uint64, len(words))
+    def word(self, i: int) -> str:
+        return self.data[self.starts[i]:self.ends[i]].tobytes().decode("utf-8", "replace")
+
+
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+SPACE = np.zeros(256, bool)
+SPACE[[32, 9, 10, 11, 12, 13]] = True
+BASE, INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_powers: dict[str, np.ndarray] = {}
+
+
+def powers(kind: str, size: int) -> np.ndarray:
+    """Powers of the hash base (or its inverse) modulo 2^64; kept for slices of usual size."""
+    if len(_powers.get(kind, ())) < size:
+        base = BASE if kind == "up" else INVERSE
+        made = np.cumprod(np.concatenate([[np.uint64(1)], np.full(max(size, SLICE_BYTES) - 1, base)]), dtype=np.uint64)
+        if size > SLICE_BYTES:
+            return made
+        _powers[kind] = made
+    return _powers[kind][:size]
+
+
+def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The joined bytes of a string array and the bounds of each string."""
+    bounds = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    held = texts.buffers()[2]
+    data = np.frombuffer(held, np.uint8)[bounds[0]:bounds[-1]] if held is not None and bounds[-1] > bounds[0] else np.zeros(0, np.uint8)
+    return data, bounds - bounds[0]
+
+
+def words_of(texts: pa.Array) -> Words:
+    """Words and their hashes: polynomials over the lower-cased bytes, scrambled.
+
+    All words are found at once from prefix sums, so the cost is a few passes over the bytes.
+    """
+    data, bounds = bytes_of(texts)
+    return words_in(data, bounds)
+
+
+def words_in(data: np.ndarray, bounds: np.ndarray) -> Words:
+    size = len(data)
+    if not size:
+        none = np.zeros(0, np.int64)
+        return Words(np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64), none, none, data, bounds)
+    inside = ~SPACE[data]
+    first = np.zeros(size + 1, bool)
+    first[bounds] = True
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1] | first[1:size]
+    finishes = inside.copy()
+    finishes[:-1] &= ~inside[1:] | first[1:size]
+    starts, ends = np.flatnonzero(begins), np.flatnonzero(finishes) + 1
+    sums = np.zeros(size + 1, np.uint64)
+    np.cumsum((LOWER[data].astype(np.uint64) + np.uint64(1)) * powers("up", size), out=sums[1:])
+    hashes = mix((sums[ends] - sums[starts]) * powers("down", size)[starts] + (ends - starts).astype(np.uint64))
+    return Words(hashes, np.searchsorted(starts, bounds).astype(np.int64), starts, ends, data, bounds)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -102,10 +146,9 @@ def chain(first: np.ndarray, following: np.ndarray) -> np.ndarray:
     return mix(first * np.uint64(0x9E3779B97F4A7C15) + following)
 
 
-def ngrams(tokens: Tokens, size: int) -> tuple[np.ndarray, np.ndarray]:
+def ngrams(tokens: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all ``size``-word shingles and their offsets; a shorter text is one shingle."""
-    h = tokens.hashes[tokens.codes] if len(tokens.codes) else np.zeros(0, np.uint64)
-    counts = tokens.counts
+    h, counts = tokens.hashes, tokens.counts
     total = len(h)
     made = np.full(total, np.uint64(size))
     for step in range(size):

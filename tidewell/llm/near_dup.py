@@ -43,8 +43,8 @@ from tidewell.llm.common import (
     signed,
     slices,
     strings,
-    tokenize,
     unpacked,
+    words_of,
 )
 from tidewell.llm.components import connected_components
 from tidewell.llm.rarity import COUNTS_DDL, counted, rarity_table
@@ -78,7 +78,7 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def _shingle_sets(batch: pa.RecordBatch, words: int) -> list[np.ndarray]:
-    values, offsets = ngrams(tokenize(strings(batch.column("text"))), words)
+    values, offsets = ngrams(words_of(strings(batch.column("text"))), words)
     return [distinct(values[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
 
 
