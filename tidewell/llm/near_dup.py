@@ -6,15 +6,15 @@ are compared by the ``INDEX`` smallest hash values of their sets (bottom-k sketc
 1. the sketch values are ordered rarest first over the corpus and each class enters
    the inverted lists of its first few: two sets of the wanted similarity share more
    than the values left out, but for a chance below 1e-8;
-2. in each list, classes are joined with one central class, the most promising pair
-   of each class is estimated from the union of both sketches, verified exactly on
-   full sets, and components are formed;
-3. only classes that are still in different components are compared with each other,
-   in tiles of bounded size, first along a spanning forest, then completely.
+2. in each list, classes meet one central class; each class is verified with the centre
+   it shares most lists with, exactly on full sets, and components are formed;
+3. the classes around one centre that are still in different components are compared
+   on full sets, in tiles of bounded size;
+4. so are those of different centres in the remaining lists, estimated from the union of
+   both sketches in tiles of bounded size and verified on full sets.
 
-So a group of copies costs about one comparison a member, and yet every pair whose
-link could join two components is decided on full sets.  Sketches of sets with up to
-``ESTIMATE`` members are the sets themselves, so their estimate is exact.
+A group of copies thus costs about one comparison a member, and yet every pair whose
+link could join two components is decided on full sets.
 
 Nulls, empty texts and texts without words have no shingles and link with nothing.
 Rows without id are returned with null component and kept.  Repeated rows are copies
@@ -177,79 +177,94 @@ def _verified(percent: int):
     return verify
 
 
-def _tile(percent: int, forest: bool):
-    """Compare the classes of one tile of one list that are in different components."""
-    schema = arrow_schema(PAIRS)
-    limit = _margin(percent)
-
-    def compare(group):
-        a, b = [], []
-        for i, j in _tile_pairs(group, percent, limit, forest):
-            a.append(i)
-            b.append(j)
-        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=schema)
-    return compare
-
-
-def _tile_pairs(group: pa.Table, percent: int, limit: float, forest: bool) -> list[tuple[int, int]]:
-    ids, comp, n, side = (group.column(x).to_numpy() for x in ("c", "comp", "n", "side"))
-    sets = unpacked(group.column("members").combine_chunks())
+def _incidence(sets: list[np.ndarray]) -> np.ndarray:
+    """Rows are sets, columns the values that several of them hold."""
     values, codes = np.unique(np.concatenate(sets), return_inverse=True)
     used = np.bincount(codes, minlength=len(values)) > 1
     column = np.cumsum(used) - 1
-    bounds = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
-    wide = np.zeros((len(ids), int(used.sum())), np.float32)
-    row = np.repeat(np.arange(len(ids)), np.diff(bounds))
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    wide = np.zeros((len(sets), int(used.sum())), np.float32)
     shared = used[codes]
     wide[row[shared], column[codes[shared]]] = 1
+    return wide
+
+
+def _open_rows(comp: np.ndarray) -> tuple[np.ndarray, int]:
+    """Rows outside the commonest component, and that component."""
     members, counts = np.unique(comp, return_counts=True)
     main = members[counts.argmax()]
-    odd = np.flatnonzero(comp != main)
-    found = []
-    for part in np.array_split(odd, max(1, len(odd) // 128)):
-        overlap = wide[part] @ wide.T
-        n_a, n_b = n[part][:, None], n[None, :]
-        lengths = 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)
-        # A pair of two odd rows is met twice, a pair with a main row once.
-        once = (comp[None, :] == main) | (part[:, None] < np.arange(len(ids))[None, :])
-        across = (side[part][:, None] != side[None, :]) | (side[None, :] == 0)
-        rough = overlap >= 0.5 * limit * np.minimum(np.minimum(n_a, n_b), ESTIMATE)
-        for x, y in zip(*np.nonzero(lengths & once & across & rough & (comp[part][:, None] != comp[None, :]))):
-            i, j = int(part[x]), int(y)
-            if max(n[i], n[j]) <= ESTIMATE:  # the sketch is the set
-                if 100 * overlap[x, y] >= percent * (n[i] + n[j] - overlap[x, y]):
-                    found.append((float(overlap[x, y] / (n[i] + n[j] - overlap[x, y])), True, i, j))
-            else:
-                estimate = union_estimate(sets[i], sets[j], ESTIMATE)
-                if estimate >= limit:
-                    found.append((estimate, False, i, j))
-    # Links that are certain need no more than a spanning forest; others only in the first pass.
-    parent = {int(c): int(c) for c in members}
+    return np.flatnonzero(comp != main), main
+
+
+def _tile(percent: int, full: bool):
+    """Compare the rows of one tile that are in different components.
+
+    With full sets the result is exact, and a spanning forest of the links is enough.
+    With sketches all pairs are returned that may be similar and have different centres.
+    """
+    schema = arrow_schema(PAIRS)
+
+    def compare(group):
+        ids, comp, n, side, centre = (group.column(x).to_numpy() for x in ("c", "comp", "n", "side", "centre"))
+        sets = unpacked(group.column("members").combine_chunks())
+        found = _similar_rows(sets, comp, n, side, percent, full, ids, centre) if len(ids) > 1 else []
+        return pa.table([pa.array([int(ids[i]) for i, _ in found], pa.int64()),
+                         pa.array([int(ids[j]) for _, j in found], pa.int64())], schema=schema)
+    return compare
+
+
+def _similar_rows(sets, comp, n, side, percent: int, full: bool, ids, centre) -> list[tuple[int, int]]:
+    wide = _incidence(sets)
+    odd, main = _open_rows(comp)
+    every = np.arange(len(ids))
+    if not full:
+        most = np.array([s[-1] if len(s) >= ESTIMATE else np.uint64(2 ** 64 - 1) for s in sets], np.uint64)
+    found: list[tuple[int, int]] = []
+    parent = {int(c): int(c) for c in np.unique(comp)}
 
     def root(x: int) -> int:
         while parent[x] != x:
-            x = parent[x]
+            parent[x] = x = parent[parent[x]]
         return x
 
-    out = []
-    for _, sure, i, j in sorted(found, key=lambda f: (not f[1], -f[0])):
-        p, q = root(int(comp[i])), root(int(comp[j]))
-        if p != q:
-            if sure or forest:
+    for part in np.array_split(odd, max(1, len(odd) // 128)):
+        overlap = wide[part] @ wide.T
+        n_a, n_b = n[part][:, None], n[None, :]
+        wanted = 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)
+        # A pair of two odd rows is met twice, a pair with a main row once.
+        wanted &= ((comp == main)[None, :] | (part[:, None] < every[None, :])) & (comp[part][:, None] != comp[None, :])
+        wanted &= (side[part][:, None] != side[None, :]) | (side[None, :] == 0)
+        if full:
+            wanted &= 100 * overlap >= percent * (n_a + n_b - overlap)
+        else:
+            wanted &= (centre[part][:, None] != centre[None, :]) & (centre[part][:, None] != ids[None, :])
+            wanted &= ids[part][:, None] != centre[None, :]
+            # Below the smaller of both sketches' largest values both sets are known completely.
+            low = np.minimum(most[part][:, None], most[None, :])
+            known_b = np.stack([np.searchsorted(sets[j], low[:, j], side="right") for j in every], axis=1)
+            known_a = np.stack([np.searchsorted(sets[i], low[k], side="right") for k, i in enumerate(part)], axis=0)
+            whole = (n_a <= ESTIMATE) & (n_b <= ESTIMATE)
+            limit = np.where(whole, percent / 100 - 1e-9, _margin(percent))
+            wanted &= overlap >= limit * (known_a + known_b - overlap)
+        for x, y in zip(*np.nonzero(wanted)):
+            i, j = int(part[x]), int(y)
+            p, q = root(int(comp[i])), root(int(comp[j]))
+            if not full or p != q:
+                found.append((i, j))
                 parent[p] = q
-            out.append((int(ids[i]), int(ids[j])))
-    return out
+    return found
 
 
 def _tiles(rows: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Rows of each list dealt to pairs of blocks, so that no tile grows with its list.
+    """Rows of each group dealt to pairs of blocks, so that no tile grows with its group.
 
     ``side`` is 0 where a tile compares one block with itself, else 1 and 2.
     """
-    dealt = rows.join(sizes, "value").withColumn("blocks", F.expr(f"int(ceil(size / {TILE // 2}))")).withColumn(
+    dealt = rows.join(sizes, "value").withColumn(
+        "blocks", F.expr(f"int(ceil(greatest(size / {TILE // 2}, weight / {TILE * 512})))")).withColumn(
         "block", F.pmod(F.xxhash64("c"), F.col("blocks")))
     dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    return dealt.select("value", "c", "n", "comp", F.least("block", "other").alias("low"),
+    return dealt.select("value", "c", "n", "comp", "centre", F.least("block", "other").alias("low"),
                         F.greatest("block", "other").alias("high"),
                         F.expr("case when block = other then 0 when block < other then 1 else 2 end").alias("side"))
 
@@ -304,19 +319,28 @@ def _links(spark, plain: DataFrame, classes: DataFrame, words: int, percent: int
     best = star.groupBy("a").agg(F.max_by("b", F.struct("lists", "b")).alias("b"))
     links = materialise(_verify(best, sets, percent), "star-links")
 
-    # What is still apart, first along the largest list of each class, then all lists.
-    for forest in (True, False):
-        component = connected_components(links, "a", "b")
-        placed = materialise(shared.select("value", "c", "n", "size").join(component, shared.c == component.node, "left").select(
-            "value", "c", "n", "size", F.coalesce("component", "c").alias("comp")), "placed")
-        if forest:
-            chosen = placed.groupBy("c").agg(F.max_by("value", F.struct("size", "value")).alias("value"))
-            placed = placed.join(chosen, ["value", "c"])
-        sizes = placed.groupBy("value").agg(F.count("*").alias("size"), F.min("comp").alias("x"), F.max("comp").alias("y"))
-        tiles = _tiles(placed.drop("size"), sizes.where("x <> y").select("value", "size"))
-        sketches = sets.select("c", F.expr(f"substring(members, 1, {8 * ESTIMATE})").alias("members"))
-        open_pairs = tiles.join(sketches, "c").groupBy("value", "low", "high").applyInArrow(
-            _tile(percent, forest), PAIRS)
-        pairs = materialise(open_pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "open-pairs")
-        links = materialise(links.unionByName(_verify(pairs, sets, percent)), "links")
-    return links
+    centres = materialise(shared.select("c", "n").distinct().join(best.withColumnRenamed("a", "c"), "c", "left").select(
+        "c", "n", F.coalesce("b", "c").alias("centre")), "centres")
+    columns = [F.count("*").alias("size"), F.sum("n").alias("weight"), (F.min("comp") != F.max("comp")).alias("apart"),
+               (F.min("centre") != F.max("centre")).alias("mixed")]
+
+    # Around one centre, on full sets.
+    placed = _placed(centres, links).withColumn("value", F.col("centre"))
+    sizes = placed.groupBy("value").agg(*columns).where("apart").select("value", "size", "weight")
+    inner = _tiles(placed, sizes).join(sets, "c").groupBy("value", "low", "high").applyInArrow(_tile(percent, True), PAIRS)
+    links = materialise(links.unionByName(inner), "centre-links")
+
+    # Across centres, in the lists.
+    placed = materialise(shared.select("value", "c").join(_placed(centres, links), "c"), "placed")
+    sizes = placed.groupBy("value").agg(*columns).where("apart and mixed").select("value", "size", F.lit(0).alias("weight"))
+    sketches = sets.select("c", F.expr(f"substring(members, 1, {8 * ESTIMATE})").alias("members"))
+    rough = _tiles(placed, sizes).join(sketches, "c").groupBy("value", "low", "high").applyInArrow(_tile(percent, False), PAIRS)
+    pairs = materialise(rough.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "open-pairs")
+    return materialise(links.unionByName(_verify(pairs, sets, percent)), "links")
+
+
+def _placed(centres: DataFrame, links: DataFrame) -> DataFrame:
+    """Classes with centre and present component."""
+    component = connected_components(links, "a", "b")
+    return centres.join(component, centres.c == component.node, "left").select(
+        "c", "n", "centre", F.coalesce("component", "c").alias("comp"))
