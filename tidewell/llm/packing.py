@@ -37,77 +37,59 @@ from pyspark.sql import functions as F
 from tidewell.llm.common import arrow_schema, batch_of, materialise, slices, strings
 
 CAPACITY, END = 2048, 0
-#: Stretches of text remembered with their ids by each worker before it starts over.
-MEMORY = 500_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", sequence_id long, offset long"
 
 
 class Encoder:
-    """Ids of texts under a byte-level BPE file, stretch by stretch with a bounded memory.
+    """Ids of texts under a byte-level BPE, given as a tokenizer file and as the same vocabulary's ranks.
 
-    The file's pattern starts a new word at every single space between two other
-    characters, and byte-level BPE merges only inside words, so the ids of a text are those
-    of its stretches between such spaces in turn.  Texts with other runs of white space at
-    a space, and texts that hold a special token, go to the tokenizer whole.
+    The ranks give the tokenizer's ids about four times faster; texts that hold one of
+    its special tokens go to the tokenizer itself.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, tokenizer: str, ranks: str):
+        import base64
+
+        import tiktoken
+        from public_tokenizers import PATTERN
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_file(tokenizer)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memory: dict[str, bytes | None] = {}
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def learn(self, stretches: list[str]) -> None:
-        """Remember the ids of stretches as they follow a space."""
-        if len(self.memory) + len(stretches) > MEMORY:
-            self.memory.clear()
-        for stretch, made in zip(stretches, self.tokenizer.encode_batch(
-                [" " + s for s in stretches], add_special_tokens=False)):
-            clean = stretch and not stretch[0].isspace() and not stretch[-1].isspace()
-            self.memory[stretch] = np.array(made.ids, "<u4").tobytes() if clean else None
-
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        first, *rest = text.split(" ")
-        if not rest or not first or first[-1].isspace() or any(s in text for s in self.special):
-            return self.whole(text)
-        try:
-            made = [self.memory[s] for s in rest]
-        except KeyError:
-            self.learn([s for s in set(rest) if s not in self.memory])
-            if any(s not in self.memory for s in rest):  # the memory was cleared
-                self.learn(list(set(rest)))
-            made = [self.memory[s] for s in rest]
-        return self.whole(text) if None in made else self.whole(first) + b"".join(made)
-
-
-_encoders: dict[str, Encoder] = {}
-
-
-def encoder_of(path: str) -> Encoder:
-    """One encoder per worker and file, so that tasks share what it remembers."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
-
-
-def _pieces(path: str, capacity: int, end: int):
+        with open(ranks, "rb") as lines:
+            held = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        self.fast = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=held, special_tokens={})
+
+    def encode(self, text: str) -> np.ndarray:
+        if any(s in text for s in self.special):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
+
+
+_encoders: dict[tuple[str, str], Encoder] = {}
+
+
+def encoder_of(tokenizer: str, ranks: str) -> Encoder:
+    """One encoder per worker and vocabulary."""
+    key = (tokenizer, ranks)
+    if key not in _encoders:
+        _encoders[key] = Encoder(*key)
+    return _encoders[key]
+
+
+def _pieces(tokenizer: str, ranks: str, capacity: int, end: int):
     schema = arrow_schema(PIECES)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(path)
+        encoder = encoder_of(tokenizer, ranks)
         closing = int(end).to_bytes(4, "little")
         for batch in batches:
             for part in slices(batch, "text"):
                 ids, number, start, length, check = [], [], [], [], []
                 for doc, text in zip(part.column("doc_id").to_pylist(), strings(part.column("text")).to_pylist()):
-                    made = encoder.encode(text) + closing
+                    made = encoder.encode(text).tobytes() + closing
                     total = len(made) // 4
                     edges = [0, *range(total % capacity or capacity, total + 1, capacity)]
                     for k, (a, b) in enumerate(zip(edges, edges[1:])):
@@ -298,14 +280,14 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return ranked.mapInArrow(_placer(plan), PLACED)
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END, doc_id: str = "doc_id",
+def token_pieces(docs: DataFrame, tokenizer: str, ranks: str, capacity: int = CAPACITY, end: int = END, doc_id: str = "doc_id",
                  text: str = "text") -> DataFrame:
     """Pieces of at most ``capacity`` tokens with their checksums, written once to the shared folder."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return materialise(rows.mapInArrow(_pieces(tokenizer, capacity, end), PIECES), "pieces")
+    return materialise(rows.mapInArrow(_pieces(tokenizer, ranks, capacity, end), PIECES), "pieces")
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END, doc_id: str = "doc_id",
+def pack_documents(docs: DataFrame, tokenizer: str, ranks: str, capacity: int = CAPACITY, end: int = END, doc_id: str = "doc_id",
                    text: str = "text") -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    return pack_pieces(token_pieces(docs, tokenizer, capacity, end, doc_id, text), capacity)
+    return pack_pieces(token_pieces(docs, tokenizer, ranks, capacity, end, doc_id, text), capacity)

@@ -4,14 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import near_dup, quality_crf, toxicity
+from tidewell.llm import near_dup, packing, quality_crf, toxicity, url_filter
 from tidewell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: Rules of the url query: host, path, verdict.
+URL_RULES = [
+    url_filter.Rule("com", "/", "allow"),
+    url_filter.Rule("example.com", "/en/", "block"),
+    url_filter.Rule("www.example.com", "/en/", "allow"),
+    url_filter.Rule("net", "/es/", "block"),
+    url_filter.Rule("net", "/fr/", "block"),
+]
+
+
+def vocabulary() -> tuple[str, str]:
+    """Tokenizer file and ranks file of the packing query."""
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), *vocabulary())
+
+
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_crf.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted")
@@ -26,5 +50,24 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
-REGISTRY: dict[str, Query] = {f.__name__: f for f in (op8_quality_classifier, op9_toxicity, op10_minhash_near_dedup)}
-SQL: dict[str, str] = {}
+REGISTRY: dict[str, Query] = {f.__name__: f for f in (op4_best_fit_packing, op5_url_filters, op8_quality_classifier, op9_toxicity, op10_minhash_near_dedup)}
+SQL: dict[str, str] = {
+    "op5_url_filters": r"""
+WITH parts AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), split AS (
+  SELECT page_id, regexp_extract(rest, '^([^/?#]*)', 1) AS raw, rest FROM parts
+), cut AS (
+  SELECT page_id, coalesce(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(substr(rest, length(raw) + 1), '^([^?#]*)', 1), '') AS path FROM split
+), rules(h, p, v) AS (
+  VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+         ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+)
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM (
+  SELECT page_id, host, path, h || p AS rule, v,
+         row_number() OVER (PARTITION BY page_id ORDER BY length(h || p) DESC NULLS LAST) AS place
+  FROM cut LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+) WHERE place = 1
+""",
+}
