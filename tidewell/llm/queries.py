@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import near_dup, packing, quality_crf, toxicity, url_filter
+from tidewell.llm import near_dup, neighbours, packing, quality_crf, toxicity, url_filter
 from tidewell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"), count=20, every=20)
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_crf.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted")
@@ -50,7 +54,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
-REGISTRY: dict[str, Query] = {f.__name__: f for f in (op4_best_fit_packing, op5_url_filters, op8_quality_classifier, op9_toxicity, op10_minhash_near_dedup)}
+REGISTRY: dict[str, Query] = {f.__name__: f for f in (op4_best_fit_packing, op5_url_filters, op7_nearest_neighbours, op8_quality_classifier, op9_toxicity, op10_minhash_near_dedup)}
 SQL: dict[str, str] = {
     "op5_url_filters": r"""
 WITH parts AS (
