@@ -146,17 +146,6 @@ def _answer(key, group):
                      first(sums[1].sum())], schema=arrow_schema(ANSWERS))
 
 
-def _resolved(words: pa.Table, pairs: pa.Table | None, size: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Counts (base, deleted) of a batch's words and pairs in the batch's order."""
-    out = []
-    for answers in (words, pairs):
-        order = np.argsort(answers.column("bucket").to_numpy())
-        join = lambda name: np.frombuffer(b"".join(
-            answers.column(name)[int(i)].as_py() for i in order), np.uint32).astype(np.int64)  # noqa: B023
-        out.append((join("base"), join("deleted")))
-    return out
-
-
 def context_bucket(counts: np.ndarray) -> np.ndarray:
     """0 for unseen contexts, else one more than the whole part of the binary logarithm."""
     return np.where(counts > 0, np.minimum(1 + np.log2(np.maximum(counts, 1)).astype(np.int64), CONTEXTS - 1), 0)
