@@ -205,6 +205,21 @@ def runs(keys: np.ndarray) -> Iterator[tuple[int, int]]:
         yield from zip(cuts[:-1].tolist(), cuts[1:].tolist())
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], names: tuple[str, ...], keys: int) -> Iterator[list[np.ndarray]]:
+    """Columns of sorted batches regrouped so that rows equal in the first ``keys`` columns stay together."""
+    held: list[np.ndarray] | None = None
+    for batch in batches:
+        new = [batch.column(x).to_numpy(zero_copy_only=False) for x in names]
+        held = new if held is None else [np.concatenate(pair) for pair in zip(held, new)]
+        same = np.logical_and.reduce([held[k] == held[k][-1] for k in range(keys)]) if len(held[0]) else np.ones(0, bool)
+        cut = len(same) - int(np.argmin(same[::-1])) if not same.all() else 0
+        if cut:
+            yield [x[:cut] for x in held]
+            held = [x[cut:] for x in held]
+    if held is not None and len(held[0]):
+        yield held
+
+
 def batch_of(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     arrays = [c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(columns, schema)]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)

@@ -6,12 +6,13 @@ are compared by the ``INDEX`` smallest hash values of their sets (bottom-k sketc
 1. the sketch values are ordered rarest first over the corpus and each class enters
    the inverted lists of its first few: two sets of the wanted similarity share more
    than the values left out, but for a chance below 1e-8;
-2. in each list, classes meet one central class; each class is verified with the centre
-   it shares most lists with, exactly on full sets, and components are formed;
+2. in each list, classes meet one central class; each class is estimated from the union
+   of both sketches with the centre it shares most lists with, then verified on full sets,
+   and components are formed;
 3. the classes around one centre that are still in different components are compared
    on full sets, in tiles of bounded size;
 4. so are those of different centres in the remaining lists, estimated from the union of
-   both sketches in tiles of bounded size and verified on full sets.
+   both sketches in blocks of bounded size, then verified on full sets.
 
 A group of copies thus costs about one comparison a member, and yet every pair whose
 link could join two components is decided on full sets.
@@ -44,13 +45,14 @@ from tidewell.llm.common import (
     slices,
     strings,
     unpacked,
+    whole_groups,
     words_of,
 )
 from tidewell.llm.components import connected_components
 from tidewell.llm.rarity import COUNTS_DDL, counted, rarity_table
 
-#: Values of a sketch that are indexed, values used to estimate, rarity buckets, classes of a tile.
-INDEX, ESTIMATE, BUCKETS, TILE = 64, 256, 1 << 22, 1024
+#: Values of a sketch, rarity buckets, classes of a tile, entries of a block of a long list.
+INDEX, BUCKETS, TILE, BLOCK = 64, 1 << 22, 1024, 8192
 #: Bits of the filter of needed classes; fixed, so it may be sent to every task.
 FILTER_BITS = 1 << 23
 
@@ -144,29 +146,53 @@ def slot_of(column: str):
     return F.pmod(F.xxhash64(F.col(column)), F.lit(FILTER_BITS))
 
 
-def union_estimate(a: np.ndarray, b: np.ndarray, size: int) -> float:
-    """Similarity estimated from the ``size`` smallest values of the union of two sketches."""
-    union = np.union1d(a, b)[:size]
-    if not len(union):
-        return 0.0
-    return float((np.isin(union, a, assume_unique=True) & np.isin(union, b, assume_unique=True)).mean())
+def margin(percent: int) -> float:
+    """Estimates this low refute a similarity of ``percent``, but for six deviations."""
+    t = percent / 100
+    return t - 6 * (t * (1 - t) / INDEX) ** 0.5
 
 
-def _margin(percent: int) -> float:
-    t = percent / 100
-    return t - 6 * (t * (1 - t) / ESTIMATE) ** 0.5
+def may_be_similar(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs of sketches (rows of ``a`` and ``b``, filled up with the largest integer) that are not refuted.
+
+    Below the smaller of both sketches' largest values both sets are known completely, so
+    the share of common values there estimates the similarity of the sets; it is exact for
+    sets no larger than a sketch.
+    """
+    fill = np.uint64(2 ** 64 - 1)
+    top = np.minimum(np.where(n_a > INDEX, a[:, -1], fill), np.where(n_b > INDEX, b[:, -1], fill))[:, None]
+    known = (a <= top).sum(axis=1) + (b <= top).sum(axis=1) - ((a == fill).sum(axis=1) + (b == fill).sum(axis=1)) * (top[:, 0] == fill)
+    both = np.sort(np.concatenate([a, b], axis=1), axis=1)
+    shared = ((both[:, 1:] == both[:, :-1]) & (both[:, 1:] != fill)).sum(axis=1)
+    exact = (n_a <= INDEX) & (n_b <= INDEX)
+    return np.where(exact, 100 * shared >= percent * (known - shared), shared >= margin(percent) * (known - shared))
+
+
+def sketch_rows(column: pa.Array) -> np.ndarray:
+    """Sketches as rows of equal length."""
+    return np.frombuffer(b"".join(v.ljust(8 * INDEX, b"\xff") for v in column.to_pylist()), np.uint64).reshape(-1, INDEX)
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    """Exact test on full sets, after the estimate of the union sketch."""
+    """Exact test on full sets."""
     if min(len(a), len(b)) * 100 < percent * max(len(a), len(b)):
         return False
-    if max(len(a), len(b)) > ESTIMATE and union_estimate(a[:ESTIMATE], b[:ESTIMATE], ESTIMATE) < _margin(percent):
-        return False
     shared = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
+def _estimated(percent: int):
+    """Pairs with sketches that are not refuted."""
+    schema = arrow_schema(PAIRS)
+
+    def estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = may_be_similar(sketch_rows(batch.column("sketch_a")), sketch_rows(batch.column("sketch_b")),
+                                  batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy(), percent)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_())).cast(schema)
+    return estimate
+
+
 def _verified(percent: int):
     schema = arrow_schema(PAIRS)
 
@@ -196,29 +222,23 @@ def _open_rows(comp: np.ndarray) -> tuple[np.ndarray, int]:
     return np.flatnonzero(comp != main), main
 
 
-def _tile(percent: int, full: bool):
-    """Compare the rows of one tile that are in different components.
-
-    With full sets the result is exact, and a spanning forest of the links is enough.
-    With sketches all pairs are returned that may be similar and have different centres.
-    """
+def _tile(percent: int):
+    """Links between rows of one tile that are in different components: a spanning forest of them."""
     schema = arrow_schema(PAIRS)
 
     def compare(group):
-        ids, comp, n, side, centre = (group.column(x).to_numpy() for x in ("c", "comp", "n", "side", "centre"))
+        ids, comp, n, side = (group.column(x).to_numpy() for x in ("c", "comp", "n", "side"))
         sets = unpacked(group.column("members").combine_chunks())
-        found = _similar_rows(sets, comp, n, side, percent, full, ids, centre) if len(ids) > 1 else []
+        found = _forest(sets, comp, n, side, percent) if len(ids) > 1 else []
         return pa.table([pa.array([int(ids[i]) for i, _ in found], pa.int64()),
                          pa.array([int(ids[j]) for _, j in found], pa.int64())], schema=schema)
     return compare
 
 
-def _similar_rows(sets, comp, n, side, percent: int, full: bool, ids, centre) -> list[tuple[int, int]]:
+def _forest(sets: list[np.ndarray], comp: np.ndarray, n: np.ndarray, side: np.ndarray, percent: int) -> list[tuple[int, int]]:
     wide = _incidence(sets)
     odd, main = _open_rows(comp)
-    every = np.arange(len(ids))
-    if not full:
-        most = np.array([s[-1] if len(s) >= ESTIMATE else np.uint64(2 ** 64 - 1) for s in sets], np.uint64)
+    every = np.arange(len(sets))
     found: list[tuple[int, int]] = []
     parent = {int(c): int(c) for c in np.unique(comp)}
 
@@ -229,44 +249,59 @@ def _similar_rows(sets, comp, n, side, percent: int, full: bool, ids, centre) ->
 
     for part in np.array_split(odd, max(1, len(odd) // 128)):
         overlap = wide[part] @ wide.T
-        n_a, n_b = n[part][:, None], n[None, :]
-        wanted = 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)
         # A pair of two odd rows is met twice, a pair with a main row once.
-        wanted &= ((comp == main)[None, :] | (part[:, None] < every[None, :])) & (comp[part][:, None] != comp[None, :])
+        wanted = ((comp == main)[None, :] | (part[:, None] < every[None, :])) & (comp[part][:, None] != comp[None, :])
         wanted &= (side[part][:, None] != side[None, :]) | (side[None, :] == 0)
-        if full:
-            wanted &= 100 * overlap >= percent * (n_a + n_b - overlap)
-        else:
-            wanted &= (centre[part][:, None] != centre[None, :]) & (centre[part][:, None] != ids[None, :])
-            wanted &= ids[part][:, None] != centre[None, :]
-            # Below the smaller of both sketches' largest values both sets are known completely.
-            low = np.minimum(most[part][:, None], most[None, :])
-            known_b = np.stack([np.searchsorted(sets[j], low[:, j], side="right") for j in every], axis=1)
-            known_a = np.stack([np.searchsorted(sets[i], low[k], side="right") for k, i in enumerate(part)], axis=0)
-            whole = (n_a <= ESTIMATE) & (n_b <= ESTIMATE)
-            limit = np.where(whole, percent / 100 - 1e-9, _margin(percent))
-            wanted &= overlap >= limit * (known_a + known_b - overlap)
+        wanted &= 100 * overlap >= percent * (n[part][:, None] + n[None, :] - overlap)
         for x, y in zip(*np.nonzero(wanted)):
             i, j = int(part[x]), int(y)
             p, q = root(int(comp[i])), root(int(comp[j]))
-            if not full or p != q:
+            if p != q:
                 found.append((i, j))
                 parent[p] = q
     return found
 
 
-def _tiles(rows: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Rows of each group dealt to pairs of blocks, so that no tile grows with its group.
+def _across(percent: int):
+    """Pairs of each list in different components and around different centres that sketches do not refute."""
+    schema = arrow_schema(PAIRS)
+    names = ("value", "low", "high", "side", "c", "n", "comp", "centre", "sketch")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns in whole_groups(batches, names, 3):
+            order = np.lexsort((columns[5], columns[2], columns[1], columns[0]))
+            value, low, high, side, c, n, comp, centre, sketch = (x[order] for x in columns)
+            group = np.cumsum(np.concatenate([[0], (value[1:] != value[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])]))
+            sketches = sketch_rows(pa.array(sketch, pa.binary()))
+            i, step = np.arange(len(c)), 0
+            while True:
+                step += 1
+                i = i[i + step < len(c)]
+                i = i[group[i] == group[i + step]]
+                i = i[100 * n[i] >= percent * n[i + step]]
+                if not len(i):
+                    break
+                j = i + step
+                open_ = (comp[i] != comp[j]) & (centre[i] != centre[j]) & (centre[i] != c[j]) & (centre[j] != c[i])
+                open_ &= (side[i] == 0) | (side[i] != side[j])
+                for part in np.array_split(np.flatnonzero(open_), max(1, int(open_.sum()) // 20_000)):
+                    a, b = i[part], j[part]
+                    near = may_be_similar(sketches[a], sketches[b], n[a], n[b], percent)
+                    yield batch_of(schema, [c[a[near]], c[b[near]]])
+    return compare
+
+
+def _tiles(rows: DataFrame, sizes: DataFrame, blocks: str, *columns: str) -> DataFrame:
+    """Rows of each group dealt to pairs of blocks, so that no task's part grows with its group.
 
-    ``side`` is 0 where a tile compares one block with itself, else 1 and 2.
+    ``side`` is 0 where a block meets itself, else 1 and 2.
     """
-    dealt = rows.join(sizes, "value").withColumn(
-        "blocks", F.expr(f"int(ceil(greatest(size / {TILE // 2}, weight / {TILE * 512})))")).withColumn(
-        "block", F.pmod(F.xxhash64("c"), F.col("blocks")))
+    dealt = rows.join(sizes, "value").withColumn("blocks", F.expr(f"int(ceil({blocks}))")).withColumn(
+        "block", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    return dealt.select("value", "c", "n", "comp", "centre", F.least("block", "other").alias("low"),
-                        F.greatest("block", "other").alias("high"),
-                        F.expr("case when block = other then 0 when block < other then 1 else 2 end").alias("side"))
+    return dealt.select("value", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+                        F.expr("case when block = other then 0 when block < other then 1 else 2 end").alias("side"),
+                        "c", "n", "comp", *columns)
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -307,38 +342,45 @@ def _links(spark, plain: DataFrame, classes: DataFrame, words: int, percent: int
     lists = entries.groupBy("value").agg(F.count("*").alias("size"), F.min(F.struct("weight", "rep", "c", "n")).alias("pivot"))
     shared = materialise(entries.join(lists.where("size > 1"), "value"), "lists")
 
-    # The full sets of the classes that share a list with another.
-    wanted = shared.select("c", "rep").distinct()
-    bits = bit_filter(wanted, "rep")
-    near = plain.withColumn("slot", slot_of("doc_id")).mapInArrow(_members(bits, words), SETS)
-    sets = materialise(near.join(wanted.select("c").distinct(), "c").groupBy("c").agg(F.first("members").alias("members")), "sets")
-
-    # One promising pair a class: the pivot it shares most lists with.
+    # One promising pair a class: the centre it shares most lists with.
     star = shared.where(f"c <> pivot.c and 100 * least(n, pivot.n) >= {percent} * greatest(n, pivot.n)").groupBy(
         F.col("c").alias("a"), F.col("pivot.c").alias("b")).agg(F.count("*").alias("lists"))
     best = star.groupBy("a").agg(F.max_by("b", F.struct("lists", "b")).alias("b"))
-    links = materialise(_verify(best, sets, percent), "star-links")
-
-    centres = materialise(shared.select("c", "n").distinct().join(best.withColumnRenamed("a", "c"), "c", "left").select(
+    side = lambda x: classes.select(F.col("c").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
+    close = materialise(best.join(side("a"), "a").join(side("b"), "b").select(
+        "a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(_estimated(percent), PAIRS), "close")
+    sets = _full_sets(plain, classes, close, words)
+    links = materialise(_verify(close, sets, percent), "star-links")
+    centres = materialise(shared.select("c", "n").distinct().join(close.withColumnRenamed("a", "c"), "c", "left").select(
         "c", "n", F.coalesce("b", "c").alias("centre")), "centres")
-    columns = [F.count("*").alias("size"), F.sum("n").alias("weight"), (F.min("comp") != F.max("comp")).alias("apart"),
-               (F.min("centre") != F.max("centre")).alias("mixed")]
+    apart = (F.min("comp") != F.max("comp")).alias("apart")
 
     # Around one centre, on full sets.
     placed = _placed(centres, links).withColumn("value", F.col("centre"))
-    sizes = placed.groupBy("value").agg(*columns).where("apart").select("value", "size", "weight")
-    inner = _tiles(placed, sizes).join(sets, "c").groupBy("value", "low", "high").applyInArrow(_tile(percent, True), PAIRS)
+    sizes = placed.groupBy("value").agg(F.count("*").alias("size"), F.sum("n").alias("weight"), apart).where("apart").drop("apart")
+    inner = _tiles(placed, sizes, f"greatest(size / {TILE // 2}, weight / {TILE * 512})").join(sets, "c").groupBy(
+        "value", "low", "high").applyInArrow(_tile(percent), PAIRS)
     links = materialise(links.unionByName(inner), "centre-links")
 
     # Across centres, in the lists.
     placed = materialise(shared.select("value", "c").join(_placed(centres, links), "c"), "placed")
-    sizes = placed.groupBy("value").agg(*columns).where("apart and mixed").select("value", "size", F.lit(0).alias("weight"))
-    sketches = sets.select("c", F.expr(f"substring(members, 1, {8 * ESTIMATE})").alias("members"))
-    rough = _tiles(placed, sizes).join(sketches, "c").groupBy("value", "low", "high").applyInArrow(_tile(percent, False), PAIRS)
+    mixed = (F.min("centre") != F.max("centre")).alias("mixed")
+    sizes = placed.groupBy("value").agg(F.count("*").alias("size"), apart, mixed).where("apart and mixed").select("value", "size")
+    dealt = _tiles(placed, sizes, f"size / {BLOCK}", "centre").join(classes.select("c", "sketch"), "c")
+    rough = dealt.repartition("value", "low", "high").sortWithinPartitions("value", "low", "high").mapInArrow(_across(percent), PAIRS)
     pairs = materialise(rough.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "open-pairs")
+    sets = _full_sets(plain, classes, pairs, words)
     return materialise(links.unionByName(_verify(pairs, sets, percent)), "links")
 
 
+def _full_sets(plain: DataFrame, classes: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
+    """Full sets of the classes in ``pairs``, from the texts that may hold them."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
+    bits = bit_filter(classes.join(wanted, "c").select("rep"), "rep")
+    near = plain.withColumn("slot", slot_of("doc_id")).mapInArrow(_members(bits, words), SETS)
+    return materialise(near.join(wanted, "c").groupBy("c").agg(F.first("members").alias("members")), "sets")
+
+
 def _placed(centres: DataFrame, links: DataFrame) -> DataFrame:
     """Classes with centre and present component."""
     component = connected_components(links, "a", "b")

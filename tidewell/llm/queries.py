@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import language_model, near_dup, neighbours, packing, quality_crf, toxicity, url_filter
+from tidewell.llm import language_model, line_dedup, near_dup, neighbours, packing, quality_crf, toxicity, url_filter
 from tidewell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,11 @@ def vocabulary() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that lose lines, with the numbers of those lines."""
+    return line_dedup.removed_lines(table(spark, sf_dir, "documents"))
+
+
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.language_scores(table(spark, sf_dir, "documents"))
 
@@ -58,7 +63,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
-REGISTRY: dict[str, Query] = {f.__name__: f for f in (op2_lm_scoring, op4_best_fit_packing, op5_url_filters, op7_nearest_neighbours, op8_quality_classifier, op9_toxicity, op10_minhash_near_dedup)}
+REGISTRY: dict[str, Query] = {f.__name__: f for f in (op1_line_dedup, op2_lm_scoring, op4_best_fit_packing, op5_url_filters, op7_nearest_neighbours, op8_quality_classifier, op9_toxicity, op10_minhash_near_dedup)}
 SQL: dict[str, str] = {
     "op5_url_filters": r"""
 WITH parts AS (
