@@ -75,10 +75,10 @@ def line_sets(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def sums_of(values: np.ndarray, offsets: np.ndarray, reduce=np.add) -> np.ndarray:
     """Reduction of each run of ``values``; zero for empty runs."""
-    if not len(values):
-        return np.zeros(len(offsets) - 1, values.dtype)
-    out = reduce.reduceat(np.append(values, values[:1]), offsets[:-1])
-    out[np.diff(offsets) == 0] = 0
+    out = np.zeros(len(offsets) - 1, values.dtype)
+    filled = np.diff(offsets) > 0
+    if filled.any():
+        out[filled] = reduce.reduceat(values, offsets[:-1][filled])
     return out
 
 
@@ -176,7 +176,7 @@ def passing(n: np.ndarray, place: np.ndarray, a: np.ndarray, b: np.ndarray, i: n
     index = n[i] - -(-2 * percent * n[i] // (100 + percent)) + 1
     ahead = np.minimum(n[i] - place[i], n[j] - place[j])
     # A word of one set only flips one of the 128 parity bits.
-    differ = np.bitwise_count(a[i] ^ a[j]).astype(np.int64) + np.bitwise_count(b[i] ^ b[j])
+    differ = np.bitwise_count((a[i] ^ a[j]).view(np.uint64)).astype(np.int64) + np.bitwise_count((b[i] ^ b[j]).view(np.uint64))
     return (ahead >= overlap) & (place[i] < index) & (differ <= both - 2 * overlap)
 
 
