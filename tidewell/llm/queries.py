@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import language_model, line_dedup, near_dup, neighbours, packing, quality_crf, toxicity, url_filter
+from tidewell.llm import decontamination, language_model, line_dedup, near_dup, neighbours, packing, quality_crf, toxicity, url_filter
 from tidewell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,11 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.language_scores(table(spark, sf_dir, "documents"))
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items, with the items and the evidence."""
+    return decontamination.benchmark_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), *vocabulary())
 
@@ -63,7 +68,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
-REGISTRY: dict[str, Query] = {f.__name__: f for f in (op1_line_dedup, op2_lm_scoring, op4_best_fit_packing, op5_url_filters, op7_nearest_neighbours, op8_quality_classifier, op9_toxicity, op10_minhash_near_dedup)}
+REGISTRY: dict[str, Query] = {f.__name__: f for f in (op1_line_dedup, op2_lm_scoring, op3_benchmark_decontamination, op4_best_fit_packing, op5_url_filters, op7_nearest_neighbours, op8_quality_classifier, op9_toxicity, op10_minhash_near_dedup)}
 SQL: dict[str, str] = {
     "op5_url_filters": r"""
 WITH parts AS (

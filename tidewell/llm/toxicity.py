@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import arrow_schema, batch_of, fold, mix, packed, runs, signed, slices, strings, words_in, words_of
+from tidewell.llm.common import LOWER, arrow_schema, batch_of, fold, mix, packed, powers, signed, slices, strings, words_of
 from tidewell.llm.quality_crf import logistic
 
 TRAIN_DOCS, LEXICON = 12000, 20000
@@ -53,36 +53,29 @@ class Model:
     scale: tuple[float, float] = (0.0, -30.0)
 
 
-def bare_words(texts: pa.Array):
-    """Words without the ASCII marks around them, and hashes of their stems."""
+MARK = np.zeros(256, bool)
+MARK[33:48] = MARK[58:65] = MARK[91:97] = MARK[123:127] = True
+
+
+def bare_words(texts: pa.Array, sizes: tuple[int, ...] = ()):
+    """Words of texts, hashes of the words without ASCII marks around them, and of their stems of given sizes."""
     words = words_of(texts)
     data = words.data
     starts, ends = words.starts.copy(), words.ends.copy()
-    mark = np.zeros(256, bool)
-    mark[33:48] = mark[58:65] = mark[91:97] = mark[123:127] = True
+    at = np.flatnonzero(MARK[data[starts]]) if len(starts) else starts
     for _ in range(4):
-        open_ = (ends - starts > 1) & mark[data[np.minimum(starts, max(len(data) - 1, 0))]] if len(data) else np.zeros(0, bool)
-        starts = starts + open_
-        close = (ends - starts > 1) & mark[data[np.maximum(ends - 1, 0)]] if len(data) else np.zeros(0, bool)
-        ends = ends - close
-    bounds = np.stack([starts, ends], axis=1).ravel()
-    if not len(bounds):
-        return words, np.zeros(0, np.uint64), [np.zeros(0, np.uint64) for _ in STEMS]
-    # Words are adjacent pairs of bounds; what lies between them is skipped.
-    whole = _spans(data, starts, ends)
-    stems = []
-    for size in STEMS:
-        stop = np.minimum(starts + size, ends)
-        stems.append(np.where(ends - starts > size, mix(_spans(data, starts, stop) + np.uint64(size)), np.uint64(0)))
-    return words, whole, stems
-
-
-def _spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    from tidewell.llm.common import LOWER, powers
-
+        at = at[(ends[at] - starts[at] > 1) & MARK[data[starts[at]]]]
+        starts[at] += 1
+    at = np.flatnonzero(MARK[data[ends - 1]]) if len(ends) else ends
+    for _ in range(4):
+        at = at[(ends[at] - starts[at] > 1) & MARK[data[ends[at] - 1]]]
+        ends[at] -= 1
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((LOWER[data].astype(np.uint64) + np.uint64(1)) * powers("up", len(data)), out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * powers("down", len(data))[starts] + (ends - starts).astype(np.uint64))
+    below, down = sums[starts], powers("down", len(data))[starts] if len(data) else np.zeros(0, np.uint64)
+    span = lambda stop: mix((sums[stop] - below) * down + (stop - starts).astype(np.uint64))
+    stems = [np.where(ends - starts > size, mix(span(np.minimum(starts + size, ends)) + np.uint64(size)), np.uint64(0)) for size in sizes]
+    return words, span(ends), stems
 
 
 def _unit_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,7 +83,7 @@ def _unit_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = arrow_schema("unit long, toxic long, other long, stem int")
     for batch in batches:
         for piece in slices(batch, "text"):
-            words, whole, stems = bare_words(strings(piece.column("text")))
+            words, whole, stems = bare_words(strings(piece.column("text")), STEMS)
             line = np.repeat(np.arange(piece.num_rows), words.counts)
             label = piece.column("label").to_numpy()[line]
             for kind, units in enumerate([whole, *stems]):
@@ -173,7 +166,7 @@ def _scan(model: Model, label: bool = False):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "text"):
-                words, whole, stems = bare_words(strings(piece.column("text")))
+                words, whole, stems = bare_words(strings(piece.column("text")), STEMS)
                 scores = token_scores(model, whole, stems)
                 held = np.add.reduceat(np.append(scores > 0, False), words.offsets[:-1]) * (words.counts > 0) if piece.num_rows else []
                 surprise, found = np.zeros(piece.num_rows), [[] for _ in range(piece.num_rows)]
