@@ -30,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,11 +63,16 @@ class Part:
         return len(self.words)
 
 
+def lowered(texts: pa.Array) -> pa.Array:
+    """Non-null texts in lower case, beyond ASCII too."""
+    return pc.utf8_lower(strings(texts))
+
+
 def parts_of(items: list[tuple[int, str]]) -> list[Part]:
     """Items as queries; long items are cut evenly."""
     out = []
     for item_id, text in items:
-        _, words, _ = bare_words(strings(pa.array([text], pa.string())))
+        _, words, _ = bare_words(lowered(pa.array([text], pa.string())))
         if len(words) >= LEAST_WORDS:
             for number, piece in enumerate(np.array_split(words, -(-len(words) // PART))):
                 out.append(Part(item_id, number, piece))
@@ -108,7 +114,7 @@ def _windows(weights):
         w: Weights = weights.value
         for batch in batches:
             for piece in slices(batch, "text"):
-                found, words, _ = bare_words(strings(piece.column("text")))
+                found, words, _ = bare_words(lowered(piece.column("text")))
                 ids = piece.column("doc_id").to_numpy()
                 square = w.of(words).astype(np.float64) ** 2
                 number = w.number(words)
@@ -285,7 +291,7 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_
     if not parts:
         return spark.createDataFrame([], "doc_id long, item_id long, cosine double, shared double, answer double")
     words = lambda b: np.concatenate([np.zeros(0, np.uint64), *(
-        bare_words(strings(p.column("text")))[1] for p in slices(b, "text"))])
+        bare_words(lowered(p.column("text")))[1] for p in slices(b, "text"))])
     ranks = rarity_table(plain.select("text").mapInArrow(counted(words, BUCKETS), COUNTS_DDL), BUCKETS)
     weights = spark.sparkContext.broadcast(Weights(ranks, parts))
     passages = materialise(plain.mapInArrow(_windows(weights), PASSAGES), "passages")

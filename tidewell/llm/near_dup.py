@@ -386,3 +386,14 @@ def _placed(centres: DataFrame, links: DataFrame) -> DataFrame:
     component = connected_components(links, "a", "b")
     return centres.join(component, centres.c == component.node, "left").select(
         "c", "n", "centre", F.coalesce("component", "c").alias("comp"))
+
+
+def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one document of each component; all columns stay.
+
+    Rows without id stay.  Repeated rows are one document.
+    """
+    gone = near_duplicates(docs, doc_id, text, words, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    kept = docs.join(gone, docs[doc_id].cast("long") == gone["_gone"], "left_anti")
+    known = kept.where(F.col(doc_id).isNotNull()).withColumn("_text", F.xxhash64(F.col(text))).dropDuplicates([doc_id, "_text"]).drop("_text")
+    return known.unionByName(kept.where(F.col(doc_id).isNull()))

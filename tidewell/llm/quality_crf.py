@@ -243,6 +243,22 @@ def _scores(field: Field):
     return score
 
 
+def _good(field: Field, text: str):
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = _scores(field)
+        for batch in batches:
+            own = pa.RecordBatch.from_arrays([pa.nulls(batch.num_rows, pa.int64()), pa.array([False] * batch.num_rows), strings(batch.column(text))],
+                                             ["doc_id", "held_out", "text"])
+            value = np.concatenate([np.zeros(0), *(b.column("score").to_numpy() for b in score(iter([own])))])
+            yield batch.filter(pa.array(value >= 0.5))
+    return keep
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
+    """``docs`` without the documents of poor quality; all columns stay, nothing is shuffled."""
+    return docs.mapInArrow(_good(fit(docs, labels, doc_id, text, label), text), docs.schema)
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1,
                    doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
     """doc_id, held_out, score, predicted, lines, bad_lines for every row of ``docs``."""

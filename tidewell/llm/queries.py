@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import decontamination, language_model, line_dedup, near_dup, neighbours, packing, quality_crf, toxicity, url_filter
+from tidewell.llm import decontamination, language_model, licence_scan, line_dedup, near_dup, neighbours, packing, quality_crf, toxicity, url_filter
 from tidewell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,10 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_scan.scan_licences(table(spark, sf_dir, "documents"))
+
+
 def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"), count=20, every=20)
 
@@ -68,7 +72,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
-REGISTRY: dict[str, Query] = {f.__name__: f for f in (op1_line_dedup, op2_lm_scoring, op3_benchmark_decontamination, op4_best_fit_packing, op5_url_filters, op7_nearest_neighbours, op8_quality_classifier, op9_toxicity, op10_minhash_near_dedup)}
+REGISTRY: dict[str, Query] = {f.__name__: f for f in (op1_line_dedup, op2_lm_scoring, op3_benchmark_decontamination, op4_best_fit_packing, op5_url_filters, op6_license_scans, op7_nearest_neighbours, op8_quality_classifier, op9_toxicity, op10_minhash_near_dedup)}
 SQL: dict[str, str] = {
     "op5_url_filters": r"""
 WITH parts AS (
