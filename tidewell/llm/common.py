@@ -34,6 +34,18 @@ def materialise(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def unused(frame: DataFrame, name: str) -> str:
+    """A column name that the frame does not have."""
+    taken = {c.lower() for c in frame.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def fold(doc_id: str, modulus: int):
     """Column: crc32 of the id as text, modulo."""
     return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(modulus))

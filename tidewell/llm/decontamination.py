@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import arrow_schema, batch_of, materialise, packed, slices, strings, unpacked
+from tidewell.llm.common import arrow_schema, batch_of, materialise, packed, quoted, slices, strings, unpacked, unused
 from tidewell.llm.rarity import COUNTS_DDL, counted, rarity_table
 from tidewell.llm.toxicity import bare_words
 
@@ -302,5 +302,6 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the documents that hold a benchmark item; all columns stay."""
-    found = benchmark_matches(docs, benchmark, doc_id, text).select(F.col("doc_id").alias("_leaked")).distinct()
-    return docs.join(found, docs[doc_id].cast("long") == found["_leaked"], "left_anti")
+    leaked = unused(docs, "leaked")
+    found = benchmark_matches(docs, benchmark, doc_id, text).select(F.col("doc_id").alias(leaked)).distinct()
+    return docs.join(found, F.col(quoted(doc_id)).cast("long") == F.col(leaked), "left_anti")

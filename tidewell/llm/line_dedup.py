@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import arrow_schema, batch_of, bytes_of, materialise, mix, packed, signed, slices, strings, unpacked, whole_groups, words_in
+from tidewell.llm.common import arrow_schema, batch_of, bytes_of, materialise, mix, packed, quoted, signed, slices, strings, unpacked, unused, whole_groups, words_in
 from tidewell.llm.near_dup import FILTER_BITS, bit_filter, slot_of
 from tidewell.llm.rarity import COUNTS_DDL, counted, rarity_table
 
@@ -368,8 +368,8 @@ def removed_lines(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", te
 
 def dedup_lines(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the texts' later similar lines removed; all columns stay."""
-    gone = removed_lines(docs, percent, doc_id, text).select(
-        F.col("doc_id").alias("_removed_from"), F.transform("removed", lambda x: x.cast("int")).alias("_removed"))
-    joined = docs.join(gone, docs[doc_id].cast("long") == gone["_removed_from"], "left")
-    kept = F.array_join(F.filter(F.split(F.col(text), "\n", -1), lambda x, i: ~F.array_contains(F.col("_removed"), i)), "\n")
-    return joined.withColumn(text, F.when(F.col("_removed").isNull(), F.col(text)).otherwise(kept)).select(*docs.columns)
+    own, numbers = unused(docs, "removed_from"), unused(docs, "removed_lines")
+    gone = removed_lines(docs, percent, doc_id, text).select(F.col("doc_id").alias(own), F.col("removed").alias(numbers))
+    joined = docs.join(gone, docs[quoted(doc_id)].cast("long") == F.col(own), "left")
+    kept = F.array_join(F.filter(F.split(F.col(quoted(text)), "\n", -1), lambda x, i: ~F.array_contains(numbers, i)), "\n")
+    return joined.withColumn(text, F.when(F.col(numbers).isNull(), F.col(quoted(text))).otherwise(kept)).drop(own, numbers)

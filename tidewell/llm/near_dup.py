@@ -40,11 +40,13 @@ from tidewell.llm.common import (
     materialise,
     ngrams,
     packed,
+    quoted,
     set_key,
     signed,
     slices,
     strings,
     unpacked,
+    unused,
     whole_groups,
     words_of,
 )
@@ -393,7 +395,8 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
 
     Rows without id stay.  Repeated rows are one document.
     """
-    gone = near_duplicates(docs, doc_id, text, words, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, docs[doc_id].cast("long") == gone["_gone"], "left_anti")
-    known = kept.where(F.col(doc_id).isNotNull()).withColumn("_text", F.xxhash64(F.col(text))).dropDuplicates([doc_id, "_text"]).drop("_text")
-    return known.unionByName(kept.where(F.col(doc_id).isNull()))
+    key, mark = F.col(quoted(doc_id)), unused(docs, "text_hash")
+    gone = near_duplicates(docs, doc_id, text, words, percent).where("not kept").select(F.col("doc_id").alias(mark)).distinct()
+    kept = docs.join(gone, key.cast("long") == F.col(mark), "left_anti")
+    known = kept.where(key.isNotNull()).withColumn(mark, F.xxhash64(F.col(quoted(text)))).dropDuplicates([doc_id, mark]).drop(mark)
+    return known.unionByName(kept.where(key.isNull()))
