@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +47,16 @@ ANSWERS = "batch long, bucket long, base binary, deleted binary, kinds long, tot
 SCORES = "doc_id long, role int, n_tokens long, n_known long, base_score double, score double"
 
 
+def squeezed(values: np.ndarray) -> bytes:
+    """Numbers by byte planes, compressed: small and rising numbers take little room."""
+    return zstandard.compress(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes(), 1)
+
+
+def loose(data: bytes, dtype) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(np.dtype(dtype).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(dtype).ravel()
+
+
 def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches of documents with numbered words; a batch's name is the least hash of its rows' places."""
     schema = arrow_schema(BATCHES)
@@ -59,24 +70,32 @@ def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             inside[ends] = False
             tokens[inside] = words.hashes
             hashes, codes = np.unique(tokens, return_inverse=True)
+            # Frequent words get small numbers, which take less room.
+            common = np.argsort(-np.bincount(codes), kind="stable")
+            number = np.empty(len(common), np.int32)
+            number[common] = np.arange(len(common))
             ids = piece.column("doc_id")
             yield batch_of(schema, [
                 [piece.column("place")[0].as_py()],
-                *([a.tobytes()] for a in (
+                *([squeezed(a)] for a in (
                     ids.fill_null(0).to_numpy(), np.array(ids.is_valid(), np.uint8), piece.column("role").to_numpy().astype(np.uint8),
-                    counts.astype(np.int32), codes.astype(np.int32), hashes)), [len(tokens)]])
+                    counts.astype(np.int32), number[codes], hashes[common])), [len(tokens)]])
 
 
 class Batch:
     """One row of the numbered batches."""
 
     def __init__(self, row: dict):
-        self.doc_ids = np.frombuffer(row["doc_ids"], np.int64)
-        self.valid = np.frombuffer(row["valid"], np.uint8).astype(bool)
-        self.roles = np.frombuffer(row["roles"], np.uint8)
-        self.counts = np.frombuffer(row["counts"], np.int32).astype(np.int64)
-        self.codes = np.frombuffer(row["codes"], np.int32).astype(np.int64)
-        self.hashes = np.frombuffer(row["hashes"], np.uint64)
+        self.doc_ids = loose(row["doc_ids"], np.int64)
+        self.valid = loose(row["valid"], np.uint8).astype(bool)
+        self.roles = loose(row["roles"], np.uint8)
+        self.counts = loose(row["counts"], np.int32).astype(np.int64)
+        hashes = loose(row["hashes"], np.uint64)
+        order = np.argsort(hashes)
+        self.hashes = hashes[order]
+        number = np.empty(len(order), np.int64)
+        number[order] = np.arange(len(order))
+        self.codes = number[loose(row["codes"], np.int32)]
         self.role = np.repeat(self.roles, self.counts)
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -105,8 +124,9 @@ def cut(keys: np.ndarray, buckets: int) -> np.ndarray:
 def _rows(batch: int, keys: np.ndarray, base: np.ndarray, deleted: np.ndarray, buckets: int) -> pa.RecordBatch:
     bounds = cut(keys, buckets)
     held = [k for k in range(buckets) if bounds[k + 1] > bounds[k]]
-    part = lambda x, t: [x[bounds[k]:bounds[k + 1]].astype(t).tobytes() for k in held]
-    return batch_of(arrow_schema(REQUESTS), [[batch] * len(held), held, part(keys, np.uint64), part(base, np.uint32), part(deleted, np.uint32)])
+    part = lambda x, t: [squeezed(x[bounds[k]:bounds[k + 1]].astype(t)) for k in held]
+    steps = [squeezed(np.diff(keys[bounds[k]:bounds[k + 1]], prepend=np.uint64(0))) for k in held]
+    return batch_of(arrow_schema(REQUESTS), [[batch] * len(held), held, steps, part(base, np.uint32), part(deleted, np.uint32)])
 
 
 def _ask_words(buckets: int):
@@ -131,14 +151,14 @@ def _ask_pairs(buckets: int):
 
 def _answer(key, group):
     """Sum the counts of a bucket and give every batch the sums of its keys, in its order."""
-    parts = [np.frombuffer(k, np.uint64) for k in group.column("keys").to_pylist()]
+    parts = [np.cumsum(loose(k, np.uint64), dtype=np.uint64) for k in group.column("keys").to_pylist()]
     values, place = np.unique(np.concatenate(parts), return_inverse=True)
     sums = []
     for name in ("base", "deleted"):
-        counts = np.concatenate([np.frombuffer(c, np.uint32) for c in group.column(name).to_pylist()])
+        counts = np.concatenate([loose(c, np.uint32) for c in group.column(name).to_pylist()])
         sums.append(np.bincount(place, counts, len(values)).astype(np.int64))
     bounds = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-    back = lambda s: [s[place[a:b]].astype(np.uint32).tobytes() for a, b in zip(bounds, bounds[1:])]
+    back = lambda s: [squeezed(s[place[a:b]].astype(np.uint32)) for a, b in zip(bounds, bounds[1:])]
     rows = len(parts)
     first = lambda n: pa.array([int(n)] + [0] * (rows - 1), pa.int64())
     return pa.table([group.column("batch"), group.column("bucket"), pa.array(back(sums[0]), pa.binary()),
@@ -236,7 +256,7 @@ def _unbundled(group: pa.Table):
     out = []
     for kind in (1, 2):
         held = sorted((r for r in rows if r["kind"] == kind), key=lambda r: r["bucket"])
-        out.append(tuple(np.frombuffer(b"".join(r[x] for r in held), np.uint32).astype(np.int64) for x in "ab"))
+        out.append(tuple(np.concatenate([loose(r[x], np.uint32) for r in held]).astype(np.int64) for x in "ab"))
     return b, *out
 
 
