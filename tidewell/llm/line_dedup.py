@@ -37,10 +37,11 @@ from tidewell.llm.rarity import COUNTS_DDL, counted, rarity_table
 
 BUCKETS = 1 << 20
 #: Entries of a list from which it is cut into blocks of that size.
-BLOCK = 20_000
+BLOCK = 100_000
 
 LINES = "k1 long, k2 long, n int, doc_id long, line int"
-ENTRIES = "token long, low int, high int, side int, k1 long, doc_id long, line int, n int, place int, bits_a long, bits_b long"
+#: ``list`` is the word and the pair of blocks, ``shape`` the size of the set, the word's place and the side.
+ENTRIES = "list long, k1 long, doc_id long, line int, shape long, bits_a long, bits_b long"
 CANDIDATES = "doc_id long, line int, other_id long, other_line int, found int"
 SETS = "doc_id long, line int, words binary"
 
@@ -65,7 +66,7 @@ def line_sets(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
     """Distinct word hashes of each line, ascending, and their offsets."""
     words = words_in(data, bounds)
     line = np.repeat(np.arange(len(bounds) - 1), words.counts)
-    order = np.lexsort((words.hashes, line))
+    order = np.argsort((line.astype(np.uint64) << np.uint64(40)) | (words.hashes >> np.uint64(24)))  # by line, then hash
     line, values = line[order], words.hashes[order]
     fresh = np.ones(len(line), bool)
     fresh[1:] = (line[1:] != line[:-1]) | (values[1:] != values[:-1])
@@ -126,7 +127,8 @@ class Prefixes:
         bit, half = one << ((values >> np.uint64(24)) & np.uint64(63)), (values >> np.uint64(30)) & one
         self.bits_a, self.bits_b = (sums_of(np.where(half == h, bit, np.uint64(0)), offsets, np.bitwise_xor)[lines] for h in (0, 1))
         line = np.repeat(np.arange(len(n)), n)
-        order = np.lexsort((values, ranks[(values & np.uint64(BUCKETS - 1)).astype(np.int64)], line))
+        rank = ranks[(values & np.uint64(BUCKETS - 1)).astype(np.int64)].astype(np.uint64)
+        order = np.argsort((line.astype(np.uint64) << np.uint64(40)) | (rank << np.uint64(32)) | (values >> np.uint64(32)))
         place = np.arange(len(order)) - offsets[line]
         wanted = np.full(len(n), 0)
         wanted[lines] = prefix_sizes(self.n, percent)
@@ -162,10 +164,13 @@ def _entries(ranks, blocks, percent: int, only: np.ndarray | None):
                 own = own[at]
                 side = np.where(own == other, 0, np.where(own < other, 1, 2)).astype(np.int32)
                 take = row[at]
-                yield batch_of(schema, [
-                    signed(tokens[at]), np.minimum(own, other).astype(np.int32), np.maximum(own, other).astype(np.int32), side,
-                    signed(p.k1[take]), p.ids[take], p.number[take].astype(np.int32), p.n[take].astype(np.int32),
-                    place[at].astype(np.int32), signed(p.bits_a[take]), signed(p.bits_b[take])])
+                own, other = np.minimum(own, other), np.maximum(own, other)
+                name = tokens[at]
+                cut = count[at] > 1
+                name[cut] = mix(name[cut] + mix((own[cut] * 65536 + other[cut]).astype(np.uint64)))
+                shape = (p.n[take] << 32) | (place[at] << 2) | side
+                yield batch_of(schema, [signed(name), signed(p.k1[take]), p.ids[take], p.number[take].astype(np.int32), shape,
+                                        signed(p.bits_a[take]), signed(p.bits_b[take])])
     return index
 
 
@@ -183,15 +188,14 @@ def passing(n: np.ndarray, place: np.ndarray, a: np.ndarray, b: np.ndarray, i: n
 def _compare(percent: int, every: np.ndarray | None):
     """Candidates from sorted entries: for each class the earliest per list, or all for the classes in ``every``."""
     schema = arrow_schema(CANDIDATES)
-    names = ("token", "low", "high", "side", "k1", "doc_id", "line", "n", "place", "bits_a", "bits_b")
+    names = ("list", "k1", "doc_id", "line", "shape", "bits_a", "bits_b")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in whole_groups(batches, names, 3):
-            token, low, high, side, k1, doc, line, n, place, a, b = columns
-            order = np.lexsort((line, doc, k1, n, high, low, token))
-            token, low, high, side, k1, doc, line, n, place, a, b = (x[order] for x in columns)
-            n, place = n.astype(np.int64), place.astype(np.int64)
-            group = np.cumsum(np.concatenate([[0], (token[1:] != token[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])]))
+        for columns in whole_groups(batches, names, 1):
+            order = np.lexsort((columns[3], columns[2], columns[1], columns[4] >> 32, columns[0]))
+            token, k1, doc, line, shape, a, b = (x[order] for x in columns)
+            n, place, side = shape >> 32, (shape & 0xFFFFFFFF) >> 2, shape & 3
+            group = np.cumsum(np.concatenate([[0], token[1:] != token[:-1]]))
             # Copies of a class from several batches: the earliest stays.
             fresh = np.ones(len(group), bool)
             fresh[1:] = (group[1:] != group[:-1]) | (k1[1:] != k1[:-1])
@@ -303,7 +307,7 @@ def similar_lines(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", te
 
     def candidates(only: np.ndarray | None, every: np.ndarray | None) -> DataFrame:
         entries = plain.mapInArrow(_entries(ranks, blocks, percent, only), ENTRIES)
-        return entries.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high").mapInArrow(
+        return entries.repartition("list").sortWithinPartitions("list").mapInArrow(
             _compare(percent, every), CANDIDATES)
 
     first = materialise(candidates(None, None), "candidates")
