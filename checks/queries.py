@@ -234,6 +234,25 @@ def raw_change_log(spark, sf_dir):
                       loaded_at=F.lit(LOADED_AT).cast("timestamp_ntz"), deduplicate=True)
 
 
+@query
+def load_unchanged(spark, sf_dir):
+    """Rows of three loads into the log: all, what changed, and nothing for an unchanged source."""
+    def history(log):
+        folded = scd.scd1(log, ["row_key_hash"], ["loaded_at"], op="change_op", exclude=["change_op"])
+        return folded.drop("batch_id", "loaded_at")
+
+    def load(source, known, batch, day):
+        return change_log(source, known, ORDER_MAP, ["order_id"], batch_id=batch,
+                          loaded_at=F.lit(LOADED_AT + timedelta(days=day)).cast("timestamp_ntz"))
+
+    today = table(spark, sf_dir, "orders")
+    path = scratch_path(spark, "log")
+    for day, (batch, source) in enumerate((("first", frames.orders_yesterday(spark, sf_dir)), ("second", today), ("third", today))):
+        known = history(spark.read.parquet(path)) if day else None
+        load(source, known, batch, day).write.mode("append").parquet(path)
+    return spark.read.parquet(path).groupBy("batch_id", "change_op").agg(F.count(F.lit(1)).alias("rows"))
+
+
 ORDER_MAP = [
     ColumnSpec("order_id", "o_orderkey", "bigint"),
     ColumnSpec("status", "o_orderstatus", "char(1)"),
@@ -479,7 +498,7 @@ def cluster_idle_peak(spark, sf_dir):
 
 @query
 def run_status_(spark, sf_dir):
-    return run_status(frames.task_runs(spark, sf_dir))
+    return run_status(frames.task_runs(spark, sf_dir), hidden="notify_teams")
 
 
 @query
@@ -512,13 +531,13 @@ KEY_TABLES = ("customer", "nation", "orders")
 
 @query
 def ucc_discovery(spark, sf_dir):
-    found = [keys.unique_sets_frame(spark, keys.find_unique_sets(table(spark, sf_dir, name), 2))
+    found = [keys.unique_sets_frame(spark, keys.find_unique_sets(table(spark, sf_dir, name)))
              .withColumn("table_name", F.lit(name)) for name in KEY_TABLES]
     return sets.union_by_name(*found)
 
 
 def _dependencies(spark, sf_dir, name):
-    return keys.dependencies_frame(spark, keys.find_dependencies(table(spark, sf_dir, name), 2))
+    return keys.dependencies_frame(spark, keys.find_dependencies(table(spark, sf_dir, name)))
 
 
 @query
@@ -530,7 +549,7 @@ def fd_discovery(spark, sf_dir):
 @query
 def key_ranking(spark, sf_dir):
     found = [
-        keys.rank_keys(keys.unique_sets_frame(spark, keys.find_unique_sets(table(spark, sf_dir, name), 2)),
+        keys.rank_keys(keys.unique_sets_frame(spark, keys.find_unique_sets(table(spark, sf_dir, name))),
                        _dependencies(spark, sf_dir, name)).withColumn("table_name", F.lit(name))
         for name in KEY_TABLES
     ]
@@ -539,7 +558,7 @@ def key_ranking(spark, sf_dir):
 
 @query
 def profile_keys(spark, sf_dir):
-    rows = [(name, *keys.recommend_key(table(spark, sf_dir, name), 2, 2).values()) for name in KEY_TABLES]
+    rows = [(name, *keys.recommend_key(table(spark, sf_dir, name)).values()) for name in KEY_TABLES]
     return spark.createDataFrame(rows, "table_name string, unique_columns string, primary_key string, message string")
 
 
@@ -558,7 +577,7 @@ def table_profile(spark, sf_dir):
                "empty": lambda: table(spark, sf_dir, "orders").where("false"),
                "missing": lambda: table(spark, sf_dir, "no_such_table")}
     found = profile.profile_tables(spark, readers, "main", "sales", "watermark", now=datetime(2024, 6, 1))
-    keyed = profile.profile_tables(spark, {"customer": readers["customer"]}, "main", "sales", "keys", key_size=2)
+    keyed = profile.profile_tables(spark, {"customer": readers["customer"]}, "main", "sales", "keys")
     return merge_upsert(found, keyed, ["catalog", "schema", "table_name"],
                         ["primary_key", "unique_columns", "key_message", "record_count"])
 

@@ -130,12 +130,15 @@ DURATIONS = f"""
           FROM ({QC_LOG}))"""
 
 
-def unique_ctes() -> str:
-    """One row per minimal unique set of up to two columns, without nulls."""
+def subsets(columns, least: int) -> list[tuple[str, ...]]:
+    return [group for size in range(least, len(columns) + 1) for group in combinations(columns, size)]
+
+
+def unique_ctes(tables: dict[str, list[str]] = SF_TABLES) -> str:
+    """One row per minimal unique set of columns, without nulls."""
     parts = []
-    for name, columns in SF_TABLES.items():
-        singles = [(column,) for column in columns]
-        for place, group in enumerate(singles + list(combinations(columns, 2))):
+    for name, columns in tables.items():
+        for place, group in enumerate(subsets(columns, 1)):
             nulls = " OR ".join(f"{c} IS NULL" for c in group)
             listed = ", ".join(group)
             parts.append(
@@ -147,15 +150,14 @@ def unique_ctes() -> str:
     found AS ({' UNION ALL '.join(parts)}),
     uccs AS (SELECT * FROM found f WHERE NOT EXISTS (
         SELECT 1 FROM found g WHERE g.table_name = f.table_name AND g.size < f.size
-        AND list_contains(string_split(f.columns, ','), g.columns)))"""
+        AND list_has_all(string_split(f.columns, ','), string_split(g.columns, ','))))"""
 
 
 def dependency_ctes() -> str:
-    """One row per minimal dependency with a left side of up to two columns."""
+    """One row per minimal dependency."""
     parts = []
     for name, columns in SF_TABLES.items():
-        lefts = [()] + [(column,) for column in columns] + list(combinations(columns, 2))
-        for left in lefts:
+        for left in subsets(columns, 0):
             for right in columns:
                 if right in left:
                     continue
@@ -168,7 +170,7 @@ def dependency_ctes() -> str:
     holds AS ({' UNION ALL '.join(parts)}),
     fds AS (SELECT * FROM holds f WHERE NOT EXISTS (
         SELECT 1 FROM holds g WHERE g.table_name = f.table_name AND g.rhs = f.rhs AND g.size < f.size
-        AND (g.lhs = '' OR list_contains(string_split(f.lhs, ','), g.lhs))))"""
+        AND (g.lhs = '' OR list_has_all(string_split(f.lhs, ','), string_split(g.lhs, ',')))))"""
 
 
 RANKED = """
@@ -300,6 +302,12 @@ SQL: dict[str, str] = {
              t AS ({hashed(ORDER_MAP_BODY.format(YESTERDAY), md5_of(ORDER_MAP_TEXTS[0]), ORDER_MAP_TEXTS)})
         SELECT *, 'job-1' AS batch_id, {LOADED} AS loaded_at
         FROM ({INSERTS} UNION ALL {UPDATES} UNION ALL {DELETES})""",
+    "load_unchanged": """
+        SELECT 'first' AS batch_id, 'INSERT' AS change_op, count(*) AS rows FROM orders HAVING count(*) > 0
+        UNION ALL SELECT 'second', op, count(*) FROM orders, (VALUES ('INSERT'), ('DELETE')) v(op)
+        WHERE o_orderpriority = '1-URGENT' GROUP BY op
+        UNION ALL SELECT 'second', 'UPDATE', count(*) FROM orders
+        WHERE o_orderpriority <> '1-URGENT' AND o_orderdate >= TIMESTAMP '2000-01-01' HAVING count(*) > 0""",
     "union_by_name": f"SELECT {ORDERS} FROM orders UNION ALL SELECT {ORDERS} FROM ({YESTERDAY})",
     "dedup_key": "SELECT * FROM documents QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1",
     "dedup_exclude": "SELECT * FROM documents "

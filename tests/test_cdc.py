@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+from datetime import datetime
 from collections import Counter
 
 import pytest
 
+from tidewell.operators.scd import scd1
 from tidewell.functions.hashing import add_row_hashes
 from tidewell.operators.cdc import classify_changes, initial_changes
 from tidewell.operators.transforms import ColumnSpec
@@ -68,13 +70,19 @@ def test_applying_changes_rebuilds_the_source(spark):
 SPECS = [ColumnSpec("id", "k", "bigint"), ColumnSpec("v", "v", "string")]
 
 
-def test_change_log_first_and_next_load(spark, path):
-    first = change_log(frame(spark, TARGET), None, SPECS, ["id"], batch_id="b1")
-    first.write.parquet(path("raw"))
-    raw = spark.read.parquet(path("raw"))
-    assert {r["change_op"] for r in raw.collect()} == {"INSERT"}
-    second = change_log(frame(spark, SOURCE), raw, SPECS, ["id"], batch_id="b2", deduplicate=True, dedup_key=[""],
-                        staged=True)
-    assert {(r["change_op"], r["id"]) for r in second.collect()} == {
-        ("UPDATE", 2), ("INSERT", 3), ("INSERT", None), ("DELETE", 4)}
-    assert second.columns[-5:] == ["row_key_hash", "row_hash", "change_op", "batch_id", "loaded_at"]
+def test_loads_compare_with_the_folded_history(spark, path):
+    def load(source, history, batch, day):
+        log = change_log(frame(spark, source), history, SPECS, ["id"], batch_id=batch, loaded_at=datetime(2024, 1, day),
+                         deduplicate=True, dedup_key=[""], staged=True)
+        log.write.mode("append").parquet(path("log"))
+        return {(r["change_op"], r["id"]) for r in spark.read.parquet(path("log")).where(f"batch_id = '{batch}'").collect()}
+
+    def history():
+        log = spark.read.parquet(path("log"))
+        return scd1(log, ["row_key_hash"], ["loaded_at"], op="change_op", exclude=["change_op"]).drop("batch_id", "loaded_at")
+
+    assert {op for op, _ in load(TARGET, None, "b1", 1)} == {"INSERT"}
+    assert load(SOURCE, history(), "b2", 2) == {("UPDATE", 2), ("INSERT", 3), ("INSERT", None), ("DELETE", 4)}
+    assert load(SOURCE, history(), "b3", 3) == set() and load(SOURCE, history(), "b4", 4) == set()
+    with pytest.raises(ValueError, match="folded history"):
+        change_log(frame(spark, SOURCE), spark.read.parquet(path("log")), SPECS, ["id"])

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from decimal import Decimal
 from datetime import datetime
 from itertools import combinations
 
@@ -68,10 +69,12 @@ def test_recommendation(spark):
     assert keys.recommend_key(binary)["primary_key"] == "id"
 
 
-def test_sampled_proposals_are_checked_on_all_rows(spark):
-    df = spark.range(0, 100, 1, 1).selectExpr("id", "id % 50 AS half", "1 AS one")
-    found = keys.recommend_key(df, row_limit=20)
-    assert found["unique_columns"] == "id; half" and found["primary_key"] == "id"
+def test_keys_of_any_size_are_found(spark):
+    wide = spark.range(81).selectExpr("id % 3 AS a", "int(id / 3) % 3 AS b", "int(id / 9) % 3 AS c", "int(id / 27) AS d")
+    assert keys.find_unique_sets(wide) == [("a", "b", "c", "d")]
+    assert keys.recommend_key(wide)["primary_key"] == "a,b,c,d"
+    pairs = spark.range(400).selectExpr("int(id / 20) AS a", "id % 20 AS b")
+    assert keys.recommend_key(pairs)["primary_key"] == "a,b"
 
 
 def test_lineitem_has_no_small_key(spark):
@@ -191,12 +194,35 @@ def test_alert_operands(spark):
     assert found["4"]["alert_result"] == "f = True" and found["7"]["alert_result"] is None
 
 
+def test_alerts_are_exact(spark):
+    result = spark.sql("SELECT 9007199254740993 AS big, 2e15 AS whole, 1.50BD AS price, 0.5D AS half")
+    values = first_row_values("q", result)
+    alerts = spark.createDataFrame([
+        ("1", "q", "big", "EQUAL", Decimal(9007199254740992), None, None, False), ("2", "q", "big", "EQUAL", Decimal(9007199254740993), None, None, False),
+        ("3", "q", "whole", "GREATER_THAN", Decimal(1), None, None, False), ("4", "q", "price", "EQUAL", Decimal("1.5"), None, None, False),
+        ("5", "q", "half", "LESS_THAN", Decimal(100), None, None, False)],
+        "alert_id string, query_id string, column_name string, operator string, number_operand decimal(38,9), text_operand string, flag_operand boolean, "
+        "empty_triggers boolean")
+    found = {r["alert_id"]: r for r in evaluate_alerts(alerts, values).collect()}
+    assert {k for k, r in found.items() if r["triggered"]} == {"2", "3", "4", "5"}
+    assert found["1"]["alert_result"] == "big = 9007199254740993" and found["1"]["condition_text"] == "big = 9007199254740992"
+    assert found["3"]["alert_result"] == "whole = 2000000000000000" and found["4"]["alert_result"] == "price = 1.5"
+    assert found["5"]["alert_result"] == "half = 0.5" and found["5"]["condition_text"] == "half < 100"
+    with pytest.raises(Exception, match="several values"):
+        evaluate_alerts(alerts, values.unionByName(values)).collect()
+
+
+def test_compute_ids(spark):
+    tasks = spark.sql("SELECT * FROM VALUES (1, array('c1', 'c2')), (2, array('c2')), (3, NULL) AS t(task, compute_ids)")
+    assert [r["task"] for r in usage.used_compute(tasks, "c1").collect()] == [1]
+
+
 def test_run_status_verdict(spark):
     tasks = spark.createDataFrame([
         (1, "load", "SUCCESS", 10, 61_000), (1, "notify_teams_x", "FAILED", 20, 1_000), (1, "open", None, None, 0),
         (2, "load", "CANCELED", 5, 0)],
         "run_id int, task_key string, result_state string, end_time int, run_duration bigint")
-    found = [tuple(r) for r in run_status(tasks).collect()]
+    found = [tuple(r) for r in run_status(tasks, hidden="notify_teams").collect()]
     assert found == [(1, "load", "SUCCESS", "Good", 10, "01:01", True), (1, "open", "", "Default", None, "00:00", True),
                      (2, "load", "CANCELED", "Warning", 5, "00:00", False)]
 

@@ -19,10 +19,19 @@ SIGNS = {
 }
 
 
+#: Type in which integers and decimals are compared and shown: exact, no rounding through doubles.
+EXACT = "decimal(38,9)"
+
+
 def number_text(value: Column) -> Column:
-    """A number as shown in messages: whole values without decimals."""
-    whole = (value == F.floor(value)) & (F.abs(value) < 1e15)
-    return F.when(whole, F.floor(value).cast("string")).otherwise(value.cast("string"))
+    """A number as shown in messages: whole values of any size without decimals."""
+    whole = value.try_cast("decimal(38,0)")
+    return F.when(whole == value, whole.cast("string")).otherwise(value.cast("string"))
+
+
+def exact_text(value: Column) -> Column:
+    """A decimal as shown in messages, without trailing zeros."""
+    return F.regexp_replace(value.cast("string"), r"\.0*$|(\.\d*?)0+$", "$1")
 
 
 def flag_text(value: Column) -> Column:
@@ -32,17 +41,20 @@ def flag_text(value: Column) -> Column:
 def first_row_values(query_id: str, result: DataFrame) -> DataFrame:
     """The first row of a query result, one output row per column.
 
-    ``query_id, column_name, number_value, text_value, flag_value``; no rows when
-    the result is empty.
+    ``query_id, column_name, exact_value, number_value, text_value, flag_value``: integers
+    and decimals are exact values, floating numbers are doubles.  No rows when the
+    result is empty.
     """
     def entry(field: T.StructField) -> Column:
         column = F.col(f"`{field.name}`")
-        number = isinstance(field.dataType, T.NumericType)
+        exact = isinstance(field.dataType, (T.IntegralType, T.DecimalType))
+        number = isinstance(field.dataType, T.FractionalType) and not exact
         flag = isinstance(field.dataType, T.BooleanType)
         return F.struct(
             F.lit(field.name).alias("column_name"),
+            (column if exact else F.lit(None)).cast(EXACT).alias("exact_value"),
             (column.cast("double") if number else F.lit(None).cast("double")).alias("number_value"),
-            (F.lit(None).cast("string") if number or flag else column.cast("string")).alias("text_value"),
+            (F.lit(None).cast("string") if exact or number or flag else column.cast("string")).alias("text_value"),
             (column if flag else F.lit(None).cast("boolean")).alias("flag_value"),
         )
 
@@ -55,12 +67,17 @@ def evaluate_alerts(alerts: DataFrame, values: DataFrame) -> DataFrame:
 
     ``alerts``: ``alert_id, query_id, column_name, operator``, the operand as one
     of ``number_operand, text_operand, flag_operand`` and ``empty_triggers``.
-    ``values``: as :func:`first_row_values`, one row per query and column.  A
+    ``values``: as :func:`first_row_values`, one row per query and column; a second
+    one is an error.  Exact values are compared as decimals, with the operand in the
+    same type; ``exact_value`` may be left out.  A
     query with no rows takes ``empty_triggers``.  A null value triggers only
     ``IS_NULL``, or ``EQUAL`` when the alert has no operand either.
     """
+    if "exact_value" not in values.columns:
+        values = values.withColumn("exact_value", F.lit(None).cast(EXACT))
     keyed = drop_apart(apart(values, ["query_id", "column_name"]).agg(
-        F.first(F.struct("number_value", "text_value", "flag_value")).alias("v")))
+        F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit("several values of one query and column"))).otherwise(
+            F.first(F.struct("exact_value", "number_value", "text_value", "flag_value"))).alias("v")))
     joined = alerts.join(keyed, ["query_id", "column_name"], "left")
     v = F.col("v")
 
@@ -72,17 +89,21 @@ def evaluate_alerts(alerts: DataFrame, values: DataFrame) -> DataFrame:
                 .when(F.col("operator") == "LESS_THAN", value < operand)
                 .when(F.col("operator") == "LESS_THAN_OR_EQUAL", value <= operand))
 
-    missing = v["number_value"].isNull() & v["text_value"].isNull() & v["flag_value"].isNull()
+    missing = v["exact_value"].isNull() & v["number_value"].isNull() & v["text_value"].isNull() & v["flag_value"].isNull()
     met = (F.when(F.col("operator") == "IS_NULL", missing)
-           .when(F.col("number_operand").isNotNull(), compare(v["number_value"], F.col("number_operand")))
+           .when(F.col("number_operand").isNotNull() & v["exact_value"].isNotNull(),
+                 compare(v["exact_value"], F.col("number_operand").cast(EXACT)))
+           .when(F.col("number_operand").isNotNull(), compare(v["number_value"], F.col("number_operand").cast("double")))
            .when(F.col("flag_operand").isNotNull(), compare(v["flag_value"], F.col("flag_operand")))
            .when(F.col("text_operand").isNotNull(), compare(v["text_value"], F.col("text_operand")))
            .when(F.col("operator") == "EQUAL", missing)
            .when(F.col("operator") == "NOT_EQUAL", ~missing))
     triggered = F.when(v.isNull(), F.col("empty_triggers")).otherwise(F.coalesce(met, F.lit(False)))
 
-    shown = F.coalesce(number_text(v["number_value"]), flag_text(v["flag_value"]), v["text_value"])
-    operand = F.coalesce(number_text(F.col("number_operand")), flag_text(F.col("flag_operand")),
+    decimal_operand = isinstance(alerts.schema["number_operand"].dataType, (T.IntegralType, T.DecimalType))
+    shown = F.coalesce(exact_text(v["exact_value"]), number_text(v["number_value"]), flag_text(v["flag_value"]), v["text_value"])
+    number = F.col("number_operand")
+    operand = F.coalesce(exact_text(number.cast(EXACT)) if decimal_operand else number_text(number), flag_text(F.col("flag_operand")),
                          F.col("text_operand"))
     sign = F.lit(None).cast("string")
     for name, symbol in SIGNS.items():

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from functools import reduce
-from itertools import combinations
+from itertools import combinations, islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,6 +79,13 @@ def key_checks(df: DataFrame, candidates: Sequence[Sequence[str]]) -> DataFrame:
     return reduce(DataFrame.unionByName, [key_check(df, columns) for columns in candidates])
 
 
+def _chunks(items: Iterable, size: int = BATCH) -> Iterable[list]:
+    """Lists of up to ``size`` items of a stream, so that candidates are never all listed."""
+    stream = iter(items)
+    while chunk := list(islice(stream, size)):
+        yield chunk
+
+
 def _batches(items: list, size: int = BATCH) -> Iterable[list]:
     return (items[i:i + size] for i in range(0, len(items), size))
 
@@ -101,10 +108,11 @@ def _comparable(df: DataFrame) -> DataFrame:
     return drop_types(df, T.BinaryType, T.MapType)
 
 
-def find_unique_sets(df: DataFrame, max_size: int = 3) -> list[Columns]:
-    """Minimal column sets that are unique over the whole table.
+def find_unique_sets(df: DataFrame, max_size: int | None = None) -> list[Columns]:
+    """Minimal column sets that are unique over the whole table, of any size unless ``max_size`` asks for less.
 
-    Binary and map columns and columns with nulls take no part.
+    Binary and map columns and columns with nulls take no part.  Sets are made from
+    the ones of one column less that are not unique, so the search ends where all are.
     """
     df = _comparable(df)
     counts = df.agg(F.count(F.lit(1)), *[F.count(f"`{name}`") for name in df.columns]).first()
@@ -114,19 +122,25 @@ def find_unique_sets(df: DataFrame, max_size: int = 3) -> list[Columns]:
     columns = [name for name, filled in zip(df.columns, counts[1:]) if filled == total]
     unique: list[Columns] = []
     single: dict[str, int] = {}
-    for size in range(1, max_size + 1):
-        candidates = [
-            group for group in combinations(columns, size)
-            if not any(set(known) <= set(group) for known in unique) and _can_be_unique(group, single, total)
-        ]
-        if not candidates:
-            continue
-        estimates = _distinct_estimates(df, candidates)
-        if size == 1:
-            single = {group[0]: count for group, count in estimates.items()}
-        likely = [group for group in candidates if estimates[group] >= total * (1 - TOLERANCE)]
-        confirmed = _unique_among(df, likely)
-        unique.extend(group for group in likely if group in confirmed)
+    for size in range(1, min(max_size or len(columns), len(columns)) + 1):
+        open_sets = (group for group in combinations(columns, size)
+                     if not any(set(known) <= set(group) for known in unique))
+        left = False
+        found: list[Columns] = []
+        for batch in _chunks(open_sets):
+            left = True
+            candidates = [group for group in batch if _can_be_unique(group, single, total)]
+            if not candidates:
+                continue
+            estimates = _distinct_estimates(df, candidates)
+            if size == 1:
+                single.update({group[0]: count for group, count in estimates.items()})
+            likely = [group for group in candidates if estimates[group] >= total * (1 - TOLERANCE)]
+            confirmed = _unique_among(df, likely)
+            found.extend(group for group in likely if group in confirmed)
+        unique.extend(found)
+        if not left:
+            break
     return unique
 
 
@@ -178,8 +192,8 @@ def _unique_among(df: DataFrame, candidates: list[Columns]) -> set[Columns]:
     return found
 
 
-def find_dependencies(df: DataFrame, max_size: int = 2) -> list[tuple[Columns, str]]:
-    """Minimal functional dependencies ``(left columns, right column)``.
+def find_dependencies(df: DataFrame, max_size: int | None = None) -> list[tuple[Columns, str]]:
+    """Minimal functional dependencies ``(left columns, right column)`` of any size unless ``max_size`` asks for less.
 
     Nulls equal each other.  A constant column depends on the empty set.
     """
@@ -192,13 +206,15 @@ def find_dependencies(df: DataFrame, max_size: int = 2) -> list[tuple[Columns, s
     def joined(left: Columns, right: str) -> Columns:
         return tuple(name for name in names if name == right or name in left)
 
-    for size in range(0, max_size + 1):
+    for size in range(0, min(len(names) - 1 if max_size is None else max_size, len(names) - 1) + 1):
         open_sides = {
             left: [name for name in names
                    if name not in left and not any(set(known) <= set(left) for known in found[name])]
             for left in combinations(names, size)
         }
         open_sides = {left: rights for left, rights in open_sides.items() if rights}
+        if not open_sides:
+            break
         estimates.update(_distinct_estimates(df, sorted(open_sides.keys() - estimates.keys())))
         # Everything depends on a unique set, and uniqueness is cheaper to check.  A nearly
         # unique set cannot grow enough by another column for a sketch to tell.
@@ -239,29 +255,22 @@ def rank_keys(unique: DataFrame, dependencies: DataFrame) -> DataFrame:
     return counted.select("columns", "uses", (F.col("uses") == top).alias("best"))
 
 
-def recommend_key(df: DataFrame, max_size: int = 3, dependency_size: int = 2,
-                  row_limit: int | None = None) -> dict[str, str]:
-    """``unique_columns, primary_key, message`` for a table.
+def recommend_key(df: DataFrame, max_size: int | None = None, dependency_size: int | None = None) -> dict[str, str]:
+    """``unique_columns, primary_key, message`` for a table, from a search over all rows.
 
     A single unique set is the key.  Among several, the ones most used as a
     dependency's left side are proposed; more than one proposal needs a person.
-    ``row_limit`` searches a sample of that many rows; what it proposes is still
-    checked on the whole table.
     """
     if df.limit(1).isEmpty():
         return {"unique_columns": "", "primary_key": "", "message": EMPTY_TABLE}
-    searched = df if row_limit is None else df.limit(row_limit)
-    unique = find_unique_sets(searched, max_size)
+    unique = find_unique_sets(df, max_size)
     chosen = unique
     if len(unique) > 1:
         spark = df.sparkSession
-        dependencies = dependencies_frame(spark, find_dependencies(searched, dependency_size))
+        dependencies = dependencies_frame(spark, find_dependencies(df, dependency_size))
         best = {row["columns"] for row in
                 rank_keys(unique_sets_frame(spark, unique), dependencies).where("best").collect()}
         chosen = [group for group in unique if ",".join(group) in best]
-    if row_limit is not None and chosen:
-        valid = {row["columns"] for row in key_checks(df, chosen).where("is_key").collect()}
-        chosen = [group for group in chosen if ",".join(group) in valid]
     message = NO_KEY if not chosen else ONE_KEY if len(chosen) == 1 else MANY_KEYS
     return {"unique_columns": "; ".join(",".join(group) for group in unique),
             "primary_key": "; ".join(",".join(group) for group in chosen), "message": message}

@@ -25,9 +25,6 @@ NO_NAME = "No column found which is matching with priority column list. Hence ma
 NO_VALID = "No valid timestamp columns found after evaluation."
 SAME_MEAN = "Columns {} have the same highest mean timestamp: {}. Manual inspection required."
 
-#: Statistics cover at most this many leading columns.
-STATS_COLUMNS = 32
-
 PROFILE_SCHEMA = (
     "catalog string, schema string, table_name string, primary_key string, unique_columns string, "
     "key_message string, watermark_column string, watermark_message string, record_count bigint"
@@ -87,13 +84,14 @@ def find_watermark_column(df: DataFrame, now: datetime | None = None) -> tuple[s
     return NONE_FOUND, SAME_MEAN.format(", ".join(tied), mean)
 
 
-def stats_columns(schema: T.StructType, required: Sequence[str] = (), exclude: Sequence[str] = ()) -> list[str]:
-    """Leading columns worth min/max statistics, plus the required ones.
+def stats_columns(schema: T.StructType, required: Sequence[str] = (), exclude: Sequence[str] = (),
+                  leading_columns: int | None = None) -> list[str]:
+    """Columns worth min/max statistics, plus the required ones.
 
-    The first columns after exclusions are taken and boolean, binary and map
-    columns among them left out.
+    Boolean, binary and map columns are left out.  ``leading_columns`` takes only so many
+    columns after exclusions, as table layouts with a limit on indexed columns do.
     """
-    leading = [field for field in schema.fields if field.name not in exclude][:STATS_COLUMNS]
+    leading = [field for field in schema.fields if field.name not in exclude][:leading_columns]
     chosen = [f.name for f in leading if not isinstance(f.dataType, (T.BooleanType, T.BinaryType, T.MapType))]
     return chosen + [name for name in required if name not in chosen]
 
@@ -119,7 +117,7 @@ def column_stats(df: DataFrame, by: Column | str | None = None, columns: Sequenc
 
 def profile_tables(spark: SparkSession, tables: Mapping[str, Callable[[], DataFrame]], catalog: str, schema: str,
                    what: str = "keys", declared: DataFrame | None = None, now: datetime | None = None,
-                   key_size: int = 3, row_limit: int | None = None, concurrency: int = CONCURRENCY) -> DataFrame:
+                   key_size: int | None = None, concurrency: int = CONCURRENCY) -> DataFrame:
     """One report row per table; empty and unreadable tables give none.
 
     ``what`` is ``keys`` or ``watermark``.  Declared keys, where known, are used
@@ -129,7 +127,8 @@ def profile_tables(spark: SparkSession, tables: Mapping[str, Callable[[], DataFr
         raise ValueError(f"what must be 'keys' or 'watermark', not {what!r}")
     known: dict[str, list[str]] = {}
     if declared is not None:
-        for row in declared.orderBy("table_name", "ordinal_position").collect():
+        asked = declared.where(F.upper("table_name").isin([name.upper() for name in tables]))
+        for row in asked.orderBy("table_name", "ordinal_position").collect():
             known.setdefault(row["table_name"], []).append(row["column_name"])
 
     def report(item: tuple[str, Callable[[], DataFrame]]) -> tuple | None:
@@ -144,7 +143,7 @@ def profile_tables(spark: SparkSession, tables: Mapping[str, Callable[[], DataFr
                 return catalog, schema, name, None, None, None, column, message, count
             if name.upper() in known:
                 return catalog, schema, name, ",".join(known[name.upper()]), None, None, None, None, count
-            found = recommend_key(df, key_size, row_limit=row_limit)
+            found = recommend_key(df, key_size, key_size)
             return (catalog, schema, name, found["primary_key"], found["unique_columns"], found["message"],
                     None, None, count)
         except (PySparkException, OSError):

@@ -20,22 +20,25 @@ def hashed_source(source: DataFrame, specs: Sequence[ColumnSpec], keys: Sequence
     return add_row_hashes(transform_map(source, specs), keys, strict=strict)
 
 
-def change_log(source: DataFrame, target: DataFrame | None, specs: Sequence[ColumnSpec], keys: Sequence[str] = (),
+def change_log(source: DataFrame, history: DataFrame | None, specs: Sequence[ColumnSpec], keys: Sequence[str] = (),
                incremental: bool = False, batch_id: str = "", loaded_at: datetime | None = None,
                dedup_key: Sequence[str] | None = None, dedup_exclude: Sequence[str] | None = None,
                deduplicate: bool = False, strict: bool = False, staged: bool = False) -> DataFrame:
     """Change rows with hashes, operation and lineage, ready to append.
 
-    ``target`` is the table the log feeds, with its hash columns; None on the
-    first load.  The comparison reads the source twice.  ``staged`` first writes
+    ``history`` is the table the log is folded into, with its hash columns and, if it
+    keeps versions, their validity; None on the first load.  The log itself is refused: it still
+    holds replaced and deleted rows, which would be found again by every load.  The comparison reads the source twice.  ``staged`` first writes
     the hashed rows to the shared scratch folder: for a query against a live
     database, or where hashing twice costs more than the copy.
     """
+    if history is not None and "change_op" in history.columns:
+        raise ValueError("compare with the folded history, not with the change log")
     hashed = stage(hashed_source(source, specs, keys, strict), enabled=staged)
-    if target is None:
+    if history is None:
         changes = initial_changes(hashed)
     else:
-        changes = classify_changes(hashed, current_rows(target), keyed=any(k.strip() for k in keys),
+        changes = classify_changes(hashed, current_rows(history), keyed=any(k.strip() for k in keys),
                                    incremental=incremental)
     if deduplicate:
         changes = dedup(changes, dedup_key, dedup_exclude)

@@ -23,7 +23,6 @@ STATE_COLOURS = {
     "UPSTREAM_FAILED": "Default",
 }
 ERROR_STATES = ("FAILED", "MAXIMUM_CONCURRENT_RUNS_REACHED", "TIMEDOUT")
-NOTIFIER_MARK = "notify_teams"
 
 
 def state_colour(state: Column) -> Column:
@@ -33,14 +32,15 @@ def state_colour(state: Column) -> Column:
     return F.coalesce(colour, F.lit("Default"))
 
 
-def run_status(tasks: DataFrame, run: str = "run_id", hidden: str = NOTIFIER_MARK) -> DataFrame:
+def run_status(tasks: DataFrame, run: str = "run_id", hidden: str | None = None) -> DataFrame:
     """Tasks of each run ordered by end, unfinished last, with colour and run verdict.
 
-    Tasks whose key contains ``hidden`` are not listed but count for the verdict.
+    Tasks whose key contains ``hidden``, such as notifiers, are not listed but count for the verdict.
     """
     failed = drop_apart(apart(tasks, [run]).agg(
         F.coalesce(F.bool_or(F.col("result_state").isin(*ERROR_STATES)), F.lit(False)).alias("run_has_errors")))
-    listed = tasks.where(~F.col("task_key").contains(hidden)).join(failed, run)
+    shown = tasks if hidden is None else tasks.where(~F.col("task_key").contains(hidden))
+    listed = shown.join(failed, run)
     return listed.select(
         run, "task_key", F.coalesce("result_state", F.lit("")).alias("status"),
         state_colour(F.col("result_state")).alias("colour"), "end_time",

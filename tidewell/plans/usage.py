@@ -34,6 +34,11 @@ def _restricted(samples: DataFrame, hours: tuple[int, int] | None, cluster_id: s
     return samples
 
 
+def used_compute(tasks: DataFrame, compute_id: str, column: str = "compute_ids") -> DataFrame:
+    """Task runs whose array of compute ids holds one id."""
+    return tasks.where(F.array_contains(F.col(column), compute_id))
+
+
 def clip_intervals(samples: DataFrame, hour: int) -> DataFrame:
     """End times cut at a full hour of the day each sample started."""
     return samples.withColumn("end_time", clipped_end(F.col("start_time"), F.col("end_time"), hour))
