@@ -51,6 +51,19 @@ def fold(doc_id: str, modulus: int):
     return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(modulus))
 
 
+def bounded_sample(ids: DataFrame, column: str, size: int) -> DataFrame:
+    """The ``size`` ids with the smallest hashes.
+
+    A bound on the hash, from the number of rows, leaves little more than the sample, so that
+    what meets in the final sort does not grow with the table.
+    """
+    rows = ids.count()
+    share = min(1.0, (1.5 * size + 1000) / max(rows, 1))
+    hashed = F.xxhash64(F.col(column))
+    few = ids if share >= 1 else ids.where(hashed < int(-2.0 ** 63 + share * 2.0 ** 64))
+    return few.orderBy(hashed, column).limit(size)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each piece holds about ``limit`` bytes of ``column``."""
     sizes = np.nan_to_num(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False).astype(float))

@@ -28,7 +28,7 @@ from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import materialise
+from tidewell.llm.common import bounded_sample, materialise
 from tidewell.llm.quality_crf import logistic
 
 #: Documents whose paragraphs stand for ordinary text, size of the vocabulary, strength and mix of the penalty.
@@ -133,8 +133,9 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Model:
     """Train on the notices and on paragraphs of the bounded sample."""
     spark = docs.sparkSession
     families = ["none", *sorted(NOTICES)]
-    sample = docs.select(F.col(doc_id), F.col(text)).where(F.col(text).isNotNull()).orderBy(F.xxhash64(F.col(doc_id).cast("string")), F.col(doc_id)).limit(TRAIN_DOCS)
-    plain = paragraphs(sample, doc_id, text).where("content rlike '\\\\p{L}'").select(F.monotonically_increasing_id().alias("key"), words_of(F.col("content")).alias("words"))
+    ids = bounded_sample(docs.select(F.col(doc_id).cast("long").alias("key")).where("key is not null"), "key", TRAIN_DOCS).distinct()
+    sample = docs.select(F.col(doc_id).cast("long").alias("key"), F.col(text).alias("sampled")).join(F.broadcast(ids), "key")
+    plain = paragraphs(sample, "key", "sampled").where("content rlike '\\\\p{L}'").select(F.monotonically_increasing_id().alias("key"), words_of(F.col("content")).alias("words"))
     plain = materialise(plain, "licence-sample")
     like = template_shares(plain, spark).where("share >= 0.5").select("key").distinct()
     ordinary = plain.join(like, "key", "left_anti").select(F.lit(0.0).alias("label"), "words", F.lit(1.0).alias("weight"))

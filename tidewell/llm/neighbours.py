@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import arrow_schema, batch_of, materialise, packed
+from tidewell.llm.common import arrow_schema, batch_of, bounded_sample, materialise, packed
 
 #: Vectors the index is learned on, neighbours in its graph, recall wanted on it.
 SAMPLE, LINKS, RECALL = 8192, 10, 0.97
@@ -239,7 +239,9 @@ def build_index(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "em
         return Index(np.zeros((1, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1), 1), 1
     dimension = sizes[0]["size"]
     total = sizes[0]["count"]
-    sample = rows.where(F.size("embedding") == dimension).orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("embedding").toArrow()
+    whole = rows.where(F.size("embedding") == dimension)
+    ids = bounded_sample(whole.select("vec_id"), "vec_id", SAMPLE).distinct()
+    sample = whole.join(F.broadcast(ids), "vec_id").orderBy("vec_id").limit(SAMPLE).select("embedding").toArrow()
     _, x = usable(sample.column("embedding").combine_chunks(), dimension)
     x = np.unique(x, axis=0) if len(x) else x  # much repeated vectors count once in the graph
     parts = int(np.clip(2 ** round(np.log2(max(total / PART_ROWS, 1))), LEAST_PARTS, MOST_PARTS))

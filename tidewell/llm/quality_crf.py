@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import arrow_schema, batch_of, bytes_of, fold, packed, slices, strings, words_in
+from tidewell.llm.common import arrow_schema, batch_of, bounded_sample, bytes_of, fold, packed, slices, strings, words_in
 
 #: Documents the field is trained on, at most; optimiser steps; penalty on weights.
 TRAIN_DOCS, STEPS, PENALTY = 3000, 60, 0.3
@@ -215,7 +215,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     agreed = labels.select(F.col(doc_id).cast("long").alias("key"), F.col(label).cast("int").alias("label")).where(
         "key is not null and label is not null").groupBy("key").agg(
         F.min("label").alias("label"), F.max("label").alias("most")).where("label = most").drop("most")
-    sample = agreed.orderBy(F.xxhash64("key"), "key").limit(TRAIN_DOCS)
+    sample = bounded_sample(agreed, "key", TRAIN_DOCS)
     texts = docs.select(F.col(doc_id).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     rows = texts.join(F.broadcast(sample), "key").select("label", "text").mapInArrow(
         _chains, "label int, numbers binary, sizes binary").collect()

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import LOWER, arrow_schema, batch_of, fold, mix, packed, powers, signed, slices, strings, words_of
+from tidewell.llm.common import LOWER, arrow_schema, batch_of, bounded_sample, fold, mix, packed, powers, signed, slices, strings, words_of
 from tidewell.llm.quality_crf import logistic
 
 TRAIN_DOCS, LEXICON = 12000, 20000
@@ -186,7 +186,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     agreed = labels.select(F.col(doc_id).cast("long").alias("key"), F.col(label).cast("int").alias("label")).where(
         "key is not null and label is not null").groupBy("key").agg(
         F.min("label").alias("label"), F.max("label").alias("most")).where("label = most").drop("most")
-    sample = agreed.orderBy(F.xxhash64("key"), "key").limit(TRAIN_DOCS)
+    sample = bounded_sample(agreed, "key", TRAIN_DOCS)
     rows = docs.select(F.col(doc_id).cast("long").alias("key"), F.col(text).cast("string").alias("text")).join(
         F.broadcast(sample), "key").select(F.col("key").alias("doc_id"), F.lit(False).alias("held_out"), "label", "text")
     # Copies share their lines: each distinct line counts once per label, or copied words would look telling.
