@@ -25,7 +25,7 @@ from tidewell.operators.transforms import (
     select_columns,
     transform_map,
 )
-from tidewell.plans import keys, profile, reconcile, usage
+from tidewell.plans import keys, loads, profile, reconcile, usage
 from tidewell.plans.alerts import evaluate_alerts
 from tidewell.plans.raw_load import change_log
 from tidewell.plans.runs import freshness, run_status
@@ -320,38 +320,32 @@ def merge_upsert_(spark, sf_dir):
     return merge_upsert(target, updates, ["catalog", "table_id"], ["primary_key", "record_count"])
 
 
-def _three_commits(spark, sf_dir):
-    """Orders loaded in three commits, each bringing later ones."""
-    store = VersionedStore(spark, scratch_path(spark, "orders-store"), ["o_orderkey"], buckets=4)
-    orders = table(spark, sf_dir, "orders")
-    day = F.col("o_orderdate")
-    first, second = F.lit("1996-01-01").cast("timestamp_ntz"), F.lit("1998-01-01").cast("timestamp_ntz")
-    parts = [orders.where(day < first), orders.where((day >= first) & (day < second)), orders.where(day >= second)]
-    for number, part in enumerate(parts, 1):
-        store.merge(part, lambda stored, new: new if stored is None else stored.unionByName(new), "MERGE", f"b{number}")
-    return store
+def _load_history(spark, sf_dir):
+    """Monthly loads of orders, one append per operation: every fifth month counts as a rewrite."""
+    orders = table(spark, sf_dir, "orders").withColumn("batch", F.date_format("o_orderdate", "yyyy-MM"))
+    path = scratch_path(spark, "loads")
+    merged = F.when(F.month("o_orderdate") % 5 == 0, "WRITE").otherwise("MERGE")
+    history = loads.load_history(orders, "batch", "o_orderdate", "o_orderdate", merged)
+    for operation in ("WRITE", "MERGE"):
+        loads.record_load(history.where(F.col("operation") == operation), path)
+    return spark.read.parquet(path)
 
 
 @query
 def previous_version(spark, sf_dir):
-    store = _three_commits(spark, sf_dir)
-    version = store.previous_version()
-    return store.history().where(F.col("version") == version).select("version", "operation", "batch_id")
+    return loads.previous_load(_load_history(spark, sf_dir)).select("batch_id", "operation")
 
 
 @query
 def previous_watermark(spark, sf_dir):
-    store = _three_commits(spark, sf_dir)
-    return store.read(store.previous_version()).agg(F.max("o_orderdate").alias("watermark"),
-                                                    F.count(F.lit(1)).alias("rows"))
+    return loads.previous_load(_load_history(spark, sf_dir)).select("watermark", "rows")
 
 
 @query
 def qc_incremental(spark, sf_dir):
-    store = _three_commits(spark, sf_dir)
-    version = store.previous_version()
-    source, target = reconcile.qc_scope(frames.orders_yesterday(spark, sf_dir), store.read(), "o_orderdate",
-                                        store.watermark_at(version, "o_orderdate"), first_load=version is None)
+    mark = loads.previous_load(_load_history(spark, sf_dir)).first()
+    source, target = reconcile.qc_scope(frames.orders_yesterday(spark, sf_dir), table(spark, sf_dir, "orders"), "o_orderdate",
+                                        mark["watermark"] if mark else None, first_load=mark is None)
     return reconcile.compare_layers(add_row_hashes(source, ["o_orderkey"]), add_row_hashes(target, ["o_orderkey"]))
 
 

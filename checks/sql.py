@@ -250,6 +250,10 @@ ORDER_MAP_BODY = """
            o_orderstatus = 'O' AS is_open FROM ({0})"""
 ORDER_MAP_TEXTS = [text("order_id"), text("status"), text("price"), text("is_open", "flag")]
 
+PREVIOUS_LOAD = """
+    SELECT strftime(o_orderdate, '%Y-%m') AS batch_id, max(o_orderdate) AS watermark, count(*) AS rows FROM orders
+    WHERE month(o_orderdate) % 5 <> 0 GROUP BY 1 ORDER BY watermark DESC LIMIT 1 OFFSET 1"""
+
 SQL: dict[str, str] = {
     "scan_aliased": "SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderstatus, o_totalprice, "
                     "o_orderdate AS ordered_at, o_orderpriority FROM orders",
@@ -326,11 +330,10 @@ SQL: dict[str, str] = {
         SELECT 'main' AS catalog, coalesce(c_custkey, table_id) AS table_id, coalesce(pk, c_name) AS primary_key,
                coalesce(c_mktsegment, uc) AS unique_columns, coalesce(n, 0) AS record_count
         FROM customer FULL JOIN u ON c_custkey = table_id""",
-    "previous_version": "SELECT CAST(2 AS BIGINT) AS version, 'MERGE' AS operation, 'b2' AS batch_id",
-    "previous_watermark": "SELECT max(o_orderdate) AS watermark, count(*) AS rows FROM orders "
-                          "WHERE o_orderdate < TIMESTAMP '1998-01-01'",
+    "previous_version": f"SELECT batch_id, 'MERGE' AS operation FROM ({PREVIOUS_LOAD})",
+    "previous_watermark": f"SELECT watermark, rows FROM ({PREVIOUS_LOAD})",
     "qc_incremental": f"""{order_sides()},
-        mark AS (SELECT max(o_orderdate) AS m FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'),
+        mark AS (SELECT watermark AS m FROM ({PREVIOUS_LOAD})),
         a AS (SELECT row_key_hash, row_hash FROM t, mark WHERE o_orderdate > m),
         b AS (SELECT row_key_hash, row_hash FROM s, mark WHERE o_orderdate > m)
         SELECT *, {VERDICT} FROM (

@@ -7,7 +7,8 @@ import pytest
 from pyspark.errors import PySparkException
 
 from tidewell.operators import sets
-from tidewell.operators.expectations import Rule, mark_failures, passing_rows, quarantined_rows, rule_counts
+from tidewell.plans import loads
+from tidewell.operators.expectations import Rule, mark_failures, passing_rows, quarantined_rows, rule_counts, split_rows
 from tidewell.operators.merge import merge_upsert
 from tidewell.operators.scd import scd1, scd2
 from tidewell.operators.transforms import (
@@ -160,3 +161,21 @@ def test_expectations(spark):
 
 def test_lineage_fixed_time(spark):
     assert lineage_columns(spark.range(1), "b", datetime(2024, 1, 1)).first()["loaded_at"] == datetime(2024, 1, 1)
+
+
+def test_split_rows_in_one_pass(spark, path):
+    df = spark.createDataFrame([(1, 1), (-1, 2), (None, 3), (200, 4)], "v int, id int")
+    rules = [Rule("positive", "v > 0", "error"), Rule("small", "v < 100")]
+    good, bad, counts = split_rows(df, rules, path("split"))
+    assert good.columns == ["v", "id"] and {r["id"] for r in good.collect()} == {1, 4}
+    assert {(r["id"], tuple(r["failed_rules"])) for r in bad.collect()} == {(2, ("positive",)), (3, ("positive", "small"))}
+    assert counts == {"checked": 4, "positive": 2, "small": 2}
+
+
+def test_second_newest_load(spark, path):
+    log = spark.sql("SELECT * FROM VALUES ('a', 1, 10, 'MERGE'), ('b', 2, 20, 'MERGE'), ('b', 2, 25, 'MERGE'), ('c', 3, 5, 'WRITE'), "
+                    "('d', 4, 30, 'MERGE') AS t(batch, at, mark, op)")
+    loads.record_load(loads.load_history(log, "batch", "at", "mark", "op"), path("loads"))
+    history = spark.read.parquet(path("loads"))
+    assert [(r["batch_id"], r["watermark"], r["rows"]) for r in loads.previous_load(history).collect()] == [("b", 25, 2)]
+    assert loads.previous_load(history.where("batch_id = 'a'")).count() == 0

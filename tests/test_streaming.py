@@ -57,7 +57,7 @@ def test_delete_before_its_change(spark, path):
 
 def test_modes_are_checked(spark, path):
     with pytest.raises(ValueError):
-        ChangeApplier(VersionedStore(spark, path("s"), ["k"]), ["k"], ["seq"], "append")
+        ChangeApplier(VersionedStore(spark, path("s"), ["k"], 2), ["k"], ["seq"], "append")
 
 
 def test_stream_restart_resumes(spark, path):

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-FAILED = "failed_rules"
+FAILED, QUARANTINED = "failed_rules", "quarantined"
 
 
 @dataclass(frozen=True)
@@ -51,6 +51,23 @@ def quarantined_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return mark_failures(df, rules).where(_breaks_error(rules, FAILED))
 
 
+def split_rows(df: DataFrame, rules: Sequence[Rule], path: str) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """Good rows, quarantined rows and violations per rule from one pass over ``df``.
+
+    The marked rows are written once to ``path``, good and quarantined ones apart, and
+    the counts are observed while they are.  Key ``checked`` counts all rows.
+    """
+    seen = Observation("expectations")
+    marked = mark_failures(df, rules)
+    counts = [F.count_if(F.array_contains(FAILED, rule.name)).alias(f"r{i}") for i, rule in enumerate(rules)]
+    marked.observe(seen, F.count(F.lit(1)).alias("checked"), *counts).withColumn(
+        QUARANTINED, _breaks_error(rules, FAILED)).write.partitionBy(QUARANTINED).parquet(path)
+    written = df.sparkSession.read.schema(marked.schema.add(QUARANTINED, "boolean")).parquet(path)
+    found = {"checked": seen.get["checked"], **{rule.name: seen.get[f"r{i}"] for i, rule in enumerate(rules)}}
+    return (written.where(~F.col(QUARANTINED)).drop(FAILED, QUARANTINED),
+            written.where(F.col(QUARANTINED)).drop(QUARANTINED), found)
+
+
 def rule_counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """One row per rule: ``rule, level, checked, violations``; a single pass."""
     counts = [F.count_if(~F.coalesce(F.expr(rule.condition), F.lit(False))) for rule in rules]

@@ -36,7 +36,7 @@ _BUCKET = "bucket"
 class VersionedStore:
     """Table kept as versions of hash buckets over its key columns."""
 
-    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], buckets: int = 8):
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], buckets: int):
         self.spark = spark
         self.root = root.rstrip("/")
         self.keys = list(keys)
@@ -92,6 +92,8 @@ class VersionedStore:
 
     def _commit(self, version: int, rows: DataFrame, kept: list[tuple[int, int]],
                 operation: str, batch_id: str, query_id: str) -> int:
+        if self.latest_version() >= version:
+            raise RuntimeError(f"version {version} was committed meanwhile; nothing was written")
         data = f"{self.root}/data/v={version}"
         placed = rows.withColumn(_BUCKET, self._bucket())
         # Rebalancing gathers each bucket and lets AQE split one that is too large.
