@@ -108,9 +108,9 @@ def prefix_sizes(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 class Prefixes:
-    """The listed words of the distinct lines of some texts."""
+    """The listed words of the distinct lines of some texts; with ``frequent``, only of lines that list a word of that rank."""
 
-    def __init__(self, piece: pa.RecordBatch, ranks: np.ndarray, percent: int):
+    def __init__(self, piece: pa.RecordBatch, ranks: np.ndarray, percent: int, frequent: int | None = None):
         data, bounds, text, number = split_lines(strings(piece.column("text")))
         values, offsets = line_sets(data, bounds)
         k1, _ = set_keys(values, offsets)
@@ -122,12 +122,20 @@ class Prefixes:
         fresh = np.ones(len(order), bool)
         fresh[1:] = k1[order][1:] != k1[order][:-1]
         lines = order[fresh & (n[order] >= min(least, 4))]
+        rank = ranks[(values & np.uint64(BUCKETS - 1)).astype(np.int64)].astype(np.uint64)
+        if frequent is not None:
+            lines = lines[sums_of((rank < frequent).astype(np.int64), offsets)[lines] < prefix_sizes(n[lines], percent)]
+            chosen = np.zeros(len(n), bool)
+            chosen[lines] = True
+            held = chosen[np.repeat(np.arange(len(n)), n)]
+            values, rank = values[held], rank[held]
+            offsets = np.concatenate([[0], np.cumsum(np.where(chosen, n, 0))])
+            n = np.where(chosen, n, 0)
         self.k1, self.ids, self.number, self.n = k1[lines], ids[lines], number[lines], n[lines]
         one = np.uint64(1)
         bit, half = one << ((values >> np.uint64(24)) & np.uint64(63)), (values >> np.uint64(30)) & one
         self.bits_a, self.bits_b = (sums_of(np.where(half == h, bit, np.uint64(0)), offsets, np.bitwise_xor)[lines] for h in (0, 1))
         line = np.repeat(np.arange(len(n)), n)
-        rank = ranks[(values & np.uint64(BUCKETS - 1)).astype(np.int64)].astype(np.uint64)
         order = np.argsort((line.astype(np.uint64) << np.uint64(40)) | (rank << np.uint64(32)) | (values >> np.uint64(32)))
         place = np.arange(len(order)) - offsets[line]
         wanted = np.full(len(n), 0)
@@ -138,9 +146,16 @@ class Prefixes:
         self.tokens, self.place, self.row = values[order][keep], place[keep], back[line[keep]]
 
 
-def _prefix_tokens(ranks, percent: int):
+def _frequent_tokens(ranks, percent: int):
+    """Listed words frequent enough for a list to be cut: the others' lists cannot be that long."""
+    least = int(8 * np.log2(1 + BLOCK))
+
     def tokens(batch: pa.RecordBatch) -> np.ndarray:
-        return np.concatenate([np.zeros(0, np.uint64), *(Prefixes(p, ranks.value, percent).tokens for p in slices(batch, "text"))])
+        found = [np.zeros(0, np.uint64)]
+        for piece in slices(batch, "text"):
+            made = Prefixes(piece, ranks.value, percent, least).tokens
+            found.append(made[ranks.value[(made & np.uint64(BUCKETS - 1)).astype(np.int64)] >= least])
+        return np.concatenate(found)
     return tokens
 
 
@@ -299,7 +314,7 @@ def similar_lines(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", te
     words = lambda b: np.concatenate([np.zeros(0, np.uint64), *(
         words_in(*bytes_of(strings(p.column("text")))).hashes for p in slices(b, "text"))])
     ranks = spark.sparkContext.broadcast(rarity_table(plain.select("text").mapInArrow(counted(words, BUCKETS), COUNTS_DDL), BUCKETS))
-    sizes = rarity_table(plain.mapInArrow(counted(_prefix_tokens(ranks, percent), BUCKETS), COUNTS_DDL), BUCKETS)
+    sizes = rarity_table(plain.mapInArrow(counted(_frequent_tokens(ranks, percent), BUCKETS), COUNTS_DDL), BUCKETS)
     length = 2.0 ** (sizes.astype(float) / 8) - 1
     usual = length.mean()  # what other words add to a list's bucket
     split = np.where(length > 8 * usual + BLOCK, np.ceil((length - 4 * usual) / BLOCK), 1).clip(1, 1 << 15).astype(np.uint16)
