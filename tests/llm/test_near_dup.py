@@ -127,6 +127,9 @@ def brute_lines(rows, percent):
 def test_lines_match_brute_force(docs, corpus):
     removed = line_dedup.removed_lines(docs).collect()
     assert {(r.doc_id, k) for r in removed for k in r.removed} == brute_lines(corpus, 80)
+    report = line_dedup.line_report(docs).collect()
+    assert len(report) == len(corpus) and {(r.doc_id, k) for r in report for k in r.removed} == brute_lines(corpus, 80)
+    assert all(r.n_removed == len(r.removed) and r.n_removed <= r.n_lines for r in report)
     cleaned = line_dedup.dedup_lines(docs)
     assert cleaned.columns == docs.columns
     gone = brute_lines(corpus, 80)

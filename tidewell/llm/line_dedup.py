@@ -375,14 +375,29 @@ def _token_bits(plain: DataFrame, failed: DataFrame, ranks, percent: int) -> np.
     return _or_bits(plain.withColumn("slot", slot_of("doc_id")).mapInArrow(slots, "slot long"))
 
 
-def removed_lines(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and the sorted numbers of the lines that go, for documents that lose lines."""
+def _gone(docs: DataFrame, percent: int, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """All lines with words, and doc_id with the sorted numbers of the lines that go, for documents that lose lines."""
     lines, similar = similar_lines(docs, percent, doc_id, text)
     classes = lines.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n"))
     late = similar.select("doc_id", "line").distinct().join(lines, ["doc_id", "line"]).select("k1", "k2").distinct().withColumn("late", F.lit(True))
     classes = classes.join(late, ["k1", "k2"], "left").where("n > 1 or late").select("k1", "k2", "first", "late")
     gone = lines.join(classes, ["k1", "k2"]).where("late or first.doc_id <> doc_id or first.line <> line")
-    return gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("line")).alias("removed"))
+    return lines, gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("line")).alias("removed"))
+
+
+def removed_lines(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id and the sorted numbers of the lines that go, for documents that lose lines."""
+    return _gone(docs, percent, doc_id, text)[1]
+
+
+def line_report(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_lines (with words), n_removed, removed for every row of ``docs``."""
+    lines, gone = _gone(docs, percent, doc_id, text)
+    counts = lines.groupBy("doc_id").agg(F.countDistinct("line").alias("n_lines")).join(gone, "doc_id", "left")
+    ids = docs.select(F.col(quoted(doc_id)).cast("long").alias("doc_id"))
+    return ids.join(counts, "doc_id", "left").select(
+        "doc_id", F.coalesce("n_lines", F.lit(0).cast("long")).alias("n_lines"),
+        F.coalesce(F.size("removed"), F.lit(0)).alias("n_removed"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
 
 
 def dedup_lines(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -29,8 +29,8 @@ def vocabulary() -> tuple[str, str]:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that lose lines, with the numbers of those lines."""
-    return line_dedup.removed_lines(table(spark, sf_dir, "documents"))
+    """Every document with its number of lines and the lines that go."""
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
 
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
