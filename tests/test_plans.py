@@ -108,7 +108,8 @@ def test_stats_columns(spark):
     df = spark.sql("SELECT 1 a, true b, binary('x') c, map(1, 2) m, 'z' d")
     assert profile.stats_columns(df.schema, ["b"], ["d"]) == ["a", "b"]
     wide = spark.range(1).selectExpr(*[f"id AS c{i}" for i in range(40)])
-    assert profile.stats_columns(wide.schema, ["c39", "c0"]) == [f"c{i}" for i in range(32)] + ["c39"]
+    assert profile.stats_columns(wide.schema, ["c39", "c0"]) == [f"c{i}" for i in range(len(wide.columns))]
+    assert profile.stats_columns(wide.schema, ["c39", "c0"], leading_columns=32) == [f"c{i}" for i in range(32)] + ["c39"]
 
 
 def test_column_stats_per_file(spark, path):
