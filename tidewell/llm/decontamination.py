@@ -9,8 +9,9 @@ passages are overlapping windows; an item part is sought among the windows of it
    sums give the share of every window, and only windows that pass are kept.
 3. A randomised singular value decomposition of the TF-IDF matrix of kept windows and
    benchmark parts gives the latent space: the tasks multiply their passages with a random
-   matrix and only the sums of fixed size meet.  Candidates are pairs whose cosine of
-   latent images, taken against the full norms, reaches ``COSINE``.
+   matrix and only the sums of fixed size meet.  Candidates are pairs whose cosine can
+   reach ``COSINE``: the inner product of latent images, and at most the product of what the two
+   lose in the projection.  So the rank decides what is looked at, never what is found.
 4. Candidates are verified by the longest common subsequence of words, computed for all
    pairs of a batch at once in the bits of integers.  ``COPY`` of the part's words in order is a
    copy; a smaller share, from ``PARAPHRASE`` on, counts only if the part's answer (its last
@@ -246,6 +247,17 @@ def common_subsequences(pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarra
     return np.bitwise_count(~free & mask).astype(np.int64)
 
 
+def residuals(square: np.ndarray, images: np.ndarray) -> np.ndarray:
+    """Norms of what is left of vectors of the given squared norms outside the latent space, rounded up."""
+    return np.sqrt(np.maximum(square - (images.astype(np.float64) ** 2).sum(axis=1), 0) + 1e-5 * square)
+
+
+def squares(row: np.ndarray, column: np.ndarray, value: np.ndarray, rows: int, size: int) -> np.ndarray:
+    """Squared norms of sparse rows whose entries may be given in pieces."""
+    keys, at = np.unique(row * size + column, return_inverse=True)
+    return np.bincount(keys // size, np.bincount(at, value, len(keys)) ** 2, rows) if len(keys) else np.zeros(rows)
+
+
 def _matches(weights, parts: list[Part], basis: np.ndarray):
     schema = arrow_schema(MATCHES)
 
@@ -254,13 +266,15 @@ def _matches(weights, parts: list[Part], basis: np.ndarray):
         own = part_matrix(parts, w)
         norms = np.maximum(np.linalg.norm(own, axis=1), 1e-12)
         images = own @ basis
+        lost = residuals(norms.astype(np.float64) ** 2, images)
         scale_of = np.array([p.scale for p in parts])
         for batch in batches:
             for start in range(0, batch.num_rows, 2000):
                 rows = batch.slice(start, 2000)
                 row, column, value = passage_rows(rows, w)
                 image = times(row, column, value, rows.num_rows, basis)
-                cosine = image @ images.T / norms / np.maximum(rows.column("norm").to_numpy(), 1e-12)[:, None]
+                beyond = residuals(squares(row, column, value, rows.num_rows, len(w.vocabulary)), image)
+                cosine = (image @ images.T + beyond[:, None] * lost) / norms / np.maximum(rows.column("norm").to_numpy(), 1e-12)[:, None]
                 near = (cosine >= COSINE) & (rows.column("scale").to_numpy()[:, None] == scale_of[None, :])
                 a, b = np.nonzero(near)
                 spans = [s[2:].view(np.uint64) for s in unpacked(rows.column("words"), np.int64)]
