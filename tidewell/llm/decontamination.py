@@ -3,15 +3,16 @@
 Benchmark items, cut into parts of at most ``PART`` words, are the queries.  Document
 passages are overlapping windows; an item part is sought among the windows of its own length.
 
-1. TF-IDF weights come from the frequencies of all words of the corpus (a table of fixed size).
-2. A window can reach the wanted cosine with an item of its length only if that share of
-   its norm lies in words of such items, which bounds the cosine from above; two prefix
-   sums give the share of every window, and only windows that pass are kept.
-3. A randomised singular value decomposition of the TF-IDF matrix of kept windows and
-   benchmark parts gives the latent space: the tasks multiply their passages with a random
-   matrix and only the sums of fixed size meet.  Candidates are pairs whose cosine can
-   reach ``COSINE``: the inner product of latent images, and at most the product of what the two
-   lose in the projection.  So the rank decides what is looked at, never what is found.
+1. IDF weights come from the frequencies of all words of the corpus (a table of fixed size).
+2. A span (a window and half its length on either side) can hold the wanted share of a part's words
+   in order only if, of any so many rarest words of the part, it holds enough; prefix sums
+   count them for every span, over all parts of a length together, and only spans that pass are kept.
+3. A randomised singular value decomposition of the weighted matrix of kept spans and
+   benchmark parts gives the latent space: the tasks multiply their spans with a random
+   matrix and only the sums of fixed size meet.  Candidates are pairs where the inner product of latent
+   images, and at most the product of what the two lose in the projection, reaches the least weight
+   of the words wanted; the words themselves are then counted.
+   None of these steps loses a pair that step 4 accepts, whatever the weights and the rank.
 4. Candidates are verified by the longest common subsequence of words, computed for all
    pairs of a batch at once in the bits of integers.  ``COPY`` of the part's words in order is a
    copy; a smaller share, from ``PARAPHRASE`` on, counts only if the part's answer (its last
@@ -40,13 +41,14 @@ from tidewell.llm.rarity import COUNTS_DDL, counted, rarity_table
 from tidewell.llm.toxicity import bare_words
 
 PART, LEAST_WORDS = 60, 5
-COSINE, COPY, PARAPHRASE, ANSWER = 0.65, 0.8, 0.6, 0.75
+COPY, PARAPHRASE, ANSWER = 0.8, 0.6, 0.75
 #: Dimensions of the latent space and of the random matrix beyond them.
 RANK, EXTRA = 256, 16
 BUCKETS = 1 << 20
 #: Bytes of benchmark text that may be sent to every task.
 BENCHMARK_BYTES = 64 << 20
 
+#: ``words`` of a passage: from where to where the window is in the span, then numbers of the span's known words.
 PASSAGES = "doc_id long, scale int, start int, words binary, norm double"
 MATCHES = "doc_id long, item_id long, part int, start int, cosine double, shared double, answer double"
 
@@ -80,6 +82,11 @@ def parts_of(items: list[tuple[int, str]]) -> list[Part]:
     return out
 
 
+def wanted(share: float, size: int) -> int:
+    """Least number of words that is ``share`` of ``size`` words."""
+    return next(k for k in range(size + 1) if k / size >= share)
+
+
 class Weights:
     """IDF weights of words from the table of frequencies, and the numbers of the benchmark's words.
 
@@ -91,11 +98,15 @@ class Weights:
         count = 2.0 ** (ranks.astype(np.float32) / 8)
         self.idf = np.sqrt(np.log1p(count.max() / np.maximum(count, 1))).astype(np.float32)
         self.vocabulary = np.unique(np.concatenate([np.zeros(0, np.uint64), *(p.words for p in parts)]))
-        #: For each length of parts, which words of the vocabulary such parts hold; the last entry is for other words.
-        self.held: dict[int, np.ndarray] = {}
+        #: For each length of parts: numbers of words a span must hold and which words count (the last entry is for other words).
+        self.held: dict[int, list[tuple[int, np.ndarray]]] = {}
         for p in parts:
-            mask = self.held.setdefault(p.scale, np.zeros(len(self.vocabulary) + 1, bool))
-            mask[np.searchsorted(self.vocabulary, p.words)] = True
+            need, number = wanted(PARAPHRASE, p.scale), np.searchsorted(self.vocabulary, p.words)
+            rarest = number[np.argsort(-self.of(p.words), kind="stable")]
+            levels = dict.fromkeys(max(1, need * k // 6) for k in (2, 3, 4, 1, 5, 6))
+            masks = self.held.setdefault(p.scale, [(k, np.zeros(len(self.vocabulary) + 1, bool)) for k in levels])
+            for k, mask in masks:  # at most scale - need words are missing, so k of these are there
+                mask[rarest[:p.scale - need + k]] = True
 
     def of(self, words: np.ndarray) -> np.ndarray:
         return self.idf[(words & np.uint64(BUCKETS - 1)).astype(np.int64)]
@@ -117,42 +128,60 @@ def _windows(weights):
             for piece in slices(batch, "text"):
                 found, words, _ = bare_words(lowered(piece.column("text")))
                 ids = piece.column("doc_id").to_numpy()
-                square = w.of(words).astype(np.float64) ** 2
+                whole_sum = np.concatenate([[0], np.cumsum(w.of(words).astype(np.float64) ** 2)])
                 number = w.number(words)
-                whole_sum = np.concatenate([[0], np.cumsum(square)])
-                known = np.flatnonzero(number >= 0)
-                number, square = number[known], square[known]
+                before = np.concatenate([[0], np.cumsum(number >= 0)])
+                number = number[number >= 0].astype(np.int32)
                 counts = found.counts
-                for scale, mask in w.held.items():
-                    inside = np.zeros(len(words) + 1)
-                    inside[known + 1] = np.where(mask[number], square, 0)
-                    inside_sum = np.cumsum(inside, out=inside)
+                for scale, masks in w.held.items():
                     stride = max(1, scale // 4)
                     windows = np.where(counts > 0, np.maximum(-(-(counts - scale) // stride), 0) + 1, 0)
                     text = np.repeat(np.arange(len(counts)), windows)
                     start = found.offsets[:-1][text] + stride * (np.arange(len(text)) - np.repeat(np.cumsum(windows) - windows, windows))
                     stop = np.minimum(start + scale, found.offsets[1:][text])
-                    norm = whole_sum[stop] - whole_sum[start]
-                    kept = np.flatnonzero((inside_sum[stop] - inside_sum[start]) >= COSINE ** 2 * norm)
+                    # Some words around the window, for an item that sticks out.
+                    first = before[np.maximum(start - 2 * stride, found.offsets[:-1][text])]
+                    last = before[np.minimum(stop + 2 * stride, found.offsets[1:][text])]
+                    kept = np.arange(len(text))
+                    for least, mask in masks:
+                        f, size = first[kept], last[kept] - first[kept]
+                        ends = np.cumsum(size)
+                        if len(kept) and ends[-1] < len(number):  # few are left: only their words are looked up
+                            sums = np.concatenate([[0], np.cumsum(mask[number[np.repeat(f - (ends - size), size) + np.arange(ends[-1])]])])
+                            f = ends - size
+                        else:
+                            sums = np.concatenate([[0], np.cumsum(mask[number])])
+                        kept = kept[sums[f + size] - sums[f] >= least]
                     if len(kept):
-                        # Some words around the window, so that verification sees an item that sticks out.
-                        first = np.maximum(start[kept] - 2 * stride, found.offsets[:-1][text[kept]])
-                        last = np.minimum(stop[kept] + 2 * stride, found.offsets[1:][text[kept]])
-                        spans = [np.concatenate([[a - f, b - f], words[f:z].view(np.int64)]) for a, b, f, z in zip(start[kept], stop[kept], first, last)]
-                        yield batch_of(schema, [ids[text[kept]], np.full(len(kept), scale, np.int32),
-                                                (start[kept] - found.offsets[:-1][text[kept]]).astype(np.int32), packed(spans), np.sqrt(norm[kept])])
+                        start, stop, first, last, text = start[kept], stop[kept], first[kept], last[kept], text[kept]
+                        spans = [np.concatenate([np.array([a - f, b - f], np.int32), number[f:z]]) for a, b, f, z in zip(before[start], before[stop], first, last)]
+                        yield batch_of(schema, [ids[text], np.full(len(kept), scale, np.int32), (start - found.offsets[:-1][text]).astype(np.int32),
+                                                packed(spans), np.sqrt(whole_sum[stop] - whole_sum[start])])
     return cut
 
 
 def passage_rows(batch: pa.RecordBatch, weights: Weights) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sparse TF-IDF rows of passages over the benchmark's vocabulary: row, column, value."""
-    spans = unpacked(batch.column("words"), np.int64)
-    inner = [s[2 + s[0]:2 + s[1]].view(np.uint64) for s in spans]
-    words = np.concatenate([np.zeros(0, np.uint64), *inner])
-    row = np.repeat(np.arange(len(spans)), [len(x) for x in inner])
-    column = weights.number(words)
-    held = column >= 0
-    return row[held], column[held], weights.of(words[held])
+    """Sparse rows of spans over the benchmark's vocabulary, each word once: row, column, weight."""
+    spans = [s[2:] for s in unpacked(batch.column("words"), np.int32)]
+    size = len(weights.vocabulary)
+    keys, _ = counted_words(spans, size)
+    row, column = keys // size, keys % size
+    return row, column, weights.of(weights.vocabulary[column])
+
+
+def counted_words(spans: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct words of each span as ascending ``span * size + word``, and how often they are there."""
+    words = np.concatenate([np.zeros(0, np.int64), *spans])
+    return np.unique(np.repeat(np.arange(len(spans)), [len(s) for s in spans]) * size + words, return_counts=True)
+
+
+def times_there(keys: np.ndarray, counts: np.ndarray, span: np.ndarray, words: np.ndarray, size: int) -> np.ndarray:
+    """How often each of a row of words is in the span of that row; ``words`` of -1 are nowhere."""
+    if not len(keys):
+        return np.zeros(words.shape, np.int64)
+    asked = span[:, None] * size + words
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return np.where((words >= 0) & (keys[at] == asked), counts[at], 0)
 
 
 def times(row: np.ndarray, column: np.ndarray, value: np.ndarray, rows: int, matrix: np.ndarray) -> np.ndarray:
@@ -252,41 +281,60 @@ def residuals(square: np.ndarray, images: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(square - (images.astype(np.float64) ** 2).sum(axis=1), 0) + 1e-5 * square)
 
 
-def squares(row: np.ndarray, column: np.ndarray, value: np.ndarray, rows: int, size: int) -> np.ndarray:
-    """Squared norms of sparse rows whose entries may be given in pieces."""
-    keys, at = np.unique(row * size + column, return_inverse=True)
-    return np.bincount(keys // size, np.bincount(at, value, len(keys)) ** 2, rows) if len(keys) else np.zeros(rows)
-
-
 def _matches(weights, parts: list[Part], basis: np.ndarray):
     schema = arrow_schema(MATCHES)
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w: Weights = weights.value
-        own = part_matrix(parts, w)
-        norms = np.maximum(np.linalg.norm(own, axis=1), 1e-12)
-        images = own @ basis
-        lost = residuals(norms.astype(np.float64) ** 2, images)
-        scale_of = np.array([p.scale for p in parts])
+        size = len(w.vocabulary)
+        by_scale: dict[int, np.ndarray] = {s: np.array([k for k, p in enumerate(parts) if p.scale == s]) for s in w.held}
+        number = np.full((len(parts), PART), -1)
+        for k, p in enumerate(parts):
+            number[k, :p.scale] = w.number(p.words)
+        weight = np.where(number >= 0, w.of(w.vocabulary[number]), 0).astype(np.float64)
+        row, place = np.nonzero(number >= 0)
+        images = times(row, number[row, place], weight[row, place].astype(np.float32), len(parts), basis)
+        scale = np.array([p.scale for p in parts])
+        need, copy = (np.array([wanted(share, n) for n in scale]) for share in (PARAPHRASE, COPY))
+        last = np.maximum(1, scale // 4)
+        least = np.array([wanted(ANSWER, n) for n in last])
+        answer_word = (np.arange(PART) >= (scale - last)[:, None]) & (number >= 0)
+        # The lightest words of a part that are enough.
+        floor = np.array([np.sort(weight[k, :n] ** 2)[:m].sum() for k, (n, m) in enumerate(zip(scale, need))])
+        square = np.array([(np.bincount(np.unique(number[k, :n], return_inverse=True)[1], weight[k, :n]) ** 2).sum() for k, n in enumerate(scale)])
+        norms, lost = np.sqrt(square), residuals(square, images)
         for batch in batches:
             for start in range(0, batch.num_rows, 2000):
                 rows = batch.slice(start, 2000)
-                row, column, value = passage_rows(rows, w)
+                held = unpacked(rows.column("words"), np.int32)
+                spans = [s[2:] for s in held]
+                keys, counts = counted_words(spans, size)
+                inner = counted_words([s[2 + s[0]:2 + s[1]] for s in held], size)
+                row, column = keys // size, keys % size
+                value = w.of(w.vocabulary[column])
                 image = times(row, column, value, rows.num_rows, basis)
-                beyond = residuals(squares(row, column, value, rows.num_rows, len(w.vocabulary)), image)
-                cosine = (image @ images.T + beyond[:, None] * lost) / norms / np.maximum(rows.column("norm").to_numpy(), 1e-12)[:, None]
-                near = (cosine >= COSINE) & (rows.column("scale").to_numpy()[:, None] == scale_of[None, :])
-                a, b = np.nonzero(near)
-                spans = [s[2:].view(np.uint64) for s in unpacked(rows.column("words"), np.int64)]
-                answers = [p.words[-max(1, len(p.words) // 4):] for p in parts]
-                for k in range(0, len(a), 4000):
-                    x, y = a[k:k + 4000], b[k:k + 4000]
-                    shared = common_subsequences([(spans[i], parts[j].words) for i, j in zip(x, y)]) / np.array([len(parts[j].words) for j in y])
-                    answer = common_subsequences([(spans[i], answers[j]) for i, j in zip(x, y)]) / np.array([len(answers[j]) for j in y])
-                    good = (shared >= COPY) | ((shared >= PARAPHRASE) & (answer >= ANSWER))
-                    x, y = x[good], y[good]
-                    yield batch_of(schema, [rows.column("doc_id").take(pa.array(x)), [parts[j].item_id for j in y], [parts[j].number for j in y],
-                                            rows.column("start").take(pa.array(x)), cosine[x, y].astype(float), shared[good], answer[good]])
+                beyond = residuals(np.bincount(row, value.astype(np.float64) ** 2, rows.num_rows), image)
+                scales, norm = rows.column("scale").to_numpy(), np.maximum(rows.column("norm").to_numpy(), 1e-12)
+                for s in np.unique(scales):
+                    here, there = np.flatnonzero(scales == s), by_scale[s]
+                    bound = image[here] @ images[there].T + beyond[here, None] * lost[there]
+                    a, b = np.nonzero(bound >= floor[there] * (1 - 1e-4))
+                    a, b = here[a], there[b]
+                    for k in range(0, len(a), 4000):
+                        x, y = a[k:k + 4000], b[k:k + 4000]
+                        hit = times_there(keys, counts, x, number[y], size) > 0
+                        some = hit.sum(axis=1)
+                        good = (some >= copy[y]) | ((some >= need[y]) & ((hit & answer_word[y]).sum(axis=1) >= least[y]))
+                        x, y = x[good], y[good]
+                        # Word numbers from 1: zero is no word.
+                        shared = common_subsequences([(spans[i] + 1, number[j, :s] + 1) for i, j in zip(x, y)]) / scale[y]
+                        answer = common_subsequences([(spans[i] + 1, number[j, s - last[j]:s] + 1) for i, j in zip(x, y)]) / last[y]
+                        good = (shared >= COPY) | ((shared >= PARAPHRASE) & (answer >= ANSWER))
+                        x, y, shared, answer = x[good], y[good], shared[good], answer[good]
+                        if len(x):
+                            cosine = (times_there(*inner, x, number[y], size) * weight[y] ** 2).sum(axis=1) / norms[y] / norm[x]
+                            yield batch_of(schema, [rows.column("doc_id").take(pa.array(x)), [parts[j].item_id for j in y], [parts[j].number for j in y],
+                                                    rows.column("start").take(pa.array(x)), cosine, shared, answer])
     return match
 
 
