@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from tidewell.llm import decontamination
+from tidewell.llm import decontamination, neighbours
 
 
 def prose(rng: np.random.Generator, n: int) -> list[str]:
@@ -64,3 +64,25 @@ def test_decontamination_of_replaced_words(spark):
     sure = {(d, i) for d, i in pairs if accepted(texts[d], items[i], len(items[i]))}
     assert len(sure) >= 0.9 * len(texts)
     assert sure <= found <= {(d, i) for d, i in pairs if accepted(texts[d], items[i], 2 * len(items[i]))}
+
+
+def test_neighbours_of_repeated_ids(spark):
+    """Every row twice, one id hundreds of times with the same vector and one with many vectors: lists stay full and right."""
+    rng = np.random.default_rng(29)
+    rows = [(i, x.tolist()) for i, x in enumerate(rng.normal(size=(40, 8)))] * 2
+    near = np.array(rows[0][1])
+    rows += [(101, (near * 2).tolist())] * 400
+    rows += [(102, (near * 1.5 + x).tolist()) for x in rng.normal(size=(300, 8)) * 0.01]
+    assert len(rows) < neighbours.BLOCK
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    found = {}
+    for r in neighbours.nearest_neighbours(frame, count=20, every=20).collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    for query in (0, 20):
+        best = {}
+        for i, x in rows:
+            best[i] = max(best.get(i, -np.inf), float(np.dot(x, rows[query][1]))) if i != query else -np.inf
+        expected = sorted((i for i in best if i != query), key=lambda i: -best[i])[:20]
+        got = sorted(found[query])
+        assert [g[0] for g in got] == list(range(1, 21)) and [g[1] for g in got] == expected
+        assert np.allclose([g[2] for g in got], [best[i] for i in expected])

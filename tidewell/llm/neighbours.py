@@ -9,8 +9,8 @@ for ``RECALL`` of its true neighbours, and is ranked there by exact inner produc
 double precision.  The number of parts grows with the table.
 
 Parts are dealt in blocks of bounded size to tasks, so a part that one much repeated
-vector fills is shared out; inside a block only as many copies of a vector are kept as
-can be among the nearest.  Recall against brute force is part of the tests.
+vector fills is shared out, and so is an id with many vectors; inside a block only as many copies of a
+vector are kept as can be among the nearest, counted by distinct ids.  Recall against brute force is part of the tests.
 
 Rows with null id or with a vector that is null, zero, of another length than most, or
 holds null or non-finite components take no part.  Ties go to the smaller id.  A query
@@ -207,8 +207,10 @@ def _rank(dimension: int, count: int):
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         if len(q) and len(x):
             # Of equal vectors the smallest ids suffice: one may be the query, the others fill the list.
+            # Rows are distinct here, so these are as many ids.
             order = np.argsort(ids, kind="stable")
             ids, x = ids[order], x[order]
+            repeated = bool((ids[1:] == ids[:-1]).any())
             _, group = np.unique(np.ascontiguousarray(x).view(f"V{8 * dimension}").ravel(), return_inverse=True)
             by_group = np.argsort(group, kind="stable")
             starts = np.searchsorted(group[by_group], group[by_group])
@@ -218,12 +220,19 @@ def _rank(dimension: int, count: int):
                 part = q[start:start + 512]
                 rough = part @ x.T
                 slack = 1e-9 * (1 + np.abs(rough).max())
-                nth = np.partition(rough, max(0, len(ids) - count - 1), axis=1)[:, max(0, len(ids) - count - 1)]
+                best_of = rough
+                if repeated:  # one score an id, its best
+                    best_of = np.maximum.reduceat(rough, np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])), axis=1)
+                least = max(0, best_of.shape[1] - count - 1)
+                nth = np.partition(best_of, least, axis=1)[:, least]
                 for k in range(len(part)):
                     near = np.flatnonzero(rough[k] >= nth[k] - slack)
                     near = near[ids[near] != query_ids[start + k]]
                     exact = (x[near] * part[k]).sum(axis=1)  # one order of addition whatever the block
-                    best = np.lexsort((ids[near], -exact))[:count]
+                    best = np.lexsort((ids[near], -exact))
+                    if repeated:
+                        best = best[np.sort(np.unique(ids[near[best]], return_index=True)[1])]
+                    best = best[:count]
                     out.append((np.full(len(best), query_ids[start + k]), ids[near[best]], exact[best]))
         columns = [np.concatenate([o[c] for o in out]) if out else np.zeros(0) for c in range(3)]
         return pa.table([pa.array(c.astype(t), f.type) for c, t, f in zip(columns, (np.int64, np.int64, float), schema)], schema=schema)
@@ -253,10 +262,11 @@ def nearest_neighbours(vectors: DataFrame, count: int = 20, every: int = 20, vec
     """query_id, rank, vec_id, score: nearest rows of each row whose id is divisible by ``every``."""
     index, dimension = build_index(vectors, vec_id, embedding)
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("embedding")).where("vec_id is not null")
-    placed = materialise(rows.mapInArrow(_index_rows(index, dimension), VECTORS), "vectors")
+    # A repeated row is one candidate; the aggregation is partial before the exchange, so a hot id is no hot task.
+    placed = materialise(rows.mapInArrow(_index_rows(index, dimension), VECTORS).distinct(), "vectors")
     sizes = placed.groupBy("part").agg(F.expr(f"int(ceil(count(*) / {BLOCK}))").alias("blocks"))
     candidates = placed.join(F.broadcast(sizes), "part").select(
-        "part", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"), "vec_id", "vector")
+        "part", F.pmod(F.xxhash64("vec_id", "vector"), F.col("blocks")).cast("int").alias("block"), "vec_id", "vector")
     routed = rows.where(F.col("vec_id") % every == 0).mapInArrow(_route(index, dimension), ROUTED)
     queries = routed.select("query_id", "vector", F.explode("parts").alias("part")).join(F.broadcast(sizes), "part").select(
         "part", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"), "query_id", "vector")
