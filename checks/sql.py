@@ -243,6 +243,8 @@ WATERMARKS = " UNION ALL ".join(
                        ("audit_ts", "ts + INTERVAL 36500 DAY")))
 
 TEXT_ORDERS = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in SF_TABLES["orders"])
+LINE_COLUMNS = "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"
+TEXT_LINES = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in LINE_COLUMNS.split(", "))
 LINE_SIDE = "l_returnflag, l_linestatus, CAST(l_quantity AS VARCHAR) AS l_quantity, CAST(l_discount AS VARCHAR) AS l_discount"
 
 ORDER_MAP_BODY = """
@@ -356,6 +358,14 @@ SQL: dict[str, str] = {
                l_linestatus, l_quantity, l_discount, abs(coalesce(a.n, 0) - coalesce(b.n, 0)) AS copies
         FROM a FULL JOIN b USING (l_returnflag, l_linestatus, l_quantity, l_discount)
         WHERE coalesce(a.n, 0) <> coalesce(b.n, 0)""",
+    "diff_rows_whole_copies": f"""
+        WITH a AS (SELECT {TEXT_LINES}, count(*) AS n FROM lineitem GROUP BY ALL),
+             b AS (SELECT {TEXT_LINES}, count(*) AS n FROM ({LINE_YESTERDAY}) GROUP BY ALL)
+        SELECT CASE WHEN coalesce(n, 0) > coalesce(n_1, 0) THEN 'left' ELSE 'right' END AS side, * EXCLUDE (n, n_1),
+               abs(coalesce(n, 0) - coalesce(n_1, 0)) AS copies
+        FROM (SELECT a.*, b.n AS n_1 FROM a LEFT JOIN b USING ({LINE_COLUMNS})
+              UNION ALL SELECT b.* REPLACE (NULL AS n), b.n FROM b ANTI JOIN a USING ({LINE_COLUMNS}))
+        WHERE coalesce(n, 0) <> coalesce(n_1, 0)""",
     "qc_results": f"""{order_sides()}
         SELECT 'run-1' AS run_id, 'orders' AS source_table, 'orders_history' AS target_table,
                'o_orderdate' AS watermark_column, *, {VERDICT}, {LOADED} AS created_at FROM ({COMPARED})
