@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewell.llm import decontamination, language_model, licence_scan, line_dedup, near_dup, neighbours, packing, quality_crf, toxicity, url_filter
+from tidewell.llm import decontamination, language_model, licence_scan, line_dedup, near_dup, neighbours, packing, quality_crf, sharding, toxicity, url_filter, whitening
 from tidewell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,7 +73,19 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
-REGISTRY: dict[str, Query] = {f.__name__: f for f in (op1_line_dedup, op2_lm_scoring, op3_benchmark_decontamination, op4_best_fit_packing, op5_url_filters, op6_license_scans, op7_nearest_neighbours, op8_quality_classifier, op9_toxicity, op10_minhash_near_dedup)}
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document; only sizes and checksums of the texts are moved."""
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf_dir, "documents").select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
+    return sharding.shuffle_shards(docs, shards=8).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), count=32)
+
+
+REGISTRY: dict[str, Query] = {f.__name__: f for f in (op1_line_dedup, op2_lm_scoring, op3_benchmark_decontamination, op4_best_fit_packing, op5_url_filters, op6_license_scans, op7_nearest_neighbours, op8_quality_classifier, op9_toxicity, op10_minhash_near_dedup, op12_sharding, op13_whitening)}
 SQL: dict[str, str] = {
     "op5_url_filters": r"""
 WITH parts AS (
