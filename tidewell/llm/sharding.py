@@ -114,7 +114,6 @@ def communication_matrix(counts: DataFrame, shards: int, seed: int) -> DataFrame
 
     The distinct values of ``part`` are non-negative.  Column sums are ``shard_sizes`` of all rows.
     """
-    spark = counts.sparkSession
     top = counts.agg(F.max("part").alias("part"), F.sum("n").alias("n")).head()
     levels, rows = 1, top.n or 0
     while FAN ** levels <= (top.part or 0):
@@ -127,9 +126,9 @@ def communication_matrix(counts: DataFrame, shards: int, seed: int) -> DataFrame
         below.append(grouped.select("node", "children"))
         nodes = grouped.select("node", "n")
     sizes = F.array(*[F.lit(x).cast("long") for x in shard_sizes(rows, shards)])
-    drawn = spark.range(1).select(F.lit(0).cast("long").alias("node"), sizes.alias("counts"))
     for level, children in enumerate(reversed(below)):
-        drawn = materialise(drawn.join(children, "node").select(F.inline(deal(shards, seed, level))), "matrix")
+        held = drawn.join(children, "node") if level else children.withColumn("counts", sizes)
+        drawn = materialise(held.select(F.inline(deal(shards, seed, level))), "matrix")
     return drawn.select(F.col("node").alias("part"), "counts")
 
 

@@ -44,6 +44,8 @@ MOST_ROUNDS = 60
 #: Highest degree of a filter; the degree of a round is chosen to gain about ``GAIN``.
 MOST_DEGREE, GAIN = 30, 1e9
 ROWS = 4096
+#: Bytes of vectors that a task of a pass takes at least, where there are more partitions than cores.
+TASK_BYTES = 32 << 20
 
 
 @dataclass
@@ -169,6 +171,9 @@ def fit_whitening(packed: DataFrame, count: int = 32, guard: int = 16, seed: int
     if not n:
         return Fit(0, [], np.zeros(0), np.zeros((0, 0)), 0.0, 0.0, 0)
     d = len(sums)
+    # Passes are many and short: small scan partitions are taken together, without a shuffle.
+    tasks = max(packed.sparkSession.sparkContext.defaultParallelism, 8 * d * n // TASK_BYTES)
+    packed = packed.coalesce(tasks)
     trace = trace_of(packed, n, sums)
     if trace == 0:
         return Fit(n, sums.tolist(), np.zeros(0), np.zeros((d, 0)), 0.0, 0.0, 2)
