@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import decontamination, language_model, licence_scan, line_dedup, near_dup, neighbours, packing, quality_crf, sharding, toxicity, url_filter, whitening
+from tidewell.llm import collocations, decontamination, language_model, licence_scan, line_dedup, near_dup, neighbours, packing, quality_crf, sharding, toxicity, url_filter, whitening
 from tidewell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,10 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=30, top=2000)
+
+
 def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document; only sizes and checksums of the texts are moved."""
     text = F.coalesce("text", F.lit(""))
@@ -85,7 +89,7 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"), count=32)
 
 
-REGISTRY: dict[str, Query] = {f.__name__: f for f in (op1_line_dedup, op2_lm_scoring, op3_benchmark_decontamination, op4_best_fit_packing, op5_url_filters, op6_license_scans, op7_nearest_neighbours, op8_quality_classifier, op9_toxicity, op10_minhash_near_dedup, op12_sharding, op13_whitening)}
+REGISTRY: dict[str, Query] = {f.__name__: f for f in (op1_line_dedup, op2_lm_scoring, op3_benchmark_decontamination, op4_best_fit_packing, op5_url_filters, op6_license_scans, op7_nearest_neighbours, op8_quality_classifier, op9_toxicity, op10_minhash_near_dedup, op11_phrase_collocations, op12_sharding, op13_whitening)}
 SQL: dict[str, str] = {
     "op5_url_filters": r"""
 WITH parts AS (
@@ -104,5 +108,44 @@ SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM (
          row_number() OVER (PARTITION BY page_id ORDER BY length(h || p) DESC NULLS LAST) AS place
   FROM cut LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
 ) WHERE place = 1
+""",
+    "op11_phrase_collocations": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, doc, unnest(parts) AS piece, generate_subscripts(parts, 1) AS p FROM (
+    SELECT lang, row_number() OVER () AS doc,
+           regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\f\r]') AS parts
+    FROM documents)
+), words AS (
+  SELECT lang, doc, p, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM (SELECT lang, doc, p, regexp_extract_all(piece, '[^ \t]+') AS w FROM pieces)
+), ahead AS (
+  SELECT lang, word AS w1, lead(word, 1) OVER s AS w2, lead(word, 2) OVER s AS w3, lead(word, 3) OVER s AS w4
+  FROM words WINDOW s AS (PARTITION BY doc, p ORDER BY i)
+), counted AS (
+  SELECT lang, 1 AS n, w1 AS phrase, count(*) AS f FROM ahead GROUP BY ALL
+  UNION ALL SELECT lang, 2, w1 || ' ' || w2, count(*) FROM ahead WHERE w2 IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3, count(*) FROM ahead WHERE w3 IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4, count(*) FROM ahead WHERE w4 IS NOT NULL GROUP BY ALL
+), known AS MATERIALIZED (
+  SELECT lang || ':' || phrase AS id, f FROM counted WHERE f >= 30
+), found AS MATERIALIZED (
+  SELECT lang, n AS size, phrase, string_split(phrase, ' ') AS w, f AS a FROM counted WHERE n > 1 AND f >= 30
+), cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS first, array_to_string(w[k + 1:size], ' ') AS rest FROM found, range(1, 4) AS t(k) WHERE k < size
+), begun AS MATERIALIZED (
+  SELECT c.*, x.f AS l FROM cuts c JOIN known x ON x.id = c.lang || ':' || c.first
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, l, y.f AS r, CAST(2000000::HUGEINT * c.a // (l + y.f) AS BIGINT) AS score
+  FROM begun c JOIN known y ON y.id = c.lang || ':' || c.rest
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+  SELECT lang, array_to_string(w[s:s + m - 1], ' ') AS phrase, max(a) AS longer
+  FROM found, range(2, 4) AS t(m), range(1, 4) AS u(s) WHERE m < size AND s + m - 1 <= size GROUP BY ALL
+)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, b.a DESC, b.phrase) AS rank, b.phrase, b.a, l, r, t.n, score
+FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase
+JOIN (SELECT lang, count(*) AS n FROM words GROUP BY lang) t ON t.lang = b.lang
+WHERE longer IS NULL OR 100 * longer < 80 * b.a
+QUALIFY rank <= 2000
 """,
 }
