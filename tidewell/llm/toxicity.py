@@ -8,7 +8,8 @@ negative.  A linear-time scan finds all maximal segments of a text; how surprisi
 best ones are for a text of that length follows from the extreme-value law of segment
 scores (expected number ``K n exp(-lambda S)``), whose lambda solves the characteristic
 equation on ordinary training text.  A logistic fit on the training documents puts
-that surprise on the label's scale.
+that surprise on the label's scale.  Every segment of a text counts towards it; above ``MOST_SURPRISE`` it rises no more.
+A text's score depends on that text and the model alone.
 
 The lexicon is trained on a bounded sample (``TRAIN_DOCS`` labelled documents with the
 smallest hashed ids; at most ``LEXICON`` units).  Every token of every text is scored;
@@ -38,6 +39,8 @@ PRIOR, LEAST_Z, COST = 0.03, 2.5, 0.25
 STEMS = (7, 6, 5, 4)
 #: Segments expected less often than this per text are reported.
 EXPECTED = 0.01
+#: Surprise beyond this, a chance of 1e-60, counts as this.
+MOST_SURPRISE = 60.0
 
 SEGMENTS = "doc_id long, held_out boolean, n_tokens long, surprise double, n_segments int, starts binary, ends binary, sums binary"
 
@@ -106,8 +109,8 @@ def log_odds(toxic: np.ndarray, other: np.ndarray, all_toxic: float, all_other:
     return delta, delta / np.sqrt(1 / (toxic + prior) + 1 / (other + prior))
 
 
-def token_scores(model: Model, whole: np.ndarray, stems: list[np.ndarray]) -> np.ndarray:
-    """Score of each token: its word's, else the longest scored stem's, else the cost."""
+def token_scores(model: Model, whole: np.ndarray, stems: list[np.ndarray], first: np.ndarray) -> np.ndarray:
+    """Score of each token: its word's, else the longest scored stem's, else the cost; ``first`` marks the texts' first tokens."""
     scores = np.full(len(whole), -COST)
     if not len(model.units):
         return scores
@@ -115,7 +118,7 @@ def token_scores(model: Model, whole: np.ndarray, stems: list[np.ndarray]) -> np
         at = np.minimum(np.searchsorted(model.units, units), len(model.units) - 1)
         hit = model.units[at] == units
         scores[hit] = model.scores[at[hit]]
-    scores[1:][whole[1:] == whole[:-1]] = -COST  # said again at once: no new evidence
+    scores[1:][(whole[1:] == whole[:-1]) & ~first[1:]] = -COST  # said again at once: no new evidence
     return scores
 
 
@@ -149,15 +152,13 @@ def surprise_of(segments: list[tuple[int, int, float]], tokens: int, model: Mode
     """
     if not segments or not tokens:
         return 0.0, []
-    ranked = sorted(segments, key=lambda s: -s[2])
-    best = 0.0
-    for r, (_, _, score) in enumerate(ranked[:20], 1):
-        expected = np.log(model.constant * tokens) - model.rate * score
-        # P(Poisson(e) >= r) is close to e^r / r! for small e.
-        tail = r * expected - sum(np.log(np.arange(1, r + 1)))
-        best = max(best, -tail / np.log(10))
+    expected = np.log(model.constant * tokens) - model.rate * np.sort([s[2] for s in segments])[::-1]
+    r = np.arange(1, len(segments) + 1)
+    # P(Poisson(e) >= r) is close to e^r / r! for small e.
+    tail = r * expected - np.cumsum(np.log(r))
     limit = np.log(EXPECTED)
-    return min(best, 60.0), [s for s in segments if np.log(model.constant * tokens) - model.rate * s[2] <= limit]
+    return (float(np.clip(-tail.min() / np.log(10), 0, MOST_SURPRISE)),
+            [s for s in segments if np.log(model.constant * tokens) - model.rate * s[2] <= limit])
 
 
 def _scan(model: Model, label: bool = False):
@@ -167,7 +168,9 @@ def _scan(model: Model, label: bool = False):
         for batch in batches:
             for piece in slices(batch, "text"):
                 words, whole, stems = bare_words(strings(piece.column("text")), STEMS)
-                scores = token_scores(model, whole, stems)
+                first = np.zeros(len(whole) + 1, bool)
+                first[words.offsets] = True
+                scores = token_scores(model, whole, stems, first[:-1])
                 held = np.add.reduceat(np.append(scores > 0, False), words.offsets[:-1]) * (words.counts > 0) if piece.num_rows else []
                 surprise, found = np.zeros(piece.num_rows), [[] for _ in range(piece.num_rows)]
                 for i in np.flatnonzero(held):
