@@ -137,6 +137,32 @@ def test_lines_match_brute_force(docs, corpus):
     assert sorted(((r.doc_id, r.text) for r in cleaned.select("doc_id", "text").collect()), key=str) == expected
 
 
+def test_emptied_documents_go_on_request(spark):
+    line = words(21, 12)
+    rows = [(1, line), (2, line), (3, line + "\n" + words(22, 12)), (4, ""), (5, None), (6, " \n" + line.upper())]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in line_dedup.dedup_lines(frame).collect()} == {1, 2, 3, 4, 5, 6}
+    assert {r.doc_id: r.text for r in line_dedup.dedup_lines(frame, drop_emptied=True).collect()} == {1: line, 3: words(22, 12), 4: "", 5: None}
+
+
+def test_sets_of_all_sizes_and_shared_words(spark):
+    """Lines on both sides of the width at which parity bits double, in texts cut into several pieces."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(260):
+        size = int(rng.choice([2, 4, 5, 9, 60, 95, 97, 110, 118]))
+        line = [f"w{x}" for x in rng.choice(130, size, replace=False)] if i % 3 else [f"z{size}x{x}" for x in range(size)]
+        for x in rng.choice(size, int(rng.integers(0, max(2, size // 7))), replace=False):
+            line[x] = f"n{i}y{x}"
+        rows.append((i // 2, " ".join(line) if i % 2 else " ".join(line) + "\n" + " ".join(reversed(line))))
+    texts = {}
+    for i, t in rows:
+        texts[i] = texts[i] + "\n" + t if i in texts else t
+    frame = spark.createDataFrame(sorted(texts.items()), "doc_id long, text string").repartition(4)
+    removed = line_dedup.removed_lines(frame).collect()
+    assert {(r.doc_id, k) for r in removed for k in r.removed} == brute_lines(sorted(texts.items()), 80)
+
+
 def test_many_variants_of_a_line(spark):
     base = words(11, 40).split(" ")
     rows = []

@@ -15,6 +15,10 @@ only one similar earlier class: it is verified with the earliest candidate first
 with all others only if that fails.  Lists much longer than others are cut into
 blocks whose pairs go to different tasks.
 
+Texts are read once: the lines are written with the word sets of those that differ within a piece of a task, words
+as 48-bit hashes (two words of a pair of 100-word lines share one with a chance below 1e-10); prefixes, list sizes,
+entries and sets for verification all come from that table.  Entries travel packed by column, many to a row.
+
 Lines without words stay.  Null texts have no lines and stay null.  Rows with null id are
 not compared and stay as they are.  Repeated rows count as one place, so each keeps what the
 first occurrence keeps; different texts under one id share their places, and lines
@@ -31,19 +35,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import arrow_schema, batch_of, bytes_of, materialise, mix, packed, quoted, signed, slices, strings, unpacked, unused, whole_groups, words_in
-from tidewell.llm.near_dup import FILTER_BITS, bit_filter, slot_of
+from tidewell.llm.common import arrow_schema, batch_of, bytes_of, materialise, mix, packed, quoted, signed, slices, strings, unused, words_in
+from tidewell.llm.near_dup import FILTER_BITS
 from tidewell.llm.rarity import COUNTS_DDL, counted, rarity_table
 
 BUCKETS = 1 << 20
 #: Entries of a list from which it is cut into blocks of that size.
 BLOCK = 100_000
-
-LINES = "k1 long, k2 long, n int, doc_id long, line int"
-#: ``list`` is the word and the pair of blocks, ``shape`` the size of the set, the word's place and the side.
-ENTRIES = "list long, k1 long, doc_id long, line int, shape long, bits_a long, bits_b long"
+#: Bytes of text, of packed words and of packed entries that a task works on at a time.
+TEXT_BYTES, SET_BYTES, PART_ENTRIES, SENT_ENTRIES = 1 << 20, 1 << 20, 200_000, 1_000_000
+#: Bytes kept of a word's hash; parity bits are 64 for sets up to ``WIDE`` words and 128 beyond.
+WORD_BYTES, WIDE = 6, 96
+
+#: ``words`` is null for a line whose set stands in an earlier line of the same piece.
+LINES = "k1 long, k2 long, n int, doc_id long, line int, words binary"
+ENTRIES = "part long, entries int, data binary"
 CANDIDATES = "doc_id long, line int, other_id long, other_line int, found int"
-SETS = "doc_id long, line int, words binary"
+PAIRS = "doc_id long, line int, other_id long, other_line int"
 
 
 def split_lines(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -92,14 +100,31 @@ def set_keys(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = arrow_schema(LINES)
     for batch in batches:
-        for piece in slices(batch, "text"):
+        for piece in slices(batch, "text", TEXT_BYTES):
             data, bounds, text, number = split_lines(strings(piece.column("text")))
             values, offsets = line_sets(data, bounds)
             k1, k2 = set_keys(values, offsets)
             n = np.diff(offsets)
-            held = n > 0
             ids = piece.column("doc_id").to_numpy()[text]
-            yield batch_of(schema, [signed(k1[held]), signed(k2[held]), n[held].astype(np.int32), ids[held], number[held].astype(np.int32)])
+            order = np.lexsort((number, ids, k2, k1))
+            fresh = np.ones(len(order), bool)
+            fresh[1:] = (k1[order][1:] != k1[order][:-1]) | (k2[order][1:] != k2[order][:-1])
+            first = np.zeros(len(order), bool)
+            first[order[fresh]] = True
+            held = np.flatnonzero(n > 0)
+            short = np.ascontiguousarray((values >> np.uint64(64 - 8 * WORD_BYTES)).view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES]).tobytes()
+            words = [short[WORD_BYTES * offsets[i]:WORD_BYTES * offsets[i + 1]] if first[i] else None for i in held.tolist()]
+            yield batch_of(schema, [signed(k1[held]), signed(k2[held]), n[held].astype(np.int32), ids[held], number[held].astype(np.int32),
+                                    pa.array(words, pa.binary())])
+
+
+def unpacked_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Packed word sets as values and offsets."""
+    held = column.to_pylist()
+    offsets = np.concatenate([[0], np.cumsum([len(v) // WORD_BYTES for v in held])]).astype(np.int64)
+    wide = np.zeros((offsets[-1], 8), np.uint8)
+    wide[:, :WORD_BYTES] = np.frombuffer(b"".join(held), np.uint8).reshape(-1, WORD_BYTES)
+    return wide.reshape(-1).view(np.uint64), offsets
 
 
 def prefix_sizes(n: np.ndarray, percent: int) -> np.ndarray:
@@ -107,43 +132,36 @@ def prefix_sizes(n: np.ndarray, percent: int) -> np.ndarray:
     return n - -(-n * percent // 100) + 1
 
 
+def least_size(percent: int) -> int:
+    """Smaller sets are similar to equal sets only; the first of equal lines is enough."""
+    return min(100 // (100 - percent), 4) if percent < 100 else 4
+
+
 class Prefixes:
-    """The listed words of the distinct lines of some texts; with ``frequent``, only of lines that list a word of that rank."""
+    """The listed words of some sets; with ``frequent``, only of those that list a word of that rank."""
 
     def __init__(self, piece: pa.RecordBatch, ranks: np.ndarray, percent: int, frequent: int | None = None):
-        data, bounds, text, number = split_lines(strings(piece.column("text")))
-        values, offsets = line_sets(data, bounds)
-        k1, _ = set_keys(values, offsets)
+        values, offsets = unpacked_words(piece.column("words"))
         n = np.diff(offsets)
-        # Sets of up to three words are similar to equal sets only; the first of equal lines is enough.
-        least = 100 // (100 - percent) if percent < 100 else 1 << 30
-        ids = piece.column("doc_id").to_numpy()[text]
-        order = np.lexsort((number, ids, k1))
-        fresh = np.ones(len(order), bool)
-        fresh[1:] = k1[order][1:] != k1[order][:-1]
-        lines = order[fresh & (n[order] >= min(least, 4))]
         rank = ranks[(values & np.uint64(BUCKETS - 1)).astype(np.int64)].astype(np.uint64)
+        kept = n >= least_size(percent)
         if frequent is not None:
-            lines = lines[sums_of((rank < frequent).astype(np.int64), offsets)[lines] < prefix_sizes(n[lines], percent)]
-            chosen = np.zeros(len(n), bool)
-            chosen[lines] = True
-            held = chosen[np.repeat(np.arange(len(n)), n)]
-            values, rank = values[held], rank[held]
-            offsets = np.concatenate([[0], np.cumsum(np.where(chosen, n, 0))])
-            n = np.where(chosen, n, 0)
-        self.k1, self.ids, self.number, self.n = k1[lines], ids[lines], number[lines], n[lines]
+            kept &= sums_of((rank < frequent).astype(np.int64), offsets) < prefix_sizes(n, percent)
+        if not kept.all():
+            inside = np.repeat(kept, n)
+            values, rank, n = values[inside], rank[inside], n[kept]
+            offsets = np.concatenate([[0], np.cumsum(n)])
+        kept = np.flatnonzero(kept)
+        self.k1, self.ids, self.number = (piece.column(c).to_numpy()[kept] for c in ("k1", "doc_id", "line"))
+        self.n = n
         one = np.uint64(1)
         bit, half = one << ((values >> np.uint64(24)) & np.uint64(63)), (values >> np.uint64(30)) & one
-        self.bits_a, self.bits_b = (sums_of(np.where(half == h, bit, np.uint64(0)), offsets, np.bitwise_xor)[lines] for h in (0, 1))
-        line = np.repeat(np.arange(len(n)), n)
-        order = np.argsort((line.astype(np.uint64) << np.uint64(40)) | (rank << np.uint64(32)) | (values >> np.uint64(32)))
-        place = np.arange(len(order)) - offsets[line]
-        wanted = np.full(len(n), 0)
-        wanted[lines] = prefix_sizes(self.n, percent)
-        keep = place < wanted[line]
-        back = np.zeros(len(n), np.int64)
-        back[lines] = np.arange(len(lines))
-        self.tokens, self.place, self.row = values[order][keep], place[keep], back[line[keep]]
+        self.bits_a, self.bits_b = (sums_of(np.where(half == h, bit, np.uint64(0)), offsets, np.bitwise_xor) for h in (0, 1))
+        row = np.repeat(np.arange(len(n)), n)
+        order = np.argsort((row.astype(np.uint64) << np.uint64(40)) | (rank << np.uint64(32)) | (values >> np.uint64(16)))
+        place = np.arange(len(order)) - offsets[row]
+        keep = place < prefix_sizes(n, percent)[row]
+        self.tokens, self.place, self.row = values[order][keep], place[keep], row[keep]
 
 
 def _frequent_tokens(ranks, percent: int):
@@ -152,90 +170,156 @@ def _frequent_tokens(ranks, percent: int):
 
     def tokens(batch: pa.RecordBatch) -> np.ndarray:
         found = [np.zeros(0, np.uint64)]
-        for piece in slices(batch, "text"):
+        for piece in slices(batch, "words", SET_BYTES):
             made = Prefixes(piece, ranks.value, percent, least).tokens
             found.append(made[ranks.value[(made & np.uint64(BUCKETS - 1)).astype(np.int64)] >= least])
         return np.concatenate(found)
     return tokens
 
 
-def _entries(ranks, blocks, percent: int, only: np.ndarray | None):
+#: Columns of packed entries; those with small numbers are stored plane by plane, which compresses.
+COLUMNS = [("name", np.uint64, False), ("key", np.uint32, False), ("doc", np.int64, True), ("line", np.int32, True),
+           ("n", np.int32, True), ("place", np.int32, True), ("side", np.uint8, False), ("fold", np.uint64, False)]
+
+
+def pack_entries(columns: dict[str, np.ndarray], at: np.ndarray) -> bytes:
+    parts = []
+    for name, kind, planes in COLUMNS:
+        x = columns[name][at].astype(kind, copy=False)
+        parts.append(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes() if planes else x.tobytes())
+    wide = at[columns["n"][at] > WIDE]
+    return b"".join([*parts, columns["half"][wide].tobytes()])
+
+
+def unpack_entries(count: int, data: bytes) -> dict[str, np.ndarray]:
+    out, start = {}, 0
+    for name, kind, planes in COLUMNS:
+        size = np.dtype(kind).itemsize
+        raw = np.frombuffer(data, np.uint8, count * size, start)
+        out[name] = (np.ascontiguousarray(raw.reshape(size, count).T).reshape(-1) if planes else raw).view(kind)
+        start += count * size
+    out["half"] = np.zeros(count, np.uint64)
+    out["half"][out["n"] > WIDE] = np.frombuffer(data, np.uint64, -1, start)
+    return out
+
+
+def _entries(ranks, blocks, percent: int, parts: int, only: np.ndarray | None):
     """Entries of the lists; long lists are dealt to pairs of blocks; ``only`` restricts to some lists."""
-    schema = arrow_schema(ENTRIES)
+    def rows(held: list[dict[str, np.ndarray]]) -> pa.RecordBatch:
+        columns = {name: np.concatenate([h[name] for h in held]) for name in held[0]}
+        part = (columns["name"] % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(part[order])) + 1, [len(order)]]) if len(order) else np.zeros(1, np.int64)
+        spans = list(zip(cuts.tolist(), cuts[1:].tolist()))
+        return batch_of(arrow_schema(ENTRIES), [part[order[cuts[:-1]]], np.diff(cuts).astype(np.int32),
+                                                pa.array([pack_entries(columns, order[x:y]) for x, y in spans], pa.binary())])
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "words", SET_BYTES):
                 p = Prefixes(piece, ranks.value, percent)
                 tokens, place, row = p.tokens, p.place, p.row
                 if only is not None:
-                    slot = (mix(tokens) % np.uint64(FILTER_BITS)).astype(np.int64)
-                    held = (only[slot >> 3] >> (slot & 7)) & 1 == 1
-                    tokens, place, row = tokens[held], place[held], row[held]
+                    inside = in_bits(only, mix(tokens))
+                    tokens, place, row = tokens[inside], place[inside], row[inside]
                 count = blocks.value[(tokens & np.uint64(BUCKETS - 1)).astype(np.int64)].astype(np.int64)
-                own = (p.k1[row] % count.astype(np.uint64)).astype(np.int64)
+                own = (p.k1.view(np.uint64)[row] % count.astype(np.uint64)).astype(np.int64)
                 at = np.repeat(np.arange(len(tokens)), count)
                 other = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
                 own = own[at]
-                side = np.where(own == other, 0, np.where(own < other, 1, 2)).astype(np.int32)
+                side = np.where(own == other, 0, np.where(own < other, 1, 2)).astype(np.uint8)
                 take = row[at]
                 own, other = np.minimum(own, other), np.maximum(own, other)
-                name = tokens[at]
+                # Scrambled, so that parts are dealt evenly.
+                name = mix(tokens[at])
                 cut = count[at] > 1
                 name[cut] = mix(name[cut] + mix((own[cut] * 65536 + other[cut]).astype(np.uint64)))
-                shape = (p.n[take] << 32) | (place[at] << 2) | side
-                yield batch_of(schema, [signed(name), signed(p.k1[take]), p.ids[take], p.number[take].astype(np.int32), shape,
-                                        signed(p.bits_a[take]), signed(p.bits_b[take])])
+                held.append({"name": name, "key": (p.k1[take] & 0xFFFFFFFF).astype(np.uint32), "doc": p.ids[take], "line": p.number[take],
+                             "n": p.n[take].astype(np.int32), "place": place[at].astype(np.int32), "side": side,
+                             "fold": (p.bits_a ^ p.bits_b)[take], "half": p.bits_a[take]})
+                size += len(name)
+                if size > SENT_ENTRIES:
+                    yield rows(held)
+                    held, size = [], 0
+        if size:
+            yield rows(held)
     return index
 
 
-def passing(n: np.ndarray, place: np.ndarray, a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+def passing(e: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
     """Which pairs of entries of one list pass all filters; ``i`` is not the larger set."""
+    n, place = e["n"], e["place"]
     both = n[i] + n[j]
     overlap = -(-percent * both // (100 + percent))
     index = n[i] - -(-2 * percent * n[i] // (100 + percent)) + 1
     ahead = np.minimum(n[i] - place[i], n[j] - place[j])
-    # A word of one set only flips one of the 128 parity bits.
-    differ = np.bitwise_count((a[i] ^ a[j]).view(np.uint64)).astype(np.int64) + np.bitwise_count((b[i] ^ b[j]).view(np.uint64))
-    return (ahead >= overlap) & (place[i] < index) & (differ <= both - 2 * overlap)
+    good = (ahead >= overlap) & (place[i] < index)
+    i, j = i[good], j[good]
+    # A word of one set only flips one of the parity bits; folded, 128 of them are 64.
+    a = e["half"][i] ^ e["half"][j]
+    both_wide = n[i] > WIDE
+    fold = e["fold"][i] ^ e["fold"][j]
+    differ = np.where(both_wide, np.bitwise_count(a).astype(np.int64) + np.bitwise_count(fold ^ a), np.bitwise_count(fold))
+    good[good] = differ <= (both - 2 * overlap)[good]
+    return good
+
+
+def groups_of_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+    """All entries of one part, from rows sorted by part."""
+    held, part = [], None
+    for batch in batches:
+        for key, count, data in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            if key != part and held:
+                yield {name: np.concatenate([h[name] for h in held]) for name in held[0]}
+                held = []
+            part = key
+            held.append(unpack_entries(count, data))
+    if held:
+        yield {name: np.concatenate([h[name] for h in held]) for name in held[0]}
 
 
 def _compare(percent: int, every: np.ndarray | None):
-    """Candidates from sorted entries: for each class the earliest per list, or all for the classes in ``every``."""
+    """Candidates from entries: for each class the earliest per list, or all for the classes in ``every``."""
     schema = arrow_schema(CANDIDATES)
-    names = ("list", "k1", "doc_id", "line", "shape", "bits_a", "bits_b")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in whole_groups(batches, names, 1):
-            order = np.lexsort((columns[3], columns[2], columns[1], columns[4] >> 32, columns[0]))
-            token, k1, doc, line, shape, a, b = (x[order] for x in columns)
-            n, place, side = shape >> 32, (shape & 0xFFFFFFFF) >> 2, shape & 3
-            group = np.cumsum(np.concatenate([[0], token[1:] != token[:-1]]))
-            # Copies of a class from several batches: the earliest stays.
+        for e in groups_of_parts(batches):
+            size = (e["n"].astype(np.uint64) << np.uint64(32)) | e["key"]
+            order = np.lexsort((e["line"], e["doc"], e["fold"], size, e["name"]))
+            e, size = {k: x[order] for k, x in e.items()}, size[order]
+            group = np.cumsum(np.concatenate([[0], e["name"][1:] != e["name"][:-1]]))
+            # Copies of a class from several pieces: the earliest stays.
             fresh = np.ones(len(group), bool)
-            fresh[1:] = (group[1:] != group[:-1]) | (k1[1:] != k1[:-1])
-            side, k1, doc, line, n, place, a, b, group = (x[fresh] for x in (side, k1, doc, line, n, place, a, b, group))
+            fresh[1:] = (group[1:] != group[:-1]) | (size[1:] != size[:-1]) | (e["fold"][1:] != e["fold"][:-1])
+            # A list of one class has no pairs.
+            e, group = {k: x[fresh] for k, x in e.items()}, group[fresh]
+            inner = np.zeros(len(group), bool)
+            inner[1:] = group[1:] == group[:-1]
+            inner[:-1] |= inner[1:]
+            e, group = {k: x[inner] for k, x in e.items()}, group[inner]
+            doc, line, n, side = e["doc"], e["line"], e["n"].astype(np.int64), e["side"]
+            e["n"] = n
             rank = np.empty(len(doc), np.int64)
             by_place = np.lexsort((line, doc))
             changes = np.ones(len(doc), bool)
             changes[1:] = (doc[by_place][1:] != doc[by_place][:-1]) | (line[by_place][1:] != line[by_place][:-1])
             rank[by_place] = np.cumsum(changes)
             best, found = np.full(len(doc), np.iinfo(np.int64).max), np.zeros(len(doc), np.int32)
-            wanted = None
-            if every is not None:
-                slot = (k1.view(np.uint64) % np.uint64(FILTER_BITS)).astype(np.int64)
-                wanted = (every[slot >> 3] >> (slot & 7)) & 1 == 1
+            wanted = in_bits(every, e["key"].astype(np.uint64)) if every is not None else None
             i, step, pairs = np.arange(len(doc)), 0, []
             while True:
                 step += 1
                 i = i[i + step < len(doc)]
-                i = i[(group[i] == group[i + step])]
+                i = i[group[i] == group[i + step]]
                 i = i[100 * n[i] >= percent * n[i + step]]
                 if not len(i):
                     break
                 j = i + step
-                good = passing(n, place, a, b, i, j, percent) & ((side[i] == 0) | (side[i] != side[j])) & (rank[i] != rank[j])
-                x, y = i[good], j[good]
+                near = ((side[i] == 0) | (side[i] != side[j])) & (rank[i] != rank[j])
+                x, y = i[near], j[near]
+                good = passing(e, x, y, percent)
+                x, y = x[good], y[good]
                 late, early = np.where(rank[x] > rank[y], x, y), np.where(rank[x] > rank[y], y, x)
                 if every is None:
                     for half in (late == y, late == x):  # within each half a row is late once
@@ -252,54 +336,65 @@ def _compare(percent: int, every: np.ndarray | None):
             else:
                 late, early = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.int64)
             for start in range(0, len(late), 100_000):
-                l, e = late[start:start + 100_000], early[start:start + 100_000]
-                yield batch_of(schema, [doc[l], line[l], doc[e], line[e], found[l]])
+                l, o = late[start:start + 100_000], early[start:start + 100_000]
+                yield batch_of(schema, [doc[l], line[l], doc[o], line[o], found[l]])
     return compare
 
 
-def _sets(bits: np.ndarray):
-    """Word sets of the lines whose place may be wanted."""
-    schema = arrow_schema(SETS)
+def in_bits(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether the slot of each hash is set."""
+    slot = (hashes % np.uint64(FILTER_BITS)).astype(np.int64)
+    return (bits[slot >> 3] >> (slot & 7)) & 1 == 1
 
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            slot = batch.column("slot").to_numpy()
-            batch = batch.filter(pa.array((bits[slot >> 3] >> (slot & 7)) & 1 == 1))
-            for piece in slices(batch, "text"):
-                data, bounds, text, number = split_lines(strings(piece.column("text")))
-                values, offsets = line_sets(data, bounds)
-                ids = piece.column("doc_id").to_numpy()[text]
-                held = np.flatnonzero(np.diff(offsets) > 0)
-                for start in range(0, len(held), 50_000):
-                    part = held[start:start + 50_000]
-                    yield batch_of(schema, [ids[part], number[part].astype(np.int32), packed([values[offsets[k]:offsets[k + 1]] for k in part])])
-    return pick
+
+def or_bits(slots: DataFrame) -> np.ndarray:
+    """Bits of the slots in column ``slot``; of fixed size."""
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    parts = slots.select(F.expr("slot div 32768").alias("part"), F.expr("slot % 32768").alias("bit")).groupBy("part").agg(
+        F.bitmap_construct_agg("bit").alias("bits"))
+    for row in parts.collect():
+        out[row.part * 4096:row.part * 4096 + len(row.bits)] = np.frombuffer(row.bits, np.uint8)
+    return out
 
 
-def _verify(percent: int):
-    schema = arrow_schema("doc_id long, line int, other_id long, other_line int")
+def place_slot(doc: str = "doc_id", line: str = "line"):
+    return F.pmod(F.xxhash64(doc, line), F.lit(FILTER_BITS))
 
+
+def _verify(percent: int):
+    """Pairs whose sets are similar; pairs are numbered within a batch, so that one sort counts all shared words."""
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for a, b in zip(unpacked(batch.column("words_a")), unpacked(batch.column("words_b"))):
-                shared = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(100 * shared >= percent * (len(a) + len(b) - shared))
-            yield batch.select(["doc_id", "line", "other_id", "other_line"]).filter(pa.array(keep, pa.bool_())).cast(schema)
+        for whole in batches:
+            for start in range(0, whole.num_rows, 4096):
+                batch = whole.slice(start, 4096)
+                (a, first), (b, second) = (unpacked_words(batch.column(c)) for c in ("words_a", "words_b"))
+                n, m = np.diff(first), np.diff(second)
+                shift = np.uint64(8 * WORD_BYTES)
+                pair = np.concatenate([np.repeat(np.arange(len(n)), n), np.repeat(np.arange(len(m)), m)]).astype(np.uint64)
+                keys = np.sort((pair << shift) | np.concatenate([a, b]))
+                shared = np.bincount((keys[1:][keys[1:] == keys[:-1]] >> shift).astype(np.int64), minlength=len(n))
+                good = 100 * shared >= percent * (n + m - shared)
+                yield batch.select([f.name for f in arrow_schema(PAIRS)]).filter(pa.array(good, pa.bool_())).cast(arrow_schema(PAIRS))
     return verify
 
 
-def _verified(plain: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    wanted = materialise(pairs.select("doc_id", "line").unionByName(
-        pairs.select(F.col("other_id").alias("doc_id"), F.col("other_line").alias("line"))).distinct(), "wanted-lines")
-    bits = bit_filter(wanted, "doc_id")
-    sets = plain.withColumn("slot", slot_of("doc_id")).mapInArrow(_sets(bits), SETS)
-    sets = materialise(sets.join(wanted, ["doc_id", "line"]).dropDuplicates(["doc_id", "line", "words"]), "line-sets")
-    joined = pairs.join(sets.withColumnRenamed("words", "words_a"), ["doc_id", "line"]).join(
-        sets.select(F.col("doc_id").alias("other_id"), F.col("line").alias("other_line"), F.col("words").alias("words_b")),
+def _verified(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs of places whose sets are similar."""
+    wanted = pairs.select("doc_id", "line").unionByName(
+        pairs.select(F.col("other_id").alias("doc_id"), F.col("other_line").alias("line"))).distinct()
+    bits = or_bits(wanted.select(place_slot().alias("slot")))
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot = batch.column(3).to_numpy().astype(np.uint64)
+            yield batch.select([0, 1, 2]).filter(pa.array(in_bits(bits, slot), pa.bool_()))
+
+    kept = sets.select("doc_id", "line", "words", place_slot().cast("long").alias("slot")).mapInArrow(held, "doc_id long, line int, words binary")
+    kept = materialise(kept, "line-sets")
+    joined = pairs.join(kept.withColumnRenamed("words", "words_a"), ["doc_id", "line"]).join(
+        kept.select(F.col("doc_id").alias("other_id"), F.col("line").alias("other_line"), F.col("words").alias("words_b")),
         ["other_id", "other_line"])
-    return joined.select("doc_id", "line", "other_id", "other_line", "words_a", "words_b").mapInArrow(
-        _verify(percent), "doc_id long, line int, other_id long, other_line int")
+    return joined.select("doc_id", "line", "other_id", "other_line", "words_a", "words_b").mapInArrow(_verify(percent), PAIRS).distinct()
 
 
 def similar_lines(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -308,71 +403,52 @@ def similar_lines(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", te
     The second holds the places of both classes: doc_id, line, other_id, other_line.
     """
     spark = docs.sparkSession
-    plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where(
+    plain = docs.select(F.col(quoted(doc_id)).cast("long").alias("doc_id"), F.col(quoted(text)).cast("string").alias("text")).where(
         "doc_id is not null and text is not null")
-    lines = materialise(plain.mapInArrow(_lines, LINES), "lines")
-    words = lambda b: np.concatenate([np.zeros(0, np.uint64), *(
-        words_in(*bytes_of(strings(p.column("text")))).hashes for p in slices(b, "text"))])
-    ranks = spark.sparkContext.broadcast(rarity_table(plain.select("text").mapInArrow(counted(words, BUCKETS), COUNTS_DDL), BUCKETS))
-    sizes = rarity_table(plain.mapInArrow(counted(_frequent_tokens(ranks, percent), BUCKETS), COUNTS_DDL), BUCKETS)
+    table = materialise(plain.mapInArrow(_lines, LINES), "lines")
+    lines, sets = table.drop("words"), table.where("words is not null")
+    words = lambda b: np.concatenate([np.zeros(0, np.uint64), *(unpacked_words(p.column("words"))[0] for p in slices(b, "words"))])
+    ranks = spark.sparkContext.broadcast(rarity_table(sets.select("words").mapInArrow(counted(words, BUCKETS), COUNTS_DDL), BUCKETS))
+    sizes = rarity_table(sets.mapInArrow(counted(_frequent_tokens(ranks, percent), BUCKETS), COUNTS_DDL), BUCKETS)
     length = 2.0 ** (sizes.astype(float) / 8) - 1
     usual = length.mean()  # what other words add to a list's bucket
     split = np.where(length > 8 * usual + BLOCK, np.ceil((length - 4 * usual) / BLOCK), 1).clip(1, 1 << 15).astype(np.uint16)
     blocks = spark.sparkContext.broadcast(split)
+    listed = sets.agg(F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).head()[0] or 0
+    parts = max(1, -(-int(listed) // PART_ENTRIES))
 
     def candidates(only: np.ndarray | None, every: np.ndarray | None) -> DataFrame:
-        entries = plain.mapInArrow(_entries(ranks, blocks, percent, only), ENTRIES)
-        return entries.repartition("list").sortWithinPartitions("list").mapInArrow(
-            _compare(percent, every), CANDIDATES)
+        entries = sets.mapInArrow(_entries(ranks, blocks, percent, parts, only), ENTRIES)
+        return entries.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_compare(percent, every), CANDIDATES)
 
     first = materialise(candidates(None, None), "candidates")
     # All copies of a class are in the same lists, so candidates stand at the first line of their class.
     best = first.groupBy("doc_id", "line").agg(
         F.min(F.struct("other_id", "other_line")).alias("o"), F.sum("found").alias("found"))
-    pairs = best.select("doc_id", "line", F.col("o.other_id").alias("other_id"), F.col("o.other_line").alias("other_line"), "found")
-    pairs = materialise(pairs, "best-candidates")
-    sure = materialise(_verified(plain, pairs.drop("found"), percent), "similar")
+    pairs = materialise(best.select("doc_id", "line", F.col("o.other_id").alias("other_id"), F.col("o.other_line").alias("other_line"), "found"), "best-candidates")
+    sure = materialise(_verified(sets, pairs.drop("found"), percent), "similar")
     failed = pairs.where("found > 1").join(sure.select("doc_id", "line"), ["doc_id", "line"], "left_anti")
-    failed = materialise(failed.select("doc_id", "line").join(lines, ["doc_id", "line"]).select("doc_id", "line", "k1", "n").distinct(), "open-lines")
+    failed = materialise(failed.select("doc_id", "line").join(lines, ["doc_id", "line"]).select("doc_id", "line", "k1").distinct(), "open-lines")
     if failed.isEmpty():
         return lines, sure
-    bits = _class_bits(failed)
-    tokens = _token_bits(plain, failed, ranks, percent)
-    again = candidates(tokens, bits).select("doc_id", "line", "other_id", "other_line").distinct()
+    # The low bits of k1 are the same for signed and unsigned values.
+    classes = or_bits(failed.select(F.pmod("k1", F.lit(FILTER_BITS)).alias("slot")))
+    tokens = or_bits(sets.mapInArrow(_tokens_of(classes, ranks, percent), "slot long"))
+    again = candidates(tokens, classes).select("doc_id", "line", "other_id", "other_line").distinct()
     again = materialise(again.join(failed.select("doc_id", "line"), ["doc_id", "line"], "left_semi").join(
         pairs.drop("found"), ["doc_id", "line", "other_id", "other_line"], "left_anti"), "more-candidates")
-    return lines, sure.unionByName(_verified(plain, again, percent))
-
-
-def _or_bits(frame: DataFrame) -> np.ndarray:
-    """Bits of the slots in column ``slot``; of fixed size."""
-    out = np.zeros(FILTER_BITS // 8, np.uint8)
-    parts = frame.select(F.expr("slot div 32768").alias("part"), F.expr("slot % 32768").alias("bit")).groupBy("part").agg(
-        F.bitmap_construct_agg("bit").alias("bits"))
-    for row in parts.collect():
-        out[row.part * 4096:row.part * 4096 + len(row.bits)] = np.frombuffer(row.bits, np.uint8)
-    return out
-
+    return lines, sure.unionByName(_verified(sets, again, percent))
 
-def _class_bits(failed: DataFrame) -> np.ndarray:
-    # k1 modulo a power of two is the same for signed and unsigned values.
-    return _or_bits(failed.select(F.pmod("k1", F.lit(FILTER_BITS)).alias("slot")))
 
-
-def _token_bits(plain: DataFrame, failed: DataFrame, ranks, percent: int) -> np.ndarray:
-    """Lists that hold an open class."""
+def _tokens_of(classes: np.ndarray, ranks, percent: int):
+    """Slots of the lists that hold a class in ``classes``."""
     def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            slot = batch.column("slot").to_numpy()
-            batch = batch.filter(pa.array((bits[slot >> 3] >> (slot & 7)) & 1 == 1))
-            for piece in slices(batch, "text"):
-                p = Prefixes(piece, ranks.value, percent)
-                at = (p.k1 % np.uint64(FILTER_BITS)).astype(np.int64)
-                held = ((classes[at >> 3] >> (at & 7)) & 1 == 1)[p.row]
-                yield batch_of(arrow_schema("slot long"), [np.unique((mix(p.tokens[held]) % np.uint64(FILTER_BITS)).astype(np.int64))])
-
-    bits, classes = bit_filter(failed.select("doc_id").distinct(), "doc_id"), _class_bits(failed)
-    return _or_bits(plain.withColumn("slot", slot_of("doc_id")).mapInArrow(slots, "slot long"))
+            batch = batch.filter(pa.array(in_bits(classes, batch.column("k1").to_numpy().view(np.uint64)), pa.bool_()))
+            for piece in slices(batch, "words", SET_BYTES):
+                listed = mix(Prefixes(piece, ranks.value, percent).tokens)
+                yield batch_of(arrow_schema("slot long"), [np.unique((listed % np.uint64(FILTER_BITS)).astype(np.int64))])
+    return slots
 
 
 def _gone(docs: DataFrame, percent: int, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
@@ -380,7 +456,8 @@ def _gone(docs: DataFrame, percent: int, doc_id: str, text: str) -> tuple[DataFr
     lines, similar = similar_lines(docs, percent, doc_id, text)
     classes = lines.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n"))
     late = similar.select("doc_id", "line").distinct().join(lines, ["doc_id", "line"]).select("k1", "k2").distinct().withColumn("late", F.lit(True))
-    classes = classes.join(late, ["k1", "k2"], "left").where("n > 1 or late").select("k1", "k2", "first", "late")
+    # Written, so that the join below deals a class with many lines to several tasks.
+    classes = materialise(classes.join(late, ["k1", "k2"], "left").where("n > 1 or late").select("k1", "k2", "first", "late"), "classes")
     gone = lines.join(classes, ["k1", "k2"]).where("late or first.doc_id <> doc_id or first.line <> line")
     return lines, gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("line")).alias("removed"))
 
@@ -400,10 +477,16 @@ def line_report(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text
         F.coalesce(F.size("removed"), F.lit(0)).alias("n_removed"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
 
 
-def dedup_lines(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with the texts' later similar lines removed; all columns stay."""
+def dedup_lines(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text", drop_emptied: bool = False) -> DataFrame:
+    """``docs`` with the texts' later similar lines removed; all columns stay.
+
+    A document that keeps no word stays with what is left, or goes with ``drop_emptied``; one without words from the start stays.
+    """
     own, numbers = unused(docs, "removed_from"), unused(docs, "removed_lines")
     gone = removed_lines(docs, percent, doc_id, text).select(F.col("doc_id").alias(own), F.col("removed").alias(numbers))
     joined = docs.join(gone, docs[quoted(doc_id)].cast("long") == F.col(own), "left")
     kept = F.array_join(F.filter(F.split(F.col(quoted(text)), "\n", -1), lambda x, i: ~F.array_contains(numbers, i)), "\n")
-    return joined.withColumn(text, F.when(F.col(numbers).isNull(), F.col(quoted(text))).otherwise(kept)).drop(own, numbers)
+    cleaned = joined.withColumn(text, F.when(F.col(numbers).isNull(), F.col(quoted(text))).otherwise(kept))
+    if drop_emptied:
+        cleaned = cleaned.where(F.col(numbers).isNull() | F.col(quoted(text)).rlike(r"[^\x20\x09-\x0D]"))
+    return cleaned.drop(own, numbers)
