@@ -66,9 +66,11 @@ def integers(frame: DataFrame, vec_id: str, vector: str) -> DataFrame:
     v = F.col(vector).cast("array<double>")
     bad = F.exists(v, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
     fine = frame.select(F.col(vec_id).alias("vec_id"), v.alias("v")).where(F.col("v").isNotNull() & (F.size("v") > 0) & ~bad)
-    length = fine.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).select("d").head()
+    length = fine.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("d")).head()
     schema = arrow_schema("vec_id long, x binary")
-    size = length.d if length else 0
+    size, rows = (length.d, length.n) if length else (0, 0)
+    # Passes are many and short: small scan partitions are taken together, without a shuffle.
+    tasks = max(frame.sparkSession.sparkContext.defaultParallelism, 8 * size * rows // TASK_BYTES)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -76,7 +78,7 @@ def integers(frame: DataFrame, vec_id: str, vector: str) -> DataFrame:
             x = (np.floor(64 * c).astype(np.int64) + SHIFT).reshape(-1, size)
             yield batch_of(schema, [batch.column(0).cast(pa.int64()), pa.array([r.tobytes() for r in x], pa.binary())])
 
-    return fine.where(F.size("v") == size).mapInArrow(pack, "vec_id long, x binary")
+    return fine.where(F.size("v") == size).coalesce(tasks).mapInArrow(pack, "vec_id long, x binary")
 
 
 def matrix_of(column: pa.Array) -> np.ndarray:
@@ -171,9 +173,6 @@ def fit_whitening(packed: DataFrame, count: int = 32, guard: int = 16, seed: int
     if not n:
         return Fit(0, [], np.zeros(0), np.zeros((0, 0)), 0.0, 0.0, 0)
     d = len(sums)
-    # Passes are many and short: small scan partitions are taken together, without a shuffle.
-    tasks = max(packed.sparkSession.sparkContext.defaultParallelism, 8 * d * n // TASK_BYTES)
-    packed = packed.coalesce(tasks)
     trace = trace_of(packed, n, sums)
     if trace == 0:
         return Fit(n, sums.tolist(), np.zeros(0), np.zeros((d, 0)), 0.0, 0.0, 2)
