@@ -50,8 +50,10 @@ WORD_BYTES, WIDE = 6, 96
 #: ``words`` is null for a line whose set stands in an earlier line of the same piece.
 LINES = "k1 long, k2 long, n int, doc_id long, line int, words binary"
 ENTRIES = "part long, entries int, data binary"
-CANDIDATES = "doc_id long, line int, other_id long, other_line int, found int"
-PAIRS = "doc_id long, line int, other_id long, other_line int"
+#: ``key`` is the low half of the later class's k1.
+CANDIDATES = "doc_id long, line int, other_id long, other_line int, found int, key long"
+#: Similar pairs, with the class of the later line.
+PAIRS = "doc_id long, line int, other_id long, other_line int, k1 long, k2 long"
 
 
 def split_lines(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -337,7 +339,7 @@ def _compare(percent: int, every: np.ndarray | None):
                 late, early = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.int64)
             for start in range(0, len(late), 100_000):
                 l, o = late[start:start + 100_000], early[start:start + 100_000]
-                yield batch_of(schema, [doc[l], line[l], doc[o], line[o], found[l]])
+                yield batch_of(schema, [doc[l], line[l], doc[o], line[o], found[l], e["key"][l].astype(np.int64)])
     return compare
 
 
@@ -380,27 +382,28 @@ def _verify(percent: int):
 
 def _verified(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs of places whose sets are similar."""
-    wanted = pairs.select("doc_id", "line").unionByName(
-        pairs.select(F.col("other_id").alias("doc_id"), F.col("other_line").alias("line"))).distinct()
-    bits = or_bits(wanted.select(place_slot().alias("slot")))
+    later = or_bits(pairs.select(place_slot().alias("slot")))
+    earlier = or_bits(pairs.select(place_slot("other_id", "other_line").alias("slot")))
+    spec = "doc_id long, line int, k1 long, k2 long, words binary, later boolean, earlier boolean"
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            slot = batch.column(3).to_numpy().astype(np.uint64)
-            yield batch.select([0, 1, 2]).filter(pa.array(in_bits(bits, slot), pa.bool_()))
-
-    kept = sets.select("doc_id", "line", "words", place_slot().cast("long").alias("slot")).mapInArrow(held, "doc_id long, line int, words binary")
-    kept = materialise(kept, "line-sets")
-    joined = pairs.join(kept.withColumnRenamed("words", "words_a"), ["doc_id", "line"]).join(
-        kept.select(F.col("doc_id").alias("other_id"), F.col("line").alias("other_line"), F.col("words").alias("words_b")),
+            slot = batch.column(5).to_numpy().astype(np.uint64)
+            a, b = in_bits(later, slot), in_bits(earlier, slot)
+            columns = [*batch.columns[:5], pa.array(a, pa.bool_()), pa.array(b, pa.bool_())]
+            yield batch_of(arrow_schema(spec), columns).filter(pa.array(a | b, pa.bool_()))
+
+    kept = materialise(sets.select("doc_id", "line", "k1", "k2", "words", place_slot().cast("long").alias("slot")).mapInArrow(held, spec), "line-sets")
+    joined = pairs.join(kept.where("later").select("doc_id", "line", "k1", "k2", F.col("words").alias("words_a")), ["doc_id", "line"]).join(
+        kept.where("earlier").select(F.col("doc_id").alias("other_id"), F.col("line").alias("other_line"), F.col("words").alias("words_b")),
         ["other_id", "other_line"])
-    return joined.select("doc_id", "line", "other_id", "other_line", "words_a", "words_b").mapInArrow(_verify(percent), PAIRS).distinct()
+    return joined.select("doc_id", "line", "other_id", "other_line", "k1", "k2", "words_a", "words_b").mapInArrow(_verify(percent), PAIRS).distinct()
 
 
 def similar_lines(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Two frames: every line with words (k1, k2, n, doc_id, line), and a similar earlier class for each class that has one.
 
-    The second holds the places of both classes: doc_id, line, other_id, other_line.
+    The second holds the places of both classes, and the keys of the later one: doc_id, line, other_id, other_line, k1, k2.
     """
     spark = docs.sparkSession
     plain = docs.select(F.col(quoted(doc_id)).cast("long").alias("doc_id"), F.col(quoted(text)).cast("string").alias("text")).where(
@@ -424,19 +427,18 @@ def similar_lines(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", te
     first = materialise(candidates(None, None), "candidates")
     # All copies of a class are in the same lists, so candidates stand at the first line of their class.
     best = first.groupBy("doc_id", "line").agg(
-        F.min(F.struct("other_id", "other_line")).alias("o"), F.sum("found").alias("found"))
-    pairs = materialise(best.select("doc_id", "line", F.col("o.other_id").alias("other_id"), F.col("o.other_line").alias("other_line"), "found"), "best-candidates")
-    sure = materialise(_verified(sets, pairs.drop("found"), percent), "similar")
+        F.min(F.struct("other_id", "other_line")).alias("o"), F.sum("found").alias("found"), F.min("key").alias("key"))
+    pairs = materialise(best.select("doc_id", "line", F.col("o.other_id").alias("other_id"), F.col("o.other_line").alias("other_line"), "found", "key"), "best-candidates")
+    sure = materialise(_verified(sets, pairs.drop("found", "key"), percent), "similar")
     failed = pairs.where("found > 1").join(sure.select("doc_id", "line"), ["doc_id", "line"], "left_anti")
-    failed = materialise(failed.select("doc_id", "line").join(lines, ["doc_id", "line"]).select("doc_id", "line", "k1").distinct(), "open-lines")
+    failed = materialise(failed.select("doc_id", "line", "key"), "open-lines")
     if failed.isEmpty():
         return lines, sure
-    # The low bits of k1 are the same for signed and unsigned values.
-    classes = or_bits(failed.select(F.pmod("k1", F.lit(FILTER_BITS)).alias("slot")))
+    classes = or_bits(failed.select(F.pmod("key", F.lit(FILTER_BITS)).alias("slot")))
     tokens = or_bits(sets.mapInArrow(_tokens_of(classes, ranks, percent), "slot long"))
     again = candidates(tokens, classes).select("doc_id", "line", "other_id", "other_line").distinct()
     again = materialise(again.join(failed.select("doc_id", "line"), ["doc_id", "line"], "left_semi").join(
-        pairs.drop("found"), ["doc_id", "line", "other_id", "other_line"], "left_anti"), "more-candidates")
+        pairs.drop("found", "key"), ["doc_id", "line", "other_id", "other_line"], "left_anti"), "more-candidates")
     return lines, sure.unionByName(_verified(sets, again, percent))
 
 
@@ -455,7 +457,7 @@ def _gone(docs: DataFrame, percent: int, doc_id: str, text: str) -> tuple[DataFr
     """All lines with words, and doc_id with the sorted numbers of the lines that go, for documents that lose lines."""
     lines, similar = similar_lines(docs, percent, doc_id, text)
     classes = lines.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n"))
-    late = similar.select("doc_id", "line").distinct().join(lines, ["doc_id", "line"]).select("k1", "k2").distinct().withColumn("late", F.lit(True))
+    late = similar.select("k1", "k2").distinct().withColumn("late", F.lit(True))
     # Written, so that the join below deals a class with many lines to several tasks.
     classes = materialise(classes.join(late, ["k1", "k2"], "left").where("n > 1 or late").select("k1", "k2", "first", "late"), "classes")
     gone = lines.join(classes, ["k1", "k2"]).where("late or first.doc_id <> doc_id or first.line <> line")
@@ -470,7 +472,7 @@ def removed_lines(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", te
 def line_report(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_lines (with words), n_removed, removed for every row of ``docs``."""
     lines, gone = _gone(docs, percent, doc_id, text)
-    counts = lines.groupBy("doc_id").agg(F.countDistinct("line").alias("n_lines")).join(gone, "doc_id", "left")
+    counts = lines.groupBy("doc_id").agg(F.size(F.collect_set("line")).cast("long").alias("n_lines")).join(gone, "doc_id", "left")
     ids = docs.select(F.col(quoted(doc_id)).cast("long").alias("doc_id"))
     return ids.join(counts, "doc_id", "left").select(
         "doc_id", F.coalesce("n_lines", F.lit(0).cast("long")).alias("n_lines"),
