@@ -40,9 +40,9 @@ LONGEST = 4
 #: Counters in one row of what tasks exchange.
 CHUNK_BITS = 16
 #: Different phrases that a task gathers before it sends their counts on.
-HELD = 1 << 19
-#: Slots that a task gathers before it adds them up.
-HELD_SLOTS = 1 << 22
+HELD = 1 << 20
+#: Slots that a task gathers before it adds them up, and bytes of text that it works on at a time.
+HELD_SLOTS, SLICE = 1 << 21, 2 << 20
 BREAKS = np.zeros(256, bool)
 BREAKS[[ord(c) for c in ".,;:!?"]] = True
 BREAKS[10:14] = True
@@ -69,9 +69,20 @@ class Phrases:
             self.hashes[n] = chain(self.hashes[n - 1][:size], first[end])
             self.whole[n] = (breaks[:size] == breaks[end]) & (self.lang[:size] == self.lang[end])
 
-    def text(self, i: int, n: int) -> str:
-        w = self.words
-        return b" ".join(LOWER[w.data[s:e]].tobytes() for s, e in zip(w.starts[i:i + n], w.ends[i:i + n])).decode("utf-8", "replace")
+    def texts(self, at: np.ndarray, n: int) -> np.ndarray:
+        """The phrases of n words that start at the given words, their words joined by a space."""
+        low, starts, ends = LOWER[self.words.data].tobytes(), self.words.starts, self.words.ends
+        out = [low[a:b] for a, b in zip(starts[at].tolist(), ends[at + n - 1].tolist())]
+        gaps = sum((starts[at + i] - ends[at + i - 1] for i in range(1, n)), np.zeros(len(at), np.int64))
+        tabs = self.words.data[np.minimum(ends[at], len(low) - 1)] == 9
+        for i in range(1, n - 1):
+            tabs |= self.words.data[ends[at + i]] == 9
+        for k in np.flatnonzero((gaps > n - 1) | (tabs & (n > 1))).tolist():
+            i = int(at[k])
+            out[k] = b" ".join(low[a:b] for a, b in zip(starts[i:i + n].tolist(), ends[i:i + n].tolist()))
+        made = np.empty(len(out), object)
+        made[:] = out
+        return made
 
 
 class Reached:
@@ -124,7 +135,7 @@ def scan(shard: DataFrame, reached: Reached, t: int, shards: int) -> DataFrame:
         known = Reached.receive(sent)
         held: list[np.ndarray] = []
         for batch in batches:
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", SLICE):
                 phrases = Phrases(piece)
                 for n in range(1, LONGEST + 1):
                     counted = phrases.whole[n]
@@ -201,38 +212,64 @@ def activations(spark, path: str, least: int, shards: int, bits: int) -> Reached
     return reached
 
 
+class Tally:
+    """Counts of a task's phrases of one length: their text is made where they are met first."""
+
+    def __init__(self):
+        self.hashes, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.langs, self.texts = np.zeros(0, object), np.zeros(0, object)
+
+    def add(self, phrases: Phrases, at: np.ndarray, n: int) -> None:
+        hashes, first, counts = np.unique(phrases.hashes[n][at], return_index=True, return_counts=True)
+        place = np.searchsorted(self.hashes, hashes)
+        known = np.zeros(len(hashes), bool)
+        inside = place < len(self.hashes)
+        known[inside] = self.hashes[place[inside]] == hashes[inside]
+        self.counts[place[known]] += counts[known]
+        new = at[first[~known]]
+        self.hashes, self.counts = np.concatenate([self.hashes, hashes[~known]]), np.concatenate([self.counts, counts[~known]])
+        self.langs = np.concatenate([self.langs, np.array(phrases.names, object)[phrases.lang[new]]])
+        self.texts = np.concatenate([self.texts, phrases.texts(new, n)])
+        order = np.argsort(self.hashes)
+        self.hashes, self.counts, self.langs, self.texts = (x[order] for x in (self.hashes, self.counts, self.langs, self.texts))
+
+    def rows(self, n: int) -> pa.RecordBatch:
+        return batch_of(arrow_schema(FREQUENCIES), [pa.array(self.langs, pa.string()), np.full(len(self.texts), n, np.int32),
+                                                    pa.array(self.texts, pa.binary()).cast(pa.string()), self.counts])
+
+
+FREQUENCIES = "lang string, n int, phrase string, f long"
+
+
 def exact_counts(texts: DataFrame, reached: Reached) -> DataFrame:
-    """Rows (lang, n, phrase, f) of the phrases that the counters do not rule out; n = 0 holds a language's words."""
-    sent = reached.send(texts)
-    spec = "lang string, n int, phrase string, f long"
+    """Rows (lang, n, phrase, f) of the phrases that the counters do not rule out; n = 0 holds a language's words.
 
-    def rows(held: dict) -> pa.RecordBatch:
-        return batch_of(arrow_schema(spec), [list(x) for x in zip(*((*k, c) for k, c in held.items()))])
+    A task adds up by 64-bit hash (of the phrases it holds at a time two share one with a chance below 1e-7), the rest by text.
+    """
+    sent = reached.send(texts)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Reached.receive(sent)
-        held: dict[tuple[str, int, str], int] = {}
+        words: dict[str, int] = {}
+        held = {n: Tally() for n in range(1, LONGEST + 1)}
         for batch in batches:
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", SLICE):
                 phrases = Phrases(piece)
-                for lang, words in zip(phrases.names, phrases.words.counts.tolist()):
-                    held[lang, 0, ""] = held.get((lang, 0, ""), 0) + words
+                for lang, size in zip(phrases.names, phrases.words.counts.tolist()):
+                    words[lang] = words.get(lang, 0) + size
                 for n in range(1, LONGEST + 1):
                     kept = phrases.whole[n] & (known.of(phrases, n) > 0)
                     if n > 1:
                         kept &= known.active_from(phrases, n) > 0
-                    at = np.flatnonzero(kept)
-                    _, first, counts = np.unique(phrases.hashes[n][at], return_index=True, return_counts=True)
-                    for i, c in zip(at[first].tolist(), counts.tolist()):
-                        key = (phrases.names[phrases.lang[i]], n, phrases.text(i, n))
-                        held[key] = held.get(key, 0) + c
-                if len(held) > HELD:
-                    yield rows(held)
-                    held = {}
-        if held:
-            yield rows(held)
-
-    return texts.mapInArrow(count, spec).groupBy("lang", "n", "phrase").agg(F.sum("f").alias("f"))
+                    held[n].add(phrases, np.flatnonzero(kept), n)
+                if sum(len(t.hashes) for t in held.values()) > HELD:
+                    yield from (t.rows(n) for n, t in held.items())
+                    held = {n: Tally() for n in held}
+        yield from (t.rows(n) for n, t in held.items())
+        if words:
+            yield batch_of(arrow_schema(FREQUENCIES), [list(words), [0] * len(words), [""] * len(words), list(words.values())])
+
+    return texts.mapInArrow(count, FREQUENCIES).groupBy("lang", "n", "phrase").agg(F.sum("f").alias("f"))
 
 
 def phrase_counts(docs: DataFrame, least: int, text: str = "text", lang: str = "lang", shards: int = SHARDS, bits: int = BITS) -> DataFrame:
