@@ -20,8 +20,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later near-duplicate lines go; documents stay, with their new length."""
-    cleaned = line_dedup.dedup_lines(docs)
+    """Later near-duplicate lines go, and documents of which nothing else is left; the others have their new length."""
+    cleaned = line_dedup.dedup_lines(docs, drop_emptied=True)
     return cleaned.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else cleaned
 
 
