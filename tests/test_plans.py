@@ -49,6 +49,27 @@ def tricky(spark):
     return spark.createDataFrame(items, "a int, b int, c int, d int, e string, f int")
 
 
+def test_minimal_hitting_sets():
+    """Against all sets of up to six elements."""
+    state = 5
+    for _ in range(200):
+        edges = []
+        for _ in range(4):
+            state = (state * 1103515245 + 12345) % 2 ** 31
+            edges.append(state >> 9 & 63)
+        hitting = [t for t in range(64) if all(t & e for e in edges)]
+        expected = {t for t in hitting if not any(o != t and o & t == o for o in hitting)}
+        assert set(keys.minimal_hitting_sets(edges, 6)) == expected
+        assert set(keys.minimal_hitting_sets(edges, 6, 2)) == {t for t in expected if t.bit_count() <= 2}
+
+
+def test_unique_sets_of_whole_line_items_equal_brute_force(spark):
+    """All sizes and all columns, over part of the orders; the registered query runs over the whole table."""
+    df = spark.read.parquet(f"{SF}/lineitem.parquet").where("l_orderkey <= 400")
+    rows = [tuple(r) for r in df.collect()]
+    assert sorted(keys.find_unique_sets(df)) == sorted(brute_unique(rows, df.columns, len(df.columns)))
+
+
 @pytest.mark.parametrize("name", ["tricky", "nation", "customer"])
 def test_discovery_matches_brute_force(spark, name):
     df = tricky(spark) if name == "tricky" else spark.read.parquet(f"{SF}/{name}.parquet")

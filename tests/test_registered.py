@@ -17,12 +17,16 @@ def con():
     return connect(SF_DIR)
 
 
-def test_every_query_has_sql():
-    assert set(REGISTRY) == set(SQL)
+#: Queries that SQL cannot express in bounded time; each is compared with brute force elsewhere in the tests.
+BRUTE_FORCE = {"ucc_discovery_lineitem"}
+
+
+def test_every_query_has_sql_or_brute_force():
+    assert set(REGISTRY) == set(SQL) | BRUTE_FORCE and not BRUTE_FORCE & set(SQL)
     assert set(REGISTRY) <= set(queries()) and set(SQL) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(REGISTRY))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query(spark, con, name):
     assert differences(queries()[name](spark, SF_DIR), con, oracle_sql()[name]) is None
 

@@ -1,6 +1,7 @@
 """Key discovery on full tables: unique column sets and functional dependencies.
 
-The search walks column sets by size.  One aggregation with distinct-count
+Unique sets are searched through agree sets (see ``find_unique_sets``).  The search for
+dependencies walks column sets by size.  One aggregation with distinct-count
 sketches screens all candidates of a size; the few that may hold are then checked
 exactly, all in one job.  Sketches only ever discard candidates that are far
 from holding, so the result is exact.  What reaches the driver is one row of
@@ -11,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from functools import reduce
-from itertools import combinations, islice
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,8 @@ SKETCH_LOG_SIZE = 12
 TOLERANCE = 0.2
 #: Candidates measured in one aggregation.
 BATCH = 200
+#: Candidates for unique sets checked in one job, agree sets taken from each that fails.
+CHECKED, AGREE_SETS = 16, 100
 
 # Report messages.
 ONE_KEY = "Only one unique value found; it is the primary key."
@@ -79,13 +82,6 @@ def key_checks(df: DataFrame, candidates: Sequence[Sequence[str]]) -> DataFrame:
     return reduce(DataFrame.unionByName, [key_check(df, columns) for columns in candidates])
 
 
-def _chunks(items: Iterable, size: int = BATCH) -> Iterable[list]:
-    """Lists of up to ``size`` items of a stream, so that candidates are never all listed."""
-    stream = iter(items)
-    while chunk := list(islice(stream, size)):
-        yield chunk
-
-
 def _batches(items: list, size: int = BATCH) -> Iterable[list]:
     return (items[i:i + size] for i in range(0, len(items), size))
 
@@ -108,11 +104,60 @@ def _comparable(df: DataFrame) -> DataFrame:
     return drop_types(df, T.BinaryType, T.MapType)
 
 
+def minimal_hitting_sets(edges: Iterable[int], size: int, most: int | None = None) -> list[int]:
+    """Minimal sets, as bit masks below ``1 << size``, that share a bit with every edge; of up to ``most`` bits if given."""
+    found = [0]
+    for edge in sorted(set(edges), key=lambda e: (e.bit_count(), e)):
+        hit = [t for t in found if t & edge]
+        grown = {t | 1 << i for t in found if not t & edge for i in range(size) if edge >> i & 1}
+        if most is not None:
+            grown = {t for t in grown if t.bit_count() <= most}
+        found = hit + [t for t in grown if not any(t & h == h for h in hit)]
+        found = [t for t in found if not any(o != t and t & o == o for o in found)]
+    return sorted(found, key=lambda t: (t.bit_count(), t))
+
+
+def _agree_sets(df: DataFrame, columns: Sequence[str], candidates: Sequence[int]) -> dict[int, list[int]]:
+    """For each candidate that is not unique, column sets on which whole groups of several rows agree; one job.
+
+    A group of equal candidate values agrees on every column whose least and greatest marks are the same there.  The
+    most frequent ``AGREE_SETS`` per candidate are returned: any of them refutes it, more only save rounds.
+    """
+    marks = {name: _marks(F.col(f"`{name}`"), df.schema[name].dataType) for name in columns}
+
+    def groups(mask: int) -> DataFrame:
+        inside = [name for i, name in enumerate(columns) if mask >> i & 1]
+        outside = [(i, name) for i, name in enumerate(columns) if not mask >> i & 1]
+        measures = [F.count(F.lit(1)).alias("__n")]
+        bits = ["1" if mask >> i & 1 else "0" for i in range(len(columns))]
+        agreed = dict(enumerate(map(F.lit, bits)))
+        for i, name in outside:
+            same = F.lit(True)
+            for j, mark in enumerate(marks[name]):
+                measures += [F.min(mark).alias(f"__a{i}_{j}"), F.max(mark).alias(f"__b{i}_{j}")]
+                same = same & (F.col(f"__a{i}_{j}") == F.col(f"__b{i}_{j}"))
+            agreed[i] = F.when(same, "1").otherwise("0")
+        held = df.groupBy(*[f"`{name}`" for name in inside]).agg(*measures).where("__n > 1")
+        # Written as binary digits, the first column last, so that any number of columns fits.
+        seen = held.groupBy(F.concat(*[agreed[i] for i in reversed(range(len(columns)))]).alias("agreed")).agg(F.count(F.lit(1)).alias("groups"))
+        return seen.orderBy(F.desc("groups"), "agreed").limit(AGREE_SETS)
+
+    found: dict[int, list[int]] = {}
+    marked = [groups(mask).select(F.lit(i).alias("candidate"), "agreed") for i, mask in enumerate(candidates)]
+    for row in reduce(DataFrame.unionByName, marked).collect():
+        found.setdefault(candidates[row["candidate"]], []).append(int(row["agreed"], 2))
+    return found
+
+
 def find_unique_sets(df: DataFrame, max_size: int | None = None) -> list[Columns]:
     """Minimal column sets that are unique over the whole table, of any size unless ``max_size`` asks for less.
 
-    Binary and map columns and columns with nulls take no part.  Sets are made from
-    the ones of one column less that are not unique, so the search ends where all are.
+    Binary and map columns and columns with nulls take no part.
+
+    A set is not unique as soon as two rows agree on all of it.  Known agree sets leave only the minimal hitting sets of
+    their complements as candidates.  These are checked on the whole table; a candidate that fails brings
+    new agree sets, which refute others with it, until all that are left are unique.  What reaches the
+    driver are column sets; no level of the lattice is listed.
     """
     df = _comparable(df)
     counts = df.agg(F.count(F.lit(1)), *[F.count(f"`{name}`") for name in df.columns]).first()
@@ -120,37 +165,18 @@ def find_unique_sets(df: DataFrame, max_size: int | None = None) -> list[Columns
     if total == 0:
         return []
     columns = [name for name, filled in zip(df.columns, counts[1:]) if filled == total]
-    unique: list[Columns] = []
-    single: dict[str, int] = {}
-    for size in range(1, min(max_size or len(columns), len(columns)) + 1):
-        open_sets = (group for group in combinations(columns, size)
-                     if not any(set(known) <= set(group) for known in unique))
-        left = False
-        found: list[Columns] = []
-        for batch in _chunks(open_sets):
-            left = True
-            candidates = [group for group in batch if _can_be_unique(group, single, total)]
-            if not candidates:
-                continue
-            estimates = _distinct_estimates(df, candidates)
-            if size == 1:
-                single.update({group[0]: count for group, count in estimates.items()})
-            likely = [group for group in candidates if estimates[group] >= total * (1 - TOLERANCE)]
-            confirmed = _unique_among(df, likely)
-            found.extend(group for group in likely if group in confirmed)
-        unique.extend(found)
-        if not left:
-            break
-    return unique
-
-
-def _can_be_unique(group: Columns, single: dict[str, int], total: int) -> bool:
-    if not single:
-        return True
-    product = 1.0
-    for name in group:
-        product *= single[name] * (1 + TOLERANCE)
-    return product >= total
+    everything = (1 << len(columns)) - 1
+    agree, unique = {0}, set()
+    while True:
+        candidates = minimal_hitting_sets((everything & ~mask for mask in agree), len(columns), max_size)
+        unknown = [mask for mask in candidates if mask not in unique]
+        if not unknown:
+            return [tuple(name for i, name in enumerate(columns) if mask >> i & 1) for mask in candidates]
+        batch = unknown[:CHECKED]
+        failed = _agree_sets(df, columns, batch)
+        unique.update(mask for mask in batch if mask not in failed)
+        agree.update(mask for masks in failed.values() for mask in masks)
+        agree = {mask for mask in agree if not any(other != mask and mask & other == mask for other in agree)}
 
 
 def _marks(column: Column, data_type: T.DataType) -> list[Column]:
