@@ -14,7 +14,7 @@ from tidewell.functions.hashing import add_row_hashes, canonical_strings
 from tidewell.functions.types import declared_schema
 from tidewell.operators import cdc, scd, sets
 from tidewell.operators.expectations import Rule, mark_failures, quarantined_rows, rule_counts
-from tidewell.operators.merge import merge_upsert
+from tidewell.operators.merge import merge_upsert, upsert_table
 from tidewell.operators.transforms import (
     ColumnSpec,
     add_constants,
@@ -317,7 +317,11 @@ def merge_upsert_(spark, sf_dir):
     updates = table(spark, sf_dir, "orders").groupBy((F.col("o_custkey") * 2).alias("table_id")).agg(
         F.max("o_orderpriority").alias("primary_key"), F.min("o_orderpriority").alias("unique_columns"),
         F.count(F.lit(1)).alias("record_count")).withColumn("catalog", F.lit("main"))
-    return merge_upsert(target, updates, ["catalog", "table_id"], ["primary_key", "record_count"])
+    # Both are written: the table first, then the buckets that the updates touch.
+    path = scratch_path(spark, "report")
+    upsert_table(target, path, ["catalog", "table_id"], [])
+    upsert_table(updates, path, ["catalog", "table_id"], ["primary_key", "record_count"])
+    return spark.read.parquet(path).select(*target.columns)
 
 
 def _load_history(spark, sf_dir):
@@ -397,8 +401,10 @@ def qc_results(spark, sf_dir):
         reconcile.TableCheck("orders", "orders_copy", lambda: source, lambda: source),
         reconcile.TableCheck("nowhere", "orders_history", _missing, lambda: target),
     ]
-    return reconcile.run_qc(spark, checks, "run-1", LOADED_AT).withColumn(
-        "created_at", F.col("created_at").cast("timestamp_ntz"))
+    path = scratch_path(spark, "results")
+    reconcile.append_results(reconcile.run_qc(spark, checks[:1], "run-1", LOADED_AT), path)
+    reconcile.append_results(reconcile.run_qc(spark, checks[1:], "run-1", LOADED_AT), path)
+    return spark.read.parquet(path).withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
 
 
 @query

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import glob
+import os
 from collections import Counter
 from datetime import datetime
 
@@ -9,7 +11,7 @@ from pyspark.errors import PySparkException
 from tidewell.operators import sets
 from tidewell.plans import loads
 from tidewell.operators.expectations import Rule, mark_failures, passing_rows, quarantined_rows, rule_counts, split_rows
-from tidewell.operators.merge import merge_upsert
+from tidewell.operators.merge import bucket_of, merge_upsert, upsert_table
 from tidewell.operators.scd import scd1, scd2
 from tidewell.operators.transforms import (
     ColumnSpec,
@@ -179,3 +181,32 @@ def test_second_newest_load(spark, path):
     history = spark.read.parquet(path("loads"))
     assert [(r["batch_id"], r["watermark"], r["rows"]) for r in loads.previous_load(history).collect()] == [("b", 25, 2)]
     assert loads.previous_load(history.where("batch_id = 'a'")).count() == 0
+
+
+def test_previous_watermark_is_the_tables_as_of_that_load(spark):
+    """A late load brings old rows: the greatest watermark seen until then stays the scope."""
+    rows = [("a", "MERGE", 1, 10, 5), ("b", "MERGE", 2, 5, 5), ("c", "WRITE", 3, 11, 5), ("d", "MERGE", 4, 12, 5)]
+    history = spark.createDataFrame(rows, "batch_id string, operation string, loaded_at int, watermark int, rows long")
+    assert [(r.batch_id, r.watermark) for r in loads.previous_load(history).collect()] == [("b", 10)]
+    later = history.unionByName(spark.createDataFrame([("e", "MERGE", 5, 9, 1), ("f", "MERGE", 6, None, 1)], history.schema))
+    assert [(r.batch_id, r.watermark) for r in loads.previous_load(later).collect()] == [("e", 12)]
+    assert loads.previous_load(history, "WRITE").collect() == [] and loads.previous_load(history.limit(0)).collect() == []
+
+
+def test_upsert_writes_touched_buckets_only(spark, path):
+    """What was written reads back, and files of other buckets stay as they are."""
+    first = spark.createDataFrame([(i, f"n{i}", 0) for i in range(200)], "id long, name string, size int")
+    assert upsert_table(first, path("t"), ["id"], ["name"], buckets=16) == 16
+    before = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path('t')}/*/*.parquet")}
+    changes = spark.createDataFrame([(3, "new", 7), (1000, "added", 8)], "id long, name string, size int")
+    touched = upsert_table(changes, path("t"), ["id"], ["name"], buckets=16)
+    assert touched == len({r[0] for r in changes.select(bucket_of(["id"], 16)).collect()}) <= 2
+    rows = {r.id: (r["name"], r["size"]) for r in spark.read.parquet(path("t")).collect()}
+    assert len(rows) == 201 and rows[3] == ("new", 0) and rows[1000] == ("added", 8) and rows[4] == ("n4", 0)
+    after = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path('t')}/*/*.parquet")}
+    gone = {os.path.dirname(f) for f in set(before) - set(after)}
+    assert len(gone) <= touched and all(after.get(f) == t for f, t in before.items() if os.path.dirname(f) not in gone)
+    assert upsert_table(changes.limit(0), path("t"), ["id"], ["name"], buckets=16) == 0
+    # Repeating a load changes nothing.
+    upsert_table(changes, path("t"), ["id"], ["name"], buckets=16)
+    assert spark.read.parquet(path("t")).count() == 201

@@ -31,5 +31,12 @@ def newest_loads(history: DataFrame, operation: str | None = None, count: int =
 
 
 def previous_load(history: DataFrame, operation: str = "MERGE") -> DataFrame:
-    """The second newest load of an operation: no row if there are fewer than two."""
-    return newest_loads(history, operation).where("place = 2").drop("place")
+    """The second newest load of an operation: no row if there are fewer than two.
+
+    Its ``watermark`` is the greatest of all loads up to that one, of any operation: what the table held as of then.
+    A late load, whose own watermark lies below an earlier one, so does not move the scope back.
+    """
+    place = F.struct("loaded_at", "batch_id")
+    found = newest_loads(history, operation).where("place = 2").drop("place")
+    known = history.where(place <= found.select(place).scalar())
+    return found.withColumn("watermark", known.agg(F.max("watermark")).scalar()).select(*history.columns)

@@ -17,6 +17,7 @@ from tidewell.operators.sets import LEFT_ROWS, RIGHT_ROWS, difference, side_coun
 from tidewell.operators.skew import apart, drop_apart, next_in_order
 from tidewell.operators.transforms import as_text
 from tidewell.plans.parallel import CONCURRENCY, map_tables
+from tidewell.sinks.writers import append
 from tidewell.sources.tables import current_rows
 
 HASHES = (KEY_HASH, ROW_HASH)
@@ -157,6 +158,11 @@ def run_qc(spark: SparkSession, checks: Iterable[TableCheck], run_id: str, creat
     return spark.createDataFrame([(run_id, *row, created_at) for row in rows], RESULT_SCHEMA)
 
 
+def append_results(results: DataFrame, target: str) -> None:
+    """Append the results of a run to the table (or parquet path) ``target``, which is created if absent."""
+    append(results, target)
+
+
 def check_durations(log: DataFrame, run: str = "run_id", started: str = "created_at") -> DataFrame:
     """How long each check took: until the next one of its run started.
 
