@@ -273,3 +273,24 @@ def test_span_join_matches_brute_force(spark):
     for slot in ("6 hours", "1 day", "30 days"):
         found = usage.samples_in_spans(s, p, ["c"], slot=slot)
         assert sorted((r["c"], r["start_time"], r["run"]) for r in found.collect()) == expected
+
+
+@pytest.mark.parametrize("sql, operand, operand_type, operator, triggered, shown", [
+    ("cast('0.000000000001' AS decimal(38,18))", 0, "int", "EQUAL", False, "x = 0.000000000001"),
+    ("cast('-0.5' AS decimal(5,2))", 0.0, "double", "LESS_THAN", True, "x = -0.5"),
+    ("cast('123456789012345678901234567890' AS decimal(38,0))", 1, "int", "GREATER_THAN", True, "x = 123456789012345678901234567890"),
+    ("cast('123456789012345678901234567890.5' AS decimal(38,8))", 1e30, "double", "LESS_THAN", True, "x = 123456789012345678901234567890.5"),
+    ("9007199254740993L", 9007199254740992, "bigint", "EQUAL", False, "x = 9007199254740993"),
+    ("cast(0.1 AS decimal(3,2))", 0.1, "double", "EQUAL", True, "x = 0.1"),
+    ("cast('-3.25' AS decimal(9,4))", -3.2, "double", "LESS_THAN", True, "x = -3.25"),
+    ("cast('0.00000000000000000000000000000000000001' AS decimal(38,38))", 1e-38, "double", "EQUAL", True, "x = 0." + "0" * 37 + "1"),
+    ("cast('-0.00000000000000000000000000000000000001' AS decimal(38,38))", 0, "int", "LESS_THAN", True, "x = -0." + "0" * 37 + "1"),
+    ("5", 1e300, "double", "LESS_THAN", True, "x = 5"),
+])
+def test_exact_alert_values_are_never_rounded(spark, sql, operand, operand_type, operator, triggered, shown):
+    values = first_row_values("q", spark.sql(f"SELECT {sql} AS x"))
+    alerts = spark.createDataFrame([("a", "q", "x", operator, operand, None, None, False)],
+                                   f"alert_id string, query_id string, column_name string, operator string, number_operand {operand_type}, "
+                                   "text_operand string, flag_operand boolean, empty_triggers boolean")
+    found = evaluate_alerts(alerts, values).first()
+    assert (found["triggered"], found["alert_result"]) == (triggered, shown)
