@@ -114,12 +114,22 @@ def test_components_equal_a_dense_solution(spark, rows, width):
 def test_filter_works_when_the_block_is_small(spark):
     """More columns than the block: the polynomial has to damp most of the spectrum."""
     rng = np.random.default_rng(1)
-    matrix = rng.standard_normal((500, 80))
+    matrix = rng.standard_normal((500, 80)) * np.linspace(3, 1, 80)
     fit = fit_whitening(integers(vectors(spark, matrix), "vec_id", "embedding"), count=5, guard=3)
     values = brute_force(matrix)[3]
     assert np.allclose(fit.values, values[:5], rtol=1e-12) and fit.residual < 1e-11 and fit.passes > 20
 
 
+def test_a_vector_that_is_a_third_of_all_rows(spark):
+    """Its direction dominates the spectrum by far and must not drown the others."""
+    rng = np.random.default_rng(2)
+    matrix = np.vstack([rng.standard_normal((300, 60)), np.tile(40 * rng.standard_normal(60), (150, 1))])
+    fit = fit_whitening(integers(vectors(spark, matrix), "vec_id", "embedding"), count=20, guard=10)
+    values = brute_force(matrix)[3]
+    assert values[0] > 1000 * values[1]
+    assert np.allclose(fit.values, values[:20], rtol=1e-9) and fit.passes < 400
+
+
 def test_rows_that_take_no_part(spark, empty):
     rng = np.random.default_rng(5)
     good = [(i, [float(v) for v in rng.standard_normal(4)]) for i in range(20)] + [(3, [1.0, 2.0, 0.0, 1.0])] * 2 + [(None, [0.0] * 4)]

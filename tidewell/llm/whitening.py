@@ -11,9 +11,10 @@ dimension x block reaches the driver.  A round
    first product of the next filter as well;
 3. measures residuals: with |Vq - eq| = r an eigenvalue lies within r of e.
 
-Rounds end when every wanted component's residual is below ``TOLERANCE`` of the largest eigenvalue, or when
-rounds no longer lower it and it is below ``FLOOR``, as rounding allows no more; otherwise an error is raised
-after ``MOST_ROUNDS`` rounds, never an uncertified answer.
+Components are certified, leading ones first, when their residual is below ``TOLERANCE`` of the largest eigenvalue, or when
+rounds no longer lower it and it is below ``FLOOR``, as rounding allows no more.  They are then taken out of the
+block and the operator, so that one dominant direction (a vector repeated very often) cannot drown the others.  If not all
+are certified after ``MOST_ROUNDS`` rounds an error is raised; there is never an uncertified answer.
 
 Entries become integers, floor(64 c) + 1000000, so sums, counts and deviations are exact, and a centred entry is
 (n x - S) / n with one rounding.  Entries beyond 2^40 in size count as 2^40.
@@ -40,9 +41,9 @@ SHIFT = 1_000_000
 MOST = 2.0 ** 40
 TOLERANCE = 1e-14
 FLOOR = 1e-11
-MOST_ROUNDS = 60
+MOST_ROUNDS = 100
 #: Highest degree of a filter; the degree of a round is chosen to gain about ``GAIN``.
-MOST_DEGREE, GAIN = 30, 1e9
+MOST_DEGREE, GAIN, MOST_GAIN = 30, 1e9, 1e11
 ROWS = 4096
 #: Bytes of vectors that a task of a pass takes at least, where there are more partitions than cores.
 TASK_BYTES = 32 << 20
@@ -185,30 +186,49 @@ def fit_whitening(packed: DataFrame, count: int = 32, guard: int = 16, seed: int
 
     wanted, width = min(count, d), min(count + guard, d)
     q = np.linalg.qr(np.random.default_rng(seed).standard_normal((d, width)))[0]
-    best = np.inf
-    for rounds in range(MOST_ROUNDS):
-        vq = product(q)
+    done, known = np.zeros((d, 0)), np.zeros(0)
+
+    def rest(block: np.ndarray) -> np.ndarray:
+        """The block without its part in the certified components."""
+        return block - done @ (done.T @ block)
+
+    residual, best = 0.0, np.inf
+    for _ in range(MOST_ROUNDS):
+        vq = rest(product(q))
         small = q.T @ vq
         values, turn = np.linalg.eigh((small + small.T) / 2)
         values, turn = values[::-1], turn[:, ::-1]
         q, vq = q @ turn, vq @ turn
-        left = np.linalg.norm(vq - q * values, axis=0)[:wanted]
-        residual = float(left.max() / values[0])
-        if residual <= TOLERANCE or residual <= FLOOR and residual > best / 2:
+        open_ = wanted - len(known)
+        left = np.linalg.norm(vq - q * values, axis=0)[:open_] / max([*known, values[0]])
+        stuck = left.max() <= FLOOR and left.max() > best / 2
+        certified = open_ if stuck else int(np.argmax(np.append(left > TOLERANCE, True)))
+        best = left.max() if not certified else np.inf
+        residual = max([residual, *left[:certified]])
+        done, known = np.hstack([done, q[:, :certified]]), np.append(known, values[:certified])
+        if len(known) == wanted:
             break
-        best = min(best, residual)
-        q = np.linalg.qr(chebyshev(product, q, vq, max(values[-1], 1e-3 * values[0]), values[wanted - 1]))[0]
+        q, vq, values = q[:, certified:], rest(vq[:, certified:]), values[certified:]
+        border = max(values[-1], 1e-8 * values[0])
+        q = rest(chebyshev(lambda block: rest(product(block)), q, vq, border, values[0], values[wanted - len(known) - 1]))
+        q = np.linalg.qr(rest(np.linalg.qr(q)[0]))[0]
     else:
-        raise RuntimeError(f"components not certified: residual {residual:.1e} after {passes} passes")
-    held = values[:wanted] > max(d, 64) * np.finfo(float).eps * values[0]
-    return Fit(n, sums.tolist(), values[:wanted][held], q[:, :wanted][:, held], trace, residual, passes)
+        raise RuntimeError(f"components not certified: {len(known)} of {wanted} after {passes} passes")
+    order = np.argsort(-known, kind="stable")
+    known, done = known[order], done[:, order]
+    held = known > max(d, 64) * np.finfo(float).eps * known[0]
+    return Fit(n, sums.tolist(), known[held], done[:, held], trace, residual, passes)
+
 
+def chebyshev(product, q: np.ndarray, vq: np.ndarray, border: float, top: float, last: float) -> np.ndarray:
+    """The block under the Chebyshev polynomial of V that is small on [0, border]; ``vq`` is V·q, the first product.
 
-def chebyshev(product, q: np.ndarray, vq: np.ndarray, border: float, last: float) -> np.ndarray:
-    """The block under the Chebyshev polynomial of V that is small on [0, border]; ``vq`` is V·q, the first product."""
+    The degree is such that the last wanted value gains ``GAIN``, but the top one no more than ``MOST_GAIN``, beyond which
+    its direction would drown all others in rounding.
+    """
     half = border / 2
-    growth = max((last - half) / half, 1 + 1e-6)
-    degree = int(np.clip(np.ceil(np.log(2 * GAIN) / np.arccosh(growth)), 2, MOST_DEGREE))
+    rate = lambda value: np.arccosh(max((value - half) / half, 1 + 1e-6))
+    degree = int(np.clip(min(np.ceil(np.log(2 * GAIN) / rate(last)), np.log(2 * MOST_GAIN) // rate(top)), 2, MOST_DEGREE))
     before, now = q, (vq - half * q) / half
     for _ in range(degree - 1):
         before, now = now, 2 * (product(now) - half * now) / half - before
