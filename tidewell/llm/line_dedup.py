@@ -397,7 +397,7 @@ def _verified(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     joined = pairs.join(kept.where("later").select("doc_id", "line", "k1", "k2", F.col("words").alias("words_a")), ["doc_id", "line"]).join(
         kept.where("earlier").select(F.col("doc_id").alias("other_id"), F.col("line").alias("other_line"), F.col("words").alias("words_b")),
         ["other_id", "other_line"])
-    return joined.select("doc_id", "line", "other_id", "other_line", "k1", "k2", "words_a", "words_b").mapInArrow(_verify(percent), PAIRS).distinct()
+    return joined.select("doc_id", "line", "other_id", "other_line", "k1", "k2", "words_a", "words_b").mapInArrow(_verify(percent), PAIRS)
 
 
 def similar_lines(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
