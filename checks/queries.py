@@ -31,7 +31,6 @@ from tidewell.plans.raw_load import change_log
 from tidewell.plans.runs import freshness, run_status
 from tidewell.session import scratch_path
 from tidewell.sinks import writers
-from tidewell.sinks.store import VersionedStore
 from tidewell.sources import files, tables
 from tidewell.streaming.apply_changes import ChangeApplier
 from tidewell.streaming.ingest import ingest_stream
@@ -669,8 +668,7 @@ def stream_file_ingest(spark, sf_dir):
 
 def _applied(spark, sf_dir, mode, op="change_op"):
     path, schema = _event_files(spark, sf_dir, frames.change_events)
-    store = VersionedStore(spark, scratch_path(spark, "history"), ["user_id"], buckets=4)
-    applier = ChangeApplier(store, ["user_id"], ["ts"], mode, op, ["change_op"])
+    applier = ChangeApplier(spark, scratch_path(spark, "history"), ["user_id"], ["ts"], mode, op, ["change_op"])
     stream = files.file_stream(spark, path, {"maxFilesPerTrigger": "2"}, schema)
     applier.run(stream, scratch_path(spark, "history-checkpoint"), "changes")
     return applier

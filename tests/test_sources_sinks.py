@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tidewell.session import scratch_path, shared_root
 from tidewell.sinks import writers
-from tidewell.sinks.store import VersionedStore
 from tidewell.sources import files, tables
 
 
@@ -146,48 +145,3 @@ def test_create_empty(spark, path):
     writers.append(spark.range(2), "made_empty")
     writers.create_empty(spark, "made_empty", schema)
     assert spark.table("made_empty").count() == 2
-
-
-def union(stored, new):
-    return new if stored is None else stored.unionByName(new)
-
-
-def test_store_versions(spark, path):
-    store = VersionedStore(spark, path("s"), ["id"], buckets=3)
-    assert store.read() is None and store.latest_version() == 0 and store.previous_version() is None
-    assert store.merge(spark.range(5), union, batch_id="1", query_id="q") == 1
-    assert store.merge(spark.range(5, 9), union) == 2
-    assert store.merge(spark.range(0), union) == 2  # nothing to commit
-    assert sorted(r["id"] for r in store.read(1).collect()) == list(range(5))
-    assert store.read().count() == 9
-    assert store.previous_version() == 1 and store.watermark_at(1, "id") == 4
-    assert store.has_batch("q", "1") and not store.has_batch("q", "2")
-    assert store.overwrite(spark.range(100, 102)) == 3 and store.read().count() == 2
-    assert store.read(2).count() == 9
-    assert [r["operation"] for r in store.history().orderBy("version").collect()] == ["MERGE", "MERGE", "WRITE"]
-
-
-def test_store_replaces_only_touched_buckets(spark, path):
-    store = VersionedStore(spark, path("s"), ["id"], buckets=16)
-    store.merge(spark.range(200), union)
-    store.merge(spark.range(1), lambda stored, new: stored)
-    places = {version for _, version in store._manifest(2)}
-    assert places == {1, 2} and sum(v == 2 for _, v in store._manifest(2)) == 1
-    assert store.read().count() == 200
-
-
-def test_unfinished_commit_is_invisible(spark, path):
-    store = VersionedStore(spark, path("s"), ["id"], buckets=2)
-    store.merge(spark.range(4), union)
-    spark.range(50).withColumn("bucket", F.lit(0)).write.partitionBy("bucket").parquet(path("s/data/v=2"))
-    assert store.read().count() == 4
-    store.merge(spark.range(4, 6), union)
-    assert store.read().count() == 6
-
-
-def test_emptied_bucket(spark, path):
-    store = VersionedStore(spark, path("s"), ["id"], buckets=1)
-    store.merge(spark.range(4), union)
-    store.merge(spark.range(1), lambda stored, new: stored.where("id > 100"))
-    assert store.read() is None and store.latest_version() == 2
-    assert store.read_or_empty(spark.range(1).schema).count() == 0

@@ -46,6 +46,12 @@ def latest_state(log: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -
     return _first_per(ranked, keys, order).drop("__tie")
 
 
+def position_state(log: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> DataFrame:
+    """One change of every key and position in time, deletes included."""
+    ranked = log.withColumn("__tie", _tie(log))
+    return _first_per(ranked, [*keys, *sequence], [F.desc("__tie")]).drop("__tie")
+
+
 def version_state(log: DataFrame, keys: Sequence[str], sequence: Sequence[str], end: str = END,
                   piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Every change of every key with the sequence of the next one, deletes included.
@@ -53,8 +59,7 @@ def version_state(log: DataFrame, keys: Sequence[str], sequence: Sequence[str],
     With several sequence columns the end is a struct of them.
     """
     bare = log.drop(end)
-    ranked = bare.withColumn("__tie", _tie(bare))
-    single = _first_per(ranked, [*keys, *sequence], [F.desc("__tie")]).drop("__tie")
+    single = position_state(bare, keys, sequence)
     position = F.col(sequence[0]) if len(sequence) == 1 else F.struct(*sequence)
     # The log holds the same positions per key, and reading it again needs no shuffle.
     positions = bare.select(*keys, position.alias("__at"))
