@@ -37,6 +37,8 @@ from tidewell.session import scratch_path
 SHARDS = 4
 BITS = 24
 LONGEST = 4
+#: Parts of a language's phrases that are ranked apart before the best of each are ranked together.
+PARTS = 64
 #: Counters in one row of what tasks exchange.
 CHUNK_BITS = 16
 #: Different phrases that a task gathers before it sends their counts on.
@@ -315,7 +317,11 @@ def collocations(docs: DataFrame, least: int = 30, top: int = 2000, share: int =
              .groupBy("lang", "phrase").agg(F.max("a").alias("longer")))
     kept = scored.join(inner, ["lang", "phrase"], "left").where(
         F.expr("longer IS NULL OR cast(longer AS decimal(20, 0)) * 100 < cast(a AS decimal(20, 0)) * " + str(int(share))))
-    ranked = kept.withColumn("rank", F.expr("row_number() OVER (PARTITION BY lang ORDER BY cut.score DESC, a DESC, phrase)")).where(F.col("rank") <= top)
+    # A language's best are among the best of its parts, so no task orders all phrases of a language.
+    order = "ORDER BY cut.score DESC, a DESC, phrase)"
+    parts = kept.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
+    best = parts.withColumn("rank", F.expr(f"row_number() OVER (PARTITION BY lang, part {order}")).where(F.col("rank") <= top)
+    ranked = best.withColumn("rank", F.expr(f"row_number() OVER (PARTITION BY lang {order}")).where(F.col("rank") <= top)
     totals = counts.where("n = 0").select("lang", F.col("f").alias("n"))
     return ranked.join(totals, "lang").select(
         "lang", F.col("rank").cast("long"), "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), "n", F.col("cut.score").alias("score"))
