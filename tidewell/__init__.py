@@ -7,7 +7,7 @@ Catalyst plans the work and AQE adapts it.  Sub-packages:
 ``sources``    table, file and stream readers
 ``operators``  transforms, change capture, SCD history, merge, dedup, skew tools
 ``plans``      larger compositions: reconciliation, key discovery, usage reports
-``sinks``      writers and the small versioned table layout
+``sinks``      writers, folders
 ``streaming``  file ingest and change application as streaming queries
 """
 
