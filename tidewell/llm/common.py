@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidewell.session import scratch_path
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
