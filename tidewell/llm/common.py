@@ -109,20 +109,41 @@ LOWER[65:91] += 32
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 BASE, INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+#: Values of bytes in hashes, and bytes hashed at once: temporaries stay small however long a text is.
+CODES = LOWER.astype(np.uint64) + np.uint64(1)
+HASHED = 1 << 16
 _powers: dict[str, np.ndarray] = {}
 
 
 def powers(kind: str, size: int) -> np.ndarray:
-    """Powers of the hash base (or its inverse) modulo 2^64; kept for slices of usual size."""
+    """Powers of the hash base (or its inverse) modulo 2^64; kept for pieces of usual size."""
     if len(_powers.get(kind, ())) < size:
         base = BASE if kind == "up" else INVERSE
-        made = np.cumprod(np.concatenate([[np.uint64(1)], np.full(max(size, SLICE_BYTES) - 1, base)]), dtype=np.uint64)
-        if size > SLICE_BYTES:
+        made = np.cumprod(np.concatenate([[np.uint64(1)], np.full(max(size, 2 * HASHED) - 1, base)]), dtype=np.uint64)
+        if size > 2 * HASHED:
             return made
         _powers[kind] = made
     return _powers[kind][:size]
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, *stops: np.ndarray) -> list[np.ndarray]:
+    """For each of ``stops``, hashes of ``data`` from ascending ``starts`` to there: scrambled polynomials over lower-cased bytes.
+
+    Spans are not empty.  They are taken together by where they start, a piece of the data at a time; one prefix sum
+    serves all spans of a piece.
+    """
+    out = [np.empty(len(starts), np.uint64) for _ in stops]
+    for a, b in runs(starts // HASHED):
+        low, high = starts[a], max(int(stop[a:b].max()) for stop in stops)
+        sums = np.zeros(high - low + 1, np.uint64)
+        np.cumsum(CODES[data[low:high]] * powers("up", high - low), out=sums[1:])
+        first = starts[a:b] - low
+        below, down = sums[first], powers("down", high - low)[first]
+        for hashes, stop in zip(out, stops):
+            hashes[a:b] = mix((sums[stop[a:b] - low] - below) * down + (stop[a:b] - starts[a:b]).astype(np.uint64))
+    return out
+
+
 def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The joined bytes of a string array and the bounds of each string."""
     bounds = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
@@ -132,10 +153,7 @@ def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def words_of(texts: pa.Array) -> Words:
-    """Words and their hashes: polynomials over the lower-cased bytes, scrambled.
-
-    All words are found at once from prefix sums, so the cost is a few passes over the bytes.
-    """
+    """Words and their hashes (:func:`span_hashes`); the cost is a few passes over the bytes."""
     data, bounds = bytes_of(texts)
     return words_in(data, bounds)
 
@@ -153,9 +171,7 @@ def words_in(data: np.ndarray, bounds: np.ndarray) -> Words:
     finishes = inside.copy()
     finishes[:-1] &= ~inside[1:] | first[1:size]
     starts, ends = np.flatnonzero(begins), np.flatnonzero(finishes) + 1
-    sums = np.zeros(size + 1, np.uint64)
-    np.cumsum((LOWER[data].astype(np.uint64) + np.uint64(1)) * powers("up", size), out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * powers("down", size)[starts] + (ends - starts).astype(np.uint64))
+    hashes, = span_hashes(data, starts, ends)
     return Words(hashes, np.searchsorted(starts, bounds).astype(np.int64), starts, ends, data, bounds)
 
 

@@ -352,8 +352,7 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_
         "doc_id is not null and text is not null")
     if not parts:
         return spark.createDataFrame([], "doc_id long, item_id long, cosine double, shared double, answer double")
-    words = lambda b: np.concatenate([np.zeros(0, np.uint64), *(
-        bare_words(lowered(p.column("text")))[1] for p in slices(b, "text"))])
+    words = lambda b: (bare_words(lowered(p.column("text")))[1] for p in slices(b, "text"))
     ranks = rarity_table(plain.select("text").mapInArrow(counted(words, BUCKETS), COUNTS_DDL), BUCKETS)
     weights = spark.sparkContext.broadcast(Weights(ranks, parts))
     passages = materialise(plain.mapInArrow(_windows(weights), PASSAGES), "passages")

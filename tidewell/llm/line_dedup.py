@@ -170,12 +170,10 @@ def _frequent_tokens(ranks, percent: int):
     """Listed words frequent enough for a list to be cut: the others' lists cannot be that long."""
     least = int(8 * np.log2(1 + BLOCK))
 
-    def tokens(batch: pa.RecordBatch) -> np.ndarray:
-        found = [np.zeros(0, np.uint64)]
+    def tokens(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for piece in slices(batch, "words", SET_BYTES):
             made = Prefixes(piece, ranks.value, percent, least).tokens
-            found.append(made[ranks.value[(made & np.uint64(BUCKETS - 1)).astype(np.int64)] >= least])
-        return np.concatenate(found)
+            yield made[ranks.value[(made & np.uint64(BUCKETS - 1)).astype(np.int64)] >= least]
     return tokens
 
 
@@ -410,7 +408,7 @@ def similar_lines(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", te
         "doc_id is not null and text is not null")
     table = materialise(plain.mapInArrow(_lines, LINES), "lines")
     lines, sets = table.drop("words"), table.where("words is not null")
-    words = lambda b: np.concatenate([np.zeros(0, np.uint64), *(unpacked_words(p.column("words"))[0] for p in slices(b, "words"))])
+    words = lambda b: (unpacked_words(p.column("words"))[0] for p in slices(b, "words"))
     ranks = spark.sparkContext.broadcast(rarity_table(sets.select("words").mapInArrow(counted(words, BUCKETS), COUNTS_DDL), BUCKETS))
     sizes = rarity_table(sets.mapInArrow(counted(_frequent_tokens(ranks, percent), BUCKETS), COUNTS_DDL), BUCKETS)
     length = 2.0 ** (sizes.astype(float) / 8) - 1

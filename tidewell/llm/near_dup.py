@@ -338,7 +338,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def _links(spark, plain: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """Verified links between classes that give the components of all links."""
     counts = classes.select("sketch").mapInArrow(
-        counted(lambda b: np.concatenate([np.zeros(0, np.uint64), *unpacked(b.column("sketch"))]), BUCKETS), COUNTS_DDL)
+        counted(lambda b: (np.concatenate(unpacked(p.column("sketch"))) for p in slices(b, "sketch")), BUCKETS), COUNTS_DDL)
     rarity = spark.sparkContext.broadcast(rarity_table(counts, BUCKETS))
     entries = materialise(classes.select("c", "rep", "n", "copies", "sketch").mapInArrow(_entries(rarity, percent), ENTRIES), "entries")
     lists = entries.groupBy("value").agg(F.count("*").alias("size"), F.min(F.struct("weight", "rep", "c", "n")).alias("pivot"))

@@ -8,36 +8,40 @@ items: any order is right, a rarer-first order is fast.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidewell.llm.common import arrow_schema, batch_of, packed, runs
+from tidewell.llm.common import arrow_schema, batch_of, packed
 
 SEGMENT = 1 << 14
 COUNTS = arrow_schema("segment int, slots binary, counts binary")
 COUNTS_DDL = "segment int, slots binary, counts binary"
 
 
-def bucket_rows(buckets: np.ndarray, size: int) -> pa.RecordBatch:
-    """Packed counts of bucket numbers."""
-    counts = np.bincount(buckets, minlength=size)
-    held = np.flatnonzero(counts)
+def bucket_rows(counts: np.ndarray) -> pa.RecordBatch:
+    """Packed non-zero counts by bucket."""
     segments, slots, values = [], [], []
-    for start, stop in runs(held // SEGMENT):
-        segments.append(int(held[start] // SEGMENT))
-        slots.append((held[start:stop] % SEGMENT).astype(np.uint16))
-        values.append(counts[held[start:stop]].astype(np.uint32))
+    for segment in range(-(-len(counts) // SEGMENT)):
+        part = counts[segment * SEGMENT:(segment + 1) * SEGMENT]
+        held = np.flatnonzero(part)
+        if len(held):
+            segments.append(segment)
+            slots.append(held.astype(np.uint16))
+            values.append(part[held])
     return batch_of(COUNTS, [segments, packed(slots), packed(values)])
 
 
-def counted(items: Callable[[pa.RecordBatch], np.ndarray], size: int):
-    """A ``mapInArrow`` function that counts what ``items`` takes from each batch."""
+def counted(items: Callable[[pa.RecordBatch], Iterable[np.ndarray]], size: int):
+    """A ``mapInArrow`` function that counts, once a task, what ``items`` takes from each batch, array by array."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(size, np.uint32)
         for batch in batches:
-            yield bucket_rows((items(batch) & np.uint64(size - 1)).astype(np.int64), size)
+            for part in items(batch):
+                np.add.at(counts, (part & np.uint64(size - 1)).astype(np.int64), np.uint32(1))
+        yield bucket_rows(counts)
     return count
 
 

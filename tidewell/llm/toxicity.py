@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import LOWER, arrow_schema, batch_of, bounded_sample, fold, mix, packed, powers, signed, slices, strings, words_of
+from tidewell.llm.common import arrow_schema, batch_of, bounded_sample, fold, mix, packed, signed, slices, span_hashes, strings, words_of
 from tidewell.llm.quality_crf import logistic
 
 TRAIN_DOCS, LEXICON = 12000, 20000
@@ -73,12 +73,9 @@ def bare_words(texts: pa.Array, sizes: tuple[int, ...] = ()):
     for _ in range(4):
         at = at[(ends[at] - starts[at] > 1) & MARK[data[ends[at] - 1]]]
         ends[at] -= 1
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((LOWER[data].astype(np.uint64) + np.uint64(1)) * powers("up", len(data)), out=sums[1:])
-    below, down = sums[starts], powers("down", len(data))[starts] if len(data) else np.zeros(0, np.uint64)
-    span = lambda stop: mix((sums[stop] - below) * down + (stop - starts).astype(np.uint64))
-    stems = [np.where(ends - starts > size, mix(span(np.minimum(starts + size, ends)) + np.uint64(size)), np.uint64(0)) for size in sizes]
-    return words, span(ends), stems
+    whole, *heads = span_hashes(data, starts, ends, *(np.minimum(starts + size, ends) for size in sizes))
+    stems = [np.where(ends - starts > size, mix(head + np.uint64(size)), np.uint64(0)) for size, head in zip(sizes, heads)]
+    return words, whole, stems
 
 
 def _unit_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
