@@ -557,6 +557,12 @@ def fd_discovery(spark, sf_dir):
                                 for name in KEY_TABLES])
 
 
+@query
+def fd_discovery_lineitem(spark, sf_dir):
+    """Dependencies of any size; too many candidates for SQL, so tests compare the search with brute force."""
+    return _dependencies(spark, sf_dir, "lineitem")
+
+
 @query
 def key_ranking(spark, sf_dir):
     found = [

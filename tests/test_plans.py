@@ -70,6 +70,13 @@ def test_unique_sets_of_whole_line_items_equal_brute_force(spark):
     assert sorted(keys.find_unique_sets(df)) == sorted(brute_unique(rows, df.columns, len(df.columns)))
 
 
+def test_dependencies_of_whole_line_items_equal_brute_force(spark):
+    """As above, for left sides of any size."""
+    df = spark.read.parquet(f"{SF}/lineitem.parquet").where("l_orderkey <= 200")
+    rows = [tuple(r) for r in df.collect()]
+    assert sorted(keys.find_dependencies(df)) == sorted(brute_dependencies(rows, df.columns, len(df.columns) - 1))
+
+
 @pytest.mark.parametrize("name", ["tricky", "nation", "customer"])
 def test_discovery_matches_brute_force(spark, name):
     df = tricky(spark) if name == "tricky" else spark.read.parquet(f"{SF}/{name}.parquet")

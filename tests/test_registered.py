@@ -18,7 +18,7 @@ def con():
 
 
 #: Queries that SQL cannot express in bounded time; each is compared with brute force elsewhere in the tests.
-BRUTE_FORCE = {"ucc_discovery_lineitem"}
+BRUTE_FORCE = {"ucc_discovery_lineitem", "fd_discovery_lineitem"}
 
 
 def test_every_query_has_sql_or_brute_force():

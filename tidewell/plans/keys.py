@@ -1,34 +1,25 @@
 """Key discovery on full tables: unique column sets and functional dependencies.
 
-Unique sets are searched through agree sets (see ``find_unique_sets``).  The search for
-dependencies walks column sets by size.  One aggregation with distinct-count
-sketches screens all candidates of a size; the few that may hold are then checked
-exactly, all in one job.  Sketches only ever discard candidates that are far
-from holding, so the result is exact.  What reaches the driver is one row of
-counts per candidate batch.
+Both are searched through agree sets: columns on which rows agree refute the unique sets they
+contain, and as left sides of a column that they lack, the dependencies.  What they leave open is
+checked exactly on all rows, several candidates in one job; a candidate that fails brings new agree
+sets.  What reaches the driver are column sets, never a listed level of the lattice.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from functools import reduce
-from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.operators.skew import apart, drop_apart
 from tidewell.operators.transforms import drop_types
 
-#: Sketch size as a power of two (relative error near 1.6 %), and a tolerance
-#: more than ten times its error.
-SKETCH_LOG_SIZE = 12
-TOLERANCE = 0.2
-#: Candidates measured in one aggregation.
-BATCH = 200
-#: Candidates for unique sets checked in one job, agree sets taken from each that fails.
-CHECKED, AGREE_SETS = 16, 100
+#: Candidates checked in one job, agree sets taken from each that fails (for dependencies: for each right side).
+CHECKED, AGREE_SETS, AGREE_SETS_OF_RIGHT = 16, 100, 25
 
 # Report messages.
 ONE_KEY = "Only one unique value found; it is the primary key."
@@ -82,24 +73,6 @@ def key_checks(df: DataFrame, candidates: Sequence[Sequence[str]]) -> DataFrame:
     return reduce(DataFrame.unionByName, [key_check(df, columns) for columns in candidates])
 
 
-def _batches(items: list, size: int = BATCH) -> Iterable[list]:
-    return (items[i:i + size] for i in range(0, len(items), size))
-
-
-def _sketch(columns: Columns) -> Column:
-    # xxhash64 skips nulls, so a null flag keeps (1, null) apart from (null, 1).
-    parts = [part for name in columns for part in (F.col(f"`{name}`"), F.col(f"`{name}`").isNull())]
-    return F.hll_sketch_estimate(F.hll_sketch_agg(F.xxhash64(*parts), F.lit(SKETCH_LOG_SIZE)))
-
-
-def _distinct_estimates(df: DataFrame, candidates: list[Columns]) -> dict[Columns, int]:
-    found: dict[Columns, int] = {}
-    for batch in _batches(candidates):
-        row = df.agg(*[_sketch(columns).alias(f"c{i}") for i, columns in enumerate(batch)]).first()
-        found.update({columns: row[i] for i, columns in enumerate(batch)})
-    return found
-
-
 def _comparable(df: DataFrame) -> DataFrame:
     return drop_types(df, T.BinaryType, T.MapType)
 
@@ -117,38 +90,72 @@ def minimal_hitting_sets(edges: Iterable[int], size: int, most: int | None = Non
     return sorted(found, key=lambda t: (t.bit_count(), t))
 
 
+def _group_masks(df: DataFrame, columns: Sequence[str], mask: int) -> DataFrame:
+    """``agreed, groups``: on which columns whole groups of several rows with equal values in ``mask`` agree.
+
+    ``agreed`` is written as binary digits, the first column last, so that any number of columns fits.  A group agrees on
+    a column whose least and greatest marks are the same there and that has no nulls, or nulls only.
+    """
+    measures = [F.count(F.lit(1)).alias("__n")]
+    agreed = []
+    for i, name in enumerate(columns):
+        if mask >> i & 1:
+            agreed.append(F.lit("1"))
+            continue
+        column, same = F.col(f"`{name}`"), F.lit(True)
+        for j, mark in enumerate(_marks(column, df.schema[name].dataType)):
+            measures += [F.min(mark).alias(f"__a{i}_{j}"), F.max(mark).alias(f"__b{i}_{j}")]
+            same = same & (F.col(f"__a{i}_{j}") == F.col(f"__b{i}_{j}"))
+        measures.append(F.count(column).alias(f"__c{i}"))
+        filled = F.col(f"__c{i}")
+        agreed.append(F.when((filled == 0) | ((filled == F.col("__n")) & same), "1").otherwise("0"))
+    inside = [f"`{name}`" for i, name in enumerate(columns) if mask >> i & 1]
+    groups = df.groupBy(*inside).agg(*measures) if inside else df.agg(*measures)
+    return groups.where("__n > 1").groupBy(F.concat(*reversed(agreed)).alias("agreed")).agg(F.count(F.lit(1)).alias("groups"))
+
+
 def _agree_sets(df: DataFrame, columns: Sequence[str], candidates: Sequence[int]) -> dict[int, list[int]]:
     """For each candidate that is not unique, column sets on which whole groups of several rows agree; one job.
 
-    A group of equal candidate values agrees on every column whose least and greatest marks are the same there.  The
-    most frequent ``AGREE_SETS`` per candidate are returned: any of them refutes it, more only save rounds.
+    The most frequent ``AGREE_SETS`` per candidate are returned: any of them refutes it, more only save rounds.
     """
-    marks = {name: _marks(F.col(f"`{name}`"), df.schema[name].dataType) for name in columns}
-
-    def groups(mask: int) -> DataFrame:
-        inside = [name for i, name in enumerate(columns) if mask >> i & 1]
-        outside = [(i, name) for i, name in enumerate(columns) if not mask >> i & 1]
-        measures = [F.count(F.lit(1)).alias("__n")]
-        bits = ["1" if mask >> i & 1 else "0" for i in range(len(columns))]
-        agreed = dict(enumerate(map(F.lit, bits)))
-        for i, name in outside:
-            same = F.lit(True)
-            for j, mark in enumerate(marks[name]):
-                measures += [F.min(mark).alias(f"__a{i}_{j}"), F.max(mark).alias(f"__b{i}_{j}")]
-                same = same & (F.col(f"__a{i}_{j}") == F.col(f"__b{i}_{j}"))
-            agreed[i] = F.when(same, "1").otherwise("0")
-        held = df.groupBy(*[f"`{name}`" for name in inside]).agg(*measures).where("__n > 1")
-        # Written as binary digits, the first column last, so that any number of columns fits.
-        seen = held.groupBy(F.concat(*[agreed[i] for i in reversed(range(len(columns)))]).alias("agreed")).agg(F.count(F.lit(1)).alias("groups"))
-        return seen.orderBy(F.desc("groups"), "agreed").limit(AGREE_SETS)
+    def most(i: int, mask: int) -> DataFrame:
+        seen = _group_masks(df, columns, mask).orderBy(F.desc("groups"), "agreed").limit(AGREE_SETS)
+        return seen.select(F.lit(i).alias("candidate"), "agreed")
 
     found: dict[int, list[int]] = {}
-    marked = [groups(mask).select(F.lit(i).alias("candidate"), "agreed") for i, mask in enumerate(candidates)]
-    for row in reduce(DataFrame.unionByName, marked).collect():
+    for row in reduce(DataFrame.unionByName, [most(i, mask) for i, mask in enumerate(candidates)]).collect():
         found.setdefault(candidates[row["candidate"]], []).append(int(row["agreed"], 2))
     return found
 
 
+def _refutations(df: DataFrame, columns: Sequence[str], candidates: Sequence[tuple[int, list[int]]]) -> list[tuple[int, int, int]]:
+    """``(left, right, agreed)``: for each left side and each column that it does not determine, agree sets without that column.
+
+    The most frequent ``AGREE_SETS_OF_RIGHT`` for each pair; any of them refutes it, more only save rounds.
+    """
+    def most(i: int, mask: int, rights: list[int]) -> DataFrame:
+        broken = F.array_compact(F.array(*[
+            F.when(F.substring("agreed", len(columns) - right, 1) == "0", F.lit(right)) for right in rights]))
+        seen = _group_masks(df, columns, mask).select("agreed", "groups", F.explode(broken).alias("right"))
+        place = F.row_number().over(Window.partitionBy("right").orderBy(F.desc("groups"), "agreed"))
+        return seen.withColumn("place", place).where(F.col("place") <= AGREE_SETS_OF_RIGHT).select(
+            F.lit(i).alias("candidate"), "right", "agreed")
+
+    parts = [most(i, mask, rights) for i, (mask, rights) in enumerate(candidates)]
+    return [(candidates[row["candidate"]][0], row["right"], int(row["agreed"], 2))
+            for row in reduce(DataFrame.unionByName, parts).collect()]
+
+
+def _widest(masks: Iterable[int]) -> set[int]:
+    """Masks not inside another one."""
+    kept: list[int] = []
+    for mask in sorted(set(masks), key=lambda m: -m.bit_count()):
+        if not any(mask & other == mask for other in kept):
+            kept.append(mask)
+    return set(kept)
+
+
 def find_unique_sets(df: DataFrame, max_size: int | None = None) -> list[Columns]:
     """Minimal column sets that are unique over the whole table, of any size unless ``max_size`` asks for less.
 
@@ -191,78 +198,47 @@ def _marks(column: Column, data_type: T.DataType) -> list[Column]:
             F.when(column.isNotNull(), F.xxhash64(F.lit("second"), column))]
 
 
-def _dependency_check(df: DataFrame, left: Columns, rights: Sequence[str]) -> DataFrame:
-    """One row per right side: does it take one value (or only nulls) in every group?"""
-    measures, tests = [F.count(F.lit(1)).alias("__n")], []
-    for i, name in enumerate(rights):
-        column = F.col(f"`{name}`")
-        measures.append(F.count(column).alias(f"__c{i}"))
-        same = F.lit(True)
-        for j, mark in enumerate(_marks(column, df.schema[name].dataType)):
-            measures += [F.min(mark).alias(f"__a{i}_{j}"), F.max(mark).alias(f"__b{i}_{j}")]
-            same = same & (F.col(f"__a{i}_{j}") == F.col(f"__b{i}_{j}"))
-        tests.append((F.col(f"__c{i}") == 0) | ((F.col(f"__c{i}") == F.col("__n")) & same))
-    groups = df.groupBy(*[f"`{name}`" for name in left]).agg(*measures) if left else df.agg(*measures)
-    held = groups.agg(*[F.bool_and(test).alias(f"h{i}") for i, test in enumerate(tests)])
-    entries = F.array(*[F.struct(F.lit(name).alias("rhs"), F.col(f"h{i}").alias("holds"))
-                        for i, name in enumerate(rights)])
-    return held.select(F.lit(",".join(left)).alias("lhs"), F.inline(entries))
-
-
-def _unique_among(df: DataFrame, candidates: list[Columns]) -> set[Columns]:
-    """The candidates that are unique and free of nulls, checked exactly."""
-    found: set[Columns] = set()
-    for batch in _batches(candidates, 20):
-        verdicts = {row["columns"]: row["is_key"] for row in key_checks(df, batch).collect()}
-        found.update(group for group in batch if verdicts[",".join(group)])
-    return found
-
-
 def find_dependencies(df: DataFrame, max_size: int | None = None) -> list[tuple[Columns, str]]:
     """Minimal functional dependencies ``(left columns, right column)`` of any size unless ``max_size`` asks for less.
 
-    Nulls equal each other.  A constant column depends on the empty set.
+    Nulls equal each other.  A constant column depends on the empty set.  Binary and map columns take no part.
+
+    A group of rows that agree on some columns and not on another shows that nothing inside those columns determines the
+    other.  The left sides still possible for a column are the minimal hitting sets of what such agree sets lack.  Each
+    left side is checked on the whole table for all columns it may determine at once.
     """
     df = _comparable(df)
     names = df.columns
-    total = df.count()
-    found: dict[str, list[Columns]] = {name: [] for name in names}
-    estimates: dict[Columns, int] = {(): 1}
-
-    def joined(left: Columns, right: str) -> Columns:
-        return tuple(name for name in names if name == right or name in left)
-
-    for size in range(0, min(len(names) - 1 if max_size is None else max_size, len(names) - 1) + 1):
-        open_sides = {
-            left: [name for name in names
-                   if name not in left and not any(set(known) <= set(left) for known in found[name])]
-            for left in combinations(names, size)
-        }
-        open_sides = {left: rights for left, rights in open_sides.items() if rights}
-        if not open_sides:
-            break
-        estimates.update(_distinct_estimates(df, sorted(open_sides.keys() - estimates.keys())))
-        # Everything depends on a unique set, and uniqueness is cheaper to check.  A nearly
-        # unique set cannot grow enough by another column for a sketch to tell.
-        near = [left for left in open_sides if left and estimates[left] >= total * (1 - TOLERANCE)]
-        unique = _unique_among(df, near)
-        wider = {joined(left, right) for left, rights in open_sides.items() if left not in near for right in rights}
-        estimates.update(_distinct_estimates(df, sorted(wider - estimates.keys())))
-        tests = []
-        for left, rights in open_sides.items():
-            if left in unique:
-                for right in rights:
-                    found[right].append(left)
-                continue
-            likely = rights if left in near else [
-                right for right in rights
-                if estimates[joined(left, right)] <= estimates[left] * (1 + 1.5 * TOLERANCE)]
-            if likely:
-                tests.append(_dependency_check(df, left, likely))
-        for batch in _batches(tests, 20):
-            for row in reduce(DataFrame.unionByName, batch).where("holds").collect():
-                found[row["rhs"]].append(tuple(row["lhs"].split(",")) if row["lhs"] else ())
-    return [(left, right) for right in names for left in found[right]]
+    everything = (1 << len(names)) - 1
+    agree: dict[int, set[int]] = {right: set() for right in range(len(names))}
+    possible: dict[int, list[int]] = {}
+    holds: set[tuple[int, int]] = set()
+    changed = set(agree)
+    while True:
+        for right in changed:
+            lacking = (everything & ~mask & ~(1 << right) for mask in agree[right])
+            possible[right] = minimal_hitting_sets(lacking, len(names), max_size)
+        unknown: dict[int, list[int]] = {}
+        for right, lefts in possible.items():
+            for left in lefts:
+                if (left, right) not in holds:
+                    unknown.setdefault(left, []).append(right)
+        if not unknown:
+            return [(tuple(name for i, name in enumerate(names) if left >> i & 1), names[right])
+                    for right in range(len(names)) for left in possible[right]]
+        # Left sides that may determine most columns first: a key settles all of them.
+        batch = sorted(unknown.items(), key=lambda item: (-len(item[1]), item[0].bit_count(), item[0]))[:CHECKED]
+        refuted = _refutations(df, names, batch)
+        failed = {(left, right) for left, right, _ in refuted}
+        holds.update((left, right) for left, rights in batch for right in rights if (left, right) not in failed)
+        changed = set()
+        for _, _, mask in refuted:
+            for right in range(len(names)):
+                if not mask >> right & 1:
+                    agree[right].add(mask)
+                    changed.add(right)
+        for right in changed:
+            agree[right] = _widest(agree[right])
 
 
 def unique_sets_frame(spark: SparkSession, unique: Sequence[Columns]) -> DataFrame:
