@@ -5,6 +5,9 @@ from collections import Counter
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from tidewell.operators import cdc
 from tidewell.operators.scd import scd1
 from tidewell.functions.hashing import add_row_hashes
 from tidewell.operators.cdc import classify_changes, initial_changes
@@ -50,6 +53,34 @@ def test_duplicate_keys_do_not_multiply(spark):
     assert sum(r["changed_matches"] for r in found.collect()) == pairs
 
 
+@pytest.mark.parametrize("incremental", [False, True])
+@pytest.mark.parametrize("least", [1, 500_000])
+def test_counted_changes_equal_a_join(spark, incremental, least):
+    """Repeated keys, keys of one side, null keys, null hashes and hashes that are no md5; with all keys too large and with none."""
+    def side(seed, rows):
+        number = F.xxhash64("id", F.lit(seed))
+        key = F.pmod(number, F.lit(60)) + F.when(F.pmod(number, F.lit(7)) == 0, 100 * seed).otherwise(0)
+        v = F.pmod(F.xxhash64(number), F.lit(3)).cast("string")
+        df = add_row_hashes(spark.range(rows).select(key.cast("int").alias("k"), v.alias("v")), ["k"])
+        return df.withColumns({"row_key_hash": F.when(F.col("k") % 10 == 3, None).when(F.col("k") % 10 == 4, F.concat(F.lit("é"), "k")).otherwise(F.col("row_key_hash")),
+                               "row_hash": F.when(F.col("k") % 10 == 5, None).when(F.col("k") % 10 == 6, F.col("v")).otherwise(F.col("row_hash"))})
+
+    source, target = side(1, 300), side(2, 200)
+    actual = cdc._counted_changes(source, target, incremental, "row_key_hash", "row_hash", "change_op", min_rows=least)
+    expected = cdc._joined_changes(source, target, True, incremental, "row_key_hash", "row_hash", "change_op", True)
+    assert actual.schema.simpleString() == expected.schema.simpleString()
+    assert Counter(map(tuple, actual.collect())) == Counter(map(tuple, expected.collect()))
+
+
+def test_counted_changes_move_each_row_once(spark):
+    source, target = add_row_hashes(frame(spark, SOURCE), ["k"]), add_row_hashes(frame(spark, TARGET), ["k"])
+    found = classify_changes(source, target, count_matches=True)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(row_key_hash" in line and "Reused" not in line]
+    assert len(moved) == 1
+
+
 def test_empty_target_gives_inserts(spark):
     assert ops(changes(spark, SOURCE, [])) == Counter(("INSERT", k, v) for k, v in SOURCE)
     assert ops(changes(spark, [], TARGET)) == Counter(("DELETE", k, v) for k, v in TARGET)
