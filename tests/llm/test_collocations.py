@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 
 from tidewell.llm.collocations import activations, collocations, phrase_counts
 
@@ -89,6 +90,37 @@ def test_phrases_complete_one_cycle_after_their_subphrases(spark, path):
     assert times == [[3], [6], [9], []]
 
 
+def test_tasks_send_ranges_of_phrases_not_a_row_each(spark, monkeypatch):
+    """The exact pass sends a bounded number of rows from each task, however many phrases the task meets."""
+    sent, plain = spark.sparkContext.accumulator(0), DataFrame.mapInArrow
+
+    def counting(frame, function, schema, *more):
+        if function.__qualname__ != "exact_counts.<locals>.count":
+            return plain(frame, function, schema, *more)
+
+        def counted(batches):
+            for batch in function(batches):
+                sent.add(batch.num_rows)
+                yield batch
+        return plain(frame, counted, schema, *more)
+
+    monkeypatch.setattr(DataFrame, "mapInArrow", counting)
+    text = " ".join(f"w{i}" for i in range(20_000))
+    frame = spark.createDataFrame([(text, "en")] * 6, "text string, lang string").repartition(2)
+    rows = phrase_counts(frame, 6, bits=20).where("f = 6 AND n > 0").count()
+    assert rows == 20_000 + 19_999 + 19_998 + 19_997
+    assert 0 < sent.value <= 8 * (4 * 512 + 1)
+
+
+def test_equal_phrases_of_other_languages_stay_apart(spark):
+    """One range of hashes holds words of many languages; their texts and counts are not mixed."""
+    texts = [("same words here", f"l{i:03}") for i in range(120) for _ in range(2)]
+    frame = spark.createDataFrame(texts, "text string, lang string").repartition(5)
+    found, totals = counts_by_hand(texts)
+    rows = {(r.lang, r.n, r.phrase): r.f for r in phrase_counts(frame, 2, bits=16).collect()}
+    assert rows == {**found, **{(lang, 0, ""): n for lang, n in totals.items()}}
+
+
 def test_empty_table_and_tables_without_phrases(spark):
     none = spark.createDataFrame([], "doc_id long, text string, lang string")
     assert collocations(none, bits=16).collect() == []

@@ -11,7 +11,7 @@ never below the count of any of its phrases, so a phrase may become active early
 never late.  The moment of activation depends on the counters alone, is kept with them and never changes, which is what makes the
 cycle of every phrase a full one.  What tasks are sent is therefore of fixed size, whatever the corpus.
 
-The last pass counts, by their texts, all phrases whose counters and whose subphrases' counters reached the least
+The last pass counts, each by itself, all phrases whose counters and whose subphrases' counters reached the least
 count; the counters only choose what is counted there.  The fuller the counters, the more
 phrases that turn out too rare are counted in that pass: from some 10^9 words on, choose more ``bits``.  Results do not depend on it.
 
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import LOWER, arrow_schema, batch_of, bytes_of, chain, materialise, mix, quoted, slices, strings, words_in
+from tidewell.llm.common import LOWER, arrow_schema, batch_of, bytes_of, chain, materialise, mix, packed, quoted, runs, signed, slices, strings, words_in
 from tidewell.session import scratch_path
 
 SHARDS = 4
@@ -41,8 +42,8 @@ LONGEST = 4
 PARTS = 64
 #: Counters in one row of what tasks exchange.
 CHUNK_BITS = 16
-#: Different phrases that a task gathers before it sends their counts on.
-HELD = 1 << 20
+#: Different phrases that a task gathers before it sends their counts on, and bits of a hash that say with which others it is sent.
+HELD, PIECE_BITS = 1 << 20, 9
 #: Slots that a task gathers before it adds them up, and bytes of text that it works on at a time.
 HELD_SLOTS, SLICE = 1 << 21, 2 << 20
 BREAKS = np.zeros(256, bool)
@@ -51,6 +52,10 @@ BREAKS[10:14] = True
 BLANKED = np.where(BREAKS, 10, np.arange(256)).astype(np.uint8)
 
 
+def name_hash(name: str) -> int:
+    return int.from_bytes(blake2b(name.encode(), digest_size=8).digest(), "little")
+
+
 class Phrases:
     """Phrases of some texts: ``hashes[n]`` of the phrase of n words that starts at each word, ``whole[n]`` where it exists."""
 
@@ -62,7 +67,7 @@ class Phrases:
         self.lang = np.repeat(np.arange(len(texts)), self.words.counts)
         self.names = langs.to_pylist()
         breaks = np.concatenate([[0], np.cumsum(BREAKS[data])])[self.words.starts] if self.total else np.zeros(0, np.int64)
-        seeds = np.array([zlib.crc32(name.encode()) for name in self.names], np.uint64)
+        seeds = np.array([name_hash(name) for name in self.names], np.uint64)
         first = mix(self.words.hashes ^ mix(seeds[self.lang] + np.uint64(1))) if self.total else np.zeros(0, np.uint64)
         self.hashes, self.whole = {1: first}, {1: np.ones(self.total, bool)}
         for n in range(2, LONGEST + 1):
@@ -214,64 +219,153 @@ def activations(spark, path: str, least: int, shards: int, bits: int) -> Reached
     return reached
 
 
+PACKED = "n int, piece long, lang string, firsts binary, lasts binary, counts binary, words binary"
+FOUND = "n int, hash long, first long, last long, lang string, word string, f long"
+
+
 class Tally:
-    """Counts of a task's phrases of one length: their text is made where they are met first."""
+    """Counts of a task's phrases of one length, in order of their hashes; words also have their language and text.
 
-    def __init__(self):
-        self.hashes, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    ``firsts`` are hashes of the phrases without their last word, ``lasts`` of the last word; a word has only its own.
+    """
+
+    def __init__(self, n: int):
+        self.n, self.counts = n, np.zeros(0, np.int64)
+        self.hashes, self.firsts, self.lasts = (np.zeros(0, np.uint64) for _ in range(3))
         self.langs, self.texts = np.zeros(0, object), np.zeros(0, object)
 
-    def add(self, phrases: Phrases, at: np.ndarray, n: int) -> None:
-        hashes, first, counts = np.unique(phrases.hashes[n][at], return_index=True, return_counts=True)
+    def add(self, phrases: Phrases, at: np.ndarray) -> None:
+        hashes, first, counts = np.unique(phrases.hashes[self.n][at], return_index=True, return_counts=True)
         place = np.searchsorted(self.hashes, hashes)
         known = np.zeros(len(hashes), bool)
         inside = place < len(self.hashes)
         known[inside] = self.hashes[place[inside]] == hashes[inside]
         self.counts[place[known]] += counts[known]
         new = at[first[~known]]
-        self.hashes, self.counts = np.concatenate([self.hashes, hashes[~known]]), np.concatenate([self.counts, counts[~known]])
-        self.langs = np.concatenate([self.langs, np.array(phrases.names, object)[phrases.lang[new]]])
-        self.texts = np.concatenate([self.texts, phrases.texts(new, n)])
-        order = np.argsort(self.hashes)
-        self.hashes, self.counts, self.langs, self.texts = (x[order] for x in (self.hashes, self.counts, self.langs, self.texts))
-
-    def rows(self, n: int) -> pa.RecordBatch:
-        return batch_of(arrow_schema(FREQUENCIES), [pa.array(self.langs, pa.string()), np.full(len(self.texts), n, np.int32),
-                                                    pa.array(self.texts, pa.binary()).cast(pa.string()), self.counts])
-
-
-FREQUENCIES = "lang string, n int, phrase string, f long"
-
-
-def exact_counts(texts: DataFrame, reached: Reached) -> DataFrame:
-    """Rows (lang, n, phrase, f) of the phrases that the counters do not rule out; n = 0 holds a language's words.
-
-    A task adds up by 64-bit hash (of the phrases it holds at a time two share one with a chance below 1e-7), the rest by text.
+        if self.n == 1:
+            more = {"firsts": hashes[~known], "langs": np.array(phrases.names, object)[phrases.lang[new]], "texts": phrases.texts(new, 1)}
+        else:
+            more = {"firsts": phrases.hashes[self.n - 1][new], "lasts": phrases.hashes[1][new + self.n - 1]}
+        more |= {"hashes": hashes[~known], "counts": counts[~known]}
+        joined = {name: np.concatenate([getattr(self, name), values]) for name, values in more.items()}
+        order = np.argsort(joined["hashes"])
+        for name, values in joined.items():
+            setattr(self, name, values[order])
+
+    def rows(self) -> pa.RecordBatch:
+        """One row for each range of hashes that has phrases, and for words for each language in it."""
+        pieces = (self.hashes >> np.uint64(64 - PIECE_BITS)).astype(np.int64)
+        order, langs = np.arange(len(pieces)), np.zeros(len(pieces), np.int64)
+        if self.n == 1 and len(pieces):
+            places: dict[str, int] = {}
+            langs = np.array([places.setdefault(lang, len(places)) for lang in self.langs], np.int64)
+            order = np.lexsort((langs, pieces))
+        spans = [(order[a], order[a:b]) for a, b in runs((langs + (pieces << 32))[order])]
+        return batch_of(arrow_schema(PACKED), [
+            [self.n] * len(spans), [int(pieces[i]) for i, _ in spans], [self.langs[i] if self.n == 1 else None for i, _ in spans],
+            packed([self.firsts[x] for _, x in spans]), packed([self.lasts[x] if self.n > 1 else self.lasts for _, x in spans]),
+            packed([self.counts[x] for _, x in spans]), pa.array([b" ".join(self.texts[x]) if self.n == 1 else b"" for _, x in spans], pa.binary())])
+
+
+def total_rows(words: dict[str, int]) -> pa.RecordBatch:
+    """Words of each language, as rows of n = 0."""
+    none = [b""] * len(words)
+    return batch_of(arrow_schema(PACKED), [[0] * len(words), [name_hash(lang) >> (64 - PIECE_BITS) for lang in words], list(words), none, none,
+                                           packed([np.array([size], np.int64) for size in words.values()]), none])
+
+
+class Sums:
+    """Added-up rows of one length and range of hashes: two phrases are one where first part and last word are."""
+
+    def __init__(self, n: int):
+        self.n, self.parts, self.size = n, [], 0
+
+    def add(self, lang: str | None, firsts: bytes, lasts: bytes, counts: bytes, words: bytes) -> None:
+        new = [np.frombuffer(firsts, np.uint64), np.frombuffer(lasts, np.uint64), np.frombuffer(counts, np.int64)]
+        if self.n < 2:
+            texts = words.split(b" ")
+            new[:2] = new[0] if self.n else np.array([name_hash(lang)], np.uint64), np.zeros(len(texts), np.uint64)
+            new += [np.array([lang] * len(texts), object), np.array(texts, object)]
+        self.parts.append(new)
+        self.size += len(new[2])
+        if self.size > 2 * max(HELD, len(self.parts[0][2])):
+            self.parts = [self.merged()]
+            self.size = len(self.parts[0][2])
+
+    def merged(self) -> list[np.ndarray]:
+        columns = [np.concatenate(x) for x in zip(*self.parts)]
+        order = np.lexsort(columns[:2])
+        firsts, lasts = (x[order] for x in columns[:2])
+        cuts = np.concatenate([[0], np.flatnonzero((np.diff(firsts) != 0) | (np.diff(lasts) != 0)) + 1])
+        some = order[cuts]
+        return [firsts[cuts], lasts[cuts], np.add.reduceat(columns[2][order], cuts), *(x[some] for x in columns[3:])]
+
+    def rows(self, least: int) -> pa.RecordBatch:
+        merged = self.merged()
+        kept = (merged[2] >= least) | (self.n == 0)
+        firsts, lasts, counts, *named = (x[kept] for x in merged)
+        langs, words = named or [[None] * len(counts)] * 2
+        return batch_of(arrow_schema(FOUND), [
+            np.full(len(counts), self.n, np.int32), signed(chain(firsts, lasts) if self.n > 1 else firsts), signed(firsts), signed(lasts),
+            pa.array(langs, pa.string()), pa.array(words, pa.binary()).cast(pa.string()), counts])
+
+
+def exact_counts(texts: DataFrame, reached: Reached, least: int) -> DataFrame:
+    """Rows (n, hash, first, last, lang, word, f) of phrases with f >= ``least``, of those that the counters do not rule out.
+
+    n = 0 holds a language's words, n = 1 words with their text; longer phrases are the hashes of their first part and of their
+    last word.  Tasks send 16 bytes and a count for each phrase they hold, packed by range of hashes, so what is sent is at most that
+    for each occurrence.  A task adds up by 64-bit hash (of the phrases it holds at a time two share one with a chance below
+    1e-7), the rest by both hashes, 128 bits.
     """
     sent = reached.send(texts)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Reached.receive(sent)
         words: dict[str, int] = {}
-        held = {n: Tally() for n in range(1, LONGEST + 1)}
+        held = [Tally(n) for n in range(1, LONGEST + 1)]
         for batch in batches:
             for piece in slices(batch, "text", SLICE):
                 phrases = Phrases(piece)
                 for lang, size in zip(phrases.names, phrases.words.counts.tolist()):
                     words[lang] = words.get(lang, 0) + size
-                for n in range(1, LONGEST + 1):
-                    kept = phrases.whole[n] & (known.of(phrases, n) > 0)
-                    if n > 1:
-                        kept &= known.active_from(phrases, n) > 0
-                    held[n].add(phrases, np.flatnonzero(kept), n)
-                if sum(len(t.hashes) for t in held.values()) > HELD:
-                    yield from (t.rows(n) for n, t in held.items())
-                    held = {n: Tally() for n in held}
-        yield from (t.rows(n) for n, t in held.items())
-        if words:
-            yield batch_of(arrow_schema(FREQUENCIES), [list(words), [0] * len(words), [""] * len(words), list(words.values())])
-
-    return texts.mapInArrow(count, FREQUENCIES).groupBy("lang", "n", "phrase").agg(F.sum("f").alias("f"))
+                for tally in held:
+                    kept = phrases.whole[tally.n] & (known.of(phrases, tally.n) > 0)
+                    if tally.n > 1:
+                        kept &= known.active_from(phrases, tally.n) > 0
+                    tally.add(phrases, np.flatnonzero(kept))
+                if sum(len(t.hashes) for t in held) > HELD:
+                    yield from (t.rows() for t in held)
+                    held = [Tally(t.n) for t in held]
+        yield from (t.rows() for t in held)
+        yield total_rows(words)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, sums = None, Sums(0)
+        for batch in batches:
+            for n, piece, *row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns))):
+                if (n, piece) != at:
+                    if at is not None:
+                        yield sums.rows(least)
+                    at, sums = (n, piece), Sums(n)
+                sums.add(*row)
+        if at is not None:
+            yield sums.rows(least)
+
+    return texts.mapInArrow(count, PACKED).repartition("n", "piece").sortWithinPartitions("n", "piece").mapInArrow(add, FOUND)
+
+
+def spelled(found: DataFrame) -> DataFrame:
+    """Rows (lang, n, phrase, f) of counted hashes: a phrase is its first part, which is counted too, and its last word."""
+    words = found.where("n = 1").select(F.col("hash").alias("last"), "word")
+    level = found.where("n = 1").select("hash", "lang", "n", F.col("word").alias("phrase"), "f")
+    out = level.unionAll(found.where("n = 0").select("hash", "lang", "n", F.lit("").alias("phrase"), "f"))
+    for n in range(2, LONGEST + 1):
+        first = level.select(F.col("hash").alias("first"), "lang", F.col("phrase").alias("start"))
+        level = materialise(found.where(F.col("n") == n).select("hash", "first", "last", "n", "f").join(first, "first").join(words, "last")
+                            .select("hash", "lang", "n", F.concat_ws(" ", "start", "word").alias("phrase"), "f"), "phrases")
+        out = out.unionAll(level)
+    return out.select("lang", "n", "phrase", "f")
 
 
 def phrase_counts(docs: DataFrame, least: int, text: str = "text", lang: str = "lang", shards: int = SHARDS, bits: int = BITS) -> DataFrame:
@@ -284,7 +378,7 @@ def phrase_counts(docs: DataFrame, least: int, text: str = "text", lang: str = "
      .write.partitionBy("shard").parquet(path))
     reached = activations(spark, path, least, shards, bits)
     texts = spark.read.schema("text string, lang string").parquet(*[f"{path}/shard={s}" for s in range(shards)]).where("lang IS NOT NULL")
-    return materialise(exact_counts(texts, reached).where((F.col("f") >= least) | (F.col("n") == 0)), "phrases")
+    return spelled(materialise(exact_counts(texts, reached, least), "found"))
 
 
 def collocations(docs: DataFrame, least: int = 30, top: int = 2000, share: int = 80, text: str = "text", lang: str = "lang",
