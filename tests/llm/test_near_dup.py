@@ -2,12 +2,16 @@ from __future__ import annotations
 
 import re
 from itertools import combinations
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from tidewell.llm import line_dedup, near_dup
+import corpus_pipeline
+from tidewell.llm import line_dedup, near_dup, rarity
 from tidewell.llm.components import connected_components
+from tidewell.session import BATCH_BYTES_KEY, bounded_batches
 from tests.llm.conftest import words
 
 SPLIT = re.compile(r"[^\x20\x09-\x0D]+")
@@ -174,3 +178,61 @@ def test_many_variants_of_a_line(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     removed = line_dedup.removed_lines(frame).collect()
     assert {(r.doc_id, k) for r in removed for k in r.removed} == brute_lines(rows, 80)
+
+
+def test_line_entries_are_sent_in_small_batches():
+    """A task packs many entries together, but sends them a few MB at a time, and all of them."""
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 1 << 48, 40, dtype=np.uint64)) for _ in range(30_000)]
+    column = pa.array([s.view(np.uint8).reshape(-1, 8)[:, :line_dedup.WORD_BYTES].tobytes() for s in sets], pa.binary())
+    batch = pa.record_batch({"k1": pa.array(range(30_000), pa.int64()), "doc_id": pa.array(range(30_000), pa.int64()),
+                             "line": pa.array([0] * 30_000, pa.int32()), "words": column})
+    ranks, blocks = (SimpleNamespace(value=np.ones(line_dedup.BUCKETS, t)) for t in (np.uint8, np.uint16))
+    batches = list(line_dedup._entries(ranks, blocks, 80, 50, None)(iter([batch])))
+    assert max(b.nbytes for b in batches) < 6 << 20
+    rows = sorted(zip(*(sum((b.column(i).to_pylist() for b in batches), []) for i in range(3))))
+    found = [line_dedup.unpack_entries(n, data) for _, n, data in rows]
+    assert all((f["name"] % np.uint64(50) == np.uint64(part)).all() for (part, _, _), f in zip(rows, found))
+    listed = np.concatenate([f["doc"] for f in found])
+    assert np.array_equal(np.bincount(listed, minlength=30_000), [line_dedup.prefix_sizes(np.array(len(s)), 80) for s in sets])
+
+
+def test_document_entries_are_sent_in_small_batches():
+    rng = np.random.default_rng(4)
+    sketches = [np.unique(rng.integers(0, 1 << 63, near_dup.INDEX, dtype=np.uint64)) for _ in range(10_000)]
+    numbers = pa.array(range(10_000), pa.int64())
+    batch = pa.record_batch({"c": numbers, "rep": numbers, "n": pa.array([300] * 10_000, pa.int64()), "copies": pa.array([1] * 10_000, pa.int64()),
+                             "sketch": pa.array([s.tobytes() for s in sketches], pa.binary())})
+    batches = list(near_dup._entries(SimpleNamespace(value=np.ones(near_dup.BUCKETS, np.uint8)), 80)(iter([batch])))
+    assert max(b.nbytes for b in batches) < 6 << 20
+    counts = np.bincount(np.concatenate([b.column(1).to_numpy() for b in batches]), minlength=10_000)
+    assert (counts == near_dup.prefix_length(300, 80)).all()
+
+
+def test_counts_are_sent_in_small_batches():
+    size = 1 << 21
+    count = rarity.counted(lambda b: [np.arange(size, dtype=np.uint64)], size)
+    batches = list(count(iter([pa.record_batch({"x": pa.array([1])})])))
+    assert max(b.nbytes for b in batches) < 4 << 20
+    assert sum((b.column("segment").to_pylist() for b in batches), []) == list(range(size // rarity.SEGMENT))
+
+
+def test_pipeline_bounds_the_bytes_of_batches(spark):
+    held = spark.conf.get(BATCH_BYTES_KEY, None)
+    spark.conf.unset(BATCH_BYTES_KEY)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.record_batch({"bytes": pa.array([b.nbytes], pa.int64())})
+
+    try:
+        rows = spark.range(0, 9000, 1, 1).selectExpr("id AS doc_id", "repeat('word ', 400) AS text")
+        corpus_pipeline.near_duplicates(spark, rows.limit(1), "")
+        assert max(r.bytes for r in rows.mapInArrow(sizes, "bytes long").collect()) < 5 << 20
+        spark.conf.set(BATCH_BYTES_KEY, "123456")
+        bounded_batches(spark)
+        assert spark.conf.get(BATCH_BYTES_KEY) == "123456"
+    finally:
+        spark.conf.unset(BATCH_BYTES_KEY)
+        if held is not None:
+            spark.conf.set(BATCH_BYTES_KEY, held)

@@ -42,8 +42,10 @@ from tidewell.llm.rarity import COUNTS_DDL, counted, rarity_table
 BUCKETS = 1 << 20
 #: Entries of a list from which it is cut into blocks of that size.
 BLOCK = 100_000
-#: Bytes of text, of packed words and of packed entries that a task works on at a time.
+#: Bytes of text and of packed words that a task works on at a time; entries of a part, and packed together.
 TEXT_BYTES, SET_BYTES, PART_ENTRIES, SENT_ENTRIES = 1 << 20, 1 << 20, 200_000, 1_000_000
+#: Bytes of packed entries sent at once.
+SENT_BYTES = 1 << 22
 #: Bytes kept of a word's hash; parity bits are 64 for sets up to ``WIDE`` words and 128 beyond.
 WORD_BYTES, WIDE = 6, 96
 
@@ -205,14 +207,19 @@ def unpack_entries(count: int, data: bytes) -> dict[str, np.ndarray]:
 
 def _entries(ranks, blocks, percent: int, parts: int, only: np.ndarray | None):
     """Entries of the lists; long lists are dealt to pairs of blocks; ``only`` restricts to some lists."""
-    def rows(held: list[dict[str, np.ndarray]]) -> pa.RecordBatch:
-        columns = {name: np.concatenate([h[name] for h in held]) for name in held[0]}
+    def rows(held: list[dict[str, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        columns = {name: np.concatenate([h.pop(name) for h in held]) for name in list(held[0])}
         part = (columns["name"] % np.uint64(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(part[order])) + 1, [len(order)]]) if len(order) else np.zeros(1, np.int64)
-        spans = list(zip(cuts.tolist(), cuts[1:].tolist()))
-        return batch_of(arrow_schema(ENTRIES), [part[order[cuts[:-1]]], np.diff(cuts).astype(np.int32),
-                                                pa.array([pack_entries(columns, order[x:y]) for x, y in spans], pa.binary())])
+        parts_of, counts = part[order[cuts[:-1]]], np.diff(cuts).astype(np.int32)
+        first, sent, size = 0, [], 0
+        for i, (x, y) in enumerate(zip(cuts.tolist(), cuts[1:].tolist()), 1):
+            sent.append(pack_entries(columns, order[x:y]))
+            size += len(sent[-1])
+            if size > SENT_BYTES or i == len(counts):
+                yield batch_of(arrow_schema(ENTRIES), [parts_of[first:i], counts[first:i], pa.array(sent, pa.binary())])
+                first, sent, size = i, [], 0
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -240,10 +247,10 @@ def _entries(ranks, blocks, percent: int, parts: int, only: np.ndarray | None):
                              "fold": (p.bits_a ^ p.bits_b)[take], "half": p.bits_a[take]})
                 size += len(name)
                 if size > SENT_ENTRIES:
-                    yield rows(held)
+                    yield from rows(held)
                     held, size = [], 0
         if size:
-            yield rows(held)
+            yield from rows(held)
     return index
 
 

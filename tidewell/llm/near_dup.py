@@ -104,7 +104,7 @@ def _entries(rarity, percent: int):
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = rarity.value
-        for batch in batches:
+        for batch in (piece for b in batches for piece in slices(b, "sketch")):
             values, sizes, rare = [], [], []
             for sketch, n in zip(unpacked(batch.column("sketch")), batch.column("n").to_pylist()):
                 rank = ranks[(sketch & np.uint64(BUCKETS - 1)).astype(np.int64)]
@@ -188,7 +188,7 @@ def _estimated(percent: int):
     schema = arrow_schema(PAIRS)
 
     def estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (piece for b in batches for piece in slices(b, "sketch_a")):
             keep = may_be_similar(sketch_rows(batch.column("sketch_a")), sketch_rows(batch.column("sketch_b")),
                                   batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy(), percent)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_())).cast(schema)
@@ -199,7 +199,7 @@ def _verified(percent: int):
     schema = arrow_schema(PAIRS)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (piece for b in batches for piece in slices(b, "set_a")):
             keep = [similar(a, b, percent) for a, b in zip(unpacked(batch.column("set_a")), unpacked(batch.column("set_b")))]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_())).cast(schema)
     return verify

@@ -16,22 +16,26 @@ from pyspark.sql import DataFrame
 
 from tidewell.llm.common import arrow_schema, batch_of, packed
 
-SEGMENT = 1 << 14
+#: Buckets of a segment, and segments sent at once.
+SEGMENT, SENT = 1 << 14, 16
 COUNTS = arrow_schema("segment int, slots binary, counts binary")
 COUNTS_DDL = "segment int, slots binary, counts binary"
 
 
-def bucket_rows(counts: np.ndarray) -> pa.RecordBatch:
-    """Packed non-zero counts by bucket."""
-    segments, slots, values = [], [], []
-    for segment in range(-(-len(counts) // SEGMENT)):
-        part = counts[segment * SEGMENT:(segment + 1) * SEGMENT]
-        held = np.flatnonzero(part)
-        if len(held):
-            segments.append(segment)
-            slots.append(held.astype(np.uint16))
-            values.append(part[held])
-    return batch_of(COUNTS, [segments, packed(slots), packed(values)])
+def bucket_rows(counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Packed non-zero counts by bucket, a few segments at a time: a full table is 25 MB."""
+    total = -(-len(counts) // SEGMENT)
+    for start in range(0, total, SENT):
+        segments, slots, values = [], [], []
+        for segment in range(start, min(start + SENT, total)):
+            part = counts[segment * SEGMENT:(segment + 1) * SEGMENT]
+            held = np.flatnonzero(part)
+            if len(held):
+                segments.append(segment)
+                slots.append(held.astype(np.uint16))
+                values.append(part[held])
+        if segments:
+            yield batch_of(COUNTS, [segments, packed(slots), packed(values)])
 
 
 def counted(items: Callable[[pa.RecordBatch], Iterable[np.ndarray]], size: int):
@@ -41,7 +45,7 @@ def counted(items: Callable[[pa.RecordBatch], Iterable[np.ndarray]], size: int):
         for batch in batches:
             for part in items(batch):
                 np.add.at(counts, (part & np.uint64(size - 1)).astype(np.int64), np.uint32(1))
-        yield bucket_rows(counts)
+        yield from bucket_rows(counts)
     return count
 
 

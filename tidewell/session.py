@@ -18,6 +18,10 @@ ENGINE_CONF = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
+#: Bytes of a batch of rows on its way to Python.  Spark's own limits, 10,000 rows or 64 MB, hold tens of MB of
+#: texts several times over in each task of an executor.
+BATCH_BYTES_KEY, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
 
 def build_session(app_name: str = "tidewell", master: str | None = None,
                   conf: dict[str, str] | None = None) -> SparkSession:
@@ -30,6 +34,12 @@ def build_session(app_name: str = "tidewell", master: str | None = None,
     return builder.getOrCreate()
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """From now on batches of rows sent to Python are small in bytes; a limit the session has stays."""
+    if spark.conf.get(BATCH_BYTES_KEY, None) is None:
+        spark.conf.set(BATCH_BYTES_KEY, str(BATCH_BYTES))
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
