@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import tracemalloc
 from itertools import combinations
 from types import SimpleNamespace
 
@@ -9,7 +10,7 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from tidewell.llm import line_dedup, near_dup, rarity
+from tidewell.llm import decontamination, line_dedup, near_dup, rarity
 from tidewell.llm.components import connected_components
 from tidewell.session import BATCH_BYTES_KEY, bounded_batches
 from tests.llm.conftest import words
@@ -236,3 +237,21 @@ def test_pipeline_bounds_the_bytes_of_batches(spark):
         spark.conf.unset(BATCH_BYTES_KEY)
         if held is not None:
             spark.conf.set(BATCH_BYTES_KEY, held)
+
+
+def test_sparse_sums_hold_few_products():
+    """Sums over runs are those of all products at once, in a fraction of their memory."""
+    rng = np.random.default_rng(5)
+    row = np.sort(rng.integers(0, 2000, 60_000))
+    column, value = rng.integers(0, 500, 60_000), rng.random(60_000).astype(np.float32)
+    matrix = rng.standard_normal((500, 272)).astype(np.float32)
+    expected = np.zeros((2000, 272), np.float32)
+    first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+    expected[row[first]] = np.add.reduceat(matrix[column] * value[:, None], first, axis=0)
+    tracemalloc.start()
+    found = decontamination.times(row, column, value, 2000, matrix)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(found, expected)
+    assert peak < 40 << 20
+    assert not decontamination.times(row[:0], column[:0], value[:0], 3, matrix).any()

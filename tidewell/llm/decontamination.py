@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import arrow_schema, batch_of, materialise, packed, quoted, slices, strings, unpacked, unused
+from tidewell.llm.common import arrow_schema, batch_of, materialise, packed, quoted, runs, slices, strings, unpacked, unused
 from tidewell.llm.rarity import COUNTS_DDL, counted, rarity_table
 from tidewell.llm.toxicity import bare_words
 
@@ -44,6 +44,8 @@ PART, LEAST_WORDS = 60, 5
 COPY, PARAPHRASE, ANSWER = 0.8, 0.6, 0.75
 #: Dimensions of the latent space and of the random matrix beyond them.
 RANK, EXTRA = 256, 16
+#: Rows of that length that a task multiplies at a time, but for the rest of a run.
+PRODUCTS = 8192
 BUCKETS = 1 << 20
 #: Bytes of benchmark text that may be sent to every task.
 BENCHMARK_BYTES = 64 << 20
@@ -187,12 +189,18 @@ def times_there(keys: np.ndarray, counts: np.ndarray, span: np.ndarray, words: n
 def times(row: np.ndarray, column: np.ndarray, value: np.ndarray, rows: int, matrix: np.ndarray) -> np.ndarray:
     """Product of the sparse rows with a dense matrix; ``row`` ascends."""
     out = np.zeros((rows, matrix.shape[1]), np.float32)
-    if len(row):
-        first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-        out[row[first]] = np.add.reduceat(matrix[column] * value[:, None], first, axis=0)
+    add_runs(out, row, column, value, matrix)
     return out
 
 
+def add_runs(out: np.ndarray, row: np.ndarray, column: np.ndarray, value: np.ndarray, matrix: np.ndarray) -> None:
+    """Adds ``matrix[column] * value``, summed by ``row``, to the rows of ``out``; a bounded number of products at a time."""
+    first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])) if len(row) else np.zeros(0, np.int64)
+    for a, b in runs(first // PRODUCTS):
+        start, stop = first[a], first[b] if b < len(first) else len(row)
+        out[row[first[a:b]]] += np.add.reduceat(matrix[column[start:stop]] * value[start:stop, None], first[a:b] - start, axis=0)
+
+
 def _range_rows(weights, random_: np.ndarray):
     """Sums of A'(A random) over the passages of a task, one row per block of the vocabulary."""
     schema = arrow_schema("block int, part binary")
@@ -207,10 +215,7 @@ def _range_rows(weights, random_: np.ndarray):
                 row, column, value = passage_rows(part, w)
                 image = times(row, column, value, part.num_rows, random_)
                 order = np.argsort(column, kind="stable")
-                row, column, value = row[order], column[order], value[order]
-                if len(column):
-                    first = np.flatnonzero(np.concatenate([[True], column[1:] != column[:-1]]))
-                    total[column[first]] += np.add.reduceat(image[row] * value[:, None], first, axis=0)
+                add_runs(total, column[order], row[order], value[order], image)
         held = [k for k in range(0, len(total), block) if total[k:k + block].any()]
         yield batch_of(schema, [[k // block for k in held], packed([total[k:k + block].astype(np.float32) for k in held])])
     return multiply
