@@ -198,6 +198,74 @@ def test_line_entries_are_sent_in_small_batches():
     assert np.array_equal(np.bincount(listed, minlength=30_000), [line_dedup.prefix_sizes(np.array(len(s)), 80) for s in sets])
 
 
+def test_line_sets_are_written_packed():
+    """The sets of a piece are a few rows, whatever the number of its lines; each class has one, with its number of lines."""
+    texts = ["\n".join(f"a{i} b{j} c{i * j} A{i}" for j in range(2000)) + "\n \na0 b0 c0" for i in range(3)]
+    batch = pa.record_batch({"doc_id": pa.array([7, 3, 5], pa.int64()), "text": pa.array(texts)})
+    rows = pa.Table.from_batches(list(line_dedup._lines(iter([batch]))))
+    blobs = [b for b in rows.column("sets").to_pylist() if b is not None]
+    assert rows.num_rows == 6003 and len(blobs) < 3
+    lines = [(i, k, frozenset(SPLIT.findall(lower(x)))) for i, t in zip((7, 3, 5), texts) for k, x in enumerate(t.split("\n")) if x.strip()]
+    copies = {}
+    for i, k, s in sorted(lines, key=lambda r: r[:2]):
+        copies.setdefault(s, [(i, k), 0])[1] += 1
+    assert {(r["doc_id"], r["line"]): r["copies"] for r in rows.to_pylist() if r["copies"]} == dict(copies.values())
+    found = pa.Table.from_batches([line_dedup.unpack_sets(b) for b in blobs])
+    numbers = {tuple(line_dedup.unpacked_words(pa.array([w], pa.binary()))[0].tolist()) for w in found.column("words").to_pylist()}
+    assert len(numbers) == found.num_rows == len(copies)
+    assert {(r["doc_id"], r["line"]): len(r["words"]) // line_dedup.WORD_BYTES for r in found.to_pylist()} == {at: len(s) for s, (at, _) in copies.items()}
+
+
+def test_packed_sets_are_cut():
+    n = np.array([200_000, 3, 100_000, 100_000, 1])
+    values = np.random.default_rng(2).integers(0, 1 << 63, n.sum(), dtype=np.uint64)
+    at = np.arange(5, dtype=np.int64)
+    blobs = line_dedup.pack_sets(at, -at, n.astype(np.int32), at, at.astype(np.int32), values)
+    rows = pa.Table.from_batches([line_dedup.unpack_sets(b) for b in blobs]).to_pylist()
+    assert len(blobs) == 2 and [(r["k1"], r["k2"], r["doc_id"], r["line"]) for r in rows] == [(i, -i, i, i) for i in range(5)]
+    unpacked = [line_dedup.unpacked_words(pa.array([r["words"]], pa.binary()))[0] for r in rows]
+    assert [len(u) for u in unpacked] == n.tolist() and np.array_equal(np.concatenate(unpacked), values >> np.uint64(16))
+
+
+def test_entries_are_ordered_by_list_and_class():
+    """Copies of a class are neighbours, the earliest first, also where classes agree in the bits that are sorted first."""
+    rng = np.random.default_rng(6)
+    size = 40_000
+    kind = rng.integers(0, 20_000, size)
+    e = {"name": np.where(kind % 50 == 0, 3, np.where(kind % 50 < 49, 9, kind + 20)).astype(np.uint64), "key": (kind % 5000).astype(np.uint32),
+         "fold": kind.astype(np.uint64) * np.uint64(77), "n": np.where(kind % 3 == 0, (1 << 31) - 1, 5).astype(np.int32),
+         "doc": rng.integers(-9, 9, size), "line": rng.integers(0, 90, size).astype(np.int32)}
+    order = line_dedup.by_list_and_class(e)
+    rows = list(zip(*(e[c][order].tolist() for c in ("name", "n", "key", "fold", "doc", "line"))))
+    assert [r[:2] for r in rows] == sorted(r[:2] for r in rows)
+    classes = [r[:4] for r in rows]
+    cuts = [i for i in range(len(rows)) if not i or classes[i] != classes[i - 1]]
+    assert len({classes[i] for i in cuts}) == len(cuts)
+    assert all(rows[a:b] == sorted(rows[a:b]) for a, b in zip(cuts, [*cuts[1:], len(rows)]))
+    names, counts = np.unique(e["name"], return_counts=True)
+    assert len(rows) == counts[counts > 1].sum()
+    for doc in (e["doc"], e["doc"] << 58):
+        assert line_dedup.place_order(doc, e["line"]).tolist() != [] and np.array_equal(
+            doc[line_dedup.place_order(doc, e["line"])], doc[np.lexsort((e["line"], doc))])
+
+
+def test_slots_of_places(spark):
+    ids = [0, 1, -1, 5 << 33, (1 << 63) - 1, -(1 << 63)]
+    rows = [(i, k) for i in ids for k in (0, 1, 77, (1 << 31) - 1)]
+    found = [r[0] for r in spark.createDataFrame(rows, "doc_id long, line int").coalesce(1).select(line_dedup.place_slot()).collect()]
+    assert found == line_dedup.place_slots(np.array([r[0] for r in rows]), np.array([r[1] for r in rows], np.int32)).tolist()
+
+
+def test_lines_of_repeated_ids(spark):
+    """A class whose first lines stand at several places of one id, in rows of different tasks."""
+    a, b, c = words(31, 20), words(32, 20), words(33, 20)
+    rows = [(5, f"{b}\n{a}"), (5, f"{a}\n{c}"), (5, f"{c}\n\n{a}\n{a}"), (9, a), (9, f"{a}\n{b}"), (-4, c), (5, f"{b}\n{a}")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    report = line_dedup.line_report(frame).collect()
+    assert len(report) == len(rows)
+    assert {(r.doc_id, k) for r in report for k in r.removed} == brute_lines(rows, 80)
+
+
 def test_document_entries_are_sent_in_small_batches():
     rng = np.random.default_rng(4)
     sketches = [np.unique(rng.integers(0, 1 << 63, near_dup.INDEX, dtype=np.uint64)) for _ in range(10_000)]

@@ -17,7 +17,8 @@ blocks whose pairs go to different tasks.
 
 Texts are read once: the lines are written with the word sets of those that differ within a piece of a task, words
 as 48-bit hashes (two words of a pair of 100-word lines share one with a chance below 1e-10); prefixes, list sizes,
-entries and sets for verification all come from that table.  Entries travel packed by column, many to a row.
+entries and sets for verification all come from that table.  Sets and entries travel packed by column, many to a row,
+and the session's batches to Python are bounded (:func:`tidewell.session.bounded_batches`).
 
 Lines without words stay.  Null texts have no lines and stay null.  Rows with null id are
 not compared and stay as they are.  Repeated rows count as one place, so each keeps what the
@@ -28,16 +29,17 @@ table gives an empty result.  Very long lines are sets like others.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import arrow_schema, batch_of, bytes_of, materialise, mix, packed, quoted, signed, slices, strings, unused, words_in
+from tidewell.llm.common import arrow_schema, batch_of, bytes_of, materialise, mix, packed, quoted, runs, signed, slices, strings, unused, words_in
 from tidewell.llm.near_dup import FILTER_BITS
 from tidewell.llm.rarity import COUNTS_DDL, counted, rarity_table
+from tidewell.session import bounded_batches
 
 BUCKETS = 1 << 20
 #: Entries of a list from which it is cut into blocks of that size.
@@ -49,8 +51,13 @@ SENT_BYTES = 1 << 22
 #: Bytes kept of a word's hash; parity bits are 64 for sets up to ``WIDE`` words and 128 beyond.
 WORD_BYTES, WIDE = 6, 96
 
-#: ``words`` is null for a line whose set stands in an earlier line of the same piece.
-LINES = "k1 long, k2 long, n int, doc_id long, line int, words binary"
+#: ``copies`` counts the lines of a class within a piece at the first of them, and is 0 at the others; ``sets`` holds the
+#: sets of these first lines, packed, in the first rows of the piece, and is null in the others.
+LINES = "k1 long, k2 long, n int, doc_id long, line int, copies int, sets binary"
+#: Bits of a word that name its list.  With rank and line they are one sort key: a slice of sets has fewer than 2^18 lines.
+TOKEN_BITS = 38
+#: Ids are taken modulo this prime for their slots, as their low bits may be equal.
+ID_PRIME = 8_388_593
 ENTRIES = "part long, entries int, data binary"
 #: ``key`` is the low half of the later class's k1.
 CANDIDATES = "doc_id long, line int, other_id long, other_line int, found int, key long"
@@ -78,7 +85,7 @@ def line_sets(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
     """Distinct word hashes of each line, ascending, and their offsets."""
     words = words_in(data, bounds)
     line = np.repeat(np.arange(len(bounds) - 1), words.counts)
-    order = np.argsort((line.astype(np.uint64) << np.uint64(40)) | (words.hashes >> np.uint64(24)))  # by line, then hash
+    order = np.argsort((line.astype(np.uint64) << np.uint64(40)) | (words.hashes >> np.uint64(24)), kind="stable")  # by line, then hash
     line, values = line[order], words.hashes[order]
     fresh = np.ones(len(line), bool)
     fresh[1:] = (line[1:] != line[:-1]) | (values[1:] != values[:-1])
@@ -113,22 +120,53 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             order = np.lexsort((number, ids, k2, k1))
             fresh = np.ones(len(order), bool)
             fresh[1:] = (k1[order][1:] != k1[order][:-1]) | (k2[order][1:] != k2[order][:-1])
-            first = np.zeros(len(order), bool)
-            first[order[fresh]] = True
+            copies = np.zeros(len(order), np.int32)
+            copies[order[fresh]] = np.diff(np.append(np.flatnonzero(fresh), len(order)))
+            first = copies > 0
             held = np.flatnonzero(n > 0)
-            short = np.ascontiguousarray((values >> np.uint64(64 - 8 * WORD_BYTES)).view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES]).tobytes()
-            words = [short[WORD_BYTES * offsets[i]:WORD_BYTES * offsets[i + 1]] if first[i] else None for i in held.tolist()]
-            yield batch_of(schema, [signed(k1[held]), signed(k2[held]), n[held].astype(np.int32), ids[held], number[held].astype(np.int32),
-                                    pa.array(words, pa.binary())])
+            columns = [signed(k1[held]), signed(k2[held]), n[held].astype(np.int32), ids[held], number[held].astype(np.int32)]
+            sets = pack_sets(*(x[first[held]] for x in columns), values[np.repeat(first, n)])
+            yield batch_of(schema, [*columns, copies[held], pa.array(sets + [None] * (len(held) - len(sets)), pa.binary())])
+
+
+def pack_sets(k1: np.ndarray, k2: np.ndarray, n: np.ndarray, ids: np.ndarray, number: np.ndarray, values: np.ndarray) -> list[bytes]:
+    """Sets with their words, about ``SET_BYTES`` of words in each of the results, which are no more than the sets."""
+    ends = np.cumsum(n, dtype=np.int64)
+    out = []
+    for a, b in runs(ends * WORD_BYTES // SET_BYTES):
+        wide = (values[ends[a] - n[a]:ends[b - 1]] >> np.uint64(64 - 8 * WORD_BYTES)).view(np.uint8).reshape(-1, 8)
+        words = np.empty((len(wide), WORD_BYTES), np.uint8)
+        for i in range(WORD_BYTES):
+            words[:, i] = wide[:, i]
+        out.append(b"".join([np.int64(b - a).tobytes(), *(x[a:b].tobytes() for x in (k1, k2, ids, number, n)), words.tobytes()]))
+    return out
+
+
+def unpack_sets(data: bytes) -> pa.RecordBatch:
+    """Packed sets as rows k1, k2, doc_id, line, words."""
+    count = int(np.frombuffer(data, np.int64, 1)[0])
+    k1, k2, ids = np.frombuffer(data, np.int64, 3 * count, 8).reshape(3, count)
+    number, n = np.frombuffer(data, np.int32, 2 * count, 8 + 24 * count).reshape(2, count)
+    offsets = np.concatenate([[0], np.cumsum(n, dtype=np.int64) * WORD_BYTES]).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), count, [None, pa.py_buffer(offsets), pa.py_buffer(data).slice(8 + 32 * count)])
+    return pa.record_batch({"k1": pa.array(k1), "k2": pa.array(k2), "doc_id": pa.array(ids), "line": pa.array(number), "words": words})
+
+
+def on_sets(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A ``mapInArrow`` function over the column of packed sets: ``function`` gets them as rows."""
+    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return function(unpack_sets(data) for batch in batches for data in batch.column(0).to_pylist())
+    return unpacked
 
 
 def unpacked_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Packed word sets as values and offsets."""
-    held = column.to_pylist()
-    offsets = np.concatenate([[0], np.cumsum([len(v) // WORD_BYTES for v in held])]).astype(np.int64)
-    wide = np.zeros((offsets[-1], 8), np.uint8)
-    wide[:, :WORD_BYTES] = np.frombuffer(b"".join(held), np.uint8).reshape(-1, WORD_BYTES)
-    return wide.reshape(-1).view(np.uint64), offsets
+    if not len(column):
+        return np.zeros(0, np.uint64), np.zeros(1, np.int64)
+    data, bounds = bytes_of(column)
+    padded = np.concatenate([data, np.zeros(8 - WORD_BYTES, np.uint8)])
+    wide = np.ndarray((len(data) // WORD_BYTES,), "<u8", padded, 0, (WORD_BYTES,))
+    return wide & np.uint64((1 << 8 * WORD_BYTES) - 1), bounds // WORD_BYTES
 
 
 def prefix_sizes(n: np.ndarray, percent: int) -> np.ndarray:
@@ -162,10 +200,15 @@ class Prefixes:
         bit, half = one << ((values >> np.uint64(24)) & np.uint64(63)), (values >> np.uint64(30)) & one
         self.bits_a, self.bits_b = (sums_of(np.where(half == h, bit, np.uint64(0)), offsets, np.bitwise_xor) for h in (0, 1))
         row = np.repeat(np.arange(len(n)), n)
-        order = np.argsort((row.astype(np.uint64) << np.uint64(40)) | (rank << np.uint64(32)) | (values >> np.uint64(16)))
-        place = np.arange(len(order)) - offsets[row]
+        keys = row.astype(np.uint64) << np.uint64(8 + TOKEN_BITS)
+        keys |= rank << np.uint64(TOKEN_BITS)
+        keys |= values >> np.uint64(8 * WORD_BYTES - TOKEN_BITS)
+        keys.sort()
+        place = np.arange(len(keys)) - offsets[row]
         keep = place < prefix_sizes(n, percent)[row]
-        self.tokens, self.place, self.row = values[order][keep], place[keep], row[keep]
+        keys, self.place, self.row = keys[keep], place[keep], row[keep]
+        self.tokens = keys & np.uint64((1 << TOKEN_BITS) - 1)
+        self.ranks = (keys >> np.uint64(TOKEN_BITS)) & np.uint64(255)
 
 
 def _frequent_tokens(ranks, percent: int):
@@ -174,8 +217,8 @@ def _frequent_tokens(ranks, percent: int):
 
     def tokens(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for piece in slices(batch, "words", SET_BYTES):
-            made = Prefixes(piece, ranks.value, percent, least).tokens
-            yield made[ranks.value[(made & np.uint64(BUCKETS - 1)).astype(np.int64)] >= least]
+            p = Prefixes(piece, ranks.value, percent, least)
+            yield p.tokens[p.ranks >= least]
     return tokens
 
 
@@ -286,44 +329,77 @@ def groups_of_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.
         yield {name: np.concatenate([h[name] for h in held]) for name in held[0]}
 
 
+def by_list_and_class(e: dict[str, np.ndarray]) -> np.ndarray:
+    """Entries by list, size, class and place, without lists of one entry, which have no pairs.
+
+    One key of list, size and a part of the class's hash sorts them; rows that agree in it, copies of a class
+    but for chance, are sorted by all columns.
+    """
+    order = np.argsort(e["name"], kind="stable")
+    order = order[several(e["name"][order])]
+    if not len(order):
+        return order
+    name, n = e["name"][order], e["n"][order].astype(np.uint64)
+    list_bits, size_bits = int(len(order)).bit_length(), int(n.max()).bit_length()
+    keys = np.cumsum(np.concatenate([[0], name[1:] != name[:-1]])).astype(np.uint64) << np.uint64(64 - list_bits)
+    keys |= n << np.uint64(64 - list_bits - size_bits)
+    keys |= mix(e["fold"][order] ^ e["key"][order].astype(np.uint64)) >> np.uint64(list_bits + size_bits)
+    again = np.argsort(keys, kind="stable")
+    order, keys = order[again], keys[again]
+    alike = np.flatnonzero(several(keys))
+    rows = order[alike]
+    order[alike] = rows[np.lexsort((e["line"][rows], e["doc"][rows], e["fold"][rows], e["key"][rows], keys[alike]))]
+    return order
+
+
+def place_order(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """Order of places, by one number each if 64 bits hold it."""
+    if len(doc) and (int(doc.max()) - int(doc.min()) + 1) * (int(line.max()) + 1) < 1 << 63:
+        return np.argsort((doc - doc.min()) * (int(line.max()) + 1) + line)
+    return np.lexsort((line, doc))
+
+
 def _compare(percent: int, every: np.ndarray | None):
     """Candidates from entries: for each class the earliest per list, or all for the classes in ``every``."""
     schema = arrow_schema(CANDIDATES)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for e in groups_of_parts(batches):
+            order = by_list_and_class(e)
+            e = {k: x[order] for k, x in e.items()}
             size = (e["n"].astype(np.uint64) << np.uint64(32)) | e["key"]
-            order = np.lexsort((e["line"], e["doc"], e["fold"], size, e["name"]))
-            e, size = {k: x[order] for k, x in e.items()}, size[order]
             group = np.cumsum(np.concatenate([[0], e["name"][1:] != e["name"][:-1]]))
             # Copies of a class from several pieces: the earliest stays.
             fresh = np.ones(len(group), bool)
             fresh[1:] = (group[1:] != group[:-1]) | (size[1:] != size[:-1]) | (e["fold"][1:] != e["fold"][:-1])
             # A list of one class has no pairs.
             e, group = {k: x[fresh] for k, x in e.items()}, group[fresh]
-            inner = np.zeros(len(group), bool)
-            inner[1:] = group[1:] == group[:-1]
-            inner[:-1] |= inner[1:]
+            inner = several(group)
             e, group = {k: x[inner] for k, x in e.items()}, group[inner]
             doc, line, n, side = e["doc"], e["line"], e["n"].astype(np.int64), e["side"]
             e["n"] = n
             rank = np.empty(len(doc), np.int64)
-            by_place = np.lexsort((line, doc))
+            by_place = place_order(doc, line)
             changes = np.ones(len(doc), bool)
             changes[1:] = (doc[by_place][1:] != doc[by_place][:-1]) | (line[by_place][1:] != line[by_place][:-1])
             rank[by_place] = np.cumsum(changes)
             best, found = np.full(len(doc), np.iinfo(np.int64).max), np.zeros(len(doc), np.int32)
             wanted = in_bits(every, e["key"].astype(np.uint64)) if every is not None else None
-            i, step, pairs = np.arange(len(doc)), 0, []
+            # Lists are sorted by size, so what a set's size allows follows it directly.
+            above = np.minimum(100 * n // percent, (1 << 32) - 1)
+            reach = np.searchsorted((group << 32) | n, (group << 32) | above, side="right") - np.arange(len(doc))
+            i, step, pairs, cut = np.arange(len(doc)), 0, [], side.any()
             while True:
                 step += 1
-                i = i[i + step < len(doc)]
-                i = i[group[i] == group[i + step]]
-                i = i[100 * n[i] >= percent * n[i + step]]
+                i = i[reach[i] > step]
                 if not len(i):
                     break
                 j = i + step
-                near = ((side[i] == 0) | (side[i] != side[j])) & (rank[i] != rank[j])
+                near = rank[i] != rank[j]
+                if cut:
+                    near &= (side[i] == 0) | (side[i] != side[j])
+                if wanted is not None:
+                    near &= np.where(rank[i] > rank[j], wanted[i], wanted[j])
                 x, y = i[near], j[near]
                 good = passing(e, x, y, percent)
                 x, y = x[good], y[good]
@@ -333,10 +409,8 @@ def _compare(percent: int, every: np.ndarray | None):
                         at, other = late[half], early[half]
                         best[at] = np.minimum(best[at], rank[other] * len(doc) + other)
                         found[at] += 1
-                else:
-                    keep = wanted[late]
-                    if keep.any():
-                        pairs.append(np.stack([late[keep], early[keep]]))
+                elif len(late):
+                    pairs.append(np.stack([late, early]))
             if every is None:
                 late = np.flatnonzero(found)
                 early = best[late] % max(len(doc), 1)
@@ -348,6 +422,14 @@ def _compare(percent: int, every: np.ndarray | None):
     return compare
 
 
+def several(keys: np.ndarray) -> np.ndarray:
+    """Which of sorted keys have an equal neighbour."""
+    out = np.zeros(len(keys), bool)
+    out[1:] = keys[1:] == keys[:-1]
+    out[:-1] |= out[1:]
+    return out
+
+
 def in_bits(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Whether the slot of each hash is set."""
     slot = (hashes % np.uint64(FILTER_BITS)).astype(np.int64)
@@ -365,7 +447,12 @@ def or_bits(slots: DataFrame) -> np.ndarray:
 
 
 def place_slot(doc: str = "doc_id", line: str = "line"):
-    return F.pmod(F.xxhash64(doc, line), F.lit(FILTER_BITS))
+    return F.pmod(F.pmod(F.col(doc), F.lit(ID_PRIME)) * 31 + F.col(line).cast("long") * 2_654_435, F.lit(FILTER_BITS))
+
+
+def place_slots(ids: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """:func:`place_slot` of arrays."""
+    return ((ids % ID_PRIME * 31 + number.astype(np.int64) * 2_654_435) % FILTER_BITS).astype(np.uint64)
 
 
 def _verify(percent: int):
@@ -385,66 +472,71 @@ def _verify(percent: int):
     return verify
 
 
-def _verified(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs of places whose sets are similar."""
+def _verified(sets: DataFrame, pairs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The pairs of places whose sets are similar, and the sets of the later places (k1, doc_id, line, words; others too)."""
     later = or_bits(pairs.select(place_slot().alias("slot")))
     earlier = or_bits(pairs.select(place_slot("other_id", "other_line").alias("slot")))
     spec = "doc_id long, line int, k1 long, k2 long, words binary, later boolean, earlier boolean"
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            slot = batch.column(5).to_numpy().astype(np.uint64)
+            slot = place_slots(batch.column("doc_id").to_numpy(), batch.column("line").to_numpy())
             a, b = in_bits(later, slot), in_bits(earlier, slot)
-            columns = [*batch.columns[:5], pa.array(a, pa.bool_()), pa.array(b, pa.bool_())]
+            columns = [*(batch.column(c) for c in ("doc_id", "line", "k1", "k2", "words")), pa.array(a, pa.bool_()), pa.array(b, pa.bool_())]
             yield batch_of(arrow_schema(spec), columns).filter(pa.array(a | b, pa.bool_()))
 
-    kept = materialise(sets.select("doc_id", "line", "k1", "k2", "words", place_slot().cast("long").alias("slot")).mapInArrow(held, spec), "line-sets")
+    kept = materialise(sets.mapInArrow(on_sets(held), spec), "line-sets")
     joined = pairs.join(kept.where("later").select("doc_id", "line", "k1", "k2", F.col("words").alias("words_a")), ["doc_id", "line"]).join(
         kept.where("earlier").select(F.col("doc_id").alias("other_id"), F.col("line").alias("other_line"), F.col("words").alias("words_b")),
         ["other_id", "other_line"])
-    return joined.select("doc_id", "line", "other_id", "other_line", "k1", "k2", "words_a", "words_b").mapInArrow(_verify(percent), PAIRS)
+    similar = joined.select("doc_id", "line", "other_id", "other_line", "k1", "k2", "words_a", "words_b").mapInArrow(_verify(percent), PAIRS)
+    return similar, kept.where("later").select("k1", "doc_id", "line", "words")
 
 
 def similar_lines(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Two frames: every line with words (k1, k2, n, doc_id, line), and a similar earlier class for each class that has one.
+    """Two frames: every line with words (k1, k2, n, doc_id, line, copies), and a similar earlier class for each class that has one.
 
     The second holds the places of both classes, and the keys of the later one: doc_id, line, other_id, other_line, k1, k2.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     plain = docs.select(F.col(quoted(doc_id)).cast("long").alias("doc_id"), F.col(quoted(text)).cast("string").alias("text")).where(
         "doc_id is not null and text is not null")
     table = materialise(plain.mapInArrow(_lines, LINES), "lines")
-    lines, sets = table.drop("words"), table.where("words is not null")
+    lines, sets = table.drop("sets"), table.select("sets").where("sets is not null")
     words = lambda b: (unpacked_words(p.column("words"))[0] for p in slices(b, "words"))
-    ranks = spark.sparkContext.broadcast(rarity_table(sets.select("words").mapInArrow(counted(words, BUCKETS), COUNTS_DDL), BUCKETS))
-    sizes = rarity_table(sets.mapInArrow(counted(_frequent_tokens(ranks, percent), BUCKETS), COUNTS_DDL), BUCKETS)
+    ranks = spark.sparkContext.broadcast(rarity_table(sets.mapInArrow(on_sets(counted(words, BUCKETS)), COUNTS_DDL), BUCKETS))
+    sizes = rarity_table(sets.mapInArrow(on_sets(counted(_frequent_tokens(ranks, percent), BUCKETS)), COUNTS_DDL), BUCKETS)
     length = 2.0 ** (sizes.astype(float) / 8) - 1
     usual = length.mean()  # what other words add to a list's bucket
     split = np.where(length > 8 * usual + BLOCK, np.ceil((length - 4 * usual) / BLOCK), 1).clip(1, 1 << 15).astype(np.uint16)
     blocks = spark.sparkContext.broadcast(split)
-    listed = sets.agg(F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).head()[0] or 0
+    listed = table.where("copies > 0").agg(F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).head()[0] or 0
     parts = max(1, -(-int(listed) // PART_ENTRIES))
 
     def candidates(only: np.ndarray | None, every: np.ndarray | None) -> DataFrame:
-        entries = sets.mapInArrow(_entries(ranks, blocks, percent, parts, only), ENTRIES)
+        entries = sets.mapInArrow(on_sets(_entries(ranks, blocks, percent, parts, only)), ENTRIES)
         return entries.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_compare(percent, every), CANDIDATES)
 
     first = materialise(candidates(None, None), "candidates")
     # All copies of a class are in the same lists, so candidates stand at the first line of their class.
-    best = first.groupBy("doc_id", "line").agg(
-        F.min(F.struct("other_id", "other_line")).alias("o"), F.sum("found").alias("found"), F.min("key").alias("key"))
-    pairs = materialise(best.select("doc_id", "line", F.col("o.other_id").alias("other_id"), F.col("o.other_line").alias("other_line"), "found", "key"), "best-candidates")
-    sure = materialise(_verified(sets, pairs.drop("found", "key"), percent), "similar")
+    # Two steps over numbers, which are hashed, where a least struct would be sorted; both are over the one exchange.
+    best = first.repartition("doc_id", "line").groupBy("doc_id", "line", "other_id").agg(
+        F.min("other_line").alias("other_line"), F.sum("found").alias("found"), F.min("key").alias("key")).groupBy("doc_id", "line").agg(
+        F.min_by("other_line", "other_id").alias("other_line"), F.min("other_id").alias("other_id"), F.sum("found").alias("found"), F.min("key").alias("key"))
+    pairs = materialise(best.select("doc_id", "line", "other_id", "other_line", "found", "key"), "best-candidates")
+    similar, later = _verified(sets, pairs.drop("found", "key"), percent)
+    sure = materialise(similar, "similar")
     failed = pairs.where("found > 1").join(sure.select("doc_id", "line"), ["doc_id", "line"], "left_anti")
     failed = materialise(failed.select("doc_id", "line", "key"), "open-lines")
     if failed.isEmpty():
         return lines, sure
     classes = or_bits(failed.select(F.pmod("key", F.lit(FILTER_BITS)).alias("slot")))
-    tokens = or_bits(sets.mapInArrow(_tokens_of(classes, ranks, percent), "slot long"))
+    tokens = or_bits(later.mapInArrow(_tokens_of(classes, ranks, percent), "slot long"))
     again = candidates(tokens, classes).select("doc_id", "line", "other_id", "other_line").distinct()
     again = materialise(again.join(failed.select("doc_id", "line"), ["doc_id", "line"], "left_semi").join(
         pairs.drop("found", "key"), ["doc_id", "line", "other_id", "other_line"], "left_anti"), "more-candidates")
-    return lines, sure.unionByName(_verified(sets, again, percent))
+    return lines, sure.unionByName(_verified(sets, again, percent)[0])
 
 
 def _tokens_of(classes: np.ndarray, ranks, percent: int):
@@ -461,7 +553,11 @@ def _tokens_of(classes: np.ndarray, ranks, percent: int):
 def _gone(docs: DataFrame, percent: int, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
     """All lines with words, and doc_id with the sorted numbers of the lines that go, for documents that lose lines."""
     lines, similar = similar_lines(docs, percent, doc_id, text)
-    classes = lines.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n"))
+    # A class has few first lines of a piece, however many copies, so they may meet before they are aggregated, in two steps
+    # over numbers, which are hashed, where a least struct would be sorted.
+    classes = lines.where("copies > 0").select("k1", "k2", "doc_id", "line", "copies").repartition("k1", "k2").groupBy("k1", "k2", "doc_id").agg(
+        F.min("line").alias("line"), F.sum("copies").alias("n")).groupBy("k1", "k2").agg(
+        F.struct(F.min("doc_id").alias("doc_id"), F.min_by("line", "doc_id").alias("line")).alias("first"), F.sum("n").alias("n"))
     late = similar.select("k1", "k2").distinct().withColumn("late", F.lit(True))
     # Written, so that the join below deals a class with many lines to several tasks.
     classes = materialise(classes.join(late, ["k1", "k2"], "left").where("n > 1 or late").select("k1", "k2", "first", "late"), "classes")
